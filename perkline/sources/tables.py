@@ -65,6 +65,12 @@ class Tables:
             mode.alias("mod_depl_decl"),
             sport.alias("sport_declare"),
             (key % 23 != 0).alias("actif"),
+            # derived home address (the driver tables carry none): some
+            # employees have none or a blank one, as real rosters do
+            F.when(key % 13 == 0, F.lit(None).cast("string"))
+            .when(key % 13 == 1, F.lit("  "))
+            .otherwise(F.concat(key.cast("string"), F.lit(" avenue "), F.col("c_mktsegment")))
+            .alias("adresse_dom"),
         )
 
     def link(self) -> DataFrame:

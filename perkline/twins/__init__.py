@@ -20,7 +20,8 @@ BINDINGS: dict[str, str] = {
   CASE c_custkey % 6 WHEN 0 THEN 'Marche/running' WHEN 1 THEN ' VÉLO/trottinette/autres ' WHEN 2 THEN 'Transports en commun'
     WHEN 3 THEN 'véhicule  thermique/électrique' WHEN 4 THEN NULL ELSE 'Hoverboard' END AS mod_depl_decl,
   CASE c_custkey % 4 WHEN 0 THEN 'Natation' WHEN 1 THEN 'Tennis' WHEN 2 THEN '' ELSE NULL END AS sport_declare,
-  c_custkey % 23 <> 0 AS actif
+  c_custkey % 23 <> 0 AS actif,
+  CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 13 = 1 THEN '  ' ELSE CAST(c_custkey AS VARCHAR) || ' avenue ' || c_mktsegment END AS adresse_dom
 FROM customer""",
     "b_link": "SELECT id_salarie_brut, cle_salarie FROM b_roster",
     "b_activity": """SELECT event_id AS id_activite, 'sal_' || substring(sha256('salt|' || CAST(user_id AS VARCHAR)),1,12) AS cle_salarie,
