@@ -208,6 +208,11 @@ class Tables:
 
     # -- declared sport reference (id, declared sport) -------------------
     def sport_reference(self) -> DataFrame:
-        return self.roster().select(
-            F.col("id_salarie_brut"), F.col("sport_declare"), F.col("id_salarie_brut").cast("long").alias("ligne")
+        """Declared sport per employee; ids divisible by 7 appear a second
+        time later in the file (with another sport) — first row wins."""
+        r = self.roster()
+        base = r.select("id_salarie_brut", "sport_declare", F.col("id_salarie_brut").cast("long").alias("ligne"))
+        later = r.filter(F.col("id_salarie_brut").cast("long") % 7 == 0).select(
+            "id_salarie_brut", F.lit("Judo").alias("sport_declare"), (F.col("id_salarie_brut").cast("long") + 100000).alias("ligne")
         )
+        return base.unionByName(later)

@@ -73,7 +73,8 @@ FROM b_commute_raw r, b_pivot p""",
 FROM events JOIN customer ON user_id = c_custkey""",
     "b_name_ref": """SELECT CAST(c_custkey AS VARCHAR) AS id_salarie_brut, c_name AS nom, c_mktsegment AS prenom FROM customer
 UNION ALL SELECT 'dup' || CAST(c_custkey AS VARCHAR), upper(c_name), c_mktsegment FROM customer WHERE c_custkey % 40 = 0""",
-    "b_sport_ref": "SELECT id_salarie_brut, sport_declare, CAST(id_salarie_brut AS BIGINT) AS ligne FROM b_roster",
+    "b_sport_ref": """SELECT id_salarie_brut, sport_declare, CAST(id_salarie_brut AS BIGINT) AS ligne FROM b_roster
+UNION ALL SELECT id_salarie_brut, 'Judo', CAST(id_salarie_brut AS BIGINT) + 100000 FROM b_roster WHERE CAST(id_salarie_brut AS BIGINT) % 7 = 0""",
 }
 
 _NAME = re.compile(r"\b(b_[a-z_]+)\b")

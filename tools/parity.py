@@ -70,7 +70,7 @@ def main(argv):
     from perkline.queries import QUERIES, TWINS, load_all
 
     load_all()
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[8]", 8, extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     keys = keys or sorted(QUERIES)
