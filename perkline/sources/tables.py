@@ -216,3 +216,55 @@ class Tables:
             "id_salarie_brut", F.lit("Judo").alias("sport_declare"), (F.col("id_salarie_brut").cast("long") + 100000).alias("ligne")
         )
         return base.unionByName(later)
+
+    # -- second versions (for upsert, diff, soft delete, fingerprint) ----
+    def roster_v2(self) -> DataFrame:
+        """Next HR file: ids ending in 0 are gone, ids divisible by 7 get a
+        new business unit, and ids ending in 0 come back as new employees
+        under id + 10 000 000.  Sports of ids divisible by 7 change."""
+        r = self.roster()
+        k = F.col("id_salarie_brut").cast("long")
+        cols = ["nom", "prenom", "date_naissance", "adresse_dom", "mod_depl_decl"]
+        kept = r.filter(k % 10 != 0).select(
+            "id_salarie_brut",
+            *cols,
+            F.when(k % 7 == 0, F.concat("bu", F.lit("_maj"))).otherwise(F.col("bu")).alias("bu"),
+            F.when(k % 7 == 0, F.lit("Judo")).otherwise(F.col("sport_declare")).alias("sport_declare"),
+        )
+        new = r.filter(k % 10 == 0).select(
+            (k + 10000000).cast("string").alias("id_salarie_brut"), *cols, "bu", "sport_declare"
+        )
+        return kept.unionByName(new)
+
+    def activity_table(self) -> DataFrame:
+        """metier.activite as stored: unique on (employee, start, source) —
+        the smallest id of each key — with ingestion date and flag."""
+        from perkline.operators.dedup import keep_one_per_group
+
+        a = self.activities().drop("jour")
+        one = keep_one_per_group(a, ["cle_salarie", "date_debut", "source_donnee"], order=[("id_activite", "asc")])
+        return one.select(
+            "id_activite",
+            "cle_salarie",
+            "date_debut",
+            "duree_sec",
+            "type_activite",
+            "distance_m",
+            "commentaire",
+            "source_donnee",
+            F.lit(self.run.as_of).cast("timestamp_ntz").alias("date_ingestion"),
+            (F.col("id_activite") % 5 == 0).alias("flag_slack"),
+        )
+
+    def activity_source_v2(self) -> DataFrame:
+        """Incoming activity file: ids ending in 0 are missing, ids divisible
+        by 7 carry a new duration, and ids ending in 0 come back one hour
+        later (new keys)."""
+        a = self.activity_table()
+        i = F.col("id_activite")
+        cols = ["cle_salarie", "date_debut", "duree_sec", "distance_m", "type_activite", "commentaire", "source_donnee"]
+        kept = a.filter(i % 10 != 0).withColumn(
+            "duree_sec", F.when(i % 7 == 0, F.col("duree_sec") + 60).otherwise(F.col("duree_sec"))
+        )
+        moved = a.filter(i % 10 == 0).withColumn("date_debut", F.col("date_debut") + F.expr("INTERVAL 1 HOUR"))
+        return kept.select(*cols).unionByName(moved.select(*cols))

@@ -75,9 +75,22 @@ FROM events JOIN customer ON user_id = c_custkey""",
 UNION ALL SELECT 'dup' || CAST(c_custkey AS VARCHAR), upper(c_name), c_mktsegment FROM customer WHERE c_custkey % 40 = 0""",
     "b_sport_ref": """SELECT id_salarie_brut, sport_declare, CAST(id_salarie_brut AS BIGINT) AS ligne FROM b_roster
 UNION ALL SELECT id_salarie_brut, 'Judo', CAST(id_salarie_brut AS BIGINT) + 100000 FROM b_roster WHERE CAST(id_salarie_brut AS BIGINT) % 7 = 0""",
+    "b_roster_v2": """SELECT id_salarie_brut, nom, prenom, date_naissance, adresse_dom, mod_depl_decl,
+  CASE WHEN CAST(id_salarie_brut AS BIGINT) % 7 = 0 THEN bu || '_maj' ELSE bu END AS bu,
+  CASE WHEN CAST(id_salarie_brut AS BIGINT) % 7 = 0 THEN 'Judo' ELSE sport_declare END AS sport_declare
+FROM b_roster WHERE CAST(id_salarie_brut AS BIGINT) % 10 <> 0
+UNION ALL SELECT CAST(CAST(id_salarie_brut AS BIGINT) + 10000000 AS VARCHAR), nom, prenom, date_naissance, adresse_dom, mod_depl_decl, bu, sport_declare
+FROM b_roster WHERE CAST(id_salarie_brut AS BIGINT) % 10 = 0""",
+    "b_act_table": """SELECT id_activite, cle_salarie, date_debut, duree_sec, type_activite, distance_m, commentaire, source_donnee,
+  CAST(DATE '2024-02-15' AS TIMESTAMP) AS date_ingestion, id_activite % 5 = 0 AS flag_slack
+FROM (SELECT *, row_number() OVER (PARTITION BY cle_salarie, date_debut, source_donnee ORDER BY id_activite) AS rn_t FROM b_activity) WHERE rn_t = 1""",
+    "b_act_v2": """SELECT cle_salarie, date_debut, CASE WHEN id_activite % 7 = 0 THEN duree_sec + 60 ELSE duree_sec END AS duree_sec,
+  distance_m, type_activite, commentaire, source_donnee FROM b_act_table WHERE id_activite % 10 <> 0
+UNION ALL SELECT cle_salarie, date_debut + INTERVAL 1 HOUR, duree_sec, distance_m, type_activite, commentaire, source_donnee
+FROM b_act_table WHERE id_activite % 10 = 0""",
 }
 
-_NAME = re.compile(r"\b(b_[a-z_]+)\b")
+_NAME = re.compile(r"\b(b_[a-z0-9_]+)\b")
 
 
 def _needed(sql: str) -> list[str]:
