@@ -220,3 +220,23 @@ def _add_months(day: dt.date, months: int) -> dt.date:
 
 
 DEFAULT_RUN = RunConfig()
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES — accepted header aliases of the HR export (case-insensitive,
+# trimmed), per canonical column, in priority order.
+# ---------------------------------------------------------------------------
+ROSTER_ALIASES = {
+    "id_salarie_brut": ("ID salarié", "id salarié", "id_salarié", "id_salarie", "ID salarié brut", "id salarié brut", "id_salarie_brut"),
+    "nom": ("nom",),
+    "prenom": ("prenom", "prénom"),
+    "bu": ("bu",),
+    "type_contrat": ("type_contrat", "type contrat", "type_de_contrat", "type de contrat"),
+    "date_naissance": ("date_naissance", "date de naissance"),
+    "date_embauche": ("date_embauche", "date embauche", "date_d_embauche", "date d'embauche", "date dembauche"),
+    "adresse_dom": ("adresse_dom", "adresse_domicile", "adresse domicile", "adresse du domicile"),
+    "mod_depl_decl": ("mod_depl_decl", "moyen_de_deplacement", "moyen de déplacement"),
+}
+ROSTER_DATE_COLUMNS = ("date_naissance", "date_embauche")
+SPORT_ID_ALIASES = ("id_salarie", "id salarié", "id salarié")
+SPORT_VALUE_ALIASES = ("sport", "sport_declare", "sport déclaré", "sport declare", "Pratique d'un sport")
+ACTIVITY_HEADER_REQUIRED = ("cle_salarie", "date_debut", "duree_sec", "distance_m", "type_activite")

@@ -1 +1,199 @@
-"""placeholder"""
+"""File-source queries (S1-S7, M13): exports written by Spark from the
+bound tables under the shared checkpoint folder, then scanned back."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from perkline.config import DEFAULT_RUN, FORM_COLUMNS
+from perkline.plans import ingest
+from perkline.queries import register
+from perkline.queries.ingest_q import it
+from perkline.session import scratch_path
+from perkline.sources import files
+from perkline.sources.tables import Tables
+from perkline.twins import twin
+
+RUN = DEFAULT_RUN
+FORM_HEADER = (*FORM_COLUMNS, "Commentaire")
+BINDING_COLS = ("horodateur", "nom", "prenom", "date_txt", "sport", "distance_txt", "duree_txt", "commentaire")
+# Exports of the form sheet: (folder name, last day included), in the order
+# they are written — the newest *name* is written first, so the newest file
+# by modification time is another export than the newest by name.
+EXPORTS = (
+    ("20240131T090000_decla_sheet.csv", None),
+    ("20240110T090000_decla_sheet.csv", "2024-01-11"),
+    ("20240120T090000_decla_sheet.csv", "2024-01-21"),
+)
+
+
+def T(spark, sf_dir) -> Tables:
+    return Tables(spark, sf_dir, RUN)
+
+
+def write_form_exports(spark, sf_dir) -> str:
+    """Three cumulative exports of the declared rows (reference headers)."""
+    root = scratch_path(spark, "form-exports")
+    d = T(spark, sf_dir).declared()
+    sheet = d.select(*[F.col(b).alias(h) for b, h in zip(BINDING_COLS, FORM_HEADER)])
+    for name, before in EXPORTS:
+        part = sheet if before is None else sheet.filter(F.col("Horodateur") < F.lit(before))
+        files.write_csv(part, os.path.join(root, name))
+    return root
+
+
+def _sheet_twin(where: str = "") -> str:
+    cols = ", ".join(f'{b} AS "{h}"' for b, h in zip(BINDING_COLS, FORM_HEADER))
+    return twin(f"SELECT {cols} FROM b_declared {where}")
+
+
+@register("latest_file_mtime", _sheet_twin("WHERE horodateur < '2024-01-21'"))
+def q_latest_file_mtime(spark, sf_dir):
+    """Rows of the export modified last."""
+    root = write_form_exports(spark, sf_dir)
+    df = files.read_declared(spark, os.path.join(root, "*_decla_sheet.csv"), FORM_COLUMNS)
+    return files.latest_file(df, by="mtime").select(*FORM_HEADER)
+
+
+@register("latest_file_name", _sheet_twin())
+def q_latest_file_name(spark, sf_dir):
+    """Rows of the export with the greatest (timestamp-prefixed) name."""
+    root = write_form_exports(spark, sf_dir)
+    df = files.read_declared(spark, os.path.join(root, "*_decla_sheet.csv"), FORM_COLUMNS)
+    return files.latest_file(df, by="name").select(*FORM_HEADER)
+
+
+@register("read_declared", _sheet_twin())
+def q_read_declared(spark, sf_dir):
+    """S3: all-string scan of one export with the required-column check."""
+    root = write_form_exports(spark, sf_dir)
+    df = files.read_declared(spark, os.path.join(root, EXPORTS[0][0]), FORM_COLUMNS)
+    return df.select(*FORM_HEADER)
+
+
+def _clean(spark, sf_dir):
+    t = T(spark, sf_dir)
+    return ingest.normalise_declared(t.declared(), t.name_reference(), t.sport_reference(), RUN).clean
+
+
+ISO_SQL = (
+    "strftime(timezone('Europe/Paris', date_parsed AT TIME ZONE 'UTC'), '%Y-%m-%dT%H:%M:%S') || "
+    "CASE WHEN date_diff('minute', date_parsed, timezone('Europe/Paris', date_parsed AT TIME ZONE 'UTC')) < 0 THEN '-' ELSE '+' END || "
+    "lpad(CAST(abs(date_diff('minute', date_parsed, timezone('Europe/Paris', date_parsed AT TIME ZONE 'UTC'))) // 60 AS VARCHAR), 2, '0') || "
+    "lpad(CAST(abs(date_diff('minute', date_parsed, timezone('Europe/Paris', date_parsed AT TIME ZONE 'UTC'))) % 60 AS VARCHAR), 2, '0')"
+)
+
+
+@register(
+    "normalised_output",
+    it(
+        f"SELECT cle_salarie, {ISO_SQL} AS date_debut, duree_sec, distance_m, sport AS type_activite, commentaire_out AS commentaire, "
+        "'csv_gsheet' AS source_donnee FROM x_day WHERE rn2 = 1"
+    ),
+)
+def q_normalised_output(spark, sf_dir):
+    """Normalised rows, fixed column order, ISO instant with offset."""
+    return files.normalised_output(_clean(spark, sf_dir), RUN.zone)
+
+
+@register(
+    "read_activities",
+    it(
+        "SELECT cle_salarie, date_parsed AS date_debut, duree_sec, distance_m, sport AS type_activite, commentaire_out AS commentaire, "
+        "'csv_gsheet' AS source_donnee FROM x_day WHERE rn2 = 1"
+    ),
+)
+def q_read_activities(spark, sf_dir):
+    """Typed scan of a normalised activity file written by M13."""
+    path = scratch_path(spark, "normalised")
+    files.write_csv(files.normalised_output(_clean(spark, sf_dir), RUN.zone), path)
+    return files.read_activities(spark, path)
+
+
+@register(
+    "read_activities_tolerant",
+    it(
+        "SELECT cle_salarie, date_parsed AS date_debut, CAST(duree_sec AS BIGINT) AS duree_sec, CAST(distance_m AS BIGINT) AS distance_m, "
+        "sport AS type_activite, commentaire_out AS commentaire, 'csv_gsheet' AS source_donnee FROM x_day WHERE rn2 = 1 AND ligne % 50 <> 0"
+    ),
+)
+def q_read_activities_tolerant(spark, sf_dir):
+    """Headerless file with some unparseable dates; bad lines skipped."""
+    clean = _clean(spark, sf_dir)
+    rows = clean.select(
+        "*", files.iso_offset_text("date_debut", RUN.zone).alias("_iso")
+    ).select(
+        "cle_salarie",
+        F.when(F.col("ligne") % 50 == 0, F.lit("pas une date")).otherwise(F.col("_iso")).alias("date_debut"),
+        "duree_sec",
+        "distance_m",
+        "type_activite",
+        "commentaire",
+        "source_donnee",
+    )
+    path = scratch_path(spark, "tolerant")
+    files.write_csv(rows, path, header=False)
+    parsed, _skipped = files.read_activities_tolerant(spark, path)
+    return parsed
+
+
+ROSTER_HEADERS = (
+    ("id_salarie_brut", "ID salarié"),
+    ("nom", "NOM"),
+    ("prenom", "Prénom"),
+    ("bu", "BU"),
+    ("type_contrat", "Type de contrat"),
+    ("date_naissance", "Date de naissance"),
+    ("date_embauche", "Date d'embauche"),
+    ("adresse_dom", "Adresse domicile"),
+    ("mod_depl_decl", "Moyen de déplacement"),
+)
+
+
+@register(
+    "read_roster",
+    twin(
+        "SELECT " + ", ".join(
+            f"CASE WHEN length(trim({c})) > 0 THEN trim({c}) END AS {c}"
+            for c in ("id_salarie_brut", "nom", "prenom", "bu")
+        )
+        + ", CAST(NULL AS VARCHAR) AS type_contrat, date_naissance, CAST(NULL AS DATE) AS date_embauche, "
+        "CASE WHEN length(trim(adresse_dom)) > 0 THEN trim(adresse_dom) END AS adresse_dom, "
+        "CASE WHEN length(trim(mod_depl_decl)) > 0 THEN trim(mod_depl_decl) END AS mod_depl_decl FROM b_roster"
+    ),
+)
+def q_read_roster(spark, sf_dir):
+    """HR export with alias headers -> canonical columns."""
+    r = T(spark, sf_dir).roster()
+    sheet = r.select(
+        *[
+            (F.lit(None).cast("string") if c in ("type_contrat", "date_embauche") else F.col(c).cast("string")).alias(h)
+            for c, h in ROSTER_HEADERS
+        ]
+    )
+    path = scratch_path(spark, "roster-export")
+    files.write_csv(sheet, path)
+    raw = files.read_declared(spark, path, [h for _, h in ROSTER_HEADERS]).drop("_fichier", "_mtime", "_chemin")
+    out = files.read_roster(raw)
+    return out.select(
+        *[
+            F.when(F.length(F.col(c)) > 0, F.col(c)).alias(c) if c not in ("date_naissance", "date_embauche") else F.col(c)
+            for c in out.columns
+        ]
+    )
+
+
+@register(
+    "read_declared_sport",
+    twin("SELECT trim(id_salarie_brut) AS id_salarie_brut, coalesce(trim(sport_declare), '') AS sport_declare FROM b_sport_ref"),
+)
+def q_read_declared_sport(spark, sf_dir):
+    """Declared-sport sheet with soft column names."""
+    s = T(spark, sf_dir).sport_reference()
+    sheet = s.select(F.col("id_salarie_brut").alias("ID salarié"), F.col("sport_declare").alias("Pratique d'un sport"))
+    path = scratch_path(spark, "sport-export")
+    files.write_csv(sheet, path)
+    raw = files.read_declared(spark, path, ["ID salarié", "Pratique d'un sport"]).drop("_fichier", "_mtime", "_chemin")
+    return files.read_declared_sport(raw)
