@@ -82,3 +82,22 @@ def load_activities(target: DataFrame, forms: DataFrame, simulated: DataFrame, r
         F.lit(mutate.INSERT).alias("action"),
     )
     return kept.unionByName(new_sim.select(*kept.columns))
+
+
+def prepare_activities(rows: DataFrame) -> DataFrame:
+    """Types of an incoming activity file before the load.
+
+    Text trimmed (key) or kept, NULL text -> '' (never the text 'nan'),
+    missing duration -> 0, distance nullable; a NULL start instant stops
+    the job (an unparseable date makes the whole file invalid).
+    """
+    start = F.col("date_debut")
+    return rows.select(
+        F.trim("cle_salarie").alias("cle_salarie"),
+        F.when(start.isNotNull(), start).otherwise(F.raise_error(F.lit("date_debut invalide")).cast("timestamp_ntz")).alias("date_debut"),
+        F.coalesce(F.col("duree_sec"), F.lit(0)).alias("duree_sec"),
+        F.col("distance_m"),
+        F.coalesce(F.col("type_activite"), F.lit("")).alias("type_activite"),
+        F.coalesce(F.col("commentaire"), F.lit("")).alias("commentaire"),
+        F.coalesce(F.col("source_donnee"), F.lit("")).alias("source_donnee"),
+    )

@@ -1 +1,389 @@
-"""placeholder"""
+"""Notification, history, metrics and remaining operator queries (K9,
+K11, M11, M12, F5, F18, F19, J8, L2, P19, P20, P23, T2, A9/Q27, Q26)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from perkline.config import DEFAULT_RUN, NOTIFY_TOP_K
+from perkline.functions.display import TEMPLATE_DEFAULT, TEMPLATES, TXT_DISTANCE_MISSING
+from perkline.operators import mutate, quality
+from perkline.plans import history, ingest, notify
+from perkline.plans.loading import merge_priority
+from perkline.plans.model import BenefitModel
+from perkline.queries import register
+from perkline.queries.functions_q import km_text_sql, minutes_text_sql
+from perkline.queries.ingest_q import it
+from perkline.queries.views_q import vt
+from perkline.sources.tables import Tables
+from perkline.twins import twin
+from perkline.twins import exprs as X
+
+RUN = DEFAULT_RUN
+
+
+def T(spark, sf_dir) -> Tables:
+    return Tables(spark, sf_dir, RUN)
+
+
+LOOKUP_SQL = (
+    "SELECT f.cle_salarie, f.date_debut, a.id_activite, a.flag_slack, trim(coalesce(r.prenom, '')) AS prenom, "
+    "trim(coalesce(r.nom, '')) AS nom, f.type_activite AS f_type, f.duree_sec AS f_duree, f.distance_m AS f_distance, "
+    "f.commentaire AS f_commentaire FROM b_act_v2 f JOIN b_act_table a ON a.cle_salarie = f.cle_salarie AND a.date_debut = f.date_debut "
+    "AND a.source_donnee = 'csv_gsheet' JOIN b_link l ON l.cle_salarie = f.cle_salarie JOIN b_roster r ON r.id_salarie_brut = l.id_salarie_brut "
+    "WHERE f.source_donnee = 'csv_gsheet'"
+)
+PENDING_SQL = f"SELECT * FROM ({LOOKUP_SQL}) WHERE NOT coalesce(flag_slack, false)"
+
+
+def _found(t: Tables):
+    return notify.lookup_pairs(t.activity_source_v2(), t.activity_table(), t.link(), t.roster())
+
+
+@register("composite_key_lookup", twin(LOOKUP_SQL))
+def q_composite_key_lookup(spark, sf_dir):
+    """(employee, start) pairs of the incoming form file found in
+    the table, with names — one bulk join."""
+    return _found(T(spark, sf_dir))
+
+
+@register("pending_notifications", twin(PENDING_SQL))
+def q_pending_notifications(spark, sf_dir):
+    """Form activities of the file present in the table and not yet
+    published."""
+    return notify.pending(_found(T(spark, sf_dir)), force=False)
+
+
+def _sql_template(tpl: str, parts: dict[str, str]) -> str:
+    out, rest = [], tpl
+    while "{" in rest:
+        head, tail = rest.split("{", 1)
+        name, rest = tail.split("}", 1)
+        if head:
+            out.append(X.q(head))
+        out.append(parts[name])
+    if rest:
+        out.append(X.q(rest))
+    return " || ".join(out)
+
+
+def message_sql(first: str, last: str, sport: str, dist: str, dur: str, comment: str) -> str:
+    full = f"trim(concat_ws(' ', coalesce({first}, ''), coalesce({last}, '')))"
+    c = f"trim(coalesce({comment}, ''))"
+    c_txt = f"(CASE WHEN length({c}) > 0 THEN ' (' || {c} || ')' ELSE '' END)"
+    d = f"coalesce(CASE WHEN length({dist}) > 0 THEN {dist} END, {X.q(TXT_DISTANCE_MISSING)})"
+    parts = {"n": full, "dist": d, "dur": dur, "c": c_txt, "sport": f"coalesce({sport}, '')"}
+    whens = " ".join(f"WHEN {sport} = {X.q(label)} THEN {_sql_template(tpl, parts)}" for label, tpl in TEMPLATES.items())
+    return f"CASE {whens} ELSE {_sql_template(TEMPLATE_DEFAULT, parts)} END"
+
+
+MSG_SQL = (
+    "SELECT id_activite, "
+    + message_sql("prenom", "nom", "f_type", km_text_sql("f_distance"), minutes_text_sql("f_duree"), "f_commentaire")
+    + f" AS message FROM ({PENDING_SQL})"
+)
+
+
+@register("notification_messages", twin(MSG_SQL))
+def q_notification_messages(spark, sf_dir):
+    """message text per pending activity (template by sport)."""
+    return notify.messages(notify.pending(_found(T(spark, sf_dir))), "f_type", "f_duree", "f_distance", "f_commentaire")
+
+
+@register("notification_outbox", twin(f"SELECT id_activite, message, 'pending' AS origine FROM ({MSG_SQL})"))
+def q_notification_outbox(spark, sf_dir):
+    """The outbox of the run (not forced: pending messages only)."""
+    t = T(spark, sf_dir)
+    return notify.outbox(t.activity_source_v2(), t.activity_table(), t.link(), t.roster(), force=False)
+
+
+LATEST_SQL = (
+    "SELECT a.id_activite, r.prenom, r.nom, a.type_activite, a.duree_sec, a.distance_m, coalesce(a.commentaire, '') AS commentaire, "
+    f"a.date_debut FROM (SELECT * FROM b_act_table WHERE source_donnee = 'csv_gsheet' ORDER BY date_debut DESC, id_activite DESC "
+    f"LIMIT {NOTIFY_TOP_K}) a JOIN b_link l ON l.cle_salarie = a.cle_salarie JOIN b_roster r ON r.id_salarie_brut = l.id_salarie_brut"
+)
+
+
+@register("latest_k_activities", twin(LATEST_SQL))
+def q_latest_k_activities(spark, sf_dir):
+    """L2: the 10 most recent form activities (fallback of a forced run)."""
+    t = T(spark, sf_dir)
+    return notify.latest_k(t.activity_table(), t.link(), t.roster(), NOTIFY_TOP_K)
+
+
+ACT_COLS = ["id_activite", "cle_salarie", "date_debut", "duree_sec", "type_activite", "distance_m", "commentaire", "source_donnee",
+            "date_ingestion"]
+
+
+@register(
+    "mark_published",
+    twin(
+        f"SELECT {', '.join('a.' + c for c in ACT_COLS)}, CASE WHEN p.id_activite IS NOT NULL THEN true ELSE a.flag_slack END AS flag_slack, "
+        "CASE WHEN p.id_activite IS NOT NULL AND a.flag_slack IS DISTINCT FROM true THEN 'update' ELSE 'unchanged' END AS action "
+        f"FROM b_act_table a LEFT JOIN (SELECT DISTINCT id_activite FROM ({PENDING_SQL})) p ON p.id_activite = a.id_activite"
+    ),
+)
+def q_mark_published(spark, sf_dir):
+    """Publication flag set for every message of the outbox."""
+    t = T(spark, sf_dir)
+    box = notify.outbox(t.activity_source_v2(), t.activity_table(), t.link(), t.roster(), force=False)
+    return mutate.mark_published(t.activity_table(), box)
+
+
+# ---------------------------------------------------------------------------
+# F19 anomaly digest
+# ---------------------------------------------------------------------------
+DCOLS = ingest.DECLARED_COLUMNS
+FLOW = "normalisation_declaratifs"
+RUN_TAG = RUN.as_of.strftime("%Y%m%d")
+SOURCE_FILE = "20240131T090000_decla_sheet.csv"
+
+
+def _line_sql(cols) -> str:
+    vals = "concat_ws(',', " + ", ".join(f"CASE WHEN length(trim({c})) > 0 THEN trim({c}) END" for c in cols) + ")"
+    reason = "trim(coalesce(raison, ''))"
+    prefix = f"(CASE WHEN length({reason}) > 0 THEN '*' || {reason} || '* ' ELSE '*raison manquante*' END)"
+    return f"CASE WHEN length({vals}) > 0 THEN '• ' || {prefix} || ' : ' || {vals} ELSE '• ' || {prefix} END"
+
+
+ERR_REL = f"SELECT {', '.join(DCOLS)}, err_raison AS raison, ligne FROM x_class WHERE err_raison IS NOT NULL"
+ANO_REL = (
+    f"SELECT ano_raison AS raison, {', '.join(DCOLS)}, ligne FROM x_valid WHERE ano_raison IS NOT NULL "
+    f"UNION ALL SELECT 'doublon_quasi_identique_ecarte', {', '.join(DCOLS)}, ligne FROM x_near WHERE rn1 > 1 "
+    f"UNION ALL SELECT 'plusieurs_activites_jour', {', '.join(DCOLS)}, ligne FROM x_day WHERE rn2 > 1"
+)
+NE = f"(SELECT count(*) FROM ({ERR_REL}))"
+NA = f"(SELECT count(*) FROM ({ANO_REL}))"
+DIGEST_SQL = (
+    f"SELECT 0 AS section, CAST(1 AS BIGINT) AS ordre, '{notify.DIGEST_PREFIX} | {FLOW} | ' || CASE WHEN {NE} > 0 THEN 'FAILURE' ELSE 'ANOMALIES' END "
+    f"|| ' | run={RUN_TAG}' AS texte "
+    f"UNION ALL SELECT 0, 2, 'Erreurs bloquantes: ' || CAST({NE} AS VARCHAR) || ' | Anomalies: ' || CAST({NA} AS VARCHAR) "
+    f"UNION ALL SELECT 0, 3, 'Fichier source: {SOURCE_FILE}' "
+    f"UNION ALL SELECT 1, -1, '--- ERREURS BLOQUANTES ---' WHERE {NE} > 0 "
+    f"UNION ALL SELECT 1, CAST(ligne AS BIGINT), {_line_sql(DCOLS)} FROM ({ERR_REL}) "
+    f"UNION ALL SELECT 2, -2, '--- ANOMALIES ---' WHERE {NA} > 0 "
+    f"UNION ALL SELECT 2, -1, 'Anomalies: ' || CAST({NA} AS VARCHAR) || ' (affichage limité à {notify.ANOMALY_EXAMPLES} exemples)' "
+    f"WHERE {NA} >= {notify.ANOMALY_FULL_LIST_BELOW} "
+    f"UNION ALL SELECT * FROM (SELECT 2, CAST(ligne AS BIGINT) AS o, {_line_sql(DCOLS)} AS t FROM ({ANO_REL}) ORDER BY o, t "
+    f"LIMIT {notify.ANOMALY_EXAMPLES}) WHERE {NA} >= {notify.ANOMALY_FULL_LIST_BELOW} "
+    f"UNION ALL SELECT 2, CAST(ligne AS BIGINT), {_line_sql(DCOLS)} FROM ({ANO_REL}) WHERE {NA} < {notify.ANOMALY_FULL_LIST_BELOW}"
+)
+
+
+@register("anomaly_digest", it(DIGEST_SQL))
+def q_anomaly_digest(spark, sf_dir):
+    """Digest lines of the normalisation's errors and anomalies."""
+    t = T(spark, sf_dir)
+    n = ingest.normalise_declared(t.declared(), t.name_reference(), t.sport_reference(), RUN)
+    return notify.anomaly_digest(n.errors, n.anomalies, DCOLS, FLOW, RUN_TAG, SOURCE_FILE)
+
+
+# ---------------------------------------------------------------------------
+# K9 history snapshot, M11 run metrics
+# ---------------------------------------------------------------------------
+TS_RUN = f"TIMESTAMP '{history.run_instant(RUN).isoformat(sep=' ')}'"
+
+
+@register("history_snapshot", vt(f"SELECT CAST(1 AS BIGINT) AS id_histo_run, {TS_RUN} AS ts_snapshot, * FROM x_age_kpi"))
+def q_history_snapshot(spark, sf_dir):
+    """K9: the age KPI tagged with the run id and snapshot instant."""
+    m = BenefitModel(spark, sf_dir, RUN)
+    return history.tag_snapshot(m.kpi_age(), 1, history.run_instant(RUN))
+
+
+@register("run_metric_rows")
+def q_run_metric_rows(spark, sf_dir):
+    """Metric rows of one run (normalisation, HR sync, commute control)."""
+    from perkline.plans import commute
+    from perkline.plans.hr import sync_hr_counts
+    from perkline.queries.mutations_q import RH_COLS, _distances, _employees_v1
+
+    t = T(spark, sf_dir)
+    n = ingest.normalise_declared(t.declared(), t.name_reference(), t.sport_reference(), RUN)
+    one = t.declared().agg(F.count(F.lit(1)).alias("lues"))
+    step1 = one.select(
+        F.lit(1).alias("ordre"),
+        F.lit("normalisation_declaratifs").alias("nom_pipeline"),
+        F.lit("SUCCESS").alias("statut"),
+        F.col("lues").alias("nb_lignes_lues"),
+        n.clean.agg(F.count(F.lit(1)).alias("n")).select("n").scalar().alias("nb_lignes_ecrites"),
+        n.anomalies.agg(F.count(F.lit(1)).alias("n")).select("n").scalar().alias("nb_anomalies"),
+    )
+    counts = sync_hr_counts(t.roster().select(*RH_COLS), t.link(), _employees_v1(t), t.roster_v2(), RUN)
+    step2 = t.roster_v2().agg(F.count(F.lit(1)).alias("lues")).select(
+        F.lit(2).alias("ordre"),
+        F.lit("synchronisation_rh").alias("nom_pipeline"),
+        F.lit("SUCCESS").alias("statut"),
+        F.col("lues").alias("nb_lignes_lues"),
+        counts.filter(F.col("etape") == "total").select("nb_lignes").scalar().alias("nb_lignes_ecrites"),
+        F.lit(0).alias("nb_anomalies"),
+    )
+    src = commute.commute_source(t.link(), t.roster())
+    ctrl = commute.commute_control(src, _distances(t), t.params(), RUN)
+    _, skipped = commute.split_usable(src)
+    step3 = src.agg(F.count(F.lit(1)).alias("lues")).select(
+        F.lit(3).alias("ordre"),
+        F.lit("controle_trajets").alias("nom_pipeline"),
+        F.lit("SUCCESS").alias("statut"),
+        F.col("lues").alias("nb_lignes_lues"),
+        ctrl.agg(F.count(F.lit(1)).alias("n")).select("n").scalar().alias("nb_lignes_ecrites"),
+        skipped.agg(F.count(F.lit(1)).alias("n")).select("n").scalar().alias("nb_anomalies"),
+    )
+    return history.run_metrics(step1.unionByName(step2).unionByName(step3), RUN)
+
+
+# ---------------------------------------------------------------------------
+# Remaining operators
+# ---------------------------------------------------------------------------
+@register(
+    "merge_priority",
+    it(
+        "SELECT s.cle_salarie, s.date_debut, s.duree_sec, s.distance_m, s.type_activite, s.commentaire, s.source_donnee FROM "
+        "(SELECT * FROM b_act_table WHERE source_donnee = 'csv_simule') s WHERE NOT EXISTS (SELECT 1 FROM x_day d WHERE d.rn2 = 1 "
+        "AND d.cle_salarie = s.cle_salarie AND d.date_parsed = s.date_debut) UNION ALL SELECT cle_salarie, date_parsed, duree_sec, "
+        "distance_m, sport, commentaire_out, 'csv_gsheet' FROM x_day WHERE rn2 = 1"
+    ),
+)
+def q_merge_priority(spark, sf_dir):
+    """Simulated rows dropped where a form row has the same
+    (employee, start), then the union of both sources."""
+    t = T(spark, sf_dir)
+    forms = ingest.normalise_declared(t.declared(), t.name_reference(), t.sport_reference(), RUN).clean
+    cols = ["cle_salarie", "date_debut", "duree_sec", "distance_m", "type_activite", "commentaire", "source_donnee"]
+    sim = t.activity_table().filter(F.col("source_donnee") == "csv_simule").select(*cols)
+    return merge_priority(sim, forms.select(*cols))
+
+
+@register(
+    "key_difference",
+    twin(
+        "SELECT id_salarie_brut FROM b_roster WHERE actif AND id_salarie_brut NOT IN (SELECT id_salarie_brut FROM b_roster_v2) "
+    ),
+)
+def q_key_difference(spark, sf_dir):
+    """Active keys of the table missing from the new file."""
+    t = T(spark, sf_dir)
+    active = t.roster().filter(F.col("actif")).select("id_salarie_brut").distinct()
+    return active.join(t.roster_v2().select("id_salarie_brut"), "id_salarie_brut", "left_anti")
+
+
+PREP_SQL = (
+    "SELECT trim(cle_salarie) AS cle_salarie, date_debut, coalesce(duree_sec, 0) AS duree_sec, distance_m, "
+    "coalesce(type_activite, '') AS type_activite, coalesce(commentaire, '') AS commentaire, coalesce(source_donnee, '') AS source_donnee "
+    "FROM b_act_v2"
+)
+
+
+@register("prepare_activities", twin(PREP_SQL))
+def q_prepare_activities(spark, sf_dir):
+    """Type preparation of an incoming activity file (text trimmed,
+    NULL text -> '', missing duration -> 0, distance kept nullable; an
+    unparseable start instant stops the load)."""
+    from perkline.plans.loading import prepare_activities
+
+    return prepare_activities(T(spark, sf_dir).activity_source_v2())
+
+
+FP_SQL = (
+    "SELECT '{name}' AS table_name, count(*) AS nb_lignes, sum(CAST(('0x' || substring(md5({row}), 1, 15)) AS BIGINT)::DECIMAL(38,0)) "
+    "AS somme_empreintes, bit_xor(CAST(('0x' || substring(md5({row}), 1, 15)) AS BIGINT)) AS xor_empreintes FROM {rel}"
+)
+ROSTER_ROW = (
+    "concat_ws('|', id_salarie_brut, nom, prenom, bu, CAST(date_naissance AS VARCHAR), adresse_dom, mod_depl_decl, sport_declare)"
+)
+
+
+@register(
+    "dataset_fingerprint",
+    twin(
+        "SELECT a.table_name, a.nb_lignes, a.somme_empreintes, a.xor_empreintes, "
+        "(a.nb_lignes <> b.nb_lignes OR a.somme_empreintes <> b.somme_empreintes OR a.xor_empreintes <> b.xor_empreintes) AS modifie FROM ("
+        + FP_SQL.format(name="rh_salarie", row=ROSTER_ROW, rel="b_roster")
+        + ") a, ("
+        + FP_SQL.format(name="rh_salarie", row=ROSTER_ROW, rel="b_roster_v2")
+        + ") b"
+    ),
+)
+def q_dataset_fingerprint(spark, sf_dir):
+    """order-insensitive fingerprint of the HR file and change flag
+    against the previous version (count, sum and xor of row digests)."""
+    from perkline.plans.fingerprint import changed, fingerprint
+
+    t = T(spark, sf_dir)
+    cols = ["id_salarie_brut", "nom", "prenom", "bu", "date_naissance", "adresse_dom", "mod_depl_decl", "sport_declare"]
+    cur = fingerprint(t.roster().select(*cols), "rh_salarie")
+    base = fingerprint(t.roster_v2().select(*cols), "rh_salarie")
+    return changed(cur, base)
+
+
+@register(
+    "bootstrap_check",
+    twin(
+        "SELECT r.n AS nb_salaries, a.n AS nb_activites, r.n + a.n AS nb_total, (r.n = 0 AND a.n = 0) AS bootstrap_requis "
+        "FROM (SELECT count(*) AS n FROM b_roster) r, (SELECT count(*) AS n FROM b_act_table) a"
+    ),
+)
+def q_bootstrap_check(spark, sf_dir):
+    """First-run detection — both base tables empty."""
+    t = T(spark, sf_dir)
+    n_act = t.activity_table().agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    return t.roster().agg(F.count(F.lit(1)).alias("nb_salaries")).select(
+        "nb_salaries",
+        n_act.alias("nb_activites"),
+        (F.col("nb_salaries") + n_act).alias("nb_total"),
+        ((F.col("nb_salaries") == 0) & (n_act == 0)).alias("bootstrap_requis"),
+    )
+
+
+CONSTRAINTS = [
+    quality.Check("metier.activite", "pk id_activite", "duplicates", ("id_activite",)),
+    *[quality.Check("metier.activite", f"not null {c}", "missing", (c,)) for c in
+      ("id_activite", "cle_salarie", "date_debut", "duree_sec", "type_activite", "source_donnee", "date_ingestion", "flag_slack")],
+    quality.Check("metier.activite", "ck distance >= 0", "failed_rows", predicate="distance_m < 0"),
+    quality.Check("metier.activite", "ck duree >= 0", "failed_rows", predicate="duree_sec < 0"),
+    quality.Check("metier.activite", "uq cle_salarie, date_debut, source_donnee", "duplicates", ("cle_salarie", "date_debut", "source_donnee")),
+    quality.Check("metier.activite", "fk cle_salarie", "reference", ("cle_salarie",), parent="metier.salarie", parent_col="cle_salarie"),
+    quality.Check("metier.ctrl_trajet", "pk id_ctrl", "duplicates", ("id_ctrl",)),
+    *[quality.Check("metier.ctrl_trajet", f"not null {c}", "missing", (c,)) for c in
+      ("id_ctrl", "cle_salarie", "mode_trajet", "distance_m", "duree_sec", "est_incoherent", "date_ctrl")],
+    quality.Check("metier.ctrl_trajet", "ck distance >= 0", "failed_rows", predicate="distance_m < 0"),
+    quality.Check("metier.ctrl_trajet", "ck duree >= 0", "failed_rows", predicate="duree_sec < 0"),
+    quality.Check("metier.ctrl_trajet", "fk cle_salarie", "reference", ("cle_salarie",), parent="metier.salarie", parent_col="cle_salarie"),
+    quality.Check("metier.salarie", "pk cle_salarie", "duplicates", ("cle_salarie",)),
+    quality.Check("metier.salarie", "fk cle_salarie", "reference", ("cle_salarie",), parent="sec.lien_salarie", parent_col="cle_salarie"),
+    quality.Check("sec.lien_salarie", "pk id_salarie_brut", "duplicates", ("id_salarie_brut",)),
+    quality.Check("sec.lien_salarie", "uq cle_salarie", "duplicates", ("cle_salarie",)),
+    quality.Check("sec.lien_salarie", "fk id_salarie_brut", "reference", ("id_salarie_brut",), parent="sec.rh_salarie",
+                  parent_col="id_salarie_brut"),
+    quality.Check("sec.rh_salarie", "pk id_salarie_brut", "duplicates", ("id_salarie_brut",)),
+    *[quality.Check("sec.rh_salarie", f"not null {c}", "missing", (c,)) for c in ("id_salarie_brut", "nom", "prenom", "actif")],
+    quality.Check("metier.param", "pk code_param, date_effet", "duplicates", ("code_param", "date_effet")),
+    *[quality.Check("metier.param", f"not null {c}", "missing", (c,)) for c in ("code_param", "valeur_param")],
+]
+CONSTRAINT_SOURCES = {
+    "metier.activite": "b_act_table",
+    "metier.ctrl_trajet": "b_ctrl",
+    "metier.salarie": "x_emp_v1",
+    "sec.lien_salarie": "b_link",
+    "sec.rh_salarie": "b_roster",
+    "metier.param": "b_params",
+}
+
+
+@register("dq_constraints", vt(quality.twin_results(CONSTRAINTS, CONSTRAINT_SOURCES)))
+def q_dq_constraints(spark, sf_dir):
+    """Q26: the table constraints (PK, UNIQUE, NOT NULL, CHECK, FK) as checks."""
+    t = T(spark, sf_dir)
+    emp = t.link().join(t.roster().select("id_salarie_brut", "nom", "prenom", "bu", "mod_depl_decl"), "id_salarie_brut").drop(
+        "id_salarie_brut"
+    )
+    tables = {
+        "metier.activite": t.activity_table(),
+        "metier.ctrl_trajet": t.commute_checks(),
+        "metier.salarie": emp,
+        "sec.lien_salarie": t.link(),
+        "sec.rh_salarie": t.roster(),
+        "metier.param": t.params(),
+    }
+    return quality.evaluate(tables, CONSTRAINTS)
+
