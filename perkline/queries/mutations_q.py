@@ -324,7 +324,34 @@ def q_refresh_decision(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # K2 activity load
 # ---------------------------------------------------------------------------
-@register("load_activities")
+def _load_twin() -> str:
+    ld = X.local_day
+    body = (
+        "SELECT id_activite, cle_salarie, date_debut, duree_sec, type_activite, distance_m, commentaire, source_donnee, date_ingestion, "
+        "flag_slack, action FROM kept UNION ALL SELECT (SELECT max(id_activite) FROM up) + row_number() OVER "
+        "(ORDER BY cle_salarie, date_debut, source_donnee), cle_salarie, date_debut, duree_sec, type_activite, distance_m, commentaire, "
+        f"source_donnee, {AS_OF_TS}, false, 'insert' FROM se"
+    )
+    extra = [
+        ("forms", "SELECT cle_salarie, date_parsed AS date_debut, duree_sec, distance_m, sport AS type_activite, commentaire_out AS commentaire, "
+                  "'csv_gsheet' AS source_donnee FROM x_day WHERE rn2 = 1"),
+        ("sim0", f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cle_salarie, {ld('date_debut')} ORDER BY date_debut DESC, "
+                 "id_activite DESC) AS rn_s FROM b_activity WHERE source_donnee = 'csv_simule') WHERE rn_s = 1"),
+        ("sim", "SELECT cle_salarie, date_debut, duree_sec, distance_m, type_activite, commentaire, source_donnee FROM sim0 s WHERE NOT EXISTS "
+                f"(SELECT 1 FROM forms f WHERE f.cle_salarie = s.cle_salarie AND {ld('f.date_debut')} = {ld('s.date_debut')})"),
+        ("fusion", "SELECT * FROM sim s WHERE NOT EXISTS (SELECT 1 FROM forms f WHERE f.cle_salarie = s.cle_salarie AND f.date_debut = s.date_debut) "
+                   "UNION ALL SELECT * FROM forms"),
+        ("fe", "SELECT * FROM fusion WHERE source_donnee = 'csv_gsheet'"),
+        ("se", "SELECT * FROM fusion WHERE source_donnee = 'csv_simule'"),
+        ("up", _upsert_activities_twin("b_act_table", "fe")),
+        ("kept", "SELECT * FROM up WHERE NOT ((SELECT count(*) FROM se) > 0 AND source_donnee = 'csv_simule')"),
+    ]
+    from perkline.queries.ingest_q import C as INGEST_CTES
+
+    return twin(body, list(INGEST_CTES) + extra)
+
+
+@register("load_activities", _load_twin())
 def q_load_activities(spark, sf_dir):
     """K2: forms (normalised declarations) + simulated file -> next version
     of the activity table (upsert of forms, reload of simulated rows)."""

@@ -191,7 +191,28 @@ def q_history_snapshot(spark, sf_dir):
     return history.tag_snapshot(m.kpi_age(), 1, history.run_instant(RUN))
 
 
-@register("run_metric_rows")
+def _metrics_twin() -> str:
+    from perkline.queries.mutations_q import CONTROL_SQL, SRC_SQL, SYNC_COUNTS_TWIN
+
+    def n(sql: str) -> str:
+        return f"(SELECT count(*) FROM ({sql}))"
+
+    written_rh = f"(SELECT nb_lignes FROM ({SYNC_COUNTS_TWIN}) WHERE etape = 'total')"
+    rows = [
+        (1, "normalisation_declaratifs", n(twin("SELECT * FROM b_declared")), n(it("SELECT * FROM x_day WHERE rn2 = 1")), n(it(ANO_REL))),
+        (2, "synchronisation_rh", n(twin("SELECT * FROM b_roster_v2")), written_rh, "0"),
+        (3, "controle_trajets", n(twin(SRC_SQL)), n(twin(CONTROL_SQL)),
+         n(twin(f"SELECT * FROM ({SRC_SQL}) WHERE NOT (length(adresse_dom) > 0 AND length(mod_depl_decl) > 0)"))),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT CAST({i} AS BIGINT) AS id_run, '{name}' AS nom_pipeline, {TS_RUN} AS date_debut_exe, {TS_RUN} AS date_fin_exe, "
+        f"'SUCCESS' AS statut, CAST({r} AS INTEGER) AS nb_lignes_lues, CAST({w} AS INTEGER) AS nb_lignes_ecrites, "
+        f"CAST({a} AS INTEGER) AS nb_anomalies, 'NO PARAM' AS \"Origine\""
+        for i, name, r, w, a in rows
+    )
+
+
+@register("run_metric_rows", _metrics_twin())
 def q_run_metric_rows(spark, sf_dir):
     """Metric rows of one run (normalisation, HR sync, commute control)."""
     from perkline.plans import commute
