@@ -358,6 +358,9 @@ def q_load_activities(spark, sf_dir):
     from perkline.plans import ingest
 
     t = T(spark, sf_dir)
-    forms = ingest.normalise_declared(t.declared(), t.name_reference(), t.sport_reference(), RUN).clean.drop("ligne")
-    simulated = simulated_file(t.activities(), forms, RUN)
+    # the two input files of the load are materialised once (reliable
+    # checkpoint in the shared folder): the conflict gates and the merge
+    # then read them instead of recomputing the normalisation
+    forms = ingest.normalise_declared(t.declared(), t.name_reference(), t.sport_reference(), RUN).clean.drop("ligne").checkpoint()
+    simulated = simulated_file(t.activities(), forms, RUN).checkpoint()
     return load_activities(t.activity_table(), forms, simulated, RUN)

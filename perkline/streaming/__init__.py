@@ -1,0 +1,9 @@
+"""Streaming.
+
+The modelled workload is a daily batch: inputs arrive as whole files (form
+exports, HR files) and late data is absorbed by the keyed upsert and by the
+rolling window recomputed at every run.  There is no watermark, event-time
+window, session or stateful operator to express, so this package is
+intentionally empty; the incremental behaviour lives in the batch
+operators (``perkline.operators.mutate``, ``perkline.plans.fingerprint``).
+"""
