@@ -19,11 +19,21 @@ from perkline.config import (
 from perkline.functions.text import col_, fold_label, fold_literal
 
 
+_MAPS: dict = {}
+
+
 def _lookup(labels) -> Column:
-    pairs = []
-    for canon in labels:
-        pairs += [F.lit(fold_literal(canon)), F.lit(canon)]
-    return F.create_map(*pairs)
+    """Literal map folded label -> canonical label, built once per list and
+    per running SparkContext (a Column wraps a JVM object)."""
+    from pyspark import SparkContext
+
+    key = (tuple(labels), id(SparkContext._active_spark_context))
+    if key not in _MAPS:
+        pairs = []
+        for canon in labels:
+            pairs += [F.lit(fold_literal(canon)), F.lit(canon)]
+        _MAPS[key] = F.create_map(*pairs)
+    return _MAPS[key]
 
 
 def canonical_label(c: Column | str, labels) -> tuple[Column, Column]:
@@ -35,7 +45,7 @@ def canonical_label(c: Column | str, labels) -> tuple[Column, Column]:
     x = col_(c)
     blank = x.isNull() | (F.trim(x) == "")
     folded = fold_label(x)
-    known = F.try_element_at(_lookup(labels), folded)
+    known = F.try_element_at(_lookup(tuple(labels)), folded)
     label = F.when(blank, F.lit(UNKNOWN)).otherwise(F.coalesce(known, F.lit(UNKNOWN)))
     unknown = ~blank & known.isNull()
     return label, unknown

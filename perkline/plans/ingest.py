@@ -1,14 +1,14 @@
 """Declared-activity normalisation (K1) and the dedup rules it uses.
 
 One lazy plan produces three outputs — clean rows, blocking errors and
-anomalies.  Callers that write all three should ``persist`` the classified
-frame (``classify_declared``) once.
+anomalies; the classified frame they share is kept once computed.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,7 +139,10 @@ def normalise_declared(declared: DataFrame, names: DataFrame, sports: DataFrame,
     * one activity per employee and local day keeps the latest start
       instant, ties -> greatest near-duplicate key, then input line.
     """
-    classified = classify_declared(declared, names, sports, run)
+    # the classified rows feed all three outputs and both dedup passes:
+    # keep them once (MEMORY_AND_DISK — a lost executor recomputes its
+    # blocks from the lineage; identical plans share the cache entry)
+    classified = classify_declared(declared, names, sports, run).persist(StorageLevel.MEMORY_AND_DISK)
     errors = classified.filter(F.col("err_raison").isNotNull()).select(
         *DECLARED_COLUMNS, F.col("err_raison").alias("raison"), "ligne"
     )

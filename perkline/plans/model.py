@@ -2,9 +2,9 @@
 
 ``BenefitModel`` wires the bound tables into the BI, eligibility and KPI
 plans.  Nothing is computed here: every property returns a lazy DataFrame,
-and Catalyst optimises each consuming query as a whole.  ``persist_shared``
-materialises the frames reused by many outputs (the eligibility views) when
-several outputs are produced in one run.
+and Catalyst optimises each consuming query as a whole.  The BI and
+eligibility views, which the rules, the six KPIs and the checks all reuse,
+are marked to be kept once computed (``release`` drops them).
 """
 
 from __future__ import annotations
@@ -20,6 +20,13 @@ from perkline.plans.params import effective_params, param_pivot
 from perkline.sources.tables import Tables
 
 
+def _keep(df: DataFrame) -> DataFrame:
+    """Views reused by the eligibility rules, six KPIs and the checks are
+    kept once per session (MEMORY_AND_DISK; recomputed from lineage if an
+    executor is lost).  Identical plans share one cache entry."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 class BenefitModel:
     def __init__(self, spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN):
         self.spark = spark
@@ -59,15 +66,15 @@ class BenefitModel:
     # -- BI views ------------------------------------------------------------
     @cached_property
     def bi_activity(self) -> DataFrame:
-        return bi.bi_activity(self.activities, self.run.zone)
+        return _keep(bi.bi_activity(self.activities, self.run.zone))
 
     @cached_property
     def bi_employee(self) -> DataFrame:
-        return bi.bi_employee(self.link, self.roster)
+        return _keep(bi.bi_employee(self.link, self.roster))
 
     @cached_property
     def bi_commute(self) -> DataFrame:
-        return bi.bi_commute(self.commute_checks)
+        return _keep(bi.bi_commute(self.commute_checks))
 
     @cached_property
     def salaries(self) -> DataFrame:
@@ -80,11 +87,11 @@ class BenefitModel:
 
     @cached_property
     def bonus(self) -> DataFrame:
-        return eligibility.bonus_eligibility(self.bi_employee, self.bi_commute, self.salaries)
+        return _keep(eligibility.bonus_eligibility(self.bi_employee, self.bi_commute, self.salaries))
 
     @cached_property
     def wellbeing(self) -> DataFrame:
-        return eligibility.wellbeing_eligibility(self.bi_employee, self.activity_counts, self.pivot, self.run)
+        return _keep(eligibility.wellbeing_eligibility(self.bi_employee, self.activity_counts, self.pivot, self.run))
 
     @cached_property
     def benefits(self) -> DataFrame:
@@ -119,11 +126,8 @@ class BenefitModel:
             "pratique_sport": self.kpi_activity_mix(),
         }
 
-    def persist_shared(self) -> None:
-        """Keep the two eligibility frames for the six KPIs and the checks.
-
-        MEMORY_AND_DISK: a lost executor's blocks are recomputed from the
-        lineage (unlike a local checkpoint, which would be lost for good).
-        """
-        for frame in (self.bonus, self.wellbeing, self.bi_commute):
-            frame.persist(StorageLevel.MEMORY_AND_DISK)
+    def release(self) -> None:
+        """Drop the kept views (end of a run)."""
+        for name in ("bi_activity", "bi_employee", "bi_commute", "bonus", "wellbeing"):
+            if name in self.__dict__:
+                self.__dict__[name].unpersist()

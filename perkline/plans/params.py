@@ -65,9 +65,19 @@ def param_pivot(effective: DataFrame) -> DataFrame:
     )
 
 
+_SCALARS: dict[int, tuple[DataFrame, Column]] = {}
+
+
 def param_value(pivot: DataFrame, code: str) -> Column:
-    """One pivoted parameter as a scalar subquery (evaluated once, no join)."""
-    return pivot.select(code).scalar()
+    """One pivoted parameter, read from a single scalar subquery returning
+    the whole pivot row as a struct.  Every use shares the same subquery
+    expression, so Spark evaluates it once per query (subquery reuse) and
+    inlines the value: no join, nothing collected on the driver."""
+    entry = _SCALARS.get(id(pivot))
+    if entry is None or entry[0] is not pivot:
+        entry = (pivot, pivot.select(F.struct(*pivot.columns).alias("p")).scalar())
+        _SCALARS[id(pivot)] = entry
+    return entry[1].getField(code)
 
 
 def params_json(params: DataFrame) -> DataFrame:

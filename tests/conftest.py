@@ -28,4 +28,8 @@ def spark():
 def rows(df, *cols):
     """Collected rows as tuples (sorted), for small test frames only."""
     sel = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in sel.collect()), key=repr)
+    got = [tuple(r) for r in sel.collect()]
+    try:
+        return sorted(got, key=lambda t: tuple((x is None, x) for x in t))
+    except TypeError:
+        return sorted(got, key=repr)
