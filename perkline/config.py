@@ -240,3 +240,15 @@ ROSTER_DATE_COLUMNS = ("date_naissance", "date_embauche")
 SPORT_ID_ALIASES = ("id_salarie", "id salarié", "id salarié")
 SPORT_VALUE_ALIASES = ("sport", "sport_declare", "sport déclaré", "sport declare", "Pratique d'un sport")
 ACTIVITY_HEADER_REQUIRED = ("cle_salarie", "date_debut", "duree_sec", "distance_m", "type_activite")
+
+# Flat parameter mapping of a parameter file (new values to synchronise);
+# rates and thresholds as configured for the initial run.
+PARAM_MAPPING = (
+    ("adresse_entreprise", "1 rue Exemple"),
+    ("taux_prime", "0.05"),
+    ("seuil_km_marche_course", "15"),
+    ("seuil_km_velo_autres", "25"),
+    ("jours_bien_etre", "5"),
+    ("min_activites_bien_etre", "15"),
+    ("montant_prime_fixe", "1500"),
+)

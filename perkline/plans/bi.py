@@ -64,18 +64,15 @@ def bi_activity(activities: DataFrame, zone: str = "Europe/Paris") -> DataFrame:
     (not by employee), and the pick is an aggregate on (key -> min id), so a
     very active employee never lands in a single task.
     """
-    enriched = enrich_activities(activities, zone).withColumn(
-        "_dkey",
-        F.struct(
-            "cle_salarie",
-            "date_debut",
-            "type_activite_normalise",
-            "duree_sec",
-            F.coalesce("distance_m", F.lit(-1)).alias("d"),
-            F.coalesce(F.trim("source_donnee"), F.lit("")).alias("s"),
-        ),
+    enriched = enrich_activities(activities, zone).select(
+        "*",
+        F.coalesce("distance_m", F.lit(-1)).alias("_k_dist"),
+        F.coalesce(F.trim("source_donnee"), F.lit("")).alias("_k_src"),
     )
-    kept = keep_one_per_group(enriched, ["_dkey"], order=[("id_activite", "asc")], row_id="id_activite")
+    # flat grouping keys: a filter on the start instant (e.g. the rolling
+    # window) is pushed through the aggregate down to the Parquet scan
+    keys = ["cle_salarie", "date_debut", "type_activite_normalise", "duree_sec", "_k_dist", "_k_src"]
+    kept = keep_one_per_group(enriched, keys, order=[("id_activite", "asc")], row_id="id_activite")
     return kept.select(*BI_ACTIVITY_COLUMNS)
 
 

@@ -21,9 +21,11 @@ from perkline.sources.tables import Tables
 
 
 def _keep(df: DataFrame) -> DataFrame:
-    """Views reused by the eligibility rules, six KPIs and the checks are
-    kept once per session (MEMORY_AND_DISK; recomputed from lineage if an
-    executor is lost).  Identical plans share one cache entry."""
+    """Per-employee views reused by the eligibility rules, six KPIs and the
+    checks are kept once per session (MEMORY_AND_DISK; recomputed from
+    lineage if an executor is lost).  Identical plans share one cache entry.
+    Their size grows with the number of employees, not with the activity
+    facts; the fact-sized activity view is never kept."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -66,7 +68,8 @@ class BenefitModel:
     # -- BI views ------------------------------------------------------------
     @cached_property
     def bi_activity(self) -> DataFrame:
-        return _keep(bi.bi_activity(self.activities, self.run.zone))
+        # fact-sized: not kept, so each consumer's filter reaches the scan
+        return bi.bi_activity(self.activities, self.run.zone)
 
     @cached_property
     def bi_employee(self) -> DataFrame:
@@ -128,6 +131,6 @@ class BenefitModel:
 
     def release(self) -> None:
         """Drop the kept views (end of a run)."""
-        for name in ("bi_activity", "bi_employee", "bi_commute", "bonus", "wellbeing"):
+        for name in ("bi_employee", "bi_commute", "bonus", "wellbeing"):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()

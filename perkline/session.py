@@ -62,6 +62,7 @@ def build_session(
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the jobs depend on to an existing session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     checkpoint_root(spark)
