@@ -20,11 +20,12 @@ def _accent_table() -> tuple[str, str]:
     For every code point of Latin-1 Supplement and Latin Extended-A, the
     NFKD decomposition with combining marks removed is computed; code
     points folding to exactly one different character form the table
-    (é -> e, Ç -> C, ...).  Expansions to several characters (æ, ĳ) are
-    not representable by ``translate`` and are left unchanged.
+    (é -> e, Ç -> C, no-break space -> space, ...).  Expansions to several
+    characters (ĳ, ¼) are not representable by ``translate`` and are left
+    unchanged.
     """
     src, dst = [], []
-    for code in range(0x00C0, 0x0180):
+    for code in range(0x00A0, 0x0180):
         ch = chr(code)
         folded = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
         if len(folded) == 1 and folded != ch:
