@@ -20,6 +20,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perkline.session import materialise
+
 OK, WARN, FAIL = "OK", "WARN", "FAIL"
 
 
@@ -95,65 +97,115 @@ def status_sql(check: Check, metric: str) -> str:
     return f"CASE WHEN {metric} > 0 THEN 'FAIL' ELSE 'OK' END"
 
 
+def _status(check: Check, m: Column) -> Column:
+    """Column form of :func:`status_sql` (same thresholds)."""
+    if check.kind == "row_count":
+        if check.op == ">":
+            return F.when(m > check.expected, F.lit(OK)).otherwise(F.lit(FAIL))
+        if check.op == "=":
+            return F.when(m == check.expected, F.lit(OK)).otherwise(F.lit(FAIL))
+        out = None
+        if check.fail_le is not None:
+            out = F.when(m <= check.fail_le, F.lit(FAIL))
+        if check.warn_lt is not None:
+            out = F.when(m < check.warn_lt, F.lit(WARN)) if out is None else out.when(m < check.warn_lt, F.lit(WARN))
+        return F.lit(OK) if out is None else out.otherwise(F.lit(OK))
+    if check.kind == "warn_rows":
+        return F.when(m > 0, F.lit(WARN)).otherwise(F.lit(OK))
+    return F.when(m > 0, F.lit(FAIL)).otherwise(F.lit(OK))
+
+
 def _row(check: Check, metric: Column) -> Column:
+    m = metric.cast("long")
     return F.struct(
         F.lit(check.table).alias("table_name"),
         F.lit(check.name).alias("controle"),
         F.lit(check.kind).alias("type_controle"),
-        metric.cast("long").alias("metrique"),
+        m.alias("metrique"),
+        _status(check, m).alias("statut"),
     )
 
 
-def _with_status(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    expr = None
+def passes(checks: Sequence[Check]) -> dict[str, int]:
+    """Number of scans each table gets from ``checks`` (one for all its
+    counting checks, one per duplicate check, one per reference side)."""
+    out: dict[str, int] = {}
+    counting = {c.table for c in checks if c.kind in ("row_count", "missing", "domain", "failed_rows", "warn_rows", "required")}
+    for t in counting:
+        out[t] = out.get(t, 0) + 1
     for c in checks:
-        cond = (F.col("table_name") == c.table) & (F.col("controle") == c.name)
-        st = F.expr(status_sql(c, "metrique"))
-        expr = F.when(cond, st) if expr is None else expr.when(cond, st)
-    return rows.withColumn("statut", expr)
+        if c.kind == "duplicates":
+            out[c.table] = out.get(c.table, 0) + 1
+        elif c.kind in ("reference", "same_count"):
+            out[c.table] = out.get(c.table, 0) + (1 if c.kind == "reference" else 0)
+            out[c.parent] = out.get(c.parent, 0) + 1
+    return out
+
+
+def _materialise_shared(tables: dict[str, DataFrame], checks: Sequence[Check]) -> dict[str, DataFrame]:
+    """A table read by several check passes is written once to the shared
+    checkpoint folder (lineage cut, survives executor loss) unless it is
+    already kept; single-pass tables stay lazy."""
+    out = dict(tables)
+    for name, n in passes(checks).items():
+        df = out[name]
+        if n > 1 and not df.storageLevel.useDisk and not df.storageLevel.useMemory:
+            out[name] = materialise(df, "dq-" + name.replace(".", "_"))
+    return out
+
+
+def _metric_sql(c: Check) -> str:
+    if c.kind == "row_count":
+        return "count(1)"
+    if c.kind == "required":
+        # number of required values never seen in the column
+        return "(" + " + ".join(f"CASE WHEN count_if({c.cols[0]} = {_q(v)}) = 0 THEN 1 ELSE 0 END" for v in c.values) + ")"
+    return f"count_if({failing_predicate(c)})"
+
+
+def _struct_sql(c: Check, metric: str) -> str:
+    m = f"CAST({metric} AS BIGINT)"
+    return (
+        f"named_struct('table_name', {_q(c.table)}, 'controle', {_q(c.name)}, 'type_controle', {_q(c.kind)}, "
+        f"'metrique', {m}, 'statut', {status_sql(c, m)})"
+    )
 
 
 def evaluate(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Run ``checks`` against ``tables``; one result row per check."""
+    """Run ``checks`` against ``tables``; one result row per check.
+
+    Each table's counting checks compile to ONE aggregate whose result is an
+    array of (table, check, type, metric, status) structs, generated as SQL
+    text so that building the plan costs one expression per table.
+    """
+    tables = _materialise_shared(tables, checks)
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
     for c in checks:
         if c.kind in ("row_count", "missing", "domain", "failed_rows", "warn_rows", "required"):
             by_table.setdefault(c.table, []).append(c)
     for table, cs in by_table.items():
-        df = tables[table]
-        metrics = []
-        for c in cs:
-            if c.kind == "row_count":
-                m = F.count(F.lit(1))
-            elif c.kind == "required":
-                # number of required values never seen in the column
-                col = F.col(c.cols[0])
-                m = F.lit(0)
-                for v in c.values:
-                    m = m + F.when(F.count_if(col == F.lit(v)) == 0, 1).otherwise(0)
-            else:
-                m = F.count_if(F.expr(failing_predicate(c)))
-            metrics.append(_row(c, m))
-        parts.append(df.agg(F.array(*metrics).alias("r")).select(F.explode("r").alias("r")).select("r.*"))
+        arr = "array(" + ", ".join(_struct_sql(c, _metric_sql(c)) for c in cs) + ")"
+        parts.append(tables[table].agg(F.expr(arr).alias("r")).select(F.explode("r").alias("r")).select("r.*"))
     for c in checks:
         if c.kind == "duplicates":
-            df = tables[c.table]
-            n = df.groupBy(*c.cols).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-            parts.append(n.agg(_row(c, F.count(F.lit(1))).alias("r")).select("r.*"))
+            n = tables[c.table].groupBy(*c.cols).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+            parts.append(n.agg(F.expr(_struct_sql(c, "count(1)")).alias("r")).select("r.*"))
         elif c.kind == "reference":
             child = tables[c.table].select(F.col(c.cols[0]).alias("_v")).filter(F.col("_v").isNotNull())
             parent = tables[c.parent].select(F.col(c.parent_col).alias("_v"))
             orphans = child.join(parent, "_v", "left_anti")
-            parts.append(orphans.agg(_row(c, F.count(F.lit(1))).alias("r")).select("r.*"))
+            parts.append(orphans.agg(F.expr(_struct_sql(c, "count(1)")).alias("r")).select("r.*"))
         elif c.kind == "same_count":
-            other = tables[c.parent].agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-            diff = F.abs(F.count(F.lit(1)) - other)
-            parts.append(tables[c.table].agg(_row(c, diff).alias("r")).select("r.*"))
+            other = tables[c.parent].agg(F.count(F.lit(1)).alias("n"))
+            counted = tables[c.table].agg(F.count(F.lit(1)).alias("_m")).select(
+                F.abs(F.col("_m") - other.select("n").scalar()).alias("_d")
+            )
+            parts.append(counted.select(F.expr(_struct_sql(c, "_d")).alias("r")).select("r.*"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return _with_status(out, checks)
+    return out
 
 
 def failed_rows(tables: dict[str, DataFrame], checks: Sequence[Check], key_cols: dict[str, str]) -> DataFrame:

@@ -15,6 +15,7 @@ from perkline.operators import mutate
 from perkline.plans import commute
 from perkline.plans.loading import load_activities, simulated_file
 from perkline.queries import register
+from perkline.session import materialise
 from perkline.sources.tables import Tables
 from perkline.twins import twin
 from perkline.twins import exprs as X
@@ -358,9 +359,10 @@ def q_load_activities(spark, sf_dir):
     from perkline.plans import ingest
 
     t = T(spark, sf_dir)
-    # the two input files of the load are materialised once (reliable
-    # checkpoint in the shared folder): the conflict gates and the merge
-    # then read them instead of recomputing the normalisation
-    forms = ingest.normalise_declared(t.declared(), t.name_reference(), t.sport_reference(), RUN).clean.drop("ligne").checkpoint()
-    simulated = simulated_file(t.activities(), forms, RUN).checkpoint()
+    # the two input files of the load are written once to the shared
+    # checkpoint folder: the conflict gates and the merge then read them
+    # instead of recomputing the normalisation
+    forms = materialise(ingest.normalise_declared(t.declared(), t.name_reference(), t.sport_reference(), RUN).clean.drop("ligne"),
+                        "load-forms")
+    simulated = materialise(simulated_file(t.activities(), forms, RUN), "load-simulated")
     return load_activities(t.activity_table(), forms, simulated, RUN)

@@ -91,3 +91,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return os.path.join(root, "staged", f"{name}-{uuid.uuid4().hex}")
+
+
+def materialise(df, name: str):
+    """Write ``df`` once as Parquet to a fresh path under the shared
+    checkpoint folder and return the scan of it.
+
+    Cuts the lineage like ``checkpoint()`` (the files survive executor
+    loss and live in the cluster's shared folder) but computes the plan a
+    single time: ``DataFrame.checkpoint()`` evaluates it once to count and
+    once more to write unless the frame was persisted first.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
