@@ -217,3 +217,11 @@ def daily_conflicts(activities: DataFrame, zone: str = "Europe/Paris") -> DataFr
     day = activities.withColumn("jour_local", local_day("date_debut", zone))
     sized = with_group_size(day, ["cle_salarie", "jour_local"], "nb_activites_jour")
     return sized.filter(F.col("nb_activites_jour") > 1)
+
+
+def normalised(tables, run: RunConfig) -> NormalisedDeclared:
+    """K1 over the bound tables, built once per shared ``Tables``."""
+    key = ("normalised", run.as_of, run.zone, run.salt)
+    if key not in tables._cache:
+        tables._cache[key] = normalise_declared(tables.declared(), tables.name_reference(), tables.sport_reference(), run)
+    return tables._cache[key]

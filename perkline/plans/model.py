@@ -29,11 +29,24 @@ def _keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+_MODELS: dict = {}
+
+
 class BenefitModel:
     def __init__(self, spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN):
         self.spark = spark
         self.run = run
-        self.t = Tables(spark, sf_dir, run)
+        self.t = Tables.of(spark, sf_dir, run)
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN) -> "BenefitModel":
+        """Shared model per (session, directory, run)."""
+        from perkline.sources.tables import run_key
+
+        key = (id(spark._jsparkSession), sf_dir, run_key(run))
+        if key not in _MODELS:
+            _MODELS[key] = cls(spark, sf_dir, run)
+        return _MODELS[key]
 
     # -- parameters ----------------------------------------------------------
     @cached_property

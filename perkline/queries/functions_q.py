@@ -18,7 +18,7 @@ AS_OF = f"DATE '{DEFAULT_RUN.as_of.isoformat()}'"
 
 
 def T(spark, sf_dir) -> Tables:
-    return Tables(spark, sf_dir, DEFAULT_RUN)
+    return Tables.of(spark, sf_dir, DEFAULT_RUN)
 
 
 @register(

@@ -18,12 +18,12 @@ DCOLS = ingest.DECLARED_COLUMNS
 
 
 def T(spark, sf_dir) -> Tables:
-    return Tables(spark, sf_dir, RUN)
+    return Tables.of(spark, sf_dir, RUN)
 
 
 def _norm(spark, sf_dir) -> ingest.NormalisedDeclared:
     t = T(spark, sf_dir)
-    return ingest.normalise_declared(t.declared(), t.name_reference(), t.sport_reference(), RUN)
+    return ingest.normalised(t, RUN)
 
 
 # ---------------------------------------------------------------------------

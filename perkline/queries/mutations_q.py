@@ -25,7 +25,7 @@ AS_OF_TS = f"CAST(DATE '{RUN.as_of.isoformat()}' AS TIMESTAMP)"
 
 
 def T(spark, sf_dir) -> Tables:
-    return Tables(spark, sf_dir, RUN)
+    return Tables.of(spark, sf_dir, RUN)
 
 
 ACT_COLS = ["id_activite", "cle_salarie", "date_debut", "duree_sec", "type_activite", "distance_m", "commentaire", "source_donnee",
@@ -362,7 +362,7 @@ def q_load_activities(spark, sf_dir):
     # the two input files of the load are written once to the shared
     # checkpoint folder: the conflict gates and the merge then read them
     # instead of recomputing the normalisation
-    forms = materialise(ingest.normalise_declared(t.declared(), t.name_reference(), t.sport_reference(), RUN).clean.drop("ligne"),
+    forms = materialise(ingest.normalised(t, RUN).clean.drop("ligne"),
                         "load-forms")
     simulated = materialise(simulated_file(t.activities(), forms, RUN), "load-simulated")
     return load_activities(t.activity_table(), forms, simulated, RUN)

@@ -23,7 +23,7 @@ RUN = DEFAULT_RUN
 
 
 def T(spark, sf_dir) -> Tables:
-    return Tables(spark, sf_dir, RUN)
+    return Tables.of(spark, sf_dir, RUN)
 
 
 LOOKUP_SQL = (
@@ -174,7 +174,7 @@ DIGEST_SQL = (
 def q_anomaly_digest(spark, sf_dir):
     """Digest lines of the normalisation's errors and anomalies."""
     t = T(spark, sf_dir)
-    n = ingest.normalise_declared(t.declared(), t.name_reference(), t.sport_reference(), RUN)
+    n = ingest.normalised(t, RUN)
     return notify.anomaly_digest(n.errors, n.anomalies, DCOLS, FLOW, RUN_TAG, SOURCE_FILE)
 
 
@@ -187,7 +187,7 @@ TS_RUN = f"TIMESTAMP '{history.run_instant(RUN).isoformat(sep=' ')}'"
 @register("history_snapshot", vt(f"SELECT CAST(1 AS BIGINT) AS id_histo_run, {TS_RUN} AS ts_snapshot, * FROM x_age_kpi"))
 def q_history_snapshot(spark, sf_dir):
     """K9: the age KPI tagged with the run id and snapshot instant."""
-    m = BenefitModel(spark, sf_dir, RUN)
+    m = BenefitModel.of(spark, sf_dir, RUN)
     return history.tag_snapshot(m.kpi_age(), 1, history.run_instant(RUN))
 
 
@@ -220,7 +220,7 @@ def q_run_metric_rows(spark, sf_dir):
     from perkline.queries.mutations_q import RH_COLS, _distances, _employees_v1
 
     t = T(spark, sf_dir)
-    n = ingest.normalise_declared(t.declared(), t.name_reference(), t.sport_reference(), RUN)
+    n = ingest.normalised(t, RUN)
     one = t.declared().agg(F.count(F.lit(1)).alias("lues"))
     step1 = one.select(
         F.lit(1).alias("ordre"),
@@ -269,7 +269,7 @@ def q_merge_priority(spark, sf_dir):
     """Simulated rows dropped where a form row has the same
     (employee, start), then the union of both sources."""
     t = T(spark, sf_dir)
-    forms = ingest.normalise_declared(t.declared(), t.name_reference(), t.sport_reference(), RUN).clean
+    forms = ingest.normalised(t, RUN).clean
     cols = ["cle_salarie", "date_debut", "duree_sec", "distance_m", "type_activite", "commentaire", "source_donnee"]
     sim = t.activity_table().filter(F.col("source_donnee") == "csv_simule").select(*cols)
     return merge_priority(sim, forms.select(*cols))

@@ -97,7 +97,7 @@ def _results_query(key: str, subset, doc: str):
     sql = quality.twin_results(subset, {**SOURCES, S.SIM: "x_sim"})
 
     def run(spark, sf_dir):
-        m = BenefitModel(spark, sf_dir, RUN)
+        m = BenefitModel.of(spark, sf_dir, RUN)
         return quality.evaluate(tables(m), subset)
 
     run.__doc__ = doc
@@ -108,7 +108,7 @@ def _rows_query(key: str, subset, doc: str):
     sql = quality.twin_failed_rows(subset, {**SOURCES, S.SIM: "x_sim"}, KEYS)
 
     def run(spark, sf_dir):
-        m = BenefitModel(spark, sf_dir, RUN)
+        m = BenefitModel.of(spark, sf_dir, RUN)
         return quality.failed_rows(tables(m), subset, KEYS)
 
     run.__doc__ = doc
@@ -165,7 +165,7 @@ def q_dq_required_params(spark, sf_dir):
     every activity day (anti join of required codes per day)."""
     from perkline.plans.params import effective_params_at
 
-    m = BenefitModel(spark, sf_dir, RUN)
+    m = BenefitModel.of(spark, sf_dir, RUN)
     eff = effective_params_at(m.params, m.activities, "jour")
     days = m.activities.select("jour").distinct()
     # every (day, required code) pair: codes are a fixed list of six values
@@ -187,7 +187,7 @@ def q_dq_window_bounds(spark, sf_dir):
     """Bounds of the simulated activity instants (and local days)."""
     from perkline.functions.dates import local_day
 
-    t = BenefitModel(spark, sf_dir, RUN).t
+    t = BenefitModel.of(spark, sf_dir, RUN).t
     a = t.activity_table().filter(F.col("source_donnee") == "csv_simule")
     return a.agg(
         F.min("date_debut").alias("min_date_debut"),
@@ -212,7 +212,7 @@ MAXIMA = S.SCENARIO_MONTHLY_RANGES[RUN.scenario]
 )
 def q_dq_monthly_max(spark, sf_dir):
     """Monthly count above the scenario maximum of the profile."""
-    t = BenefitModel(spark, sf_dir, RUN).t
+    t = BenefitModel.of(spark, sf_dir, RUN).t
     sim = S.simulation_frame(t.activity_table(), t.roster(), RUN)
     return S.monthly_max(sim, RUN.scenario).select("cle_salarie", "ym", "nb_activites_mois", "profil", F.col("max_autorise").cast("int"))
 
@@ -229,5 +229,5 @@ def q_dq_monthly_max(spark, sf_dir):
 )
 def q_dq_summary(spark, sf_dir):
     """Q25: PASS/WARN/FAIL counters of both suites and the overall status."""
-    m = BenefitModel(spark, sf_dir, RUN)
+    m = BenefitModel.of(spark, sf_dir, RUN)
     return quality.summarise(quality.evaluate(tables(m), TABLE_SUITE + SIM_SUITE))

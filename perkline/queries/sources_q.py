@@ -30,7 +30,7 @@ EXPORTS = (
 
 
 def T(spark, sf_dir) -> Tables:
-    return Tables(spark, sf_dir, RUN)
+    return Tables.of(spark, sf_dir, RUN)
 
 
 def write_form_exports(spark, sf_dir) -> str:
@@ -75,7 +75,7 @@ def q_read_declared(spark, sf_dir):
 
 def _clean(spark, sf_dir):
     t = T(spark, sf_dir)
-    return ingest.normalise_declared(t.declared(), t.name_reference(), t.sport_reference(), RUN).clean
+    return ingest.normalised(t, RUN).clean
 
 
 ISO_SQL = (

@@ -47,6 +47,13 @@ def _memo(method):
     return wrapper
 
 
+_SHARED: dict = {}
+
+
+def run_key(run: RunConfig) -> tuple:
+    return (run.as_of, run.zone, run.window_months, run.include_current_month, run.salt, run.scenario)
+
+
 class Tables:
     """Lazy domain tables of one data directory."""
 
@@ -56,6 +63,15 @@ class Tables:
         self.run = run
         self._cache: dict = {}
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN) -> "Tables":
+        """Shared instance per (session, directory, run): the bindings are
+        immutable plans, so every query of a session reuses them."""
+        key = (id(spark._jsparkSession), sf_dir, run_key(run))
+        if key not in _SHARED:
+            _SHARED[key] = cls(spark, sf_dir, run)
+        return _SHARED[key]
+
     @_memo
     def raw(self, name: str) -> DataFrame:
         return scan(self.spark, self.sf_dir, name)
