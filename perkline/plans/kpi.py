@@ -160,9 +160,10 @@ def cost_scenarios(bonus: DataFrame, salaries: DataFrame, scenarios: DataFrame)
         F.count_if(elig).alias("nb_salaries_eligibles_prime"),
         F.sum(F.when(elig, F.coalesce(F.col("brut_annuel"), F.lit(0).cast("decimal(12,2)")))).alias("_salaries"),
     )
-    # the totals are one row: attach them as scalar subqueries (run once)
-    n = totals.select("nb_salaries_eligibles_prime").scalar()
-    total = totals.select("_salaries").scalar()
+    # the totals are one row: attach it as one scalar subquery (run once)
+    row = totals.select(F.struct("nb_salaries_eligibles_prime", "_salaries").alias("t")).scalar()
+    n = row.getField("nb_salaries_eligibles_prime")
+    total = row.getField("_salaries")
     return scenarios.select(
         "scenario",
         "taux_prime",
