@@ -55,14 +55,15 @@ def check_columns(columns: Sequence[str], required: Sequence[str]) -> None:
 def read_declared(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:
     """S3: all-string CSV scan, no NA conversion (blank stays ''), required
     columns checked.  ``_metadata`` is exposed as ``_fichier`` columns."""
-    df = (
-        spark.read.options(**CSV_OPTIONS, nullValue=_NO_NULL, inferSchema="false")
-        .csv(path)
-        .select("*", F.col("_metadata.file_name").alias("_fichier"), F.col("_metadata.file_modification_time").alias("_mtime"),
-                F.col("_metadata.file_path").alias("_chemin"))
+    raw = spark.read.options(**CSV_OPTIONS, nullValue=_NO_NULL, inferSchema="false").csv(path)
+    check_columns(raw.columns, required)
+    # the parser still yields NULL for an empty unquoted field: blank is ''
+    return raw.select(
+        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns],
+        F.col("_metadata.file_name").alias("_fichier"),
+        F.col("_metadata.file_modification_time").alias("_mtime"),
+        F.col("_metadata.file_path").alias("_chemin"),
     )
-    check_columns(df.columns, required)
-    return df
 
 
 def export_of(path_col: Column) -> Column:
