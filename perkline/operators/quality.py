@@ -39,6 +39,7 @@ class Check:
     warn_lt: int | None = None  # row_count: WARN when count < warn_lt
     op: str | None = None  # row_count comparison: '>' or '=' against ``expected``
     expected: int | None = None
+    warn_only: bool = False  # a failed comparison is a WARN (expected row count)
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
 
@@ -85,7 +86,8 @@ def status_sql(check: Check, metric: str) -> str:
         if check.op == ">":
             return f"CASE WHEN {metric} > {check.expected} THEN 'OK' ELSE 'FAIL' END"
         if check.op == "=":
-            return f"CASE WHEN {metric} = {check.expected} THEN 'OK' ELSE 'FAIL' END"
+            bad = "WARN" if check.warn_only else "FAIL"
+            return f"CASE WHEN {metric} = {check.expected} THEN 'OK' ELSE '{bad}' END"
         out = "CASE"
         if check.fail_le is not None:
             out += f" WHEN {metric} <= {check.fail_le} THEN 'FAIL'"
@@ -97,6 +99,12 @@ def status_sql(check: Check, metric: str) -> str:
     return f"CASE WHEN {metric} > 0 THEN 'FAIL' ELSE 'OK' END"
 
 
+def columns_metric(columns, check: Check) -> int:
+    """Q16: 0 when the column list equals the expected one (names and
+    order), else 1 — schema metadata, no data is read."""
+    return 0 if list(columns) == list(check.cols) else 1
+
+
 def _status(check: Check, m: Column) -> Column:
     """Column form of :func:`status_sql` (same thresholds)."""
     if check.kind == "row_count":
@@ -196,6 +204,10 @@ def evaluate(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame
             parent = tables[c.parent].select(F.col(c.parent_col).alias("_v"))
             orphans = child.join(parent, "_v", "left_anti")
             parts.append(orphans.agg(F.expr(_struct_sql(c, "count(1)")).alias("r")).select("r.*"))
+        elif c.kind == "columns":
+            m = columns_metric(tables[c.table].columns, c)
+            one = tables[c.table].sparkSession.range(1)
+            parts.append(one.select(F.expr(_struct_sql(c, str(m))).alias("r")).select("r.*"))
         elif c.kind == "same_count":
             other = tables[c.parent].agg(F.count(F.lit(1)).alias("n"))
             counted = tables[c.table].agg(F.count(F.lit(1)).alias("_m")).select(
@@ -271,9 +283,14 @@ def twin_results(checks: Sequence[Check], sources: dict[str, str]) -> str:
         elif c.kind == "same_count":
             m = f"abs(count(*) - (SELECT count(*) FROM {sources[c.parent]}))"
             body = f"FROM {src}"
+        elif c.kind == "columns":
+            # twin: the relation's own column list, in order
+            expected = ",".join(c.cols)
+            m = f"CASE WHEN (SELECT string_agg(column_name, ',') FROM (DESCRIBE SELECT * FROM {src})) = {_q(expected)} THEN 0 ELSE 1 END"
+            body = ""
         else:
             raise ValueError(c.kind)
-        inner = f"SELECT CAST({m} AS BIGINT) AS metrique {body}"
+        inner = f"SELECT CAST({m} AS BIGINT) AS metrique {body}".rstrip()
         selects.append(f"{head}metrique, {status_sql(c, 'metrique')} AS statut FROM ({inner})")
     return " UNION ALL ".join(selects)
 

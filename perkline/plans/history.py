@@ -104,3 +104,10 @@ def run_metrics(steps: DataFrame, run: RunConfig) -> DataFrame:
         counter("nb_anomalies"),
         F.lit("NO PARAM").alias("Origine"),
     )
+
+
+def successful_snapshots(runs: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """Readers' view of a history table: rows of SUCCESS runs only (a
+    failed or unfinished run never exposes partial snapshots)."""
+    ok = runs.filter(F.col("status") == "SUCCESS").select("id_histo_run").distinct()
+    return snapshot.join(ok, "id_histo_run", "left_semi")

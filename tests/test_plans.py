@@ -170,3 +170,24 @@ def test_outbox_force_fallback(spark):
     got = fb.collect()
     assert [(r["id_activite"], r["origine"]) for r in got] == [(2, "fallback")]
     assert got[0]["message"].startswith("Félicitations Ana Roy ! Discipline Judo pratiquée pendant 30 min. Bravo ! (top)")
+
+
+def test_history_readers_and_required_tables(spark):
+    import pytest
+
+    runs = spark.createDataFrame([(1, "SUCCESS"), (2, "FAILURE"), (3, "RUNNING")], "id_histo_run long, status string")
+    snap = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id_histo_run long, v string")
+    assert rows(history.successful_snapshots(runs, snap), "v") == [("a",)]
+    with pytest.raises(ValueError):
+        history.require_tables(spark, ["histo_kpi_age_absent_table"])
+
+
+def test_columns_and_expected_volume_checks(spark):
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    checks = [
+        quality.Check("t", "cols ok", "columns", ("a", "b")),
+        quality.Check("t", "cols order", "columns", ("b", "a")),
+        quality.Check("t", "volume", "row_count", op="=", expected=2, warn_only=True),
+    ]
+    out = quality.evaluate({"t": df}, checks)
+    assert rows(out, "controle", "metrique", "statut") == [("cols ok", 0, "OK"), ("cols order", 1, "FAIL"), ("volume", 1, "WARN")]
