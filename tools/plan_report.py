@@ -1,9 +1,10 @@
-"""Physical-plan summary of every registered query -> PLANS.md.
+"""Execution summary of every registered query -> PLANS.md.
 
-For each query: number of shuffle exchanges, broadcast exchanges, join
-strategies, aggregate kinds, window operators, scalar subqueries and the
-filters pushed into the Parquet scans.  Usage:
-    python tools/plan_report.py [sf_dir] > PLANS.md
+Each query runs under its own job group; Spark's status tracker then gives
+what was actually executed (jobs, stages, tasks — stages beyond one per job
+are shuffle boundaries).  Join strategies and the filters pushed into the
+Parquet scans are read from the final adaptive plan (initial-plan sections
+are dropped).  Usage:  python tools/plan_report.py [sf_dir] > PLANS.md
 """
 
 from __future__ import annotations
@@ -15,46 +16,27 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def executed_lines(plan: str) -> str:
-    """Plan text without the sub-plans of kept (in-memory) relations: those
-    were computed once by an earlier query and are only scanned here."""
-    out, skip_depth = [], None
+def _indent(line: str) -> int:
+    m = re.search(r"[A-Za-z=*]", line)
+    return m.start() if m else 0
+
+
+def final_sections(plan: str) -> str:
+    """Drop the '== Initial Plan ==' sections of (nested) adaptive plans:
+    a section covers the lines indented deeper than its marker."""
+    out, marker = [], None
     for line in plan.splitlines():
-        m = re.search(r"[A-Za-z]", line)
-        depth = m.start() if m else 0
-        if skip_depth is not None:
-            if depth > skip_depth:
+        if marker is not None:
+            if _indent(line) > marker:
                 continue
-            skip_depth = None
+            marker = None
+        if "== Initial Plan ==" in line:
+            marker = _indent(line)
+            continue
         out.append(line)
-        if "InMemoryRelation" in line:
-            skip_depth = depth
     return "\n".join(out)
 
 
-def summarise(plan: str) -> dict:
-    plan = executed_lines(plan)
-
-    def n(pat):
-        return len(re.findall(pat, plan))
-
-    pushed = sorted(set(re.findall(r"PushedFilters: \[([^\]]*)\]", plan)))
-    pushed = [p for p in pushed if p and p != "IsNotNull(event_id)"]
-    return {
-        "exchange": n(r"\bExchange hashpartitioning|\bExchange rangepartitioning|\bExchange SinglePartition|\bExchange RoundRobinPartitioning"),
-        "broadcast": n(r"BroadcastExchange"),
-        "smj": n(r"SortMergeJoin"),
-        "bhj": n(r"BroadcastHashJoin"),
-        "bnlj": n(r"BroadcastNestedLoopJoin"),
-        "hash_agg": n(r"\bHashAggregate\("),
-        "sort_agg": n(r"\bSortAggregate\("),
-        "window": n(r"\bWindow\b"),
-        "subquery": n(r"\bSubquery subquery"),
-        "reused": n(r"ReusedExchange|ReusedSubquery"),
-        "pushed": pushed,
-    }
-
-
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     from perkline.queries import QUERIES, load_all
@@ -63,27 +45,46 @@ def main(argv):
     load_all()
     spark = build_session("local[8]", 8, extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    print("# Physical plans (summary)\n")
-    print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (local[8]). Each query is executed in the same session as")
-    print("the driver would (earlier queries may have computed the kept per-employee views), then its final adaptive plan")
-    print("is summarised: operators inside kept (in-memory) relations are not counted; `reused` counts exchanges and")
-    print("subqueries Spark reused instead of recomputing; `pushed` lists filters that reach a Parquet scan.\n")
-    print("| query | shuffles | broadcasts | SMJ | BHJ | BNLJ | hash agg | sort agg | window | subqueries | reused | pushed scan filters |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
+    print("# Execution summary per query\n")
+    print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (local[8], shuffle partitions 8, AQE on). All queries run in one")
+    print("session, in key order, as the driver runs them: per-employee views kept by an earlier query are read, not")
+    print("recomputed. `jobs`/`stages`/`tasks` are what Spark executed for the query (including the plan-time jobs of")
+    print("materialised inputs, exports and scalar subqueries); `joins` are the strategies in the final adaptive plan;")
+    print("`pushed` are filters that reached a Parquet scan.\n")
+    print("| query | jobs | stages | tasks | joins (final plan) | pushed scan filters |")
+    print("| --- | --- | --- | --- | --- | --- |")
     for key in sorted(QUERIES):
+        group = f"plan-report-{key}"
+        sc.setJobGroup(group, key)
         try:
             df = QUERIES[key](spark, sf_dir)
-            df.collect()  # runs this DataFrame's own plan, so the adaptive plan is final
-            plan = df._jdf.queryExecution().executedPlan().toString()
+            df.collect()
+            plan = final_sections(df._jdf.queryExecution().executedPlan().toString())
         except Exception as exc:  # noqa: BLE001
-            print(f"| {key} | error: {type(exc).__name__} | | | | | | | | | | |")
+            print(f"| {key} | error: {type(exc).__name__} | | | | |")
             continue
-        s = summarise(plan)
-        pushed = "; ".join(p[:90] for p in s["pushed"])[:200]
-        print(
-            f"| {key} | {s['exchange']} | {s['broadcast']} | {s['smj']} | {s['bhj']} | {s['bnlj']} | {s['hash_agg']} | "
-            f"{s['sort_agg']} | {s['window']} | {s['subquery']} | {s['reused']} | {pushed} |"
-        )
+        jobs = tracker.getJobIdsForGroup(group)
+        stages, tasks = 0, 0
+        for j in jobs:
+            info = tracker.getJobInfo(j)
+            if info is None:
+                continue
+            for sid in info.stageIds:
+                st = tracker.getStageInfo(sid)
+                if st is not None and st.numTasks > 0:
+                    stages += 1
+                    tasks += st.numTasks
+        joins = []
+        for name, label in (("BroadcastHashJoin", "BHJ"), ("SortMergeJoin", "SMJ"), ("BroadcastNestedLoopJoin", "BNLJ"),
+                            ("ShuffledHashJoin", "SHJ"), ("CartesianProduct", "CARTESIAN")):
+            n = len(re.findall(r"\b" + name + r"\b", plan))
+            if n:
+                joins.append(f"{label}×{n}")
+        pushed = sorted(set(re.findall(r"PushedFilters: \[([^\]]*)\]", plan)) - {""})
+        pushed_txt = "; ".join(p[:80] for p in pushed)[:160]
+        print(f"| {key} | {len(jobs)} | {stages} | {tasks} | {' '.join(joins)} | {pushed_txt} |")
 
 
 if __name__ == "__main__":
