@@ -52,15 +52,21 @@ def sync_hr_counts(roster: DataFrame, links: DataFrame, employees: DataFrame, ro
     emp = sync_employee(employees, roster_file, links2.drop("action"))
     sport = mutate.update_if_distinct(roster.select("id_salarie_brut", "sport_declare"), roster_file, "id_salarie_brut", "sport_declare")
 
-    def n(df: DataFrame, step: str, actions: tuple[str, ...]) -> DataFrame:
-        return df.agg(F.count_if(F.col("action").isin(*actions)).alias("nb_lignes")).select(F.lit(step).alias("etape"), "nb_lignes")
-
-    steps = (
-        n(deact, "desactivation", (mutate.UPDATE,))
-        .unionByName(n(upsert, "upsert_rh", (mutate.UPDATE, mutate.INSERT)))
-        .unionByName(n(links2, "liens", (mutate.INSERT,)))
-        .unionByName(n(emp, "upsert_metier", (mutate.UPDATE, mutate.INSERT)))
-        .unionByName(n(sport, "sport_declare", (mutate.UPDATE,)))
+    def changed(df: DataFrame, step: str, actions: tuple[str, ...]) -> DataFrame:
+        return df.select(F.lit(step).alias("etape"), F.col("action").isin(*actions).alias("_c"))
+
+    rows = (
+        changed(deact, "desactivation", (mutate.UPDATE,))
+        .unionByName(changed(upsert, "upsert_rh", (mutate.UPDATE, mutate.INSERT)))
+        .unionByName(changed(links2, "liens", (mutate.INSERT,)))
+        .unionByName(changed(emp, "upsert_metier", (mutate.UPDATE, mutate.INSERT)))
+        .unionByName(changed(sport, "sport_declare", (mutate.UPDATE,)))
     )
-    total = steps.agg(F.sum("nb_lignes").cast("long").alias("nb_lignes")).select(F.lit("total").alias("etape"), "nb_lignes")
-    return steps.unionByName(total)
+    # every step reports a count, even over empty inputs
+    steps = ("desactivation", "upsert_rh", "liens", "upsert_metier", "sport_declare")
+    rows = rows.unionByName(
+        rows.sparkSession.range(1).select(F.explode(F.array(*[F.lit(x) for x in steps])).alias("etape"), F.lit(False).alias("_c"))
+    )
+    # one aggregation (grouping sets): a row per step plus the grand total
+    counted = rows.rollup("etape").agg(F.count_if("_c").alias("nb_lignes"))
+    return counted.select(F.coalesce("etape", F.lit("total")).alias("etape"), F.col("nb_lignes").cast("long").alias("nb_lignes"))

@@ -173,9 +173,15 @@ DIGEST_SQL = (
 @register("anomaly_digest", it(DIGEST_SQL))
 def q_anomaly_digest(spark, sf_dir):
     """Digest lines of the normalisation's errors and anomalies."""
+    from perkline.session import materialise
+
     t = T(spark, sf_dir)
     n = ingest.normalised(t, RUN)
-    return notify.anomaly_digest(n.errors, n.anomalies, DCOLS, FLOW, RUN_TAG, SOURCE_FILE)
+    # the reject and anomaly files of the normalisation step (M14), written
+    # once; the digest is built from them, as the alert reads the files
+    errors = materialise(n.errors, "gsheet-erreurs")
+    anomalies = materialise(n.anomalies, "gsheet-anomalies")
+    return notify.anomaly_digest(errors, anomalies, DCOLS, FLOW, RUN_TAG, SOURCE_FILE)
 
 
 # ---------------------------------------------------------------------------
