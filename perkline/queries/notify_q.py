@@ -179,8 +179,8 @@ def q_anomaly_digest(spark, sf_dir):
     n = ingest.normalised(t, RUN)
     # the reject and anomaly files of the normalisation step (M14), written
     # once; the digest is built from them, as the alert reads the files
-    errors = materialise(n.errors, "gsheet-erreurs")
-    anomalies = materialise(n.anomalies, "gsheet-anomalies")
+    errors = materialise(n.errors, "rejets-formulaire")
+    anomalies = materialise(n.anomalies, "anomalies-formulaire")
     return notify.anomaly_digest(errors, anomalies, DCOLS, FLOW, RUN_TAG, SOURCE_FILE)
 
 
