@@ -7,6 +7,11 @@ on the same Parquet files for reference.  Prints ONE JSON line.
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_QUERIES (comma list, default: the headline set), BENCH_ALL=1 (every
 registered query), BENCH_TWINS=0 (skip DuckDB).
+
+Per query the JSON also carries what Spark executed — jobs, stages and
+shuffle bytes written — read from Spark's event log (written to a fresh
+scratch folder; no UI or REST endpoint is used), attributed to the query
+through its job group.
 """
 
 from __future__ import annotations
@@ -67,12 +72,21 @@ def main() -> None:
         names = [q.strip() for q in os.environ["BENCH_QUERIES"].split(",") if q.strip()]
     else:
         names = list(HEADLINE)
+    import tempfile
+
+    log_dir = tempfile.mkdtemp(prefix="perkline-bench-events-")
     spark = build_session(
         f"local[{cpus}]",
         max(cpus, 8),
-        extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"},
+        extra={
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "16g",
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": log_dir,
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    sc = spark.sparkContext
 
     # warm-up (JIT, file listing caches)
     QUERIES["bi_employee"](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -80,12 +94,14 @@ def main() -> None:
     timings: dict[str, float] = {}
     errors: dict[str, str] = {}
     for name in names:
+        sc.setJobGroup(f"bench:{name}", name)
         t0 = time.perf_counter()
         try:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             timings[name] = round(time.perf_counter() - t0, 3)
         except Exception as exc:  # noqa: BLE001
             errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+    sc.setJobGroup("bench:end", "end")
 
     twins: dict[str, float] = {}
     if os.environ.get("BENCH_TWINS", "1") != "0":
@@ -105,6 +121,9 @@ def main() -> None:
             except Exception:  # noqa: BLE001
                 pass
 
+    spark.stop()
+    executed = event_log_summary(log_dir)
+
     out = {
         "metric": "headline_queries_total_wall",
         "value": round(sum(timings.values()), 3),
@@ -113,11 +132,48 @@ def main() -> None:
         "sf": sf_of(sf_dir),
         "cpus": cpus,
         "duckdb_twin_sec": twins,
+        "executed": {k: executed.get(k, {}) for k in timings},
     }
     if errors:
         out["errors"] = errors
     print(json.dumps(out))
-    spark.stop()
+
+
+def event_log_summary(log_dir: str) -> dict:
+    """Jobs, stages and shuffle bytes written per query, from the event log."""
+    import glob
+
+    group_of_job: dict[int, str] = {}
+    group_of_stage: dict[int, str] = {}
+    out: dict[str, dict] = {}
+    for path in glob.glob(os.path.join(log_dir, "*")):
+        with open(path, encoding="utf-8") as f:
+            for line in f:
+                try:
+                    ev = json.loads(line)
+                except ValueError:
+                    continue
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id", "")
+                    if not group.startswith("bench:"):
+                        continue
+                    q = group[len("bench:"):]
+                    group_of_job[ev["Job ID"]] = q
+                    for sid in ev.get("Stage IDs", []):
+                        group_of_stage[sid] = q
+                    out.setdefault(q, {"jobs": 0, "stages": 0, "shuffle_write_bytes": 0})["jobs"] += 1
+                elif kind == "SparkListenerStageCompleted":
+                    info = ev.get("Stage Info", {})
+                    q = group_of_stage.get(info.get("Stage ID"))
+                    if q is None:
+                        continue
+                    entry = out.setdefault(q, {"jobs": 0, "stages": 0, "shuffle_write_bytes": 0})
+                    entry["stages"] += 1
+                    for acc in info.get("Accumulables", []):
+                        if acc.get("Name") == "internal.metrics.shuffle.write.bytesWritten":
+                            entry["shuffle_write_bytes"] += int(acc.get("Value", 0))
+    return out
 
 
 if __name__ == "__main__":
