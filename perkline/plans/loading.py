@@ -63,13 +63,21 @@ def load_activities(target: DataFrame, forms: DataFrame, simulated: DataFrame, r
     forms_eff = _one_per_day(fusion.filter(F.col("source_donnee") == SOURCE_FORM), run.zone)
     sim_eff = _one_per_day(fusion.filter(F.col("source_donnee") == SOURCE_SIMULATED), run.zone)
     ingest_ts = F.lit(run.as_of).cast("timestamp_ntz")
-    upserted = mutate.upsert(
-        target,
-        forms_eff,
-        KEYS,
-        UPDATE_COLS,
-        id_col="id_activite",
-        insert_defaults={"date_ingestion": ingest_ts, "flag_slack": F.lit(False)},
+    # the upserted table is the next version: write it once (shared
+    # checkpoint folder), so the id bound and the reload read the files
+    # instead of re-planning the full outer join and the id assignment
+    from perkline.session import materialise
+
+    upserted = materialise(
+        mutate.upsert(
+            target,
+            forms_eff,
+            KEYS,
+            UPDATE_COLS,
+            id_col="id_activite",
+            insert_defaults={"date_ingestion": ingest_ts, "flag_slack": F.lit(False)},
+        ),
+        "activite-upsert",
     )
     has_sim = sim_eff.select(F.lit(1)).limit(1).exists()
     kept = upserted.filter(~(has_sim & F.col("source_donnee").isin(list(SOURCES_TO_REPLACE))))
