@@ -109,8 +109,3 @@ def valid_key(c: Column | str) -> Column:
     """pseudonymised key format check."""
     return F.coalesce(col_(c).rlike(KEY_PATTERN), F.lit(False))
 
-
-def blank_to_null(c: Column | str) -> Column:
-    """Trimmed text, with blank (or NULL) turned into NULL."""
-    t = F.trim(col_(c))
-    return F.when(F.length(t) > 0, t)

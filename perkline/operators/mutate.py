@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from perkline.session import scratch_path
 
-INSERT, UPDATE, NOOP, KEEP, DELETE = "insert", "update", "noop", "unchanged", "delete"
+INSERT, UPDATE, NOOP, KEEP = "insert", "update", "noop", "unchanged"
 
 
 def is_distinct(a: Column, b: Column) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,6 +137,3 @@ def benefit_category(employees: DataFrame, bonus: DataFrame, wellbeing: DataFram
         cat.alias("categorie_avantage"),
     )
 
-
-def period_literals(run: RunConfig) -> tuple[dt.date, dt.date]:
-    return run.period()
