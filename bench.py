@@ -6,7 +6,9 @@ on the same Parquet files for reference.  Prints ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_QUERIES (comma list, default: the headline set), BENCH_ALL=1 (every
-registered query), BENCH_TWINS=0 (skip DuckDB).
+registered query), BENCH_TWINS=0 (skip DuckDB), BENCH_GROWTH=0 (skip the
+second pass on the smaller scale factor, BENCH_GROWTH_SF_DIR, default the
+sibling sf0.01 directory, used for the growth ratios).
 
 Per query the JSON also carries what Spark executed — jobs, stages and
 shuffle bytes written — read from Spark's event log (written to a fresh
@@ -103,6 +105,21 @@ def main() -> None:
             errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     sc.setJobGroup("bench:end", "end")
 
+    # growth: the same queries on the smaller scale factor (after the headline
+    # pass, so it does not change the headline numbers)
+    small_dir = os.environ.get("BENCH_GROWTH_SF_DIR", os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01"))
+    small: dict[str, float] = {}
+    if os.environ.get("BENCH_GROWTH", "1") != "0" and os.path.isdir(small_dir) and os.path.abspath(small_dir) != os.path.abspath(sf_dir):
+        for name in timings:
+            sc.setJobGroup(f"bench:small:{name}", name)
+            t0 = time.perf_counter()
+            try:
+                QUERIES[name](spark, small_dir).write.format("noop").mode("overwrite").save()
+                small[name] = round(time.perf_counter() - t0, 3)
+            except Exception:  # noqa: BLE001
+                pass
+        sc.setJobGroup("bench:end", "end")
+
     twins: dict[str, float] = {}
     if os.environ.get("BENCH_TWINS", "1") != "0":
         import duckdb
@@ -137,6 +154,17 @@ def main() -> None:
         "duckdb_twin_sec": twins,
         "executed": {k: executed.get(k, {}) for k in timings},
     }
+    if small:
+        growth = {}
+        for k, sec in small.items():
+            big_b = executed.get(k, {}).get("shuffle_write_bytes", 0)
+            small_b = executed.get(f"small:{k}", {}).get("shuffle_write_bytes", 0)
+            growth[k] = {
+                "small_sf_sec": sec,
+                "time_ratio": round(timings[k] / sec, 2) if sec else None,
+                "shuffle_ratio": round(big_b / small_b, 2) if small_b else None,
+            }
+        out["growth"] = {"small_sf": sf_of(small_dir), "queries": growth}
     if errors:
         out["errors"] = errors
     print(json.dumps(out))
