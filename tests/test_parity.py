@@ -37,3 +37,6 @@ def test_query_matches_twin(spark, con, key):
     assert sorted(sdf.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows)[0] == digest(dcols, drows)[0]
+    # no query may pair every row with every row
+    plan = sdf._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
