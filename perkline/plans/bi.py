@@ -35,25 +35,8 @@ def enrich_activities(activities: DataFrame, zone: str = "Europe/Paris") -> Data
     """P1-P5 on activity rows (no deduplication): local day, units, labels,
     category, duplicate digest and structural exclusion."""
     label, unknown = canonical_label("type_activite", SPORTS)
-    df = activities.select(
-        "*",
-        local_day("date_debut", zone).alias("date_activite"),
-        to_minutes("duree_sec").alias("duree_min"),
-        to_km("distance_m").alias("distance_km"),
-        label.alias("type_activite_normalise"),
-        unknown.alias("type_activite_inconnu"),
-    )
-    category, cat_unknown = activity_category("type_activite_normalise", "type_activite_inconnu")
-    return df.select(
-        "*",
-        category.alias("categorie_activite_normalise"),
-        cat_unknown.alias("categorie_activite_inconnu"),
-        dedup_digest(
-            "cle_salarie", "date_debut", "type_activite_normalise", "duree_sec", "distance_m", "source_donnee"
-        ).alias("cle_dedup_activite"),
-        F.col("type_activite_inconnu").alias("est_exclue_structurelle"),
-        F.when(F.col("type_activite_inconnu"), F.lit("Type activité inconnu")).alias("motif_exclusion"),
-    )
+    labelled = activities.select("*", label.alias("type_activite_normalise"), unknown.alias("type_activite_inconnu"))
+    return _derive(labelled, zone)
 
 
 def bi_activity(activities: DataFrame, zone: str = "Europe/Paris") -> DataFrame:
@@ -64,7 +47,21 @@ def bi_activity(activities: DataFrame, zone: str = "Europe/Paris") -> DataFrame:
     (not by employee), and the pick is an aggregate on (key -> min id), so a
     very active employee never lands in a single task.
     """
-    enriched = enrich_activities(activities, zone).select(
+    label, unknown = canonical_label("type_activite", SPORTS)
+    # only what the pick needs crosses the shuffle: the key, the id that
+    # orders the group and the columns the key does not determine; every
+    # derived column is computed after the dedup, on the kept rows only
+    slim = activities.select(
+        "id_activite",
+        "cle_salarie",
+        "date_debut",
+        "duree_sec",
+        "distance_m",
+        "source_donnee",
+        "commentaire",
+        label.alias("type_activite_normalise"),
+        unknown.alias("type_activite_inconnu"),
+    ).select(
         "*",
         F.coalesce("distance_m", F.lit(-1)).alias("_k_dist"),
         F.coalesce(F.trim("source_donnee"), F.lit("")).alias("_k_src"),
@@ -72,8 +69,29 @@ def bi_activity(activities: DataFrame, zone: str = "Europe/Paris") -> DataFrame:
     # flat grouping keys: a filter on the start instant (e.g. the rolling
     # window) is pushed through the aggregate down to the Parquet scan
     keys = ["cle_salarie", "date_debut", "type_activite_normalise", "duree_sec", "_k_dist", "_k_src"]
-    kept = keep_one_per_group(enriched, keys, order=[("id_activite", "asc")], row_id="id_activite")
-    return kept.select(*BI_ACTIVITY_COLUMNS)
+    kept = keep_one_per_group(slim, keys, order=[("id_activite", "asc")], row_id="id_activite")
+    return _derive(kept, zone).select(*BI_ACTIVITY_COLUMNS)
+
+
+def _derive(rows: DataFrame, zone: str) -> DataFrame:
+    """Local day, units, category, digest and exclusion of labelled rows."""
+    df = rows.select(
+        "*",
+        local_day("date_debut", zone).alias("date_activite"),
+        to_minutes("duree_sec").alias("duree_min"),
+        to_km("distance_m").alias("distance_km"),
+    )
+    category, cat_unknown = activity_category("type_activite_normalise", "type_activite_inconnu")
+    return df.select(
+        "*",
+        category.alias("categorie_activite_normalise"),
+        cat_unknown.alias("categorie_activite_inconnu"),
+        dedup_digest(
+            "cle_salarie", "date_debut", "type_activite_normalise", "duree_sec", "distance_m", "source_donnee"
+        ).alias("cle_dedup_activite"),
+        F.col("type_activite_inconnu").alias("est_exclue_structurelle"),
+        F.when(F.col("type_activite_inconnu"), F.lit("Type activité inconnu")).alias("motif_exclusion"),
+    )
 
 
 def bi_employee(link: DataFrame, roster: DataFrame) -> DataFrame:
