@@ -127,44 +127,22 @@ def bi_commute(checks: DataFrame) -> DataFrame:
     The latest row is picked by an aggregate (max of an ordered struct),
     which combines map-side: hot employees are reduced before the shuffle.
     """
-    label, unknown = canonical_label("mode_trajet", TRAVEL_MODES)
-    enriched = checks.select(
-        "cle_salarie",
-        "id_ctrl",
-        "mode_trajet",
-        "distance_m",
-        to_km("distance_m").alias("distance_km"),
-        "duree_sec",
-        to_minutes("duree_sec").alias("duree_min"),
-        "seuil_km",
-        "est_incoherent",
-        "date_ctrl",
-        label.alias("mode_trajet_normalise"),
-        unknown.alias("mode_trajet_inconnu"),
-    )
-    latest = (
-        enriched.groupBy("cle_salarie")
-        .agg(
-            F.max(
-                F.struct(
-                    F.col("date_ctrl").isNull().alias("_null_first"),
-                    "date_ctrl",
-                    "id_ctrl",
-                    *[c for c in enriched.columns if c not in ("cle_salarie", "date_ctrl", "id_ctrl")],
-                )
-            ).alias("v")
-        )
+    payload = ["mode_trajet", "distance_m", "duree_sec", "seuil_km", "est_incoherent"]
+    latest = checks.groupBy("cle_salarie").agg(
+        F.max(F.struct(F.col("date_ctrl").isNull().alias("_null_first"), "date_ctrl", "id_ctrl", *payload)).alias("v")
     )
+    # labels and units are derived on the one kept row per employee
+    label, unknown = canonical_label("v.mode_trajet", TRAVEL_MODES)
     return latest.select(
         "cle_salarie",
-        "v.mode_trajet_normalise",
-        "v.mode_trajet_inconnu",
-        "v.distance_m",
-        "v.distance_km",
-        "v.duree_sec",
-        "v.duree_min",
-        "v.seuil_km",
-        "v.est_incoherent",
-        "v.date_ctrl",
-        (F.col("v.mode_trajet_normalise") == UNKNOWN).alias("est_exclue_structurelle"),
+        label.alias("mode_trajet_normalise"),
+        unknown.alias("mode_trajet_inconnu"),
+        F.col("v.distance_m").alias("distance_m"),
+        to_km("v.distance_m").alias("distance_km"),
+        F.col("v.duree_sec").alias("duree_sec"),
+        to_minutes("v.duree_sec").alias("duree_min"),
+        F.col("v.seuil_km").alias("seuil_km"),
+        F.col("v.est_incoherent").alias("est_incoherent"),
+        F.col("v.date_ctrl").alias("date_ctrl"),
+        (label == UNKNOWN).alias("est_exclue_structurelle"),
     )
