@@ -49,17 +49,29 @@ def assert_no_conflicts(df: DataFrame, label: str, zone: str) -> None:
         raise ValueError(f"STOP: several activities per employee and local day ({label})")
 
 
+def conflicting_inputs(inputs: dict[str, DataFrame], zone: str) -> list[str]:
+    """W7 gate over several inputs in ONE aggregation: the names of the
+    inputs holding two rows for one (employee, local day).  Only existence
+    matters, so no member rows are joined back; the result holds at most
+    one row per input name."""
+    tagged = None
+    for name, df in inputs.items():
+        part = df.select(F.lit(name).alias("_src"), "cle_salarie", local_day("date_debut", zone).alias("_jour"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    groups = tagged.groupBy("_src", "cle_salarie", "_jour").agg(F.count(F.lit(1)).alias("_n"))
+    return sorted(r[0] for r in groups.filter(F.col("_n") > 1).select("_src").distinct().collect())
+
+
 def load_activities(target: DataFrame, forms: DataFrame, simulated: DataFrame, run: RunConfig,
                     check_conflicts: bool = True) -> DataFrame:
     """K2: next version of the activity table with an ``action`` column."""
     forms = forms.select(*FILE_COLS)
     simulated = simulated.select(*FILE_COLS)
-    if check_conflicts:
-        assert_no_conflicts(forms, "forms", run.zone)
-        assert_no_conflicts(simulated, "simulated", run.zone)
     fusion = merge_priority(simulated, forms)
     if check_conflicts:
-        assert_no_conflicts(fusion, "fusion", run.zone)
+        bad = conflicting_inputs({"forms": forms, "simulated": simulated, "fusion": fusion}, run.zone)
+        if bad:
+            raise ValueError(f"STOP: several activities per employee and local day ({', '.join(bad)})")
     forms_eff = _one_per_day(fusion.filter(F.col("source_donnee") == SOURCE_FORM), run.zone)
     sim_eff = _one_per_day(fusion.filter(F.col("source_donnee") == SOURCE_SIMULATED), run.zone)
     ingest_ts = F.lit(run.as_of).cast("timestamp_ntz")
