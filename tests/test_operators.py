@@ -239,7 +239,13 @@ def test_merge_sql_and_plain_parquet_fallback(spark):
     assert "WHEN MATCHED AND (NOT (t.duree_sec <=> s.duree_sec)) THEN UPDATE SET t.duree_sec = s.duree_sec" in sql
     assert sql.endswith("WHEN NOT MATCHED THEN INSERT (cle_salarie, date_debut, duree_sec) VALUES (s.cle_salarie, s.date_debut, s.duree_sec)")
     # a plain Parquet catalog table has no MERGE: the next version is written instead
-    spark.createDataFrame([("k1", 1)], "key string, d int").write.mode("overwrite").format("parquet").saveAsTable("perkline_upsert_t")
-    assert mutate.supports_merge(spark, "perkline_upsert_t") is False
-    path = mutate.upsert_table(spark, "perkline_upsert_t", spark.createDataFrame([("k1", 5), ("k2", 6)], "key string, d int"), ["key"], ["d"])
+    import uuid
+
+    from perkline.session import scratch_path
+
+    name = f"perkline_upsert_{uuid.uuid4().hex[:8]}"
+    (spark.createDataFrame([("k1", 1)], "key string, d int").write.format("parquet")
+     .option("path", scratch_path(spark, name)).saveAsTable(name))
+    assert mutate.supports_merge(spark, name) is False
+    path = mutate.upsert_table(spark, name, spark.createDataFrame([("k1", 5), ("k2", 6)], "key string, d int"), ["key"], ["d"])
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [("k1", 5, "update"), ("k2", 6, "insert")]
