@@ -41,9 +41,13 @@ def col_(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters of WS_CLASS, for the regex-free ``btrim``.
+WS_CHARS = " \t\n\u000b\f\r\u00a0"
+
+
 def strip_ws(c: Column | str) -> Column:
     """Remove leading/trailing whitespace (including no-break space)."""
-    return F.regexp_replace(col_(c), f"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    return F.btrim(col_(c), F.lit(WS_CHARS))
 
 
 def normalise_text(c: Column | str) -> Column:
@@ -96,7 +100,7 @@ def dedup_digest(key, instant, label, duration, distance, source) -> Column:
 def strip_quotes(c: Column | str) -> Column:
     """trim, then remove outer double quotes (repeated), NULL -> ''."""
     trimmed = strip_ws(F.coalesce(col_(c), F.lit("")))
-    return F.regexp_replace(trimmed, '^"+|"+$', "")
+    return F.btrim(trimmed, F.lit('"'))
 
 
 def quote_comment(c: Column | str) -> Column:
