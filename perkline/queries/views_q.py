@@ -8,7 +8,7 @@ from perkline.config import ACTIVE_MODES, BONUS_REASONS, DEFAULT_RUN, SPORTS, TR
 from perkline.plans import kpi
 from perkline.plans.bi import BI_ACTIVITY_COLUMNS
 from perkline.plans.model import BenefitModel
-from perkline.plans.params import PIVOT_SPEC, effective_params_at, params_json
+from perkline.plans.params import PIVOT_SPEC, effective_params_at
 from perkline.queries import register
 from perkline.twins import twin
 from perkline.twins import exprs as X
