@@ -124,11 +124,12 @@ def passes(checks: Sequence[Check]) -> dict[str, int]:
 def _materialise_shared(tables: dict[str, DataFrame], checks: Sequence[Check]) -> dict[str, DataFrame]:
     """A table read by several check passes is written once to the shared
     checkpoint folder (lineage cut, survives executor loss) unless it is
-    already kept; single-pass tables stay lazy."""
+    already kept or a local relation; single-pass tables stay lazy."""
     out = dict(tables)
     for name, n in passes(checks).items():
         df = out[name]
-        if n > 1 and not df.storageLevel.useDisk and not df.storageLevel.useMemory:
+        kept = df.storageLevel.useDisk or df.storageLevel.useMemory
+        if n > 1 and not kept and not df.isLocal():
             out[name] = materialise(df, "dq-" + name.replace(".", "_"))
     return out
 

@@ -58,7 +58,9 @@ def effective_params_at(params: DataFrame, days: DataFrame, day_col: str = "jour
     cond = (F.col("jour") >= F.col("date_effet")) & (F.col("valid_to").isNull() | (F.col("jour") < F.col("valid_to")))
     # the broadcast hint is used only once the version table is proven
     # small (a limited count reads at most MAX_BROADCAST_VERSIONS + 1 rows)
-    small = versions.limit(MAX_BROADCAST_VERSIONS + 1).count() <= MAX_BROADCAST_VERSIONS
+    # (a frame Spark folds into a local relation is configuration-sized by
+    # construction and needs no counting job)
+    small = versions.isLocal() or versions.limit(MAX_BROADCAST_VERSIONS + 1).count() <= MAX_BROADCAST_VERSIONS
     right = F.broadcast(versions) if small else versions
     return d.join(right, cond, "inner").select("jour", "code_param", "valeur_param", "date_effet")
 
