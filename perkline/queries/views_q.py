@@ -275,16 +275,19 @@ def q_param_sync(spark, sf_dir):
 # ---------------------------------------------------------------------------
 @register("bi_activity", vt("SELECT * FROM x_bi_act"))
 def q_bi_activity(spark, sf_dir):
+    """Activities without exact duplicates (smallest id kept), canonical labels, category, digest, exclusion."""
     return M(spark, sf_dir).bi_activity
 
 
 @register("bi_employee", vt("SELECT * FROM x_bi_emp"))
 def q_bi_employee(spark, sf_dir):
+    """Employees through the link table with the canonical declared mode."""
     return M(spark, sf_dir).bi_employee
 
 
 @register("bi_commute", vt("SELECT * FROM x_bi_ctrl"))
 def q_bi_commute(spark, sf_dir):
+    """Latest commute check per employee with canonical mode and exclusion flag."""
     return M(spark, sf_dir).bi_commute
 
 
@@ -293,16 +296,19 @@ def q_bi_commute(spark, sf_dir):
 # ---------------------------------------------------------------------------
 @register("activity_count_window", vt("SELECT * FROM x_counts"))
 def q_activity_count_window(spark, sf_dir):
+    """A2: non-excluded activities per employee inside the rolling window."""
     return M(spark, sf_dir).activity_counts
 
 
 @register("bonus_eligibility", vt("SELECT * FROM x_bonus"))
 def q_bonus_eligibility(spark, sf_dir):
+    """Commuting-bonus flag and first-match ineligibility reason."""
     return M(spark, sf_dir).bonus
 
 
 @register("wellbeing_eligibility", vt("SELECT * FROM x_well"))
 def q_wellbeing_eligibility(spark, sf_dir):
+    """Activities in the window against the minimum, days granted."""
     return M(spark, sf_dir).wellbeing
 
 
@@ -318,6 +324,7 @@ def q_wellbeing_eligibility(spark, sf_dir):
     ),
 )
 def q_benefit_category(spark, sf_dir):
+    """Both benefits per employee and the combined category."""
     return M(spark, sf_dir).benefits
 
 
@@ -334,6 +341,7 @@ def q_benefit_category(spark, sf_dir):
     ),
 )
 def q_kpi_bonus_cost(spark, sf_dir):
+    """A3: eligible employees and variable bonus cost (salary x rate)."""
     return M(spark, sf_dir).kpi_bonus_cost()
 
 
@@ -347,6 +355,7 @@ def q_kpi_bonus_cost(spark, sf_dir):
     ),
 )
 def q_kpi_bonus_cost_fixed(spark, sf_dir):
+    """A4: eligible employees x fixed amount."""
     return M(spark, sf_dir).kpi_bonus_cost_fixed()
 
 
@@ -359,6 +368,7 @@ def q_kpi_bonus_cost_fixed(spark, sf_dir):
     ),
 )
 def q_kpi_extra_days(spark, sf_dir):
+    """A5: employees earning well-being days and total extra days."""
     return M(spark, sf_dir).kpi_extra_days()
 
 
@@ -371,6 +381,7 @@ def q_kpi_extra_days(spark, sf_dir):
     ),
 )
 def q_kpi_activity_mix(spark, sf_dir):
+    """Activities per canonical type in the window, count desc."""
     return M(spark, sf_dir).kpi_activity_mix()
 
 
@@ -379,6 +390,7 @@ def q_kpi_activity_mix(spark, sf_dir):
     vt("SELECT count(*) FILTER (WHERE est_incoherent = true) AS nb_incoherences_detectees FROM x_bi_ctrl"),
 )
 def q_kpi_incoherences(spark, sf_dir):
+    """Incoherent latest commute checks."""
     return M(spark, sf_dir).kpi_incoherences()
 
 
@@ -399,6 +411,7 @@ def q_kpi_incoherences(spark, sf_dir):
     ),
 )
 def q_kpi_age(spark, sf_dir):
+    """Eligibility and costs per age band."""
     return M(spark, sf_dir).kpi_age()
 
 
@@ -424,5 +437,6 @@ def _scenario_values() -> str:
     ),
 )
 def q_cost_scenarios(spark, sf_dir):
+    """Bonus costs under each alternative rate and fixed amount."""
     m = M(spark, sf_dir)
     return kpi.cost_scenarios(m.bonus, m.salaries, kpi.scenarios_frame(spark))
