@@ -26,18 +26,21 @@ def T(spark, sf_dir) -> Tables:
     twin(f"SELECT ligne, {X.normalise_text('nom')} AS nom_norm, {X.normalise_text('prenom')} AS prenom_norm FROM b_declared"),
 )
 def q_normalise_text(spark, sf_dir):
+    """normalised names of every declared row."""
     d = T(spark, sf_dir).declared()
     return d.select("ligne", text.normalise_text("nom").alias("nom_norm"), text.normalise_text("prenom").alias("prenom_norm"))
 
 
 @register("fold_label", twin(f"SELECT id_activite, {X.fold('type_activite')} AS type_activite_plie FROM b_activity"))
 def q_fold_label(spark, sf_dir):
+    """folded activity labels."""
     a = T(spark, sf_dir).activities()
     return a.select("id_activite", text.fold_label("type_activite").alias("type_activite_plie"))
 
 
 @register("pseudonym", twin(f"SELECT id_salarie_brut, {X.pseudonym('id_salarie_brut')} AS cle_salarie FROM b_roster"))
 def q_pseudonym(spark, sf_dir):
+    """pseudonym of every HR id."""
     r = T(spark, sf_dir).roster()
     return r.select("id_salarie_brut", text.pseudonym("id_salarie_brut", DEFAULT_RUN.salt).alias("cle_salarie"))
 
@@ -51,6 +54,7 @@ def q_pseudonym(spark, sf_dir):
     ),
 )
 def q_dedup_digest(spark, sf_dir):
+    """duplicate digest of every activity."""
     a = enrich_activities(T(spark, sf_dir).activities(), DEFAULT_RUN.zone)
     return a.select("id_activite", "cle_dedup_activite")
 
@@ -60,6 +64,7 @@ def q_dedup_digest(spark, sf_dir):
     twin(f"SELECT id_activite, date_debut, {X.local_day('date_debut')} AS date_activite FROM b_activity"),
 )
 def q_local_day(spark, sf_dir):
+    """Paris local day of every activity instant."""
     a = T(spark, sf_dir).activities()
     return a.select("id_activite", "date_debut", dates.local_day("date_debut", DEFAULT_RUN.zone).alias("date_activite"))
 
@@ -69,6 +74,7 @@ def q_local_day(spark, sf_dir):
     twin(f"SELECT id_activite, {X.minutes('duree_sec')} AS duree_min, {X.km('distance_m')} AS distance_km FROM b_activity"),
 )
 def q_unit_conversions(spark, sf_dir):
+    """Minutes and kilometres of every activity."""
     a = T(spark, sf_dir).activities()
     return a.select("id_activite", labels.to_minutes("duree_sec").alias("duree_min"), labels.to_km("distance_m").alias("distance_km"))
 
@@ -78,6 +84,7 @@ def q_unit_conversions(spark, sf_dir):
     twin(f"SELECT id_activite, {X.canonical('type_activite', SPORTS, 'type_activite_normalise', 'type_activite_inconnu')} FROM b_activity"),
 )
 def q_canonical_activity_type(spark, sf_dir):
+    """Canonical activity type and unknown flag."""
     a = T(spark, sf_dir).activities()
     lab, unk = labels.canonical_label("type_activite", SPORTS)
     return a.select("id_activite", lab.alias("type_activite_normalise"), unk.alias("type_activite_inconnu"))
@@ -113,6 +120,7 @@ def q_canonical_mode(spark, sf_dir):
     ),
 )
 def q_activity_category(spark, sf_dir):
+    """Category and category-unknown flag of every activity."""
     a = enrich_activities(T(spark, sf_dir).activities(), DEFAULT_RUN.zone)
     return a.select("id_activite", "categorie_activite_normalise", "categorie_activite_inconnu")
 
@@ -126,6 +134,7 @@ def q_activity_category(spark, sf_dir):
     ),
 )
 def q_travel_mode(spark, sf_dir):
+    """Routing mode of every declared travel mode."""
     r = T(spark, sf_dir).roster()
     return r.select("id_salarie_brut", "mod_depl_decl", labels.travel_mode("mod_depl_decl").alias("mode_routage"))
 
@@ -139,6 +148,7 @@ PROFILE_SQL = (
 
 @register("volume_profile", twin(f"SELECT id_salarie_brut, {PROFILE_SQL} AS profil_volume FROM b_roster"))
 def q_volume_profile(spark, sf_dir):
+    """Activity-volume profile of every employee."""
     r = T(spark, sf_dir).roster()
     return r.select("id_salarie_brut", labels.volume_profile("sport_declare", "mod_depl_decl").alias("profil_volume"))
 
@@ -167,6 +177,7 @@ LOCAL_NOON_SQL = (
     twin(f"SELECT ligne, date_txt, {LOCAL_NOON_SQL.format(x=X.strip_quotes('date_txt'))} AS date_debut FROM b_declared"),
 )
 def q_parse_local_noon(spark, sf_dir):
+    """local-noon instant of every declared date."""
     d = T(spark, sf_dir).declared()
     return d.select("ligne", "date_txt", parse.parse_local_noon("date_txt", DEFAULT_RUN.zone).alias("date_debut"))
 
@@ -183,6 +194,7 @@ DURATION_SQL = (
     twin(f"SELECT ligne, duree_txt, {DURATION_SQL.format(x=X.strip_quotes('duree_txt'))} AS duree_sec FROM b_declared"),
 )
 def q_parse_duration(spark, sf_dir):
+    """seconds of every declared duration."""
     d = T(spark, sf_dir).declared()
     return d.select("ligne", "duree_txt", parse.parse_duration("duree_txt").alias("duree_sec"))
 
@@ -195,6 +207,7 @@ def distance_sql(x: str) -> str:
 
 @register("parse_distance", twin(f"SELECT ligne, distance_txt, {distance_sql('distance_txt')} AS distance_m FROM b_declared"))
 def q_parse_distance(spark, sf_dir):
+    """F8: metres of every declared distance."""
     d = T(spark, sf_dir).declared()
     return d.select("ligne", "distance_txt", parse.parse_distance("distance_txt").alias("distance_m"))
 
@@ -206,6 +219,7 @@ def quote_sql(x: str) -> str:
 
 @register("quote_comment", twin(f"SELECT ligne, commentaire, {quote_sql('commentaire')} AS commentaire_out FROM b_declared"))
 def q_quote_comment(spark, sf_dir):
+    """quoted comment of every declared row."""
     d = T(spark, sf_dir).declared()
     return d.select("ligne", "commentaire", text.quote_comment("commentaire").alias("commentaire_out"))
 
@@ -298,6 +312,7 @@ AGE_SQL = f"CASE WHEN date_naissance IS NULL THEN NULL ELSE CAST(date_part('year
 
 @register("age_years", twin(f"SELECT id_salarie_brut, date_naissance, {AGE_SQL} AS age_annees FROM b_roster"))
 def q_age_years(spark, sf_dir):
+    """F16: completed years of age at the as-of date."""
     r = T(spark, sf_dir).roster()
     return r.select(
         "id_salarie_brut", "date_naissance", dates.age_years("date_naissance", F.lit(DEFAULT_RUN.as_of)).alias("age_annees")
@@ -313,6 +328,7 @@ def q_age_years(spark, sf_dir):
     ),
 )
 def q_age_band(spark, sf_dir):
+    """Age band at the as-of date."""
     r = T(spark, sf_dir).roster()
     return r.select("id_salarie_brut", dates.age_band(dates.age_years("date_naissance", F.lit(DEFAULT_RUN.as_of))).alias("tranche_age"))
 
@@ -337,6 +353,7 @@ def minutes_text_sql(s: str) -> str:
     twin(f"SELECT id_activite, {km_text_sql('distance_m')} AS distance_txt, {minutes_text_sql('duree_sec')} AS duree_txt FROM b_activity"),
 )
 def q_display_text(spark, sf_dir):
+    """distance and duration display texts."""
     a = T(spark, sf_dir).activities()
     return a.select(
         "id_activite", display.display_km("distance_m").alias("distance_txt"), display.display_minutes("duree_sec").alias("duree_txt")
