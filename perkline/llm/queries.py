@@ -112,3 +112,36 @@ def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+OP8_TWIN = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, list_slice(w, i, i + least(4, len(w)) - 1) AS g
+      FROM d, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM o JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * o >= 85 * (nx.n + ny.n - o)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(id, c) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.y, r.c FROM r JOIN e ON e.x = r.id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(c) AS c FROM r GROUP BY id) ON id = d.doc_id
+"""
+
+
+@register("op8_ngram_join", OP8_TWIN)
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents linked by 4-word shingles at Jaccard 0.85."""
+    from perkline.llm.ngram_join import classes
+
+    return classes(table(spark, sf_dir, "documents"))
+
+
+@register("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by PPM code length."""
+    from perkline.llm import lang_id
+
+    named = lang_id.identify(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return named.select("doc_id", lang_id.held_out().alias("held_out"), "lang_pred", "score")
