@@ -94,6 +94,24 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op4_lm_score")
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document under the backoff automaton."""
+    from perkline.llm import lm_score
+
+    docs = table(spark, sf_dir, "documents")
+    model = lm_score.learn(docs.where(~lm_score.held_out()))
+    return lm_score.score(docs, model).select(
+        "doc_id",
+        lm_score.held_out().alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.automaton.total).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 @register("op5_mix_sources")
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Low-discrepancy mix of all ``documents`` at weights 5, 2, 1."""
