@@ -21,15 +21,17 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the text rules and come from an accepted host."""
-    return host_rules.judge(docs).where("kept").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "text", "source")
+    return host_rules.judge(rows).where("kept").select("row.*")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model names; the label column stays
     as it was."""
-    named = lang_id.identify(docs, keep=docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text", "lang")
+    named = lang_id.identify(rows, keep=["row"])
     good = (F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return named.where(good).select(*docs.columns)
+    return named.where(good).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
