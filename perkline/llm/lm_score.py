@@ -46,6 +46,8 @@ MIN_COUNT = 2
 DISCOUNT = 0.75
 #: key of the end token (a word's hash is a bijection's image of another sum)
 END = np.uint64(0x9AE16A3B2F90404F)
+#: room for a state's place in an arc's key
+_PLACE_BITS = 24
 _FLUSH = 1 << 20
 
 
@@ -127,7 +129,7 @@ class Contexts:
         state[1:] = place[:-1]
         if len(first) > 1:
             state[first[:-1]] = place[first[1:] - 1]
-        arc = np.where((state >= 0) & (place >= 0), state << CONTEXT_BITS | place, -1)
+        arc = np.where((state >= 0) & (place >= 0), state << _PLACE_BITS | place, -1)
         return state, arc
 
 
@@ -159,18 +161,19 @@ class Model:
         self.automaton, self.values = automaton, values
 
 
-def learn(docs: DataFrame) -> Model:
-    """The model of all texts of ``docs (text)``."""
+def learn(docs: DataFrame, context_bits: int = CONTEXT_BITS, frequent_bits: int = FREQUENT_BITS) -> Model:
+    """The model of all texts of ``docs (text)``; ``context_bits`` is at most
+    ``frequent_bits``, which only decides where a weight is looked up."""
     spark = docs.sparkSession
     unigrams = stored(_counted(docs, lambda: lambda t, first: t), "lm-tokens")
     sizes = unigrams.agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).first()
     total, kinds = sizes["total"] or 0, sizes["kinds"]
     # at most 2^FREQUENT_BITS rows, as shares add up to one
-    often = unigrams.where(F.col("n").cast("double") * (1 << FREQUENT_BITS) >= total).toArrow()
+    often = unigrams.where(F.col("n").cast("double") * (1 << frequent_bits) >= total).toArrow()
     hashes, counts = often["key"].to_numpy().view(np.uint64), often["n"].to_numpy()
     order = np.argsort(hashes)
     hashes, counts = hashes[order], counts[order]
-    contexts = Contexts(hashes[counts * float(1 << CONTEXT_BITS) >= total])
+    contexts = Contexts(hashes[counts * float(1 << context_bits) >= total])
     context_counts = counts[_find(hashes, contexts.hashes)]
     shared = spark.sparkContext.broadcast(contexts)
 
@@ -185,8 +188,8 @@ def learn(docs: DataFrame) -> Model:
 
     bigrams = _counted(docs, arc_keys).where(F.col("n") >= MIN_COUNT)
     bigrams = stored(
-        bigrams.withColumn("state", F.shiftright("key", CONTEXT_BITS)).withColumn(
-            "word", F.col("key").bitwiseAND((1 << CONTEXT_BITS) - 1)
+        bigrams.withColumn("state", F.shiftright("key", _PLACE_BITS)).withColumn(
+            "word", F.col("key").bitwiseAND((1 << _PLACE_BITS) - 1)
         ),
         "lm-arcs",
     )
@@ -208,13 +211,13 @@ def learn(docs: DataFrame) -> Model:
         "key", "n", (F.log10("p") - F.log10("p_root") - F.col("fail")).alias("gain")
     )
     gains = stored(gains, "lm-gains")
-    hot = F.col("n").cast("double") * (1 << FREQUENT_BITS) >= total
+    hot = F.col("n").cast("double") * (1 << frequent_bits) >= total
     top = gains.where(hot).toArrow()
     by_key = np.argsort(top["key"].to_numpy())
     automaton = Automaton(
         contexts, total, kinds, hashes, counts, fail, top["key"].to_numpy()[by_key], top["gain"].to_numpy()[by_key]
     )
-    rare = unigrams.where(F.col("n").cast("double") * (1 << FREQUENT_BITS) < total)
+    rare = unigrams.where(F.col("n").cast("double") * (1 << frequent_bits) < total)
     values = rare.select("key", F.lit(0).alias("kind"), F.log10(F.col("n") + 1.0).alias("value")).union(
         gains.where(~hot).select("key", F.lit(1).alias("kind"), F.col("gain").alias("value"))
     )
