@@ -154,9 +154,12 @@ def calibrate(examples: DataFrame) -> DataFrame:
     bins = examples.select(
         F.least(F.greatest(F.floor(F.col("score") / BIN), F.lit(-BINS)), F.lit(BINS)).alias("bin"), "accepted"
     )
-    counts = bins.groupBy("bin").agg(
+    found = bins.groupBy("bin").agg(
         F.count_if("accepted").alias("good"), F.count_if(~F.col("accepted")).alias("bad")
     )
+    # every edge stands for choice, also those between two examples
+    edges = examples.sparkSession.range(-BINS, BINS + 2).withColumnRenamed("id", "bin")
+    counts = edges.join(found, "bin", "left").fillna(0, ["good", "bad"])
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
     errors = counts.select(
