@@ -1,9 +1,9 @@
 """Display texts and notification message templates (Column -> Column).
 
-Rounding rule: decimal half-even (``bround``) on the exact value.  The
-original formatting used binary floating point, where e.g. 0.35 km shows as
-"0.3"; exact half-even gives "0.4".  Integer inputs make every tie exact, so
-this is the one documented difference.
+Rounding rules: kilometres show one decimal of the binary quotient, rounded
+by its exact value, as number formatting does (350 m is a little under 0.35
+and shows "0.3 km", 50 m a little over 0.05 and shows "0.1 km"); minutes are
+rounded half-even.
 """
 
 from __future__ import annotations
@@ -31,10 +31,10 @@ TEMPLATE_DEFAULT = "Félicitations {n} ! Discipline {sport} pratiquée pendant {
 
 
 def display_km(distance_m: Column | str) -> Column:
-    """``"x.y km"`` (one decimal, half-even) or ``distance inconnue``."""
+    """``"x.y km"`` (one decimal) or ``distance inconnue``."""
     d = col_(distance_m)
-    km = F.bround(d.cast("decimal(20,0)") / F.lit(1000), 1)
-    return F.when(d.isNull(), F.lit(TXT_DISTANCE_UNKNOWN)).otherwise(F.concat(km.cast("string"), F.lit(" km")))
+    km = F.replace(F.format_number(d.cast("double") / F.lit(1000.0), 1), F.lit(","), F.lit(""))
+    return F.when(d.isNull(), F.lit(TXT_DISTANCE_UNKNOWN)).otherwise(F.concat(km, F.lit(" km")))
 
 
 def display_minutes(duration_sec: Column | str) -> Column:

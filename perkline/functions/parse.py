@@ -23,13 +23,13 @@ def parse_local_noon(c: Column | str, zone: str = "Europe/Paris") -> Column:
 
 
 def parse_duration(c: Column | str) -> Column:
-    """``H:M:S`` (any digit counts, no range check) -> seconds."""
+    """``H:M:S`` (any digit counts, no range check) -> seconds; what an
+    integer cannot hold is invalid (NULL)."""
     text = strip_quotes(c)
     ok = text.rlike(DURATION_PATTERN)
-    h = F.regexp_extract(text, DURATION_PATTERN, 1).cast("long")
-    m = F.regexp_extract(text, DURATION_PATTERN, 2).cast("long")
-    s = F.regexp_extract(text, DURATION_PATTERN, 3).cast("long")
-    return F.when(ok, (h * 3600 + m * 60 + s).cast("int"))
+    h, m, s = (F.regexp_extract(text, DURATION_PATTERN, i).try_cast("double") for i in (1, 2, 3))
+    total = h * 3600 + m * 60 + s
+    return F.when(ok & (total <= F.lit(2147483647.0)), total.cast("int"))
 
 
 def parse_distance(c: Column | str) -> Column:

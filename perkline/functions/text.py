@@ -17,7 +17,8 @@ WS_CLASS = "[\\s\\u00A0]"
 def _accent_table() -> tuple[str, str]:
     """Single-character accent folding table built from a rule.
 
-    For every code point of Latin-1 Supplement and Latin Extended-A, the
+    For every code point from the Latin-1 Supplement to Latin Extended-B, and
+    of Latin Extended Additional, the
     NFKD decomposition with combining marks removed is computed; code
     points folding to exactly one different character form the table
     (é -> e, Ç -> C, no-break space -> space, ...).  Expansions to several
@@ -25,7 +26,7 @@ def _accent_table() -> tuple[str, str]:
     unchanged.
     """
     src, dst = [], []
-    for code in range(0x00A0, 0x0180):
+    for code in [*range(0x00A0, 0x0250), *range(0x1E00, 0x1F00)]:
         ch = chr(code)
         folded = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
         if len(folded) == 1 and folded != ch:
@@ -37,6 +38,10 @@ def _accent_table() -> tuple[str, str]:
 ACCENTED, UNACCENTED = _accent_table()
 
 
+#: combining marks (accents that follow their letter)
+COMBINING = "[\u0300-\u036F]"
+
+
 def col_(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -53,7 +58,8 @@ def strip_ws(c: Column | str) -> Column:
 def normalise_text(c: Column | str) -> Column:
     """strip, lower-case, drop accents; NULL becomes ''."""
     base = F.lower(strip_ws(F.coalesce(col_(c).cast("string"), F.lit(""))))
-    return F.translate(base, ACCENTED, UNACCENTED)
+    # composed letters by the table, decomposed ones by dropping their marks
+    return F.regexp_replace(F.translate(base, ACCENTED, UNACCENTED), COMBINING, "")
 
 
 def fold_label(c: Column | str) -> Column:

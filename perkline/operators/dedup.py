@@ -5,9 +5,9 @@ aggregate of an ordered struct (``min``/``max``), which Spark evaluates with
 a partial aggregate before the shuffle: however many rows a hot key has,
 each map task sends at most one row per key.  When the discarded rows are
 needed too, the winners' unique row ids are joined back on the row id,
-whose hash spreads evenly whatever the key skew.  Group sizes are computed
-the same way (partial count, then a join on the key that AQE can split when
-one key is huge) instead of an unbounded window sort over one key.
+whose hash spreads evenly whatever the key skew.  Group sizes are a partial
+count, joined back on the key and a salt, instead of an unbounded window sort
+over one key.
 """
 
 from __future__ import annotations
@@ -18,6 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: tasks over which a hot key's rows spread when its size is joined back
+SALTS = 32
+
+
 def _order_struct(df: DataFrame, keys: Sequence[str], order: Sequence[str], payload: bool) -> Column:
     fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
     if payload:
@@ -73,12 +77,20 @@ def split_one_per_group(
 
 def with_group_size(df: DataFrame, keys: Sequence[str], name: str = "n_group") -> DataFrame:
     """Attach the number of rows sharing ``keys`` (NULL keys form a group,
-    as in pandas ``duplicated``)."""
+    as in pandas ``duplicated``).
+
+    Only groups of several rows are joined back, each under ``SALTS`` salts
+    that a row's other columns choose from, so a hot key's rows spread over
+    as many tasks (the aggregate's side keeps adaptive splitting from it).
+    """
     safe = [F.coalesce(F.col(k).cast("string"), F.lit("\u0000")).alias(f"_k{i}") for i, k in enumerate(keys)]
-    with_keys = df.select("*", *safe)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SALTS)).alias("_salt")
+    with_keys = df.select("*", *safe, salt)
     knames = [f"_k{i}" for i in range(len(keys))]
-    sizes = with_keys.groupBy(*knames).agg(F.count(F.lit(1)).alias(name))
-    return with_keys.join(sizes, knames, "inner").drop(*knames)
+    sizes = with_keys.groupBy(*knames).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
+    sizes = sizes.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt"))
+    joined = with_keys.join(sizes, [*knames, "_salt"], "left").drop(*knames, "_salt")
+    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(1).cast("long")))
 
 
 def duplicated_groups(df: DataFrame, keys: Sequence[str], name: str = "n_group") -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from perkline.session import scratch_path
+from perkline.session import materialise, scratch_path
 
 INSERT, UPDATE, NOOP, KEEP = "insert", "update", "noop", "unchanged"
 
@@ -38,20 +38,29 @@ def assign_ids(df: DataFrame, order: Sequence[str], start: Column, name: str) ->
     """Dense ids ``start + 1, start + 2, ...`` following ``order`` (a total
     order), computed without funnelling the rows through one task.
 
-    Rows are range-partitioned on ``order``; each partition numbers its rows
-    locally, and a partition's offset is the running sum of the sizes of the
-    partitions before it (one small row per partition, so broadcasting it is
-    bounded by the partition count, not by the data).
+    Rows are range-partitioned on ``order`` and written once with the number
+    of their partition; everything else reads that file, as a second
+    evaluation would draw other range bounds.  A partition's rows are numbered
+    in it, and its offset is the running sum of the sizes of those before it
+    (one row per partition).
     """
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    ranged = materialise(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), f"ids-{name}")
     local = Window.partitionBy("_part").orderBy(*order)
-    numbered = ranged.withColumn("_pos", F.row_number().over(local))
-    sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_part", (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_off")
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    out = ranged.withColumn("_pos", F.row_number().over(local)).join(offsets, "_part", "inner")
+    return out.withColumn(name, (start + F.col("_off") + F.col("_pos")).cast("long")).drop("_part", "_pos", "_off")
+
+
+def one_per_key(source: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """``source`` as (keys, ``_s_<col>``, ``_in_s``); a key that occurs twice
+    stops the job instead of fanning the target out."""
+    twice = F.raise_error(F.concat(F.lit("duplicate source key: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])))
+    packed = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*cols)).alias("_v"))
+    return packed.select(
+        *keys, *[F.col(f"_v.{c}").alias(f"_s_{c}") for c in cols], F.when(F.col("_n") == 1, F.lit(True)).otherwise(twice.cast("boolean")).alias("_in_s")
     )
-    out = numbered.join(F.broadcast(offsets), "_part", "inner")
-    return out.withColumn(name, (start + F.coalesce("_off", F.lit(0)) + F.col("_pos")).cast("long")).drop("_part", "_pos", "_off")
 
 
 def upsert(
@@ -62,7 +71,8 @@ def upsert(
     id_col: str | None = None,
     insert_defaults: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """M1: unconditional upsert on ``keys``.
+    """M1: unconditional upsert on ``keys`` (equal by ``=``, so a NULL key
+    matches nothing).
 
     Matched keys take ``update_cols`` from the source and keep every other
     target column (id, ingestion date, flags); new keys are inserted with
@@ -70,27 +80,27 @@ def upsert(
     in the target are kept.  Adds ``action``.
     """
     insert_defaults = insert_defaults or {}
-    t = target.withColumn("_in_t", F.lit(True))
-    s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in update_cols]).withColumn("_in_s", F.lit(True))
-    j = t.join(s, list(keys), "full_outer")
-    in_t, in_s = F.col("_in_t").isNotNull(), F.col("_in_s").isNotNull()
-    out_cols = []
-    for c in target.columns:
-        if c in keys:
-            out_cols.append(F.col(c))
-        elif c in update_cols:
-            out_cols.append(F.when(in_s, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c))
-        elif c in insert_defaults:
-            out_cols.append(F.when(in_t, F.col(c)).otherwise(insert_defaults[c]).alias(c))
-        else:
-            out_cols.append(F.col(c))
-    action = F.when(in_t & in_s, F.lit(UPDATE)).when(in_s, F.lit(INSERT)).otherwise(F.lit(KEEP))
-    merged = j.select(*out_cols, action.alias("action"))
-    if id_col is None:
-        return merged
-    start = target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m")).select("m").scalar()
-    new = assign_ids(merged.filter(F.col("action") == INSERT).drop(id_col), keys, start, id_col)
-    return merged.filter(F.col("action") != INSERT).unionByName(new.select(*merged.columns))
+    j = target.join(one_per_key(source, keys, update_cols), list(keys), "left")
+    in_s = F.col("_in_s").isNotNull()
+    old = j.select(
+        *[F.when(in_s, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in update_cols else F.col(c) for c in target.columns],
+        F.when(in_s, F.lit(UPDATE)).otherwise(F.lit(KEEP)).alias("action"),
+    )
+    fields = {f.name: f.dataType for f in target.schema.fields}
+
+    def inserted(c: str) -> Column:
+        if c in keys or c in update_cols:
+            return F.col(c).cast(fields[c])
+        return insert_defaults.get(c, F.lit(None)).cast(fields[c]).alias(c)
+
+    new = source.join(target.select(*keys), list(keys), "left_anti")
+    new = new.select(*[inserted(c) for c in target.columns if c != id_col], F.lit(INSERT).alias("action"))
+    if id_col is not None:
+        start = target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m")).select("m").scalar()
+        new = assign_ids(new, keys, start, id_col)
+    else:
+        new = new.select(*old.columns)
+    return old.unionByName(new.select(*old.columns))
 
 
 def upsert_if_changed(
@@ -105,8 +115,7 @@ def upsert_if_changed(
     flag is set TRUE on insert/update.  ``action``: insert / update / noop
     (matched, identical) / unchanged (target only)."""
     t = target.withColumn("_in_t", F.lit(True))
-    s = source.select(key, *[F.col(c).alias(f"_s_{c}") for c in compare_cols]).withColumn("_in_s", F.lit(True))
-    j = t.join(s, key, "full_outer")
+    j = t.join(one_per_key(source, [key], compare_cols), key, "full_outer")
     in_t, in_s = F.col("_in_t").isNotNull(), F.col("_in_s").isNotNull()
     changed = any_distinct([(F.col(c), F.col(f"_s_{c}")) for c in compare_cols])
     if flag_col:
@@ -257,7 +266,7 @@ def merge_sql(table: str, source_view: str, keys: Sequence[str], update_cols: Se
     ``change_only`` adds the ``IS DISTINCT FROM`` guard of M2/M3 (the update
     fires only when a listed column changes).
     """
-    on = " AND ".join(f"t.{k} <=> s.{k}" for k in keys)
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
     sets = ", ".join(f"t.{c} = s.{c}" for c in update_cols)
     guard = ""
     if change_only:

@@ -20,7 +20,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perkline.session import materialise
 
 OK, WARN, FAIL = "OK", "WARN", "FAIL"
 
@@ -105,35 +104,6 @@ def columns_metric(columns, check: Check) -> int:
     return 0 if list(columns) == list(check.cols) else 1
 
 
-def passes(checks: Sequence[Check]) -> dict[str, int]:
-    """Number of scans each table gets from ``checks`` (one for all its
-    counting checks, one per duplicate check, one per reference side)."""
-    out: dict[str, int] = {}
-    counting = {c.table for c in checks if c.kind in ("row_count", "missing", "domain", "failed_rows", "warn_rows", "required")}
-    for t in counting:
-        out[t] = out.get(t, 0) + 1
-    for c in checks:
-        if c.kind == "duplicates":
-            out[c.table] = out.get(c.table, 0) + 1
-        elif c.kind in ("reference", "same_count"):
-            out[c.table] = out.get(c.table, 0) + (1 if c.kind == "reference" else 0)
-            out[c.parent] = out.get(c.parent, 0) + 1
-    return out
-
-
-def _materialise_shared(tables: dict[str, DataFrame], checks: Sequence[Check]) -> dict[str, DataFrame]:
-    """A table read by several check passes is written once to the shared
-    checkpoint folder (lineage cut, survives executor loss) unless it is
-    already kept or a local relation; single-pass tables stay lazy."""
-    out = dict(tables)
-    for name, n in passes(checks).items():
-        df = out[name]
-        kept = df.storageLevel.useDisk or df.storageLevel.useMemory
-        if n > 1 and not kept and not df.isLocal():
-            out[name] = materialise(df, "dq-" + name.replace(".", "_"))
-    return out
-
-
 def _metric_sql(c: Check) -> str:
     if c.kind == "row_count":
         return "count(1)"
@@ -158,7 +128,6 @@ def evaluate(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame
     array of (table, check, type, metric, status) structs, generated as SQL
     text so that building the plan costs one expression per table.
     """
-    tables = _materialise_shared(tables, checks)
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
     for c in checks:

@@ -1,11 +1,12 @@
 """Dataset fingerprint (F5): detect an unchanged input without comparing
 files byte for byte.
 
-The fingerprint of a table is (row count, sum and xor of a 60-bit digest
-of every row).  It is order-insensitive by design and computed in one
-aggregate pass (partial aggregation on every partition), so it scales with
-the cluster; equal fingerprints mean "no change" with overwhelming
-probability.
+The fingerprint of a table is the row count and the sums of both 64-bit
+halves of every row's digest.  It is order-insensitive by design and computed
+in one aggregate pass (partial aggregation on every partition), so it scales
+with the cluster; equal fingerprints mean "no change" with overwhelming
+probability.  A cell enters the digest with its length, and NULL as a mark of
+its own, so no value can move to another cell unseen.
 """
 
 from __future__ import annotations
@@ -15,25 +16,32 @@ from pyspark.sql import functions as F
 
 
 def row_digest(df: DataFrame):
-    text = F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns])
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    cells = []
+    for c in df.columns:
+        text = F.col(c).cast("string")
+        cells.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.md5(F.concat_ws("|", *cells))
+
+
+def _half(digest, start: int):
+    return F.conv(F.substring(digest, start, 16), 16, 10).cast("decimal(38,0)")
 
 
 def fingerprint(df: DataFrame, name: str) -> DataFrame:
     d = row_digest(df)
     return df.agg(
         F.count(F.lit(1)).alias("nb_lignes"),
-        F.sum(d.cast("decimal(38,0)")).alias("somme_empreintes"),
-        F.bit_xor(d).alias("xor_empreintes"),
+        F.sum(_half(d, 1)).alias("somme_haute"),
+        F.sum(_half(d, 17)).alias("somme_basse"),
     ).select(F.lit(name).alias("table_name"), "*")
 
 
 def changed(current: DataFrame, baseline: DataFrame) -> DataFrame:
     """Current fingerprint with ``modifie`` = differs from the baseline."""
     b = baseline.select(
-        "table_name", F.col("nb_lignes").alias("_n"), F.col("somme_empreintes").alias("_s"), F.col("xor_empreintes").alias("_x")
+        "table_name", F.col("nb_lignes").alias("_n"), F.col("somme_haute").alias("_h"), F.col("somme_basse").alias("_b")
     )
     j = current.join(b, "table_name", "left")
-    diff = ~(F.col("nb_lignes").eqNullSafe(F.col("_n")) & F.col("somme_empreintes").eqNullSafe(F.col("_s"))
-             & F.col("xor_empreintes").eqNullSafe(F.col("_x")))
-    return j.select("table_name", "nb_lignes", "somme_empreintes", "xor_empreintes", diff.alias("modifie"))
+    diff = ~(F.col("nb_lignes").eqNullSafe(F.col("_n")) & F.col("somme_haute").eqNullSafe(F.col("_h"))
+             & F.col("somme_basse").eqNullSafe(F.col("_b")))
+    return j.select("table_name", "nb_lignes", "somme_haute", "somme_basse", diff.alias("modifie"))

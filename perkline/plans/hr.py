@@ -1,16 +1,21 @@
 """HR synchronisation (K3): soft delete, roster upsert, links, business
-employees, declared sport — each step a join computing the next version."""
+employees, declared sport.
+
+The steps follow one another on successive versions, but each roster row
+depends only on its own old row and its row of the file, so one full outer
+join gives the next roster and what every step changes.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perkline.config import RunConfig
 from perkline.functions.text import pseudonym
 from perkline.operators import mutate
 
-RH_COMPARE = ["nom", "prenom", "bu", "date_naissance", "adresse_dom", "mod_depl_decl"]
+RH_COMPARE = ["nom", "prenom", "bu", "date_naissance", "adresse_dom", "mod_depl_decl", "type_contrat", "date_embauche"]
 EMPLOYEE_COMPARE = ["nom", "prenom", "bu", "mod_depl_decl"]
 
 
@@ -40,33 +45,66 @@ def new_links(roster_file: DataFrame, salt: str) -> DataFrame:
     return roster_file.select("id_salarie_brut", pseudonym("id_salarie_brut", salt).alias("cle_salarie"))
 
 
+def roster_with_file(roster: DataFrame, roster_file: DataFrame) -> DataFrame:
+    """Old roster rows (``t``) beside the file's (``f``, the sport trimmed and
+    blank as NULL), one row per id of either."""
+    sport = F.trim("sport_declare")
+    old = roster.select("id_salarie_brut", F.struct(*roster.columns).alias("t"))
+    new = mutate.one_per_key(roster_file.withColumn("sport_declare", F.when(F.length(sport) > 0, sport)),
+                             ["id_salarie_brut"], [*RH_COMPARE, "sport_declare"])
+    fields = F.struct(*[F.col(f"_s_{c}").alias(c) for c in [*RH_COMPARE, "sport_declare"]])
+    new = new.select("id_salarie_brut", F.when(F.col("_in_s"), fields).alias("f"))
+    return old.join(new, "id_salarie_brut", "full_outer")
+
+
+def _rh_changed() -> Column:
+    """M2: a new row, a compared column that differs, or a row not active."""
+    t, f = F.col("t"), F.col("f")
+    differs = mutate.any_distinct([(t[c], f[c]) for c in RH_COMPARE]) | mutate.is_distinct(t["actif"], F.lit(True))
+    return f.isNotNull() & (t.isNull() | differs)
+
+
+def next_roster(both: DataFrame, columns: list[str]) -> DataFrame:
+    """The roster after M5 (absent rows inactive), M2 (file rows inserted or
+    updated, and active) and M6 (declared sport)."""
+    t, f = F.col("t"), F.col("f")
+
+    def column(c: str) -> Column:
+        if c == "id_salarie_brut":
+            return F.col(c)
+        if c == "actif":
+            gone = f.isNull() & F.coalesce(t["actif"], F.lit(False))
+            return F.when(_rh_changed(), F.lit(True)).when(gone, F.lit(False)).otherwise(t["actif"]).alias(c)
+        if c in RH_COMPARE or c == "sport_declare":
+            return F.when(f.isNotNull(), f[c]).otherwise(t[c]).alias(c)
+        return t[c].alias(c)
+
+    return both.select(*[column(c) for c in columns])
+
+
+STEPS = ("desactivation", "upsert_rh", "liens", "upsert_metier", "sport_declare")
+
+
 def sync_hr_counts(roster: DataFrame, links: DataFrame, employees: DataFrame, roster_file: DataFrame, run: RunConfig) -> DataFrame:
-    """K3: changed rows per step (M5 -> M2 -> M4 -> M3 -> M6) and in total.
-
-    The steps touch disjoint columns/keys, so each count is computed on the
-    current versions; every count is one aggregate of an ``action`` column.
-    """
-    deact = mutate.deactivate_absent(roster, roster_file, "id_salarie_brut")
-    upsert = mutate.upsert_if_changed(roster, roster_file, "id_salarie_brut", RH_COMPARE, flag_col="actif")
-    links2 = mutate.insert_missing(links, new_links(roster_file, run.salt), "id_salarie_brut")
-    emp = sync_employee(employees, roster_file, links2.drop("action"))
-    sport = mutate.update_if_distinct(roster.select("id_salarie_brut", "sport_declare"), roster_file, "id_salarie_brut", "sport_declare")
-
-    def changed(df: DataFrame, step: str, actions: tuple[str, ...]) -> DataFrame:
-        return df.select(F.lit(step).alias("etape"), F.col("action").isin(*actions).alias("_c"))
-
-    rows = (
-        changed(deact, "desactivation", (mutate.UPDATE,))
-        .unionByName(changed(upsert, "upsert_rh", (mutate.UPDATE, mutate.INSERT)))
-        .unionByName(changed(links2, "liens", (mutate.INSERT,)))
-        .unionByName(changed(emp, "upsert_metier", (mutate.UPDATE, mutate.INSERT)))
-        .unionByName(changed(sport, "sport_declare", (mutate.UPDATE,)))
-    )
-    # every step reports a count, even over empty inputs
-    steps = ("desactivation", "upsert_rh", "liens", "upsert_metier", "sport_declare")
-    rows = rows.unionByName(
-        rows.sparkSession.range(1).select(F.explode(F.array(*[F.lit(x) for x in steps])).alias("etape"), F.lit(False).alias("_c"))
+    """K3: changed rows per step (M5 -> M2 -> M4 -> M3 -> M6) and in total,
+    as conditional sums over one pass of the joined tables.  The sports are
+    updated after the inserts, so a new employee with a sport counts there."""
+    t, f = F.col("t"), F.col("f")
+    known = links.select("id_salarie_brut", F.col("cle_salarie").alias("_cle"))
+    own = employees.select(F.col("cle_salarie").alias("_key"), F.struct(*EMPLOYEE_COMPARE).alias("e"))
+    rows = roster_with_file(roster, roster_file).join(known, "id_salarie_brut", "left")
+    rows = rows.withColumn("_key", F.coalesce("_cle", pseudonym("id_salarie_brut", run.salt))).join(own, "_key", "left")
+    e = F.col("e")
+    employee = e.isNull() | mutate.any_distinct([(e[c], f[c]) for c in EMPLOYEE_COMPARE])
+    counts = (
+        f.isNull() & F.coalesce(t["actif"], F.lit(False)),
+        _rh_changed(),
+        f.isNotNull() & F.col("_cle").isNull(),
+        f.isNotNull() & employee,
+        f.isNotNull() & mutate.is_distinct(t["sport_declare"], f["sport_declare"]),
     )
-    # one aggregation (grouping sets): a row per step plus the grand total
-    counted = rows.rollup("etape").agg(F.count_if("_c").alias("nb_lignes"))
-    return counted.select(F.coalesce("etape", F.lit("total")).alias("etape"), F.col("nb_lignes").cast("long").alias("nb_lignes"))
+    one = rows.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(step) for step, c in zip(STEPS, counts, strict=True)])
+    total = sum((F.col(step) for step in STEPS[1:]), F.col(STEPS[0]))
+    named = [F.struct(F.lit(step).alias("etape"), F.col(step).cast("long").alias("nb_lignes")) for step in STEPS]
+    named.append(F.struct(F.lit("total").alias("etape"), total.cast("long").alias("nb_lignes")))
+    return one.select(F.explode(F.array(*named)).alias("x")).select("x.*")

@@ -7,10 +7,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Parameter histories are configuration; above this many versions the
-# as-of join is left to Spark's own (size-based) strategy choice.
-MAX_BROADCAST_VERSIONS = 100_000
-
 # Typed parameter spec: code -> SQL type of the pivoted column.
 PIVOT_SPEC = (
     ("taux_prime", "decimal(10,4)"),
@@ -56,13 +52,8 @@ def effective_params_at(params: DataFrame, days: DataFrame, day_col: str = "jour
     )
     d = days.select(F.col(day_col).alias("jour")).distinct()
     cond = (F.col("jour") >= F.col("date_effet")) & (F.col("valid_to").isNull() | (F.col("jour") < F.col("valid_to")))
-    # the broadcast hint is used only once the version table is proven
-    # small (a limited count reads at most MAX_BROADCAST_VERSIONS + 1 rows)
-    # (a frame Spark folds into a local relation is configuration-sized by
-    # construction and needs no counting job)
-    small = versions.isLocal() or versions.limit(MAX_BROADCAST_VERSIONS + 1).count() <= MAX_BROADCAST_VERSIONS
-    right = F.broadcast(versions) if small else versions
-    return d.join(right, cond, "inner").select("jour", "code_param", "valeur_param", "date_effet")
+    # no hint: Spark picks the join by the version table's size
+    return d.join(versions, cond, "inner").select("jour", "code_param", "valeur_param", "date_effet")
 
 
 def param_pivot(effective: DataFrame) -> DataFrame:

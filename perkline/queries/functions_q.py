@@ -184,8 +184,8 @@ def q_parse_local_noon(spark, sf_dir):
 
 DUR_RE = r"^(\d+):(\d+):(\d+)$"
 DURATION_SQL = (
-    "CASE WHEN regexp_matches({x}, '" + DUR_RE + "') THEN CAST(CAST(regexp_extract({x}, '" + DUR_RE + "', 1) AS BIGINT) * 3600 "
-    "+ CAST(regexp_extract({x}, '" + DUR_RE + "', 2) AS BIGINT) * 60 + CAST(regexp_extract({x}, '" + DUR_RE + "', 3) AS BIGINT) AS INTEGER) END"
+    "CASE WHEN regexp_matches({x}, '" + DUR_RE + "') THEN TRY_CAST(TRY_CAST(regexp_extract({x}, '" + DUR_RE + "', 1) AS HUGEINT) * 3600 "
+    "+ TRY_CAST(regexp_extract({x}, '" + DUR_RE + "', 2) AS HUGEINT) * 60 + TRY_CAST(regexp_extract({x}, '" + DUR_RE + "', 3) AS HUGEINT) AS INTEGER) END"
 )
 
 
@@ -334,11 +334,8 @@ def q_age_band(spark, sf_dir):
 
 
 def km_text_sql(d: str) -> str:
-    # exact half-even tenths of km from integer metres
-    q = f"({d} // 100)"
-    r = f"({d} % 100)"
-    tenths = f"(CASE WHEN {r} > 50 THEN {q} + 1 WHEN {r} < 50 THEN {q} ELSE {q} + ({q} % 2) END)"
-    return f"CASE WHEN {d} IS NULL THEN 'distance inconnue' ELSE CAST({tenths} // 10 AS VARCHAR) || '.' || CAST({tenths} % 10 AS VARCHAR) || ' km' END"
+    # one decimal of the binary quotient, as C's printf rounds it
+    return f"CASE WHEN {d} IS NULL THEN 'distance inconnue' ELSE printf('%.1f', CAST({d} AS DOUBLE) / 1000) || ' km' END"
 
 
 def minutes_text_sql(s: str) -> str:

@@ -65,7 +65,7 @@ def q_upsert_activities(spark, sf_dir):
     ).select(*ACT_COLS, "action")
 
 
-RH_CMP = ["nom", "prenom", "bu", "date_naissance", "adresse_dom", "mod_depl_decl"]
+RH_CMP = ["nom", "prenom", "bu", "date_naissance", "adresse_dom", "mod_depl_decl", "type_contrat", "date_embauche"]
 RH_COLS = ["id_salarie_brut", *RH_CMP, "brut_annuel", "sport_declare", "actif"]
 
 
@@ -187,13 +187,18 @@ def _count(sql: str, actions: str) -> str:
     return f"(SELECT count(*) FROM ({sql}) WHERE action IN ({actions}))"
 
 
+SPORT_FILE = "SELECT id_salarie_brut, nullif(trim(sport_declare), '') AS v FROM b_roster_v2"
+# sports are compared after the inserts: a new employee's old sport is NULL
+SPORT_AFTER_INSERTS = twin(
+    f"SELECT s.id_salarie_brut FROM ({SPORT_FILE}) s LEFT JOIN b_roster r USING (id_salarie_brut) WHERE r.sport_declare IS DISTINCT FROM s.v"
+)
 SYNC_COUNTS_TWIN = (
     "SELECT etape, nb_lignes FROM (VALUES "
     f"('desactivation', {_count(DEACT_TWIN, chr(39) + 'update' + chr(39))}), "
     f"('upsert_rh', {_count(UPSERT_RH_TWIN, chr(39) + 'update' + chr(39) + ', ' + chr(39) + 'insert' + chr(39))}), "
     f"('liens', {_count(INS_LINKS_TWIN, chr(39) + 'insert' + chr(39))}), "
     f"('upsert_metier', {_count(SYNC_EMP_TWIN, chr(39) + 'update' + chr(39) + ', ' + chr(39) + 'insert' + chr(39))}), "
-    f"('sport_declare', {_count(UPD_SPORT_TWIN, chr(39) + 'update' + chr(39))})) AS s(etape, nb_lignes) "
+    f"('sport_declare', (SELECT count(*) FROM ({SPORT_AFTER_INSERTS})))) AS s(etape, nb_lignes) "
 )
 SYNC_COUNTS_TWIN = (
     f"WITH steps AS ({SYNC_COUNTS_TWIN}) SELECT etape, CAST(nb_lignes AS BIGINT) AS nb_lignes FROM steps "
@@ -210,6 +215,26 @@ def q_sync_hr_counts(spark, sf_dir):
     return sync_hr_counts(t.roster().select(*RH_COLS), t.link(), _employees_v1(t), t.roster_v2(), RUN)
 
 
+NEXT_ROSTER_TWIN = twin(
+    "SELECT id_salarie_brut, " + ", ".join(RH_CMP) + ", brut_annuel, sport_declare, "
+    "(actif AND id_salarie_brut IN (SELECT id_salarie_brut FROM b_roster_v2)) AS actif FROM (SELECT r.id_salarie_brut, "
+    + ", ".join(f"CASE WHEN s.id_salarie_brut IS NULL THEN r.{c} ELSE s.{c} END AS {c}" for c in RH_CMP)
+    + ", r.brut_annuel, CASE WHEN s.id_salarie_brut IS NULL THEN r.sport_declare ELSE nullif(trim(s.sport_declare), '') END AS sport_declare, "
+    "s.id_salarie_brut IS NOT NULL AS actif FROM b_roster r LEFT JOIN b_roster_v2 s ON s.id_salarie_brut = r.id_salarie_brut "
+    "UNION ALL SELECT id_salarie_brut, " + ", ".join(RH_CMP) + ", NULL, nullif(trim(sport_declare), ''), true FROM b_roster_v2 "
+    "WHERE id_salarie_brut NOT IN (SELECT id_salarie_brut FROM b_roster))"
+)
+
+
+@register("sync_hr_roster", NEXT_ROSTER_TWIN)
+def q_sync_hr_roster(spark, sf_dir):
+    """K3: the roster after all steps of the sync."""
+    from perkline.plans.hr import next_roster, roster_with_file
+
+    t = T(spark, sf_dir)
+    return next_roster(roster_with_file(t.roster().select(*RH_COLS), t.roster_v2()), RH_COLS)
+
+
 @register(
     "reload_by_source",
     twin(

@@ -312,19 +312,22 @@ def q_prepare_activities(spark, sf_dir):
 
 
 FP_SQL = (
-    "SELECT '{name}' AS table_name, count(*) AS nb_lignes, sum(CAST(('0x' || substring(md5({row}), 1, 15)) AS BIGINT)::DECIMAL(38,0)) "
-    "AS somme_empreintes, bit_xor(CAST(('0x' || substring(md5({row}), 1, 15)) AS BIGINT)) AS xor_empreintes FROM {rel}"
+    "SELECT '{name}' AS table_name, count(*) AS nb_lignes, sum(CAST('0x' || substring(md5({row}), 1, 16) AS UBIGINT)::DECIMAL(38,0)) "
+    "AS somme_haute, sum(CAST('0x' || substring(md5({row}), 17, 16) AS UBIGINT)::DECIMAL(38,0)) AS somme_basse FROM {rel}"
 )
+FP_COLS = ["id_salarie_brut", "nom", "prenom", "bu", "date_naissance", "adresse_dom", "mod_depl_decl", "sport_declare"]
 ROSTER_ROW = (
-    "concat_ws('|', id_salarie_brut, nom, prenom, bu, CAST(date_naissance AS VARCHAR), adresse_dom, mod_depl_decl, sport_declare)"
+    "concat_ws('|', "
+    + ", ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in FP_COLS)
+    + ")"
 )
 
 
 @register(
     "dataset_fingerprint",
     twin(
-        "SELECT a.table_name, a.nb_lignes, a.somme_empreintes, a.xor_empreintes, "
-        "(a.nb_lignes <> b.nb_lignes OR a.somme_empreintes <> b.somme_empreintes OR a.xor_empreintes <> b.xor_empreintes) AS modifie FROM ("
+        "SELECT a.table_name, a.nb_lignes, a.somme_haute, a.somme_basse, "
+        "(a.nb_lignes <> b.nb_lignes OR a.somme_haute <> b.somme_haute OR a.somme_basse <> b.somme_basse) AS modifie FROM ("
         + FP_SQL.format(name="rh_salarie", row=ROSTER_ROW, rel="b_roster")
         + ") a, ("
         + FP_SQL.format(name="rh_salarie", row=ROSTER_ROW, rel="b_roster_v2")
@@ -333,13 +336,12 @@ ROSTER_ROW = (
 )
 def q_dataset_fingerprint(spark, sf_dir):
     """order-insensitive fingerprint of the HR file and change flag
-    against the previous version (count, sum and xor of row digests)."""
+    against the previous version (count and sums of row digests)."""
     from perkline.plans.fingerprint import changed, fingerprint
 
     t = T(spark, sf_dir)
-    cols = ["id_salarie_brut", "nom", "prenom", "bu", "date_naissance", "adresse_dom", "mod_depl_decl", "sport_declare"]
-    cur = fingerprint(t.roster().select(*cols), "rh_salarie")
-    base = fingerprint(t.roster_v2().select(*cols), "rh_salarie")
+    cur = fingerprint(t.roster().select(*FP_COLS), "rh_salarie")
+    base = fingerprint(t.roster_v2().select(*FP_COLS), "rh_salarie")
     return changed(cur, base)
 
 

@@ -47,7 +47,7 @@ C_BI_ACT = (
 )
 C_BI_EMP = (
     "x_bi_emp",
-    "SELECT l.cle_salarie, r.nom, r.prenom, r.bu, CAST(NULL AS VARCHAR) AS type_contrat, CAST(NULL AS DATE) AS date_embauche, "
+    "SELECT l.cle_salarie, r.nom, r.prenom, r.bu, r.type_contrat, r.date_embauche, "
     f"r.date_naissance, {X.canonical('r.mod_depl_decl', TRAVEL_MODES, 'mod_depl_decl_normalise', 'mod_depl_decl_inconnu')} "
     "FROM b_link l JOIN b_roster r ON r.id_salarie_brut = l.id_salarie_brut",
 )

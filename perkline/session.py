@@ -11,8 +11,8 @@ Every job in the package assumes:
 
 Scratch data (staged table versions, exported files, checkpoints) always goes
 under ``spark.checkpoint.dir``: on a cluster that is the shared folder the
-platform configured.  A private folder is created only when the setting is
-unset, which is the local/test case.
+platform configured.  A private folder is created only for a local session
+without the setting; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -72,8 +72,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for staged data: ``spark.checkpoint.dir`` of the session.
 
-    Only when the session has none (local runs, tests) a private folder is
-    created and registered, so that ``DataFrame.checkpoint()`` works too.
+    Only a local session may have none: a private folder is created and
+    registered then.  On a cluster each executor would write to its own disk,
+    so a missing setting is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getCheckpointDir()
@@ -81,6 +82,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError(f"{_CHECKPOINT_KEY} must name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="perkline-ckpt-")
     spark.conf.set(_CHECKPOINT_KEY, local)
     sc.setCheckpointDir(local)

@@ -20,16 +20,8 @@ from perkline.functions.text import pseudonym
 
 
 def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; an input that yields fewer splits than the cluster has
-    cores (a small file with one row group) is spread round-robin so the
-    string-heavy narrow work uses every core.  Large inputs already have
-    many splits and are never reshuffled; filters and column pruning still
-    reach the scan below the repartition."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    """Parquet scan; splits are the file source's own."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _memo(method):
@@ -114,6 +106,10 @@ class Tables:
             .when(key % 13 == 1, F.lit("  "))
             .otherwise(F.concat(key.cast("string"), F.lit(" avenue "), F.col("c_mktsegment")))
             .alias("adresse_dom"),
+            F.when(key % 5 == 0, "CDD").otherwise("CDI").alias("type_contrat"),
+            F.when(key % 31 != 0, F.date_add(F.lit("1990-01-01").cast("date"), ((key * 31) % 12000).cast("int"))).alias(
+                "date_embauche"
+            ),
         )
 
     @_memo
@@ -124,10 +120,11 @@ class Tables:
     # -- activities (metier.activite) ------------------------------------
     @_memo
     def activities(self) -> DataFrame:
-        """Activity rows: every event, plus a second copy of every 20th event
-        (ids shifted by 1 000 000) — exact duplicates for the dedup logic."""
-        e = self.raw("events").select("event_id", "ts", "user_id", "event_type", "value")
-        dup = e.filter(F.col("event_id") % 20 == 0).withColumn("event_id", F.col("event_id") + 1000000)
+        """Activity rows: every event under twice its id, plus a second copy
+        of every 20th event under the odd id after it — exact duplicates for
+        the dedup logic, with ids that cannot collide."""
+        e = self.raw("events").select("event_id", "ts", "user_id", "event_type", "value", (F.col("event_id") * 2).alias("ident"))
+        dup = e.filter(F.col("event_id") % 20 == 0).withColumn("ident", F.col("ident") + 1)
         both = e.unionByName(dup)
         et = F.col("event_type")
         label = (
@@ -139,7 +136,7 @@ class Tables:
         )
         ident = F.col("event_id")
         return both.select(
-            ident.alias("id_activite"),
+            F.col("ident").alias("id_activite"),
             pseudonym(F.col("user_id").cast("string"), self.run.salt).alias("cle_salarie"),
             F.col("ts").alias("date_debut"),
             local_day("ts", self.run.zone).alias("jour"),
@@ -164,9 +161,12 @@ class Tables:
             .when(pr == "5-LOW", "Trottinette volante")
             .otherwise("véhicule thermique/électrique")
         )
-        return o.filter(F.col("o_custkey") % 9 != 0).select(
+        # employees whose key is divisible by 9 have no check of their own:
+        # those rows belong to people who are not on the roster
+        person = F.when(F.col("o_custkey") % 9 == 0, F.concat(F.lit("ex-"), F.col("o_custkey").cast("string")))
+        return o.select(
             F.col("o_orderkey").alias("id_ctrl"),
-            pseudonym(F.col("o_custkey").cast("string"), self.run.salt).alias("cle_salarie"),
+            pseudonym(F.coalesce(person, F.col("o_custkey").cast("string")), self.run.salt).alias("cle_salarie"),
             mode.alias("mode_trajet"),
             F.floor(F.col("o_totalprice") / 10).cast("int").alias("distance_m"),
             F.floor(F.col("o_totalprice") / 100).cast("int").alias("duree_sec"),
@@ -262,9 +262,9 @@ class Tables:
         """Declared sport per employee; ids divisible by 7 appear a second
         time later in the file (with another sport) — first row wins."""
         r = self.roster()
-        base = r.select("id_salarie_brut", "sport_declare", F.col("id_salarie_brut").cast("long").alias("ligne"))
+        base = r.select("id_salarie_brut", "sport_declare", (F.col("id_salarie_brut").cast("long") * 2).alias("ligne"))
         later = r.filter(F.col("id_salarie_brut").cast("long") % 7 == 0).select(
-            "id_salarie_brut", F.lit("Judo").alias("sport_declare"), (F.col("id_salarie_brut").cast("long") + 100000).alias("ligne")
+            "id_salarie_brut", F.lit("Judo").alias("sport_declare"), (F.col("id_salarie_brut").cast("long") * 2 + 1).alias("ligne")
         )
         return base.unionByName(later)
 
@@ -273,7 +273,8 @@ class Tables:
     def roster_v2(self) -> DataFrame:
         """Next HR file: ids ending in 0 are gone, ids divisible by 7 get a
         new business unit, and ids ending in 0 come back as new employees
-        under id + 10 000 000.  Sports of ids divisible by 7 change."""
+        under "N" + id.  Sports of ids divisible by 7 change; the contract
+        type or hire date alone changes for ids 3 and 4 modulo 11."""
         r = self.roster()
         k = F.col("id_salarie_brut").cast("long")
         cols = ["nom", "prenom", "date_naissance", "adresse_dom", "mod_depl_decl"]
@@ -282,9 +283,11 @@ class Tables:
             *cols,
             F.when(k % 7 == 0, F.concat("bu", F.lit("_maj"))).otherwise(F.col("bu")).alias("bu"),
             F.when(k % 7 == 0, F.lit("Judo")).otherwise(F.col("sport_declare")).alias("sport_declare"),
+            F.when(k % 11 == 3, F.lit("CDD")).otherwise(F.col("type_contrat")).alias("type_contrat"),
+            F.when(k % 11 == 4, F.date_add("date_embauche", 1)).otherwise(F.col("date_embauche")).alias("date_embauche"),
         )
         new = r.filter(k % 10 == 0).select(
-            (k + 10000000).cast("string").alias("id_salarie_brut"), *cols, "bu", "sport_declare"
+            F.concat(F.lit("N"), F.col("id_salarie_brut")).alias("id_salarie_brut"), *cols, "bu", "sport_declare", "type_contrat", "date_embauche"
         )
         return kept.unionByName(new)
 

@@ -21,10 +21,12 @@ BINDINGS: dict[str, str] = {
     WHEN 3 THEN 'véhicule  thermique/électrique' WHEN 4 THEN NULL ELSE 'Hoverboard' END AS mod_depl_decl,
   CASE c_custkey % 4 WHEN 0 THEN 'Natation' WHEN 1 THEN 'Tennis' WHEN 2 THEN '' ELSE NULL END AS sport_declare,
   c_custkey % 23 <> 0 AS actif,
-  CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 13 = 1 THEN '  ' ELSE CAST(c_custkey AS VARCHAR) || ' avenue ' || c_mktsegment END AS adresse_dom
+  CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 13 = 1 THEN '  ' ELSE CAST(c_custkey AS VARCHAR) || ' avenue ' || c_mktsegment END AS adresse_dom,
+  CASE WHEN c_custkey % 5 = 0 THEN 'CDD' ELSE 'CDI' END AS type_contrat,
+  CASE WHEN c_custkey % 31 = 0 THEN NULL ELSE DATE '1990-01-01' + CAST(c_custkey*31 % 12000 AS INT) END AS date_embauche
 FROM customer""",
     "b_link": "SELECT id_salarie_brut, cle_salarie FROM b_roster",
-    "b_activity": """SELECT event_id AS id_activite, 'sal_' || substring(sha256('salt|' || CAST(user_id AS VARCHAR)),1,12) AS cle_salarie,
+    "b_activity": """SELECT ident AS id_activite, 'sal_' || substring(sha256('salt|' || CAST(user_id AS VARCHAR)),1,12) AS cle_salarie,
   ts AS date_debut, CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Paris' AS DATE) AS jour,
   CAST(floor(value*60) AS INT) AS duree_sec,
   CASE event_type WHEN 'view' THEN 'Runing' WHEN 'signup' THEN '  natation ' WHEN 'click' THEN 'Tennis  de   table'
@@ -32,13 +34,14 @@ FROM customer""",
   CASE WHEN event_type IN ('view','signup','purchase') AND event_id % 11 <> 0 THEN CAST(event_id*37 % 40000 AS INT) END AS distance_m,
   CASE WHEN event_id % 3 = 0 THEN 'note ' || CAST(event_id AS VARCHAR) ELSE '' END AS commentaire,
   CASE WHEN event_id % 4 = 0 THEN 'csv_simule' ELSE 'csv_gsheet' END AS source_donnee
-FROM (SELECT event_id, ts, user_id, event_type, value FROM events
-      UNION ALL SELECT event_id + 1000000, ts, user_id, event_type, value FROM events WHERE event_id % 20 = 0)""",
-    "b_commute_raw": """SELECT o_orderkey AS id_ctrl, 'sal_' || substring(sha256('salt|' || CAST(o_custkey AS VARCHAR)),1,12) AS cle_salarie,
+FROM (SELECT 2 * event_id AS ident, event_id, ts, user_id, event_type, value FROM events
+      UNION ALL SELECT 2 * event_id + 1, event_id, ts, user_id, event_type, value FROM events WHERE event_id % 20 = 0)""",
+    "b_commute_raw": """SELECT o_orderkey AS id_ctrl,
+  'sal_' || substring(sha256('salt|' || CASE WHEN o_custkey % 9 = 0 THEN 'ex-' ELSE '' END || CAST(o_custkey AS VARCHAR)),1,12) AS cle_salarie,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'Marche/running' WHEN '2-HIGH' THEN 'Vélo/Trottinette/Autres'
     WHEN '3-MEDIUM' THEN 'Transports en commun' WHEN '5-LOW' THEN 'Trottinette volante' ELSE 'véhicule thermique/électrique' END AS mode_trajet,
   CAST(floor(o_totalprice/10) AS INT) AS distance_m, CAST(floor(o_totalprice/100) AS INT) AS duree_sec, o_orderdate AS date_ctrl
-FROM orders WHERE o_custkey % 9 <> 0""",
+FROM orders""",
     "b_params": """SELECT code_param, valeur_param, CAST(date_effet AS DATE) AS date_effet FROM (VALUES
   ('taux_prime','0.04','2023-01-01'),('taux_prime','0.05','2024-01-01'),('taux_prime','0.06','2099-01-01'),
   ('jours_bien_etre','5','2023-01-01'),('min_activites_bien_etre','55','2023-01-01'),('montant_prime_fixe','1500','2023-01-01'),
@@ -73,13 +76,15 @@ FROM b_commute_raw r, b_pivot p""",
 FROM events JOIN customer ON user_id = c_custkey""",
     "b_name_ref": """SELECT CAST(c_custkey AS VARCHAR) AS id_salarie_brut, c_name AS nom, c_mktsegment AS prenom FROM customer
 UNION ALL SELECT 'dup' || CAST(c_custkey AS VARCHAR), upper(c_name), c_mktsegment FROM customer WHERE c_custkey % 40 = 0""",
-    "b_sport_ref": """SELECT id_salarie_brut, sport_declare, CAST(id_salarie_brut AS BIGINT) AS ligne FROM b_roster
-UNION ALL SELECT id_salarie_brut, 'Judo', CAST(id_salarie_brut AS BIGINT) + 100000 FROM b_roster WHERE CAST(id_salarie_brut AS BIGINT) % 7 = 0""",
+    "b_sport_ref": """SELECT id_salarie_brut, sport_declare, 2 * CAST(id_salarie_brut AS BIGINT) AS ligne FROM b_roster
+UNION ALL SELECT id_salarie_brut, 'Judo', 2 * CAST(id_salarie_brut AS BIGINT) + 1 FROM b_roster WHERE CAST(id_salarie_brut AS BIGINT) % 7 = 0""",
     "b_roster_v2": """SELECT id_salarie_brut, nom, prenom, date_naissance, adresse_dom, mod_depl_decl,
   CASE WHEN CAST(id_salarie_brut AS BIGINT) % 7 = 0 THEN bu || '_maj' ELSE bu END AS bu,
-  CASE WHEN CAST(id_salarie_brut AS BIGINT) % 7 = 0 THEN 'Judo' ELSE sport_declare END AS sport_declare
+  CASE WHEN CAST(id_salarie_brut AS BIGINT) % 7 = 0 THEN 'Judo' ELSE sport_declare END AS sport_declare,
+  CASE WHEN CAST(id_salarie_brut AS BIGINT) % 11 = 3 THEN 'CDD' ELSE type_contrat END AS type_contrat,
+  CASE WHEN CAST(id_salarie_brut AS BIGINT) % 11 = 4 THEN date_embauche + 1 ELSE date_embauche END AS date_embauche
 FROM b_roster WHERE CAST(id_salarie_brut AS BIGINT) % 10 <> 0
-UNION ALL SELECT CAST(CAST(id_salarie_brut AS BIGINT) + 10000000 AS VARCHAR), nom, prenom, date_naissance, adresse_dom, mod_depl_decl, bu, sport_declare
+UNION ALL SELECT 'N' || id_salarie_brut, nom, prenom, date_naissance, adresse_dom, mod_depl_decl, bu, sport_declare, type_contrat, date_embauche
 FROM b_roster WHERE CAST(id_salarie_brut AS BIGINT) % 10 = 0""",
     "b_act_table": """SELECT id_activite, cle_salarie, date_debut, duree_sec, type_activite, distance_m, commentaire, source_donnee,
   CAST(DATE '2024-02-15' AS TIMESTAMP) AS date_ingestion, id_activite % 5 = 0 AS flag_slack
