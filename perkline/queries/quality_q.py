@@ -80,6 +80,49 @@ def tables(m: BenefitModel) -> dict:
     }
 
 
+# Injected violations, so that every row check has rows to find: the same SQL
+# text replaces a column in the job's table and in the twin's relation.
+_SOME = "right(cle_salarie, 1) IN ('0', '7')"
+FAULTS: dict[str, dict[str, str]] = {
+    S.ACT: {
+        "distance_m": "CAST(CASE WHEN id_activite % 13 = 0 THEN -5 ELSE distance_m END AS INT)",
+        "date_debut": "CASE WHEN id_activite % 17 = 0 THEN date_debut - INTERVAL '400' DAY ELSE date_debut END",
+    },
+    S.V_ACT: {
+        "duree_sec": "CAST(CASE WHEN right(cle_dedup_activite, 1) = '3' THEN -1 ELSE duree_sec END AS INT)",
+        "distance_m": "CAST(CASE WHEN right(cle_dedup_activite, 1) = '5' THEN -1 ELSE distance_m END AS INT)",
+        "type_activite_inconnu": "CASE WHEN right(cle_dedup_activite, 2) = 'a1' THEN NOT type_activite_inconnu "
+        "WHEN right(cle_dedup_activite, 2) = 'a2' THEN NULL ELSE type_activite_inconnu END",
+    },
+    S.V_CTRL: {
+        "duree_min": f"CASE WHEN {_SOME} THEN NULL ELSE duree_min END",
+        "distance_km": "CASE WHEN right(cle_salarie, 1) = '4' THEN -distance_km ELSE distance_km END",
+    },
+    S.E_PRIME: {
+        "motif_ineligibilite": f"CASE WHEN {_SOME} AND est_eligible_prime THEN 'motif' WHEN {_SOME} THEN '' ELSE motif_ineligibilite END"
+    },
+    S.E_BE: {
+        "periode_debut": "CASE WHEN right(cle_salarie, 1) = '1' THEN NULL ELSE periode_debut END",
+        "periode_fin": "CASE WHEN right(cle_salarie, 1) = '2' THEN DATE '1999-01-01' ELSE periode_fin END",
+        "jours_bien_etre_attribues": f"CAST(CASE WHEN {_SOME} AND est_eligible_bien_etre THEN NULL WHEN {_SOME} THEN 3 "
+        "ELSE jours_bien_etre_attribues END AS INT)",
+    },
+}
+
+
+def faulty(frames: dict) -> dict:
+    """The checked tables with the injected violations."""
+    return {name: df.withColumns({c: F.expr(e) for c, e in FAULTS.get(name, {}).items()}) for name, df in frames.items()}
+
+
+def faulty_sources(sources: dict[str, str]) -> dict[str, str]:
+    out = dict(sources)
+    for name, columns in FAULTS.items():
+        replaced = ", ".join(f"{e} AS {c}" for c, e in columns.items())
+        out[name] = f"(SELECT * REPLACE ({replaced}) FROM {sources[name]})"
+    return out
+
+
 def _sel(suite, kinds=None, names=None, tables_=None):
     out = []
     for c in suite:
@@ -105,11 +148,11 @@ def _results_query(key: str, subset, doc: str):
 
 
 def _rows_query(key: str, subset, doc: str):
-    sql = quality.twin_failed_rows(subset, {**SOURCES, S.SIM: "x_sim"}, KEYS)
+    sql = quality.twin_failed_rows(subset, faulty_sources({**SOURCES, S.SIM: "x_sim"}), KEYS)
 
     def run(spark, sf_dir):
         m = BenefitModel.of(spark, sf_dir, RUN)
-        return quality.failed_rows(tables(m), subset, KEYS)
+        return quality.failed_rows(faulty(tables(m)), subset, KEYS)
 
     run.__doc__ = doc
     register(key, _twin_sim(sql))(run)
@@ -152,12 +195,17 @@ for _key, _grp, _doc in (
     _results_query(_key, _sel(SIM_SUITE, names=S.SIM_GROUPS[_grp]), _doc)
 
 
+# one required code comes into effect in the middle of the activity days
+LATE = "CASE WHEN code_param = 'seuil_km_velo_autres' THEN DATE '2024-01-10' ELSE date_effet END"
+
+
 @register(
     "dq_required_params",
     vt(
         "SELECT d.jour, r.code_param AS param_manquant FROM (SELECT DISTINCT jour FROM b_activity) d, "
         f"(VALUES {', '.join('(' + X.q(c) + ')' for c in REQUIRED_PARAM_CODES)}) r(code_param) "
-        "WHERE NOT EXISTS (SELECT 1 FROM b_params p WHERE p.code_param = r.code_param AND p.date_effet <= d.jour)"
+        "WHERE NOT EXISTS (SELECT 1 FROM b_params p WHERE p.code_param = r.code_param AND "
+        f"{LATE} <= d.jour)"
     ),
 )
 def q_dq_required_params(spark, sf_dir):
@@ -166,7 +214,7 @@ def q_dq_required_params(spark, sf_dir):
     from perkline.plans.params import effective_params_at
 
     m = BenefitModel.of(spark, sf_dir, RUN)
-    eff = effective_params_at(m.params, m.activities, "jour")
+    eff = effective_params_at(m.params.withColumn("date_effet", F.expr(LATE)), m.activities, "jour")
     days = m.activities.select("jour").distinct()
     # every (day, required code) pair: codes are a fixed list of six values
     pairs = days.select("jour", F.explode(F.array(*[F.lit(c) for c in REQUIRED_PARAM_CODES])).alias("code_param"))

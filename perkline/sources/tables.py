@@ -262,9 +262,9 @@ class Tables:
         """Declared sport per employee; ids divisible by 7 appear a second
         time later in the file (with another sport) — first row wins."""
         r = self.roster()
-        base = r.select("id_salarie_brut", "sport_declare", (F.col("id_salarie_brut").cast("long") * 2).alias("ligne"))
-        later = r.filter(F.col("id_salarie_brut").cast("long") % 7 == 0).select(
-            "id_salarie_brut", F.lit("Judo").alias("sport_declare"), (F.col("id_salarie_brut").cast("long") * 2 + 1).alias("ligne")
+        base = r.select("id_salarie_brut", "sport_declare", (F.col("id_salarie_brut").try_cast("long") * 2).alias("ligne"))
+        later = r.filter(F.col("id_salarie_brut").try_cast("long") % 7 == 0).select(
+            "id_salarie_brut", F.lit("Judo").alias("sport_declare"), (F.col("id_salarie_brut").try_cast("long") * 2 + 1).alias("ligne")
         )
         return base.unionByName(later)
 
@@ -276,7 +276,7 @@ class Tables:
         under "N" + id.  Sports of ids divisible by 7 change; the contract
         type or hire date alone changes for ids 3 and 4 modulo 11."""
         r = self.roster()
-        k = F.col("id_salarie_brut").cast("long")
+        k = F.col("id_salarie_brut").try_cast("long")
         cols = ["nom", "prenom", "date_naissance", "adresse_dom", "mod_depl_decl"]
         kept = r.filter(k % 10 != 0).select(
             "id_salarie_brut",

@@ -28,6 +28,15 @@ def canonical(col: str, labels, out: str, flag: str) -> str:
     )
 
 
+def age_band(birth: str, day: str) -> str:
+    """Twin of P17, from the same bands as the job."""
+    from perkline.config import AGE_BAND_TOP, AGE_BANDS
+
+    age = f"date_part('year', age({day}, {birth}))"
+    bands = " ".join(f"WHEN {age} <= {upper} THEN {q(label)}" for label, upper in AGE_BANDS)
+    return f"CASE WHEN {birth} IS NULL THEN '{UNKNOWN}' {bands} ELSE {q(AGE_BAND_TOP)} END"
+
+
 def category(label: str, unknown: str) -> str:
     e, n = in_list(ENDURANCE_SPORTS), in_list(NON_ENDURANCE_SPORTS)
     return (

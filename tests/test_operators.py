@@ -235,7 +235,7 @@ def test_prepare_activities_null_start_fails(spark):
 def test_merge_sql_and_plain_parquet_fallback(spark):
     sql = mutate.merge_sql("metier.activite", "src", ["cle_salarie", "date_debut"], ["duree_sec"], ["cle_salarie", "date_debut", "duree_sec"],
                            change_only=["duree_sec"])
-    assert sql.startswith("MERGE INTO metier.activite t USING src s ON t.cle_salarie <=> s.cle_salarie AND t.date_debut <=> s.date_debut")
+    assert sql.startswith("MERGE INTO metier.activite t USING src s ON t.cle_salarie = s.cle_salarie AND t.date_debut = s.date_debut ")
     assert "WHEN MATCHED AND (NOT (t.duree_sec <=> s.duree_sec)) THEN UPDATE SET t.duree_sec = s.duree_sec" in sql
     assert sql.endswith("WHEN NOT MATCHED THEN INSERT (cle_salarie, date_debut, duree_sec) VALUES (s.cle_salarie, s.date_debut, s.duree_sec)")
     # a plain Parquet catalog table has no MERGE: the next version is written instead
