@@ -55,7 +55,8 @@ def check_columns(columns: Sequence[str], required: Sequence[str]) -> None:
 def read_declared(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:
     """S3: all-string CSV scan, no NA conversion (blank stays ''), required
     columns checked.  ``_metadata`` is exposed as ``_fichier`` columns."""
-    raw = spark.read.options(**CSV_OPTIONS, nullValue=_NO_NULL, inferSchema="false").csv(path)
+    # a quoted cell may hold line breaks
+    raw = spark.read.options(**CSV_OPTIONS, multiLine="true", nullValue=_NO_NULL, inferSchema="false").csv(path)
     check_columns(raw.columns, required)
     # the parser still yields NULL for an empty unquoted field: blank is ''
     return raw.select(
@@ -106,9 +107,10 @@ ACTIVITY_SCHEMA = T.StructType(
 def read_activities(spark: SparkSession, path: str, expected: Sequence[str] = ACTIVITY_COLUMNS) -> DataFrame:
     """Typed activity CSV, required columns checked (order free); the
     ISO offset instant becomes a UTC ``timestamp_ntz``."""
-    header = spark.read.options(**CSV_OPTIONS, nullValue=_NO_NULL).csv(path).columns
-    check_columns(header, expected)
-    df = spark.read.options(**CSV_OPTIONS, enforceSchema="false").schema(ACTIVITY_SCHEMA).csv(path)
+    raw = spark.read.options(**CSV_OPTIONS, multiLine="true", nullValue=_NO_NULL).csv(path)
+    check_columns(raw.columns, expected)
+    # read by name as text, so that neither order nor further columns matter
+    df = raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in ACTIVITY_SCHEMA.fields])
     return df.withColumn("date_debut", parse_iso_instant("date_debut")).withColumn(
         "commentaire", F.coalesce("commentaire", F.lit(""))
     )
@@ -118,44 +120,46 @@ def read_activities_tolerant(spark: SparkSession, path: str) -> tuple[DataFrame,
     """Tolerant scan — header optional (detected per file), positional
     fallback, bad rows skipped; returns (rows, skipped lines).
 
-    Lines are read as text and split with ``from_csv`` so a malformed line
-    never fails the job; the header (if any) is recognised by its content.
+    Records (a quoted cell may hold line breaks) are read as text cells, too
+    few or too many of them alike, so a malformed one never fails the job; the
+    header (if any) is recognised by its content.
     """
-    lines = spark.read.text(path).select(F.col("value"), F.col("_metadata.file_path").alias("_f"))
-    cells = F.from_csv(F.col("value"), "c0 string, c1 string, c2 string, c3 string, c4 string, c5 string, c6 string",
-                       {"quote": '"', "escape": '"', "nullValue": _NO_NULL, "mode": "PERMISSIVE"})
-    parts = lines.select("value", "_f", cells.alias("c"))
+    names = [f"c{i}" for i in range(7)]
+    options = dict(CSV_OPTIONS, header="false", multiLine="true", nullValue=_NO_NULL, mode="PERMISSIVE")
+    records = spark.read.options(**options).schema(", ".join(f"{n} string" for n in names)).csv(path)
+    parts = records.select(
+        F.concat_ws(",", *names).alias("value"), F.col("_metadata.file_path").alias("_f"), F.struct(*names).alias("c")
+    )
     # NULL cells would make array_contains return NULL: compare on ''
     low = [F.coalesce(F.lower(F.trim(F.col(f"c.c{i}"))), F.lit("")) for i in range(7)]
     is_header = F.lit(True)
     for name in ACTIVITY_HEADER_REQUIRED:
         is_header = is_header & F.array_contains(F.array(*low), F.lit(name))
     # column positions come from a header line of the same file when present
-    headers = parts.filter(is_header).select(
-        "_f", *[F.array_position(F.array(*low), F.lit(n)).alias(f"_p_{n}") for n in ACTIVITY_COLUMNS]
-    )
-    # one row per file that has a header: bounded by the file count
-    body = parts.filter(~is_header).join(F.broadcast(headers), "_f", "left")
+    places = F.struct(*[F.array_position(F.array(*low), F.lit(n)).alias(f"_p_{n}") for n in ACTIVITY_COLUMNS])
+    # one row per file that has a header, whatever its number of such lines
+    headers = parts.filter(is_header).groupBy("_f").agg(F.min(places).alias("_p")).select("_f", "_p.*")
+    body = parts.filter(~is_header).join(headers, "_f", "left")
     arr = F.array(*[F.col(f"c.c{i}") for i in range(7)])
 
     def cell(name: str, pos: int) -> Column:
         p = F.col(f"_p_{name}")
         return F.when(p.isNull(), arr[pos]).when(p > 0, F.element_at(arr, p.cast("int")))
 
-    raw = {n: F.coalesce(cell(n, i), F.lit("")) for i, n in enumerate(ACTIVITY_COLUMNS)}
-    dist_txt = F.trim(raw["distance_m"])
+    # a step of its own: every cell is picked and trimmed once
+    body = body.select("value", *[F.trim(F.coalesce(cell(n, i), F.lit(""))).alias(f"_r_{n}") for i, n in enumerate(ACTIVITY_COLUMNS)])
+    raw = {n: F.col(f"_r_{n}") for n in ACTIVITY_COLUMNS}
+    dist_txt = raw["distance_m"]
     parsed = body.select(
         "value",
-        F.trim(raw["cle_salarie"]).alias("cle_salarie"),
+        raw["cle_salarie"].alias("cle_salarie"),
         parse_iso_instant(raw["date_debut"]).alias("date_debut"),
         parse_int_like(raw["duree_sec"]).alias("duree_sec"),
         F.when(F.length(dist_txt) > 0, parse_int_like(dist_txt)).alias("distance_m"),
         F.when(F.length(dist_txt) > 0, parse_int_like(dist_txt).isNull()).otherwise(F.lit(False)).alias("_dist_bad"),
-        F.trim(raw["type_activite"]).alias("type_activite"),
-        F.trim(raw["commentaire"]).alias("commentaire"),
-        F.coalesce(F.when(F.length(F.trim(raw["source_donnee"])) > 0, F.trim(raw["source_donnee"])), F.lit(SOURCE_FORM)).alias(
-            "source_donnee"
-        ),
+        raw["type_activite"].alias("type_activite"),
+        raw["commentaire"].alias("commentaire"),
+        F.when(F.length(raw["source_donnee"]) > 0, raw["source_donnee"]).otherwise(F.lit(SOURCE_FORM)).alias("source_donnee"),
     )
     ok = (
         (F.length("cle_salarie") > 0)

@@ -208,6 +208,10 @@ class Tables:
         et = F.col("event_type")
         name = (
             F.when(ident % 97 == 0, "Inconnu")
+            # accents as people type them: composed, combining, beyond Latin Extended-A
+            .when(ident % 83 == 0, F.replace("c_name", F.lit("o"), F.lit("\u00f4")))
+            .when(ident % 89 == 0, F.replace("c_name", F.lit("o"), F.lit("o\u0302")))
+            .when(ident % 101 == 0, F.replace("c_name", F.lit("o"), F.lit("\u1ed9")))
             .when(ident % 5 == 0, F.concat(F.lit(" "), F.upper("c_name"), F.lit(" ")))
             .otherwise(F.col("c_name"))
         )
@@ -223,7 +227,7 @@ class Tables:
             .when(ident % 59 == 0, "abc")
             .otherwise(F.concat((ident % 30).cast("string"), F.lit(","), (ident % 10).cast("string")))
         )
-        duration = F.when(ident % 61 == 0, "1h30").otherwise(
+        duration = F.when(ident % 61 == 0, "1h30").when(ident % 67 == 0, "9" * 20 + ":00:00").otherwise(
             F.concat(F.lit("0"), (ident % 3).cast("string"), F.lit(":"), (10 + ident % 50).cast("string"), F.lit(":00"))
         )
         return j.select(
@@ -235,9 +239,10 @@ class Tables:
             sport.alias("sport"),
             dist.alias("distance_txt"),
             duration.alias("duree_txt"),
-            F.when(ident % 3 == 0, F.concat(F.lit('"note '), ident.cast("string"), F.lit('"'))).otherwise(F.lit("")).alias(
-                "commentaire"
-            ),
+            F.when(ident % 33 == 0, F.concat(F.lit('"note '), ident.cast("string"), F.lit('\nsuite"')))
+            .when(ident % 3 == 0, F.concat(F.lit('"note '), ident.cast("string"), F.lit('"')))
+            .otherwise(F.lit(""))
+            .alias("commentaire"),
         )
 
     # -- HR name reference (id, last name, first name) -------------------

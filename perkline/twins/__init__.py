@@ -66,13 +66,15 @@ FROM b_eff_params""",
   r.date_ctrl
 FROM b_commute_raw r, b_pivot p""",
     "b_declared": """SELECT event_id AS ligne, strftime(ts,'%Y-%m-%d %H:%M:%S') AS horodateur,
-  CASE WHEN event_id % 97 = 0 THEN 'Inconnu' WHEN event_id % 5 = 0 THEN ' ' || upper(c_name) || ' ' ELSE c_name END AS nom,
+  CASE WHEN event_id % 97 = 0 THEN 'Inconnu' WHEN event_id % 83 = 0 THEN replace(c_name, 'o', chr(244))
+    WHEN event_id % 89 = 0 THEN replace(c_name, 'o', 'o' || chr(770)) WHEN event_id % 101 = 0 THEN replace(c_name, 'o', chr(7897)) WHEN event_id % 5 = 0 THEN ' ' || upper(c_name) || ' ' ELSE c_name END AS nom,
   c_mktsegment AS prenom,
   CASE WHEN event_id % 53 = 0 THEN '31/02/2024' ELSE strftime(ts,'%d/%m/%Y') END AS date_txt,
   CASE event_type WHEN 'view' THEN 'Runing' WHEN 'signup' THEN 'Natation' WHEN 'click' THEN 'Tennis' WHEN 'purchase' THEN 'Randonnée' ELSE '' END AS sport,
   CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 59 = 0 THEN 'abc' ELSE CAST(event_id % 30 AS VARCHAR) || ',' || CAST(event_id % 10 AS VARCHAR) END AS distance_txt,
-  CASE WHEN event_id % 61 = 0 THEN '1h30' ELSE '0' || CAST(event_id % 3 AS VARCHAR) || ':' || CAST(10 + event_id % 50 AS VARCHAR) || ':00' END AS duree_txt,
-  CASE WHEN event_id % 3 = 0 THEN '"note ' || CAST(event_id AS VARCHAR) || '"' ELSE '' END AS commentaire
+  CASE WHEN event_id % 61 = 0 THEN '1h30' WHEN event_id % 67 = 0 THEN repeat('9', 20) || ':00:00' ELSE '0' || CAST(event_id % 3 AS VARCHAR) || ':' || CAST(10 + event_id % 50 AS VARCHAR) || ':00' END AS duree_txt,
+  CASE WHEN event_id % 33 = 0 THEN '"note ' || CAST(event_id AS VARCHAR) || chr(10) || 'suite"'
+    WHEN event_id % 3 = 0 THEN '"note ' || CAST(event_id AS VARCHAR) || '"' ELSE '' END AS commentaire
 FROM events JOIN customer ON user_id = c_custkey""",
     "b_name_ref": """SELECT CAST(c_custkey AS VARCHAR) AS id_salarie_brut, c_name AS nom, c_mktsegment AS prenom FROM customer
 UNION ALL SELECT 'dup' || CAST(c_custkey AS VARCHAR), upper(c_name), c_mktsegment FROM customer WHERE c_custkey % 40 = 0""",
