@@ -143,8 +143,8 @@ def read_activities_tolerant(spark: SparkSession, path: str) -> tuple[DataFrame,
     arr = F.array(*[F.col(f"c.c{i}") for i in range(7)])
 
     def cell(name: str, pos: int) -> Column:
-        p = F.col(f"_p_{name}")
-        return F.when(p.isNull(), arr[pos]).when(p > 0, F.element_at(arr, p.cast("int")))
+        # a place in the header, 0 where it lacks the column; else the fixed one
+        return F.get(arr, F.coalesce(F.col(f"_p_{name}"), F.lit(pos + 1).cast("long")).cast("int") - 1)
 
     # a step of its own: every cell is picked and trimmed once
     body = body.select("value", *[F.trim(F.coalesce(cell(n, i), F.lit(""))).alias(f"_r_{n}") for i, n in enumerate(ACTIVITY_COLUMNS)])
