@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from perkline.llm.common import map_arrow
+
 START, END = "<|im_start|>", "<|im_end|>\n"
 LOSS_ROLES = ("assistant",)
 #: tokens a unit expands to: an image tile, a second of audio, a page
@@ -208,4 +210,4 @@ def read_back(chats: DataFrame) -> DataFrame:
 
     schema = T.StructType([chats.schema["conv_id"]]).add("n_turns", "long").add("turns_sha256", "string")
     schema.add("loss_chars", "long").add("loss_sha256", "string").add("formatted_chars", "long")
-    return chats.select("conv_id", "formatted", "loss_spans").mapInArrow(task, schema)
+    return map_arrow(chats.select("conv_id", "formatted", "loss_spans"), task, schema)

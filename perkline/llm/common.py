@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
 
+import perkline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +28,42 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the tasks' Python this package, wherever the driver found it;
+    once an application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(perkline.__file__))
+    # kept until the driver ends: executors that start later fetch it too
+    folder = tempfile.TemporaryDirectory(prefix="perkline-package-")
+    path = os.path.join(folder.name, "perkline_package.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for at, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    out.write(os.path.join(at, name), os.path.relpath(os.path.join(at, name), os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED[sc.applicationId] = folder
+
+
+#: what a task holds at once of its input
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def map_arrow(df: DataFrame, task: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` whose tasks can import this package, and get their
+    rows in batches of bounded size."""
+    spark = df.sparkSession
+    ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(task, schema)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once a row: a lambda variable
     is bound, while the optimiser may copy a plain column into a loop."""

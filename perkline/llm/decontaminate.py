@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perkline.llm.common import stored
+from perkline.llm.common import map_arrow, stored
 from perkline.llm.words import LETTER_DIGIT, Words, split
 
 SPAN = 13
@@ -101,7 +101,7 @@ def fingerprints(rows: DataFrame, keys: list[str], short: list[int], field=None)
                 hits = pa.array(_hits(w, short, bits), type=pa.list_(_HIT))
                 yield pa.RecordBatch.from_arrays([*own, n_words, hits], names=[*keys, "n_words", "hits"])
 
-    return rows.select(*keys, "text").mapInArrow(task, schema)
+    return map_arrow(rows.select(*keys, "text"), task, schema)
 
 
 def _field(fps: DataFrame) -> bytes:
@@ -161,7 +161,7 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
     ).distinct()
     ours = found.where(F.size("hits") > 0).select("doc_id", "mark", F.explode("hits").alias("h")).select("doc_id", "mark", "h.*")
     schema = T.StructType([docs.schema["doc_id"]]).add("mark", "long").add("item_id", "string")
-    spans = ours.join(theirs, "fp").mapInArrow(_extend, schema.add("begin", "integer").add("end", "integer"))
+    spans = map_arrow(ours.join(theirs, "fp"), _extend, schema.add("begin", "integer").add("end", "integer"))
     order = Window.partitionBy("doc_id", "mark").orderBy("begin", "end").rowsBetween(Window.unboundedPreceding, -1)
     fresh = F.greatest(F.col("end") - F.greatest("begin", F.coalesce(F.max("end").over(order), F.lit(0))), F.lit(0))
     per_doc = (

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perkline.llm.common import stored
+from perkline.llm.common import map_arrow, stored
 from perkline.llm.url_filter import host_path
 
 #: a subtree on so many distinct pages of a host, and on this share of them,
@@ -289,7 +289,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """``host, mark, hashes``: for the pages that need it, the template
     subtrees in which kept text lies."""
-    found = pages.mapInArrow(_counted, "host string, mark bigint, hash bigint, live boolean")
+    found = map_arrow(pages, _counted, "host string, mark bigint, hash bigint, live boolean")
     found = stored(found, "html-subtrees")
     size = pages.groupBy("host").agg(F.countDistinct("mark").alias("pages"))
     often = (
@@ -312,7 +312,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     gone = templates(rows.select("host", "mark", "html"), min_pages, min_share)
     schema = T.StructType(rows.select("page_id", "url", "host", "mark").schema.fields)
     schema.add("blocks", T.ArrayType(T.StructType().add("text", "string").add("path", T.ArrayType(T.LongType()))))
-    blocks = rows.mapInArrow(_blocks, schema).join(gone, ["host", "mark"], "left")
+    blocks = map_arrow(rows, _blocks, schema).join(gone, ["host", "mark"], "left")
     left = F.filter(
         "blocks", lambda b: F.col("hashes").isNull() | ~F.arrays_overlap(b["path"], F.coalesce("hashes", F.array().cast("array<bigint>")))
     )

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perkline.llm.common import fold, stored
+from perkline.llm.common import fold, map_arrow, stored
 from perkline.llm.words import NON_SPACE, Words, split
 
 FOLDS = 7
@@ -105,7 +105,8 @@ def _counted(texts: DataFrame, keys_of) -> DataFrame:
                         yield sums.batch()
         yield sums.batch()
 
-    return texts.select("text").mapInArrow(task, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    counts = map_arrow(texts.select("text"), task, "key bigint, n bigint")
+    return counts.groupBy("key").agg(F.sum("n").alias("n"))
 
 
 class Contexts:
@@ -286,7 +287,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     schema = T.StructType(rows.select(*keys).schema.fields).add("key", "long").add("kind", "integer").add("n", "integer")
     schema.add("base", "double").add("extra", "double").add("n_known", "integer")
     shared = docs.sparkSession.sparkContext.broadcast(model.automaton)
-    sent = rows.mapInArrow(_requests(shared, keys), schema)
+    sent = map_arrow(rows, _requests(shared, keys), schema)
     answered = sent.join(model.values, ["key", "kind"], "left")
     own, value = F.col("kind") == 2, F.col("n") * F.col("value")
     seen = F.when((F.col("kind") == 0) & F.col("value").isNotNull(), F.col("n")).otherwise(0)
