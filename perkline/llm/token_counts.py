@@ -8,8 +8,8 @@ the version the SHA-256 of the tokenizer's file and the library's release.
 
 Encoding is spread by Spark over the distinct misses.  The tokenizer splits
 at white space before anything else and drops it, so a text's count is the
-sum over its ``[^\\x20\\x09-\\x0D]+`` words; a task encodes each distinct word
-of a batch once.  Tokenizers without that property encode whole texts.
+sum over its ``[^\\x20\\x09-\\x0D]+`` words; a task encodes a word once and
+remembers its count.  Tokenizers without that property encode whole texts.
 
 A run that fails leaves at most finished files in the cache, whose rows are
 right; rows may repeat there, and reading takes one per digest.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,11 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkline.llm.words import NON_SPACE_EXACT, split
+from perkline.llm.common import map_arrow
+from perkline.llm.words import NON_SPACE_EXACT, Words, split
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
-SPLITS_AT_SPACE = True
+#: words whose counts a task remembers before it starts anew
+REMEMBERED = 1 << 20
 
 
 def tokenizer_bytes(name: str = TOKENIZER) -> bytes:
@@ -72,6 +75,8 @@ class Counter:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.by_word = splits_at_space(content)
+        # hash 0 stands for no word
+        self.hashes, self.tokens = np.zeros(1, dtype=np.uint64), np.zeros(1, dtype=np.int64)
 
     def _encode(self, texts: list[str]) -> np.ndarray:
         out = np.zeros(len(texts), dtype=np.int64)
@@ -84,17 +89,34 @@ class Counter:
         if not self.by_word:
             return self._encode([x or "" for x in texts.to_pylist()])
         out = np.zeros(len(texts), dtype=np.int64)
-        for a, b, w in split(texts, NON_SPACE_EXACT, 16 << 20):
-            _, first, of = np.unique(w.hash, return_index=True, return_inverse=True)
-            tokens = np.append(0, np.cumsum(self._encode([w.text(i).decode() for i in first])[of]))
+        for a, b, w in split(texts, NON_SPACE_EXACT):
+            hashes, first, of = np.unique(w.hash, return_index=True, return_inverse=True)
+            tokens = np.append(0, np.cumsum(self._words(w, hashes, first)[of]))
             out[a:b] = tokens[w.first[1:]] - tokens[w.first[:-1]]
         return out
 
+    def _words(self, w: Words, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Counts of distinct words; those met before are remembered."""
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        new = self.hashes[at] != hashes
+        n = self.tokens[at]
+        bytes_of = w.buf.tobytes()
+        place = first[new]
+        ends = zip(w.start[place].tolist(), w.end[place].tolist(), strict=True)
+        n[new] = self._encode([bytes_of[i:j].decode() for i, j in ends])
+        if len(self.hashes) > REMEMBERED:
+            self.hashes, self.tokens = self.hashes[:1], self.tokens[:1]
+        self.hashes = np.concatenate((self.hashes, hashes[new]))
+        order = np.argsort(self.hashes, kind="stable")
+        self.hashes, self.tokens = self.hashes[order], np.concatenate((self.tokens, n[new]))[order]
+        return n
+
 
 def _encoded(spark: SparkSession, content: bytes):
     shared = spark.sparkContext.broadcast(content)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         counter = None
         for batch in batches:
             counter = counter or Counter(shared.value)
@@ -125,7 +147,7 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str = TOKENIZER) -> Dat
         .groupBy("digest")
         .agg(F.first("text").alias("text"))
     )
-    misses.mapInArrow(_encoded(spark, content), schema).write.mode("append").parquet(path)
+    map_arrow(misses, _encoded(spark, content), schema).write.mode("append").parquet(path)
 
     counts = spark.read.schema(schema).parquet(path).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     rows = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), digest.alias("digest"))
