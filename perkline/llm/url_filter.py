@@ -12,9 +12,9 @@ rates).
 
 Only DataFrame functions are used.  Characters fall in 32 classes, so a model
 up to order three is a table of 32^4 differences at most, of fixed size
-whatever the corpus; it reaches the rows as one 2 MB literal, and a URL is
-scored within its row, without a join or shuffle.  Learning counts 4-grams,
-added up before the shuffle; shorter contexts are sums of those.
+whatever the corpus; it is broadcast, and distinct URLs are scored against it
+after one shuffle by URL.  Learning counts 4-grams, added up before the
+shuffle; shorter contexts are sums of those.
 
 Defined cases: a NULL URL, or one without ``://``, has an empty host and path
 and fits no rule; a URL without characters scores 0; when either label has no
@@ -42,9 +42,6 @@ CLASSES = LOWER + "0" + ".-/"
 BEFORE = 31
 ORDER = 3
 CALIBRATION_FOLDS = 4
-#: log ratios are kept within LIMIT either way, at 1 / STEPS
-LIMIT = 8
-STEPS = 4096
 BIN = 0.05
 BINS = 400
 
@@ -87,64 +84,45 @@ def gram_codes(url: Column) -> Column:
     return let(classes, codes)
 
 
-def _model(grams: DataFrame) -> DataFrame:
-    """``code, p``: probability of the last of four classes after the first
-    three, for every code, from ``grams (code, n)``."""
-    size = 32 ** (ORDER + 1)
-    out = grams.sparkSession.range(size).select(F.col("id").cast("int").alias("code"), F.lit(1 / 32).alias("p"))
+def _model(codes: DataFrame, grams: DataFrame, name: str) -> DataFrame:
+    """``codes`` with the probability ``name`` of the last of a code's four
+    classes after the first three, from ``grams (code, n)``."""
+    out = codes.withColumn(name, F.lit(1 / 32))
     for order in range(ORDER + 1):
         span = 32 ** (order + 1)
         seen = grams.groupBy((F.col("code") % span).alias("gram")).agg(F.sum("n").alias("n"))
-        contexts = seen.groupBy(F.floor(F.col("gram") / 32).cast("int").alias("context")).agg(
+        contexts = seen.groupBy(F.floor(F.col("gram") / 32).alias("context")).agg(
             F.sum("n").alias("total"), F.count("*").alias("kinds")
         )
-        # both tables have at most 32^4 rows
+        blended = (F.coalesce("n", F.lit(0)) + F.col("kinds") * F.col(name)) / (F.col("total") + F.col("kinds"))
         out = (
             out.withColumn("gram", F.col("code") % span)
-            .withColumn("context", F.floor(F.col("gram") / 32).cast("int"))
+            .withColumn("context", F.floor(F.col("gram") / 32))
             .join(seen, "gram", "left")
             .join(contexts, "context", "left")
-            .select(
-                "code",
-                F.when(
-                    F.col("total") > 0,
-                    (F.coalesce("n", F.lit(0)) + F.col("kinds") * F.col("p")) / (F.col("total") + F.col("kinds")),
-                )
-                .otherwise(F.col("p"))
-                .alias("p"),
-            )
+            .withColumn(name, F.when(F.col("total") > 0, blended).otherwise(F.col(name)))
+            .drop("gram", "context", "n", "total", "kinds")
         )
     return out
 
 
-def learn(labelled: DataFrame) -> bytes:
-    """The table of ln p(accepted) - ln p(rejected) by code, two bytes each
-    (``LIMIT`` either way in 65,536 steps), from ``labelled (url,
-    accepted)``: 2 MB whatever the input."""
+def learn(labelled: DataFrame, urls: DataFrame) -> DataFrame:
+    """``code, ratio``: ln p(accepted) - ln p(rejected) from ``labelled (url,
+    accepted)``, for the codes found in ``urls (url)``; 32^4 rows at most."""
     grams = labelled.select("accepted", F.explode(gram_codes(F.col("url"))).alias("code"))
-    counts = grams.groupBy("accepted", "code").agg(F.count("*").alias("n"))
-    counts = stored(counts, "url-grams")
-    good = _model(counts.where("accepted").select("code", "n"))
-    bad = _model(counts.where("NOT accepted").select("code", "n"))
-    both = good.join(bad.withColumnRenamed("p", "q"), "code")
-    step = F.round((F.log(F.col("p") / F.col("q")) + LIMIT) * STEPS).cast("int")
-    step = F.lpad(F.hex(F.least(F.greatest(step, F.lit(0)), F.lit(65535))), 4, "0")
-    row = both.agg(F.array_sort(F.collect_list(F.struct("code", step.alias("x")))).alias("t"))
-    return bytes(row.select(F.unhex(F.array_join(F.transform("t", lambda e: e["x"]), ""))).first()[0])
+    counts = stored(grams.groupBy("accepted", "code").agg(F.count("*").alias("n")), "url-grams")
+    codes = urls.select(F.explode(gram_codes(F.col("url"))).alias("code")).distinct()
+    both = _model(codes, counts.where("accepted").select("code", "n"), "p")
+    both = _model(both, counts.where("NOT accepted").select("code", "n"), "q")
+    return stored(both.select("code", F.log(F.col("p") / F.col("q")).alias("ratio")), "url-model")
 
 
-def scored(url: Column, ratio: bytes) -> Column:
-    """Log-likelihood difference per character; positive: as accepted."""
-    table = F.lit(ratio)
-
-    def weight(code: Column) -> Column:
-        return F.conv(F.hex(F.substring(table, 2 * code + 1, F.lit(2))), 16, 10).cast("double") / STEPS - LIMIT
-
-    def mean(codes: Column) -> Column:
-        total = F.aggregate(codes, F.lit(0.0), lambda s, c: s + weight(c))
-        return total / F.greatest(F.size(codes), F.lit(1))
-
-    return let(gram_codes(url), mean)
+def scored(urls: DataFrame, ratio: DataFrame) -> DataFrame:
+    """``url, score`` of distinct ``urls (url)``: log-likelihood difference
+    per character; positive: as accepted.  The table has a fixed bound (32^4
+    rows) and is broadcast, so each URL is scored where it lies."""
+    codes = urls.select("url", F.explode(gram_codes(F.col("url"))).alias("code"))
+    return codes.join(F.broadcast(ratio), "code").groupBy("url").agg(F.avg("ratio").alias("score"))
 
 
 def calibrate(examples: DataFrame) -> DataFrame:
@@ -190,15 +168,17 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
         .distinct()
     )
     aside = F.crc32("url") % CALIBRATION_FOLDS == 0
-    ratio = learn(labelled.where(~aside).union(seeds(spark)))
-    examples = labelled.where(aside).select(scored(F.col("url"), ratio).alias("score"), "accepted")
-    threshold = stored(calibrate(examples), "url-threshold")
+    urls = base.select(F.col(url).alias("url")).distinct()
+    scores = stored(scored(urls, learn(labelled.where(~aside).union(seeds(spark)), urls)), "url-scores")
+    threshold = stored(calibrate(labelled.where(aside).join(scores, "url").select("score", "accepted")), "url-threshold")
+    by_url = scores.withColumnRenamed("url", "_url")
     return (
-        ruled.withColumn("score", scored(F.col(url), ratio))
+        ruled.join(by_url, ruled[url] == by_url["_url"], "left")
+        .withColumn("score", F.coalesce("score", F.lit(0.0)))
         .withColumn("rule", F.col("_r.rule"))
         .withColumn(
             "verdict",
             F.coalesce(F.col("_r.verdict"), F.when(F.col("score") >= threshold.scalar(), "allow").otherwise("block")),
         )
-        .drop("_r")
+        .drop("_r", "_url")
     )
