@@ -185,20 +185,27 @@ def diff_params(existing: DataFrame, new: DataFrame, day: dt.date) -> DataFrame:
     cur = keep_one_per_group(
         existing.select("code_param", "valeur_param", "date_effet"), ["code_param"], [("date_effet", "desc"), ("valeur_param", "desc")]
     )
-    e = cur.select("code_param", F.col("valeur_param").alias("valeur_actuelle"), F.lit(True).alias("_in_e"))
-    j = new.select("code_param", "valeur_param").join(e, "code_param", "left")
+    return param_actions(cur, new.withColumn("date_effet", F.lit(day)), ["code_param"]).orderBy("code_param")
+
+
+def param_actions(current: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """M7: what a sync does with each row of ``new`` against the ``current``
+    values: insert (no such key), update (another text), noop."""
+    e = current.select(*keys, F.col("valeur_param").alias("valeur_actuelle"), F.lit(True).alias("_in_e"))
+    j = new.select(*keys, "valeur_param", "date_effet").join(e, list(keys), "left")
     action = (
         F.when(F.col("_in_e").isNull(), F.lit(INSERT))
         .when(is_distinct(F.col("valeur_actuelle").cast("string"), F.col("valeur_param").cast("string")), F.lit(UPDATE))
         .otherwise(F.lit(NOOP))
     )
-    return j.select(
-        "code_param",
-        "valeur_actuelle",
-        "valeur_param",
-        F.lit(day).alias("date_effet"),
-        action.alias("action"),
-    ).orderBy("code_param")
+    return j.select(*keys, "valeur_actuelle", "valeur_param", "date_effet", action.alias("action"))
+
+
+def next_params(existing: DataFrame, actions: DataFrame) -> DataFrame:
+    """K4: the next version of the versioned parameter table: inserts and
+    updates are appended, nothing is overwritten."""
+    fresh = actions.filter(F.col("action") != NOOP).select("code_param", "valeur_param", "date_effet")
+    return existing.select("code_param", "valeur_param", "date_effet").unionByName(fresh)
 
 
 def reload_sources(target: DataFrame, replacement: DataFrame, sources: Sequence[str], col: str = "source_donnee") -> DataFrame:

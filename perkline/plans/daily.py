@@ -16,11 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perkline.config import DEFAULT_RUN, RunConfig
+from perkline.functions.dates import local_day
 from perkline.operators import mutate, quality
+from perkline.operators.dedup import keep_one_per_group
 from perkline.operators.mutate import commit_version
 from perkline.plans import checks, commute, history, hr, ingest, loading, notify
 from perkline.plans.model import BenefitModel
 from perkline.session import materialise
+from perkline.sources.tables import Tables
 
 
 def _count(df: DataFrame) -> DataFrame:
@@ -28,91 +31,99 @@ def _count(df: DataFrame) -> DataFrame:
 
 
 def daily_run(spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN, force_commute: bool = False,
-              force_notify: bool = False, run_id: int = 1) -> dict:
-    """Run every step once; returns {output name: path} plus step counters."""
-    m = BenefitModel.of(spark, sf_dir, run)
-    t = m.t
+              force_notify: bool = False, run_id: int = 1, versions: dict[str, DataFrame] | None = None) -> dict:
+    """Run every step once; returns {output name: path}.
+
+    ``versions`` are the tables to start from, in place of the bound ones;
+    each step reads what the steps before it wrote.
+    """
+    t = Tables(spark, sf_dir, run, versions)
     out: dict = {}
     steps = []
 
+    def write(name: str, df: DataFrame) -> DataFrame:
+        out[name] = commit_version(spark, df, name)
+        return spark.read.parquet(out[name])
+
     # 1. declared rows -> clean / rejects / anomalies (all-or-nothing gate)
     n = ingest.normalised(t, run)
-    out["rejets"] = commit_version(spark, n.errors, "rejets")
-    out["anomalies"] = commit_version(spark, n.anomalies, "anomalies")
-    clean_path = mutate.guarded_write(spark, n.clean.drop("ligne"), spark.read.parquet(out["rejets"]), "declaratifs_normalises")
-    steps.append(("normalisation_declaratifs", t.declared(), n.clean, spark.read.parquet(out["anomalies"]),
+    rejects, anomalies = write("rejets", n.errors), write("anomalies", n.anomalies)
+    clean_path = mutate.guarded_write(spark, n.clean.drop("ligne"), rejects, "declaratifs_normalises")
+    steps.append(("normalisation_declaratifs", t.declared(), spark.read.parquet(clean_path) if clean_path else None, anomalies,
                   "SUCCESS" if clean_path else "FAILED"))
 
     # 2. activity load (forms + simulated file) -> next activity table
     if clean_path:
         forms = spark.read.parquet(clean_path)
         simulated = materialise(loading.simulated_file(t.activities(), forms, run), "fichier_simule")
-        activity = loading.load_activities(t.activity_table(), forms, simulated, run)
-        out["activite"] = commit_version(spark, activity.drop("action"), "activite")
+        activity = write("activite", loading.load_activities(t.activity_table(), forms, simulated, run).drop("action"))
         out["declaratifs_normalises"] = clean_path
     else:
-        out["activite"] = commit_version(spark, t.activity_table(), "activite")
+        activity = write("activite", t.activity_table())
 
     # 3. HR synchronisation (soft delete, upsert, links, employees, sport)
     roster_file = t.roster_v2()
-    rh = mutate.upsert_if_changed(t.roster().select("id_salarie_brut", *hr.RH_COMPARE, "brut_annuel", "sport_declare", "actif"),
-                                  roster_file, "id_salarie_brut", hr.RH_COMPARE, flag_col="actif")
-    out["rh_salarie"] = commit_version(spark, rh.drop("action"), "rh_salarie")
-    links = mutate.insert_missing(t.link(), hr.new_links(roster_file, run.salt), "id_salarie_brut")
-    out["lien_salarie"] = commit_version(spark, links.drop("action"), "lien_salarie")
-    hr.require_links(roster_file, spark.read.parquet(out["lien_salarie"]))
+    links = write("lien_salarie", mutate.insert_missing(t.link(), hr.new_links(roster_file, run.salt), "id_salarie_brut").drop("action"))
+    hr.require_links(roster_file, links)
+    columns = [c for c in t.roster().columns if c != "cle_salarie"]
+    both = hr.roster_with_file(t.roster().select(*columns), roster_file)
+    roster = write("rh_salarie", hr.next_roster(both, columns))
     employees = t.link().join(t.roster().select("id_salarie_brut", *hr.EMPLOYEE_COMPARE), "id_salarie_brut").select(
         "cle_salarie", *hr.EMPLOYEE_COMPARE
     )
-    out["salarie"] = commit_version(
-        spark, hr.sync_employee(employees, roster_file, spark.read.parquet(out["lien_salarie"])).drop("action"), "salarie"
-    )
-    out["sync_rh"] = commit_version(spark, hr.sync_hr_counts(t.roster().select("id_salarie_brut", *hr.RH_COMPARE, "actif", "sport_declare"),
-                                                             t.link(), employees, roster_file, run), "sync_rh")
+    write("salarie", hr.sync_employee(employees, roster_file, links).drop("action"))
+    write("sync_rh", hr.sync_hr_counts(t.roster().select(*columns), t.link(), employees, roster_file, run))
+
+    # from here on the run reads its own versions
+    t = Tables(spark, sf_dir, run, {
+        **t.versions,
+        "activity_table": activity,
+        "activities": activity.withColumn("jour", local_day("date_debut", run.zone)),
+        "link": links,
+        "roster": roster.join(links, "id_salarie_brut"),
+    })
 
     # 4. commute control, only when the check table is incomplete (or forced)
-    decision = mutate.should_refresh(t.link(), t.commute_checks(), force_commute)
-    out["decision_trajets"] = commit_version(spark, decision, "decision_trajets")
-    if spark.read.parquet(out["decision_trajets"]).select("a_rafraichir").first()[0]:
+    decision = write("decision_trajets", mutate.should_refresh(t.link(), t.commute_checks(), force_commute))
+    if decision.select("a_rafraichir").first()[0]:
         src = commute.commute_source(t.link(), t.roster())
         raw = t.commute_raw().withColumn("_nf", F.col("date_ctrl").isNull())
-        from perkline.operators.dedup import keep_one_per_group
-
         distances = keep_one_per_group(raw, ["cle_salarie"], order=[("_nf", "desc"), ("date_ctrl", "desc"), ("id_ctrl", "desc")])
         ctrl = commute.commute_control(src, distances.select("cle_salarie", "distance_m", "duree_sec"), t.params(), run)
-        out["ctrl_trajet"] = commit_version(spark, mutate.assign_ids(ctrl, ["cle_salarie"], F.lit(0), "id_ctrl"), "ctrl_trajet")
+        ctrl = write("ctrl_trajet", mutate.assign_ids(ctrl, ["cle_salarie"], F.lit(0), "id_ctrl"))
+        t = Tables(spark, sf_dir, run, {**t.versions, "commute_checks": ctrl})
 
     # 5. KPIs and their history snapshot (SUCCESS only when all six exist)
-    snap = history.snapshot(spark, m.kpis(), m.effective_params, run_id, run)
-    out["histo_run"] = snap["run"]
-    out.update({f"histo_kpi_{k}": v for k, v in snap["snapshots"].items()})
+    m = BenefitModel(spark, sf_dir, run, t)
+    with m.kept():
+        snap = history.snapshot(spark, m.kpis(), m.effective_params, run_id, run)
+        out["histo_run"] = snap["run"]
+        out.update({f"histo_kpi_{k}": v for k, v in snap["snapshots"].items()})
 
-    # 6. quality suites
-    from perkline.queries.quality_q import tables as dq_tables
+        # 6. quality suites
+        from perkline.queries.quality_q import tables as dq_tables
 
-    suites = checks.table_suite(run) + checks.simulation_suite(run)
-    out["controles"] = commit_version(spark, quality.evaluate(dq_tables(m), suites), "controles")
+        suites = checks.table_suite(run) + checks.simulation_suite(run)
+        write("controles", quality.evaluate(dq_tables(m), suites))
 
-    # 7. notification outbox, then the publication flags
-    box = notify.outbox(t.activity_source_v2(), t.activity_table(), t.link(), t.roster(), force=force_notify)
-    out["outbox"] = commit_version(spark, box, "outbox")
-    published = mutate.mark_published(spark.read.parquet(out["activite"]), spark.read.parquet(out["outbox"]))
-    out["activite_publiee"] = commit_version(spark, published.drop("action"), "activite_publiee")
+    # 7. notification outbox of what was loaded, then the publication flags
+    loaded = spark.read.parquet(clean_path) if clean_path else t.activity_source_v2()
+    box = write("outbox", notify.outbox(loaded, activity, t.link(), t.roster(), force=force_notify))
+    write("activite_publiee", mutate.mark_published(activity, box).drop("action"))
 
     # 8. run metrics of the steps
     rows = None
-    for i, (name, read, written, anomalies, status) in enumerate(steps, start=1):
+    for i, (name, read, written, found, status) in enumerate(steps, start=1):
         row = _count(read).select(
             F.lit(i).alias("ordre"),
             F.lit(name).alias("nom_pipeline"),
             F.lit(status).alias("statut"),
             F.col("n").alias("nb_lignes_lues"),
-            _count(written).select("n").scalar().alias("nb_lignes_ecrites"),
-            _count(anomalies).select("n").scalar().alias("nb_anomalies"),
+            (_count(written).select("n").scalar() if written is not None else F.lit(0).cast("long")).alias("nb_lignes_ecrites"),
+            _count(found).select("n").scalar().alias("nb_anomalies"),
         )
         rows = row if rows is None else rows.unionByName(row)
-    out["run_metrique"] = commit_version(spark, history.run_metrics(rows, run), "run_metrique")
-    m.release()
+    write("run_metrique", history.run_metrics(rows, run))
     return out
 
 

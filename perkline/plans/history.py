@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from perkline.config import ERROR_MESSAGE_MAX, RunConfig
@@ -49,6 +49,21 @@ def run_row(params_effective: DataFrame, run_id: int, ts: dt.datetime, status: s
     )
 
 
+def run_rows(effective: DataFrame, status: Column, message: Column) -> DataFrame:
+    """Run rows of many days: ``effective`` holds (jour, code_param,
+    valeur_param, date_effet); a run is at noon of its day."""
+    entries = F.array_sort(F.collect_list(F.struct("code_param", F.struct("valeur_param", "date_effet"))))
+    days = effective.groupBy("jour").agg(F.to_json(F.map_from_entries(entries)).alias("param_effectif"))
+    return days.select(
+        F.row_number().over(Window.orderBy("jour")).cast("long").alias("id_histo_run"),
+        (F.col("jour").cast("timestamp_ntz") + F.expr("INTERVAL 12 HOURS")).alias("ts_histo"),
+        F.col("jour").alias("date_histo_paris"),
+        status.alias("status"),
+        F.substring(message, 1, ERROR_MESSAGE_MAX).alias("error_message"),
+        "param_effectif",
+    )
+
+
 def require_tables(spark: SparkSession, names) -> None:
     """Every history target must exist before a snapshot."""
     missing = [n for n in names if not spark.catalog.tableExists(n)]

@@ -1,14 +1,13 @@
 """Declared-activity normalisation (K1) and the dedup rules it uses.
 
-One lazy plan produces three outputs — clean rows, blocking errors and
-anomalies; the classified frame they share is kept once computed.
+One lazy plan produces three outputs: clean rows, blocking errors and
+anomalies.  Nothing is kept; a run that needs all three writes each once.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +24,7 @@ from perkline.config import (
 from perkline.functions.dates import local_day
 from perkline.functions.parse import parse_distance, parse_duration, parse_local_noon
 from perkline.functions.text import normalise_text, pseudonym, quote_comment, strip_quotes
-from perkline.operators.dedup import split_one_per_group, with_group_size
+from perkline.operators.dedup import keep_one_per_group, split_one_per_group, with_group_size
 
 DECLARED_COLUMNS = ("horodateur", "nom", "prenom", "date_txt", "sport", "distance_txt", "duree_txt")
 
@@ -47,8 +46,6 @@ def name_reference(ref: DataFrame) -> DataFrame:
 def sport_reference(ref: DataFrame) -> DataFrame:
     """Declared-sport reference, trimmed, first row per id (input order
     given by ``ligne``)."""
-    from perkline.operators.dedup import keep_one_per_group
-
     trimmed = ref.select(
         F.trim("id_salarie_brut").alias("id_salarie_brut"), F.trim("sport_declare").alias("sport_declare"), "ligne"
     )
@@ -122,6 +119,13 @@ def classify_declared(declared: DataFrame, names: DataFrame, sports: DataFrame,
     return j.withColumn("err_raison", reason)
 
 
+#: what the later steps need of a valid row: the declared cells and what was
+#: parsed from them
+KEPT_COLUMNS = [
+    *dict.fromkeys([*(c for c in DECLARED_COLUMNS if c != "horodateur"), "ligne", "cle_salarie", "date_parsed", "duree_sec", "distance_m", "commentaire_out"])
+]
+
+
 @dataclass
 class NormalisedDeclared:
     clean: DataFrame
@@ -139,10 +143,7 @@ def normalise_declared(declared: DataFrame, names: DataFrame, sports: DataFrame,
     * one activity per employee and local day keeps the latest start
       instant, ties -> greatest near-duplicate key, then input line.
     """
-    # the classified rows feed all three outputs and both dedup passes:
-    # keep them once (MEMORY_AND_DISK — a lost executor recomputes its
-    # blocks from the lineage; identical plans share the cache entry)
-    classified = classify_declared(declared, names, sports, run).persist(StorageLevel.MEMORY_AND_DISK)
+    classified = classify_declared(declared, names, sports, run)
     errors = classified.filter(F.col("err_raison").isNotNull()).select(
         *DECLARED_COLUMNS, F.col("err_raison").alias("raison"), "ligne"
     )
@@ -158,13 +159,16 @@ def normalise_declared(declared: DataFrame, names: DataFrame, sports: DataFrame,
     valid = valid.withColumn("ano_raison", ano).withColumn("cle_salarie", pseudonym("id_salarie_brut", run.salt))
     valid = valid.withColumn("_key_dedup", near_duplicate_key())
     anos_sport = valid.filter(F.col("ano_raison").isNotNull())
-    # Near-identical rows
-    unique, near_dup = split_one_per_group(valid, ["_key_dedup"], [("horodateur", "desc"), ("ligne", "desc")], "ligne")
+    # the kept rows are picked by an aggregate alone; only the discarded ones
+    # need the winners joined back.  W6: near-identical rows
+    order = [("horodateur", "desc"), ("ligne", "desc")]
+    unique = keep_one_per_group(valid.select(*KEPT_COLUMNS, "_key_dedup", "horodateur"), ["_key_dedup"], order)
+    _, near_dup = split_one_per_group(valid, ["_key_dedup"], order, "ligne")
     # One per employee and local day
     unique = unique.withColumn("date_debut", F.col("date_parsed")).withColumn("_jour", local_day("date_parsed", run.zone))
-    final, day_dup = split_one_per_group(
-        unique, ["cle_salarie", "_jour"], [("date_debut", "desc"), ("_key_dedup", "desc"), ("ligne", "desc")], "ligne"
-    )
+    day, order = ["cle_salarie", "_jour"], [("date_debut", "desc"), ("_key_dedup", "desc"), ("ligne", "desc")]
+    final = keep_one_per_group(unique, day, order)
+    _, day_dup = split_one_per_group(unique, day, order, "ligne")
     anomalies = (
         anos_sport.select(F.col("ano_raison").alias("raison"), *DECLARED_COLUMNS, "ligne")
         .unionByName(near_dup.select(F.lit(ANOMALY_NEAR_DUPLICATE).alias("raison"), *DECLARED_COLUMNS, "ligne"))

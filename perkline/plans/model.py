@@ -2,13 +2,14 @@
 
 ``BenefitModel`` wires the bound tables into the BI, eligibility and KPI
 plans.  Nothing is computed here: every property returns a lazy DataFrame,
-and Catalyst optimises each consuming query as a whole.  The BI and
-eligibility views, which the rules, the six KPIs and the checks all reuse,
-are marked to be kept once computed (``release`` drops them).
+and Catalyst optimises each consuming query as a whole.  Only a run that reads
+the per-employee views many times keeps them (``kept``), and lets them go at
+its end.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -20,33 +21,15 @@ from perkline.plans.params import effective_params, param_pivot
 from perkline.sources.tables import Tables
 
 
-def _keep(df: DataFrame) -> DataFrame:
-    """Per-employee views reused by the eligibility rules, six KPIs and the
-    checks are kept once per session (MEMORY_AND_DISK; recomputed from
-    lineage if an executor is lost).  Identical plans share one cache entry.
-    Their size grows with the number of employees, not with the activity
-    facts; the fact-sized activity view is never kept."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-_MODELS: dict = {}
-
-
 class BenefitModel:
-    def __init__(self, spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN):
+    def __init__(self, spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN, tables: Tables | None = None):
         self.spark = spark
         self.run = run
-        self.t = Tables.of(spark, sf_dir, run)
+        self.t = tables or Tables(spark, sf_dir, run)
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN) -> "BenefitModel":
-        """Shared model per (session, directory, run)."""
-        from perkline.sources.tables import run_key
-
-        key = (id(spark._jsparkSession), sf_dir, run_key(run))
-        if key not in _MODELS:
-            _MODELS[key] = cls(spark, sf_dir, run)
-        return _MODELS[key]
+        return cls(spark, sf_dir, run)
 
     # -- parameters ----------------------------------------------------------
     @cached_property
@@ -86,11 +69,11 @@ class BenefitModel:
 
     @cached_property
     def bi_employee(self) -> DataFrame:
-        return _keep(bi.bi_employee(self.link, self.roster))
+        return bi.bi_employee(self.link, self.roster)
 
     @cached_property
     def bi_commute(self) -> DataFrame:
-        return _keep(bi.bi_commute(self.commute_checks))
+        return bi.bi_commute(self.commute_checks)
 
     @cached_property
     def salaries(self) -> DataFrame:
@@ -103,11 +86,11 @@ class BenefitModel:
 
     @cached_property
     def bonus(self) -> DataFrame:
-        return _keep(eligibility.bonus_eligibility(self.bi_employee, self.bi_commute, self.salaries))
+        return eligibility.bonus_eligibility(self.bi_employee, self.bi_commute, self.salaries)
 
     @cached_property
     def wellbeing(self) -> DataFrame:
-        return _keep(eligibility.wellbeing_eligibility(self.bi_employee, self.activity_counts, self.pivot, self.run))
+        return eligibility.wellbeing_eligibility(self.bi_employee, self.activity_counts, self.pivot, self.run)
 
     @cached_property
     def benefits(self) -> DataFrame:
@@ -142,8 +125,16 @@ class BenefitModel:
             "pratique_sport": self.kpi_activity_mix(),
         }
 
-    def release(self) -> None:
-        """Drop the kept views (end of a run)."""
-        for name in ("bi_employee", "bi_commute", "bonus", "wellbeing"):
-            if name in self.__dict__:
-                self.__dict__[name].unpersist()
+    @contextmanager
+    def kept(self):
+        """Keeps the per-employee views while a run reads them many times
+        (MEMORY_AND_DISK; a lost executor's blocks are recomputed).  Their
+        size follows the employees, not the activity facts."""
+        views = [getattr(self, name) for name in ("bi_employee", "bi_commute", "bonus", "wellbeing")]
+        for view in views:
+            view.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            yield self
+        finally:
+            for view in views:
+                view.unpersist()

@@ -66,19 +66,15 @@ def param_pivot(effective: DataFrame) -> DataFrame:
     )
 
 
-_SCALARS: dict[int, tuple[DataFrame, Column]] = {}
-
-
 def param_value(pivot: DataFrame, code: str) -> Column:
     """One pivoted parameter, read from a single scalar subquery returning
     the whole pivot row as a struct.  Every use shares the same subquery
     expression, so Spark evaluates it once per query (subquery reuse) and
     inlines the value: no join, nothing collected on the driver."""
-    entry = _SCALARS.get(id(pivot))
-    if entry is None or entry[0] is not pivot:
-        entry = (pivot, pivot.select(F.struct(*pivot.columns).alias("p")).scalar())
-        _SCALARS[id(pivot)] = entry
-    return entry[1].getField(code)
+    row = pivot.__dict__.get("_row")  # kept with the frame it belongs to
+    if row is None:
+        row = pivot.__dict__["_row"] = pivot.select(F.struct(*pivot.columns).alias("p")).scalar()
+    return row.getField(code)
 
 
 def params_json(params: DataFrame) -> DataFrame:
@@ -88,14 +84,26 @@ def params_json(params: DataFrame) -> DataFrame:
     return params.agg(F.to_json(F.map_from_entries(entries)).alias("param_effectif"))
 
 
+def mapping_pairs(mapping) -> list[tuple[str, str]]:
+    """(code, value text) of a flat mapping; scalars only, keys not
+    blank, values not NULL."""
+    pairs = mapping.items() if hasattr(mapping, "items") else mapping
+    return [
+        (str(key).strip(), str(value))
+        for key, value in pairs
+        if key is not None and str(key).strip() and value is not None and not isinstance(value, (dict, list, tuple, set))
+    ]
+
+
 def params_from_mapping(spark, mapping: dict, day: dt.date) -> DataFrame:
-    """Flat key/value mapping -> parameter rows (scalars only, key not
-    blank, value not NULL, values as text)."""
-    rows = []
-    for key, value in mapping.items():
-        if key is None or not str(key).strip():
-            continue
-        if value is None or isinstance(value, (dict, list, tuple, set)):
-            continue
-        rows.append((str(key).strip(), str(value), day))
+    """Parameter rows of a mapping, in effect from ``day``."""
+    rows = [(code, value, day) for code, value in mapping_pairs(mapping)]
     return spark.createDataFrame(rows, "code_param string, valeur_param string, date_effet date")
+
+
+def params_from_mapping_at(days: DataFrame, mapping) -> DataFrame:
+    """S10 for every ``jour`` of ``days``: the mapping's rows in effect from
+    that day (the pairs are a literal array, no join)."""
+    pairs = [F.struct(F.lit(k).alias("code_param"), F.lit(v).alias("valeur_param")) for k, v in mapping_pairs(mapping)]
+    rows = days.select("jour", F.explode(F.array(*pairs)).alias("m"))
+    return rows.select("jour", "m.code_param", "m.valeur_param", F.col("jour").alias("date_effet"))

@@ -307,6 +307,36 @@ def q_last_n_months(spark, sf_dir):
     )
 
 
+@register(
+    "rolling_period_current",
+    twin(
+        "SELECT jour, CAST(date_trunc('month', jour) - INTERVAL 11 MONTH AS DATE) AS periode_debut, jour AS periode_fin "
+        "FROM (SELECT DISTINCT jour FROM b_activity)"
+    ),
+)
+def q_rolling_period_current(spark, sf_dir):
+    """F14 with the current month, up to the as-of day."""
+    days = T(spark, sf_dir).activities().select("jour").distinct()
+    start, end = dates.rolling_period("jour", DEFAULT_RUN.window_months, True)
+    return days.select("jour", start.alias("periode_debut"), end.alias("periode_fin"))
+
+
+@register(
+    "last_n_months_current",
+    twin(
+        "SELECT jour, i AS rang, strftime(date_trunc('month', jour) - to_months(CAST(12 - i AS INTEGER)), '%Y-%m') AS mois "
+        "FROM (SELECT DISTINCT jour FROM b_activity) d, range(1, 13) r(i)"
+    ),
+)
+def q_last_n_months_current(spark, sf_dir):
+    """F15 with the current month, oldest first."""
+    days = T(spark, sf_dir).activities().select("jour").distinct()
+    months = dates.last_n_months("jour", 12, True)
+    return days.select("jour", F.posexplode(months).alias("rang", "mois")).select(
+        "jour", (F.col("rang") + 1).cast("bigint").alias("rang"), "mois"
+    )
+
+
 AGE_SQL = f"CASE WHEN date_naissance IS NULL THEN NULL ELSE CAST(date_part('year', age({AS_OF}, date_naissance)) AS INTEGER) END"
 
 

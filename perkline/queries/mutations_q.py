@@ -347,6 +347,24 @@ def q_refresh_decision(spark, sf_dir):
     return mutate.should_refresh(t.link(), t.commute_checks(), force=False)
 
 
+@register(
+    "refresh_decision_variants",
+    twin(
+        "SELECT v.cas, e.n AS nb_attendus, CASE v.cas WHEN 'complet' THEN e.n WHEN 'force' THEN e.n ELSE 0 END AS nb_existants, "
+        "v.cas = 'force' AS force, v.cas <> 'complet' AS a_rafraichir "
+        "FROM (VALUES ('complet'), ('force'), ('vide')) v(cas), (SELECT count(*) AS n FROM b_link) e"
+    ),
+)
+def q_refresh_decision_variants(spark, sf_dir):
+    """A complete table is skipped, unless forced; an empty one is not."""
+    links = T(spark, sf_dir).link()
+
+    def case(name, existing, force):
+        return mutate.should_refresh(links, existing, force).select(F.lit(name).alias("cas"), "*")
+
+    return case("complet", links, False).unionByName(case("force", links, True)).unionByName(case("vide", links.where("false"), False))
+
+
 # ---------------------------------------------------------------------------
 # K2 activity load
 # ---------------------------------------------------------------------------

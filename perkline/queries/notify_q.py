@@ -14,7 +14,7 @@ from perkline.plans.model import BenefitModel
 from perkline.queries import register
 from perkline.queries.functions_q import km_text_sql, minutes_text_sql
 from perkline.queries.ingest_q import it
-from perkline.queries.views_q import vt
+from perkline.queries.views_q import EFF_AT, vt
 from perkline.sources.tables import Tables
 from perkline.twins import twin
 from perkline.twins import exprs as X
@@ -97,6 +97,16 @@ def q_notification_outbox(spark, sf_dir):
     return notify.outbox(t.activity_source_v2(), t.activity_table(), t.link(), t.roster(), force=False)
 
 
+FORCED_SQL = MSG_SQL.replace(PENDING_SQL, LOOKUP_SQL)
+
+
+@register("notification_outbox_forced", twin(f"SELECT id_activite, message, 'pending' AS origine FROM ({FORCED_SQL})"))
+def q_notification_outbox_forced(spark, sf_dir):
+    """K11 forced: published activities of the file again."""
+    t = T(spark, sf_dir)
+    return notify.outbox(t.activity_source_v2(), t.activity_table(), t.link(), t.roster(), force=True)
+
+
 LATEST_SQL = (
     "SELECT a.id_activite, r.prenom, r.nom, a.type_activite, a.duree_sec, a.distance_m, coalesce(a.commentaire, '') AS commentaire, "
     f"a.date_debut FROM (SELECT * FROM b_act_table WHERE source_donnee = 'csv_gsheet' ORDER BY date_debut DESC, id_activite DESC "
@@ -197,6 +207,56 @@ def q_history_snapshot(spark, sf_dir):
     return history.tag_snapshot(m.kpi_age(), 1, history.run_instant(RUN))
 
 
+HISTORY_RELATIONS = {
+    "cout_prime": "SELECT * FROM x_kpi_cost",
+    "cout_prime_fixe": "SELECT p.montant_prime_fixe AS montant_prime, t.n AS nb_salaries_eligibles_prime, "
+    + X.money("t.n * p.montant_prime_fixe")
+    + " AS cout_annuel_total_prime FROM (SELECT CAST(ifnull(sum(prime), 0) AS BIGINT) AS n FROM x_due) t, b_pivot p",
+    "incoherences": "SELECT * FROM x_kpi_inco",
+    "jours_sup": "SELECT * FROM x_kpi_days",
+    "pratique_sport": "SELECT * FROM x_kpi_mix",
+}
+
+
+def _history_query(name: str, relation: str) -> None:
+    def run(spark, sf_dir):
+        m = BenefitModel.of(spark, sf_dir, RUN)
+        return history.tag_snapshot(m.kpis()[name], 1, history.run_instant(RUN))
+
+    run.__doc__ = f"K9: the {name} KPI tagged with the run id and snapshot instant."
+    register(f"history_{name}", vt(f"SELECT CAST(1 AS BIGINT) AS id_histo_run, {TS_RUN} AS ts_snapshot, k.* FROM ({relation}) k"))(run)
+
+
+for _name, _relation in HISTORY_RELATIONS.items():
+    _history_query(_name, _relation)
+
+# the run row per parameter state: each activity day's parameters as JSON
+RUN_ROW_SQL = (
+    "SELECT CAST(dense_rank() OVER (ORDER BY j.jour) AS BIGINT) AS id_histo_run, j.jour + INTERVAL 12 HOUR AS ts_histo, "
+    "j.jour AS date_histo_paris, CASE WHEN day(j.jour) % 5 = 0 THEN 'FAILURE' ELSE 'SUCCESS' END AS status, "
+    "CASE WHEN day(j.jour) % 5 = 0 THEN repeat('x', 4000) END AS error_message, j.js AS param_effectif FROM ("
+    "SELECT jour, CAST(to_json(map_from_entries(list((code_param, {'valeur_param': valeur_param, 'date_effet': date_effet}) "
+    f"ORDER BY code_param))) AS VARCHAR) AS js FROM ({EFF_AT}) GROUP BY jour) j"
+)
+
+
+@register("history_run_rows", twin(RUN_ROW_SQL))
+def q_history_run_rows(spark, sf_dir):
+    """K9: one run row per activity day, with that day's parameters as JSON;
+    every fifth day's run failed with a message that is cut at 4,000
+    characters."""
+    from perkline.plans.params import effective_params_at
+
+    m = BenefitModel.of(spark, sf_dir, RUN)
+    eff = effective_params_at(m.params, m.activities, "jour")
+    failed = F.dayofmonth("jour") % 5 == 0
+    return history.run_rows(
+        eff,
+        F.when(failed, F.lit("FAILURE")).otherwise(F.lit("SUCCESS")),
+        F.when(failed, F.repeat(F.lit("x"), F.lit(5000))),
+    )
+
+
 def _metrics_twin() -> str:
     from perkline.queries.mutations_q import CONTROL_SQL, SRC_SQL, SYNC_COUNTS_TWIN
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from perkline.config import ACTIVE_MODES, BONUS_REASONS, DEFAULT_RUN, SPORTS, TRAVEL_MODES
+from perkline.config import ACTIVE_MODES, BONUS_REASONS, DEFAULT_RUN, PARAM_MAPPING, SPORTS, TRAVEL_MODES
+from perkline.operators import mutate
 from perkline.plans import kpi
 from perkline.plans.bi import BI_ACTIVITY_COLUMNS
 from perkline.plans.model import BenefitModel
-from perkline.plans.params import PIVOT_SPEC, effective_params_at
+from perkline.plans.params import PIVOT_SPEC, effective_params_at, params_from_mapping_at
 from perkline.queries import register
 from perkline.twins import twin
 from perkline.twins import exprs as X
@@ -215,20 +216,7 @@ def q_params_json(spark, sf_dir):
     return eff.groupBy("jour").agg(F.to_json(F.map_from_entries(entries)).alias("param_effectif"))
 
 
-def _mapping_per_day(days):
-    """S10 for every activity day: the mapping rows dated that day (the
-    pairs come from exploding a literal array per day, no join)."""
-    from perkline.config import PARAM_MAPPING
-
-    rows = F.array(*[F.struct(F.lit(k).alias("code_param"), F.lit(v).alias("valeur_param")) for k, v in PARAM_MAPPING])
-    return days.select("jour", F.explode(rows).alias("m")).select(
-        "jour", "m.code_param", "m.valeur_param", F.col("jour").alias("date_effet")
-    )
-
-
 def _mapping_values_sql() -> str:
-    from perkline.config import PARAM_MAPPING
-
     return "(VALUES " + ", ".join(f"({X.q(k)}, {X.q(v)})" for k, v in PARAM_MAPPING) + ") AS m(code_param, valeur_param)"
 
 
@@ -247,23 +235,13 @@ DIFF_SQL = (
 def q_params_from_mapping(spark, sf_dir):
     """Parameter rows from the flat mapping, dated each activity day."""
     m = M(spark, sf_dir)
-    return _mapping_per_day(m.activities.select("jour").distinct())
+    return params_from_mapping_at(m.activities.select("jour").distinct(), PARAM_MAPPING)
 
 
 def _diff_per_day(spark, sf_dir):
     m = M(spark, sf_dir)
-    days = m.activities.select("jour").distinct()
-    new = _mapping_per_day(days)
-    eff = effective_params_at(m.params, m.activities, "jour").select(
-        "jour", "code_param", F.col("valeur_param").alias("valeur_actuelle"), F.lit(True).alias("_in_e")
-    )
-    j = new.join(eff, ["jour", "code_param"], "left")
-    action = (
-        F.when(F.col("_in_e").isNull(), F.lit("insert"))
-        .when(~F.col("valeur_actuelle").eqNullSafe(F.col("valeur_param")), F.lit("update"))
-        .otherwise(F.lit("noop"))
-    )
-    return j.select("jour", "code_param", "valeur_actuelle", "valeur_param", "date_effet", action.alias("action"))
+    new = params_from_mapping_at(m.activities.select("jour").distinct(), PARAM_MAPPING)
+    return mutate.param_actions(effective_params_at(m.params, m.activities, "jour"), new, ["jour", "code_param"])
 
 
 @register("param_diff", twin(DIFF_SQL))
@@ -281,6 +259,21 @@ def q_param_sync(spark, sf_dir):
     return d.filter(F.col("action") != "noop").select("jour", "code_param", "valeur_param", "date_effet", "action")
 
 
+@register(
+    "param_next_version",
+    twin(
+        f"SELECT code_param, valeur_param, date_effet FROM b_params UNION ALL SELECT code_param, valeur_param, date_effet FROM ({DIFF_SQL}) "
+        "WHERE action <> 'noop' AND jour = (SELECT max(jour) FROM b_activity)"
+    ),
+)
+def q_param_next_version(spark, sf_dir):
+    """K4: the parameter table after a sync on the last activity day."""
+    m = M(spark, sf_dir)
+    last = m.activities.agg(F.max("jour").alias("j")).scalar()
+    actions = _diff_per_day(spark, sf_dir).filter(F.col("jour") == last)
+    return mutate.next_params(m.params, actions)
+
+
 # ---------------------------------------------------------------------------
 # BI views
 # ---------------------------------------------------------------------------

@@ -33,36 +33,27 @@ def _memo(method):
     def wrapper(self, *args):
         key = (method.__name__, *args)
         if key not in self._cache:
-            self._cache[key] = method(self, *args)
+            given = None if args else self.versions.get(method.__name__)
+            self._cache[key] = method(self, *args) if given is None else given
         return self._cache[key]
 
     return wrapper
 
 
-_SHARED: dict = {}
-
-
-def run_key(run: RunConfig) -> tuple:
-    return (run.as_of, run.zone, run.window_months, run.include_current_month, run.salt, run.scenario)
-
-
 class Tables:
-    """Lazy domain tables of one data directory."""
+    """Lazy domain tables of one data directory; ``versions`` (table name ->
+    frame) stand for the bound ones, as a run's own outputs do."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN):
+    def __init__(self, spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN, versions: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.run = run
+        self.versions = versions or {}
         self._cache: dict = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN) -> "Tables":
-        """Shared instance per (session, directory, run): the bindings are
-        immutable plans, so every query of a session reuses them."""
-        key = (id(spark._jsparkSession), sf_dir, run_key(run))
-        if key not in _SHARED:
-            _SHARED[key] = cls(spark, sf_dir, run)
-        return _SHARED[key]
+        return cls(spark, sf_dir, run)
 
     @_memo
     def raw(self, name: str) -> DataFrame:

@@ -5,24 +5,61 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from perkline.config import DEFAULT_RUN
+from perkline.functions.dates import local_day
+from perkline.plans import bi, ingest
 from perkline.plans.daily import daily_run
+from perkline.sources.tables import Tables
 
 SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not available")
+OUTPUTS = ("rejets", "anomalies", "activite", "rh_salarie", "lien_salarie", "salarie", "sync_rh", "ctrl_trajet", "histo_run",
+           "controles", "outbox", "activite_publiee", "run_metrique")
 
 
-@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not available")
 def test_daily_run_writes_every_output(spark):
     out = daily_run(spark, SF, DEFAULT_RUN, force_commute=True)
-    for name in ("rejets", "anomalies", "activite", "rh_salarie", "lien_salarie", "salarie", "sync_rh", "ctrl_trajet", "histo_run",
-                 "controles", "outbox", "activite_publiee", "run_metrique"):
+    for name in OUTPUTS:
         assert name in out, name
-        assert spark.read.parquet(out[name]).count() >= 0
     run_row = spark.read.parquet(out["histo_run"]).first()
     assert run_row["status"] == "SUCCESS"
     assert len([k for k in out if k.startswith("histo_kpi_")]) == 6
     # blocking errors exist in the declared rows: the clean file is not written (all-or-nothing)
     assert "declaratifs_normalises" not in out
     metrics = spark.read.parquet(out["run_metrique"]).first()
-    assert metrics["statut"] == "FAILED" and metrics["nb_lignes_lues"] > 0
+    assert metrics["statut"] == "FAILED" and metrics["nb_lignes_lues"] > 0 and metrics["nb_lignes_ecrites"] == 0
+
+
+def test_daily_run_reads_what_it_loaded(spark):
+    t = Tables(spark, SF, DEFAULT_RUN)
+    wrong = ingest.normalised(t, DEFAULT_RUN).errors.select("ligne").distinct()
+    good = t.declared().join(wrong, "ligne", "left_anti")
+    out = daily_run(spark, SF, DEFAULT_RUN, force_commute=True, versions={"declared": good.select(*t.declared().columns)})
+    assert "declaratifs_normalises" in out
+    assert spark.read.parquet(out["run_metrique"]).first()["statut"] == "SUCCESS"
+    activity = spark.read.parquet(out["activite"])
+    forms = spark.read.parquet(out["declaratifs_normalises"])
+    keys = ["cle_salarie", "date_debut", "source_donnee"]
+    assert forms.join(activity, keys, "left_anti").count() == 0
+    assert activity.select("id_activite").distinct().count() == activity.count()
+    # the activity KPI counts the loaded version
+    start, end = DEFAULT_RUN.period()
+    seen = bi.bi_activity(activity.withColumn("jour", local_day("date_debut", DEFAULT_RUN.zone)), DEFAULT_RUN.zone)
+    seen = seen.filter(~F.col("est_exclue_structurelle") & F.col("date_activite").between(F.lit(start), F.lit(end)))
+    mix = spark.read.parquet(out["histo_kpi_pratique_sport"]).agg(F.sum("nb_activites")).first()[0]
+    assert mix == seen.count()
+    # the roster is the one after all steps: absent people inactive, new ones with their sport
+    roster = {r["id_salarie_brut"]: r for r in spark.read.parquet(out["rh_salarie"]).collect()}
+    file = {r["id_salarie_brut"]: r for r in t.roster_v2().collect()}
+    assert set(file) <= set(roster)
+    for key, row in roster.items():
+        assert row["actif"] == (key in file)
+        if key in file:
+            assert row["sport_declare"] == ((file[key]["sport_declare"] or "").strip() or None)
+            assert row["date_embauche"] == file[key]["date_embauche"] and row["type_contrat"] == file[key]["type_contrat"]
+    # forms only are announced, and flagged afterwards
+    box = spark.read.parquet(out["outbox"])
+    flagged = spark.read.parquet(out["activite_publiee"]).filter("flag_slack")
+    assert box.count() > 0 and box.join(flagged, "id_activite", "left_anti").count() == 0

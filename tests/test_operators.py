@@ -249,3 +249,33 @@ def test_merge_sql_and_plain_parquet_fallback(spark):
     assert mutate.supports_merge(spark, name) is False
     path = mutate.upsert_table(spark, name, spark.createDataFrame([("k1", 5), ("k2", 6)], "key string, d int"), ["key"], ["d"])
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [("k1", 5, "update"), ("k2", 6, "insert")]
+
+
+def _dense(out, n, start, column="new_id"):
+    low, high, distinct, rows = out.agg(F.min(column), F.max(column), F.countDistinct(column), F.count("*")).first()
+    return (low, high, distinct, rows) == (start + 1, start + n, n, n)
+
+
+@pytest.mark.parametrize("partitions", [2, 8, 61])
+def test_assign_ids_are_dense_at_a_million_rows(spark, partitions):
+    n = 1_000_000
+    df = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.lit("some payload").alias("p"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        out = mutate.assign_ids(df, ["k"], F.lit(5), "new_id")
+        assert _dense(out, n, 5)
+        assert out.filter(F.col("new_id") != F.col("k") + 6).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_upsert_keeps_every_insert_and_stops_on_duplicate_keys(spark):
+    target = spark.range(200_000).select(F.col("id").alias("k"), F.col("id").alias("ident"), F.lit(0).alias("v"))
+    source = spark.range(100_000, 500_000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    out = mutate.upsert(target, source, ["k"], ["v"], id_col="ident")
+    counts = {r["action"]: r["count"] for r in out.groupBy("action").count().collect()}
+    assert counts == {"unchanged": 100_000, "update": 100_000, "insert": 300_000}
+    assert out.select("ident").distinct().count() == 500_000 and out.agg(F.max("ident")).first()[0] == 499_999
+    with pytest.raises(Exception, match="duplicate source key"):
+        mutate.upsert(target, source.union(source.limit(1)), ["k"], ["v"]).collect()

@@ -44,3 +44,18 @@ def test_pick_is_a_partial_aggregate(spark):
     plan = dedup.keep_one_per_group(df, ["k"], [("v", "desc")])._jdf.queryExecution().executedPlan().toString()
     # the partial (map-side) aggregate sits below the exchange: each task sends one row per key
     assert plan.count("SortAggregate") + plan.count("HashAggregate") >= 2
+
+
+def test_a_hot_keys_rows_spread_when_its_size_joins_back(spark):
+    df = _skewed(spark, 60000).withColumn("pad", F.col("rid"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sized = dedup.with_group_size(df, ["k"]).withColumn("task", F.spark_partition_id())
+        per_task = sized.filter(F.col("k") == "hot").groupBy("task").count().agg(F.max("count"), F.count("*")).first()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert per_task[1] >= 12 and per_task[0] <= 20000 / 4, per_task
