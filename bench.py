@@ -111,6 +111,7 @@ def main() -> None:
     timings: dict[str, float] = {}
     errors: dict[str, str] = {}
     for name in names:
+        spark.catalog.clearCache()  # no query starts from what another kept
         sc.setJobGroup(f"bench:{name}", name)
         t0 = time.perf_counter()
         try:

@@ -262,47 +262,3 @@ def guarded_write(spark: SparkSession, df: DataFrame, errors: DataFrame, name: s
     if not errors.isEmpty():
         return None
     return commit_version(spark, df, name)
-
-
-def merge_sql(table: str, source_view: str, keys: Sequence[str], update_cols: Sequence[str],
-              insert_cols: Sequence[str], change_only: Sequence[str] | None = None) -> str:
-    """``MERGE INTO`` statement of an upsert, for targets stored in a table
-    format that supports it (Delta, Iceberg): only the files holding the
-    touched keys are rewritten, instead of a whole new version.
-
-    ``change_only`` adds the ``IS DISTINCT FROM`` guard of M2/M3 (the update
-    fires only when a listed column changes).
-    """
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    sets = ", ".join(f"t.{c} = s.{c}" for c in update_cols)
-    guard = ""
-    if change_only:
-        guard = " AND (" + " OR ".join(f"NOT (t.{c} <=> s.{c})" for c in change_only) + ")"
-    cols = ", ".join(insert_cols)
-    vals = ", ".join(f"s.{c}" for c in insert_cols)
-    return (
-        f"MERGE INTO {table} t USING {source_view} s ON {on} "
-        f"WHEN MATCHED{guard} THEN UPDATE SET {sets} "
-        f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals})"
-    )
-
-
-def supports_merge(spark: SparkSession, table: str) -> bool:
-    """True when ``table`` is a catalog table whose format accepts MERGE
-    (a V2 table such as Delta or Iceberg); plain Parquet tables do not."""
-    if not spark.catalog.tableExists(table):
-        return False
-    provider = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r[0] == "Provider"]
-    return bool(provider) and provider[0][1].lower() in ("delta", "iceberg")
-
-
-def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str]) -> str:
-    """M1 on a catalog table: ``MERGE INTO`` when the format supports it,
-    otherwise the next version is computed by :func:`upsert` and written to
-    a fresh path.  Returns what was done ("merge" or the new path)."""
-    if supports_merge(spark, table):
-        view = f"_upsert_src_{abs(hash(table)) % 10**8}"
-        source.createOrReplaceTempView(view)
-        spark.sql(merge_sql(table, view, keys, update_cols, source.columns))
-        return "merge"
-    return commit_version(spark, upsert(spark.table(table), source, keys, update_cols), table.replace(".", "_"))

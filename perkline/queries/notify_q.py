@@ -257,6 +257,22 @@ def q_history_run_rows(spark, sf_dir):
     )
 
 
+@register(
+    "history_successful",
+    twin(
+        "SELECT id_histo_run, jour, nb_activites FROM (SELECT CAST(dense_rank() OVER (ORDER BY jour) AS BIGINT) AS id_histo_run, jour, "
+        "count(*) AS nb_activites FROM b_activity GROUP BY jour) WHERE day(jour) % 5 <> 0"
+    ),
+)
+def q_history_successful(spark, sf_dir):
+    """K9: readers of a history table see the rows of successful runs only
+    (here a snapshot of each day's number of activities)."""
+    runs = q_history_run_rows(spark, sf_dir)
+    counts = T(spark, sf_dir).activities().groupBy("jour").agg(F.count("*").alias("nb_activites"))
+    snapshot = runs.select("id_histo_run", F.col("date_histo_paris").alias("jour")).join(counts, "jour")
+    return history.successful_snapshots(runs, snapshot).select("id_histo_run", "jour", "nb_activites")
+
+
 def _metrics_twin() -> str:
     from perkline.queries.mutations_q import CONTROL_SQL, SRC_SQL, SYNC_COUNTS_TWIN
 

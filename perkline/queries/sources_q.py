@@ -53,24 +53,25 @@ def _sheet_twin(where: str = "") -> str:
 def q_latest_file_mtime(spark, sf_dir):
     """Rows of the export modified last."""
     root = write_form_exports(spark, sf_dir)
-    df = files.read_declared(spark, os.path.join(root, "*_decla_sheet.csv"), FORM_COLUMNS)
-    return files.latest_file(df, by="mtime").select(*FORM_HEADER)
+    newest = files.latest_export(spark, os.path.join(root, "*_decla_sheet.csv"), by="mtime")
+    return files.read_declared(spark, newest, FORM_COLUMNS).select(*FORM_HEADER)
 
 
 @register("latest_file_name", _sheet_twin())
 def q_latest_file_name(spark, sf_dir):
     """Rows of the export with the greatest (timestamp-prefixed) name."""
     root = write_form_exports(spark, sf_dir)
-    df = files.read_declared(spark, os.path.join(root, "*_decla_sheet.csv"), FORM_COLUMNS)
-    return files.latest_file(df, by="name").select(*FORM_HEADER)
+    newest = files.latest_export(spark, os.path.join(root, "*_decla_sheet.csv"), by="name")
+    return files.read_declared(spark, newest, FORM_COLUMNS).select(*FORM_HEADER)
 
 
 @register("read_declared", _sheet_twin())
 def q_read_declared(spark, sf_dir):
-    """S3: all-string scan of one export with the required-column check."""
-    root = write_form_exports(spark, sf_dir)
-    df = files.read_declared(spark, os.path.join(root, EXPORTS[0][0]), FORM_COLUMNS)
-    return df.select(*FORM_HEADER)
+    """S3: all-string scan of an export with the required-column check."""
+    d = T(spark, sf_dir).declared()
+    path = scratch_path(spark, "form-export")
+    files.write_csv(d.select(*[F.col(b).alias(h) for b, h in zip(BINDING_COLS, FORM_HEADER)]), path)
+    return files.read_declared(spark, path, FORM_COLUMNS).select(*FORM_HEADER)
 
 
 def _clean(spark, sf_dir):

@@ -1,9 +1,7 @@
 """File sources (S1-S7) and file sinks.
 
-Exports are Spark CSV datasets (a folder of part files per export).  File
-choice uses the file-source metadata column ``_metadata`` (name, path,
-modification time), so picking "the newest export" is a filter evaluated
-with the scan instead of a driver-side directory listing.
+Exports are Spark CSV datasets (a folder of part files per export).  The
+newest one is chosen from the files' metadata alone, and only it is read.
 """
 
 from __future__ import annotations
@@ -67,28 +65,26 @@ def read_declared(spark: SparkSession, path: str, required: Sequence[str]) -> Da
     )
 
 
-def export_of(path_col: Column) -> Column:
-    """Export (dataset folder) of a part file: its parent folder name."""
-    return F.element_at(F.split(path_col, "/"), -2)
+def latest_export(spark: SparkSession, paths: str, by: str = "mtime") -> str:
+    """Path of the newest export of a family (``paths`` is a glob of
+    export folders).  ``by="mtime"``: the one whose files were modified last;
+    ``by="name"``: the greatest name (timestamp prefix).
 
-
-def latest_file(df: DataFrame, by: str = "mtime") -> DataFrame:
-    """Rows of the newest export of a family.
-
-    ``by="mtime"``: the export whose files were modified last;
-    ``by="name"``: the greatest export name (timestamp prefix).  The choice
-    is one scalar subquery over file metadata (one row per file), then a
-    filter — no listing or collect on the driver.
+    Only the files' metadata is read, no content, and one row comes back; the
+    caller then reads that export alone.
     """
-    tagged = df.withColumn("_export", export_of(F.col("_chemin")))
-    files = tagged.groupBy("_export").agg(F.max("_mtime").alias("m"))
-    if by == "mtime":
-        pick = files.agg(F.max_by("_export", F.struct("m", "_export")).alias("e")).select("e").scalar()
-    elif by == "name":
-        pick = files.agg(F.max("_export").alias("e")).select("e").scalar()
-    else:
+    if by not in ("mtime", "name"):
         raise ValueError("by must be 'mtime' or 'name'")
-    return tagged.filter(F.col("_export") == pick)
+    listed = spark.read.format("binaryFile").load(paths).select("path", "modificationTime")
+    exports = listed.withColumn("folder", F.regexp_replace("path", "/[^/]*$", "")).groupBy("folder").agg(
+        F.max("modificationTime").alias("m")
+    )
+    name = F.element_at(F.split("folder", "/"), -1)
+    order = F.struct("m", name.alias("n")) if by == "mtime" else F.struct(name.alias("n"))
+    found = exports.agg(F.max_by("folder", order).alias("folder")).first()["folder"]
+    if found is None:
+        raise FileNotFoundError(paths)
+    return found
 
 
 ACTIVITY_SCHEMA = T.StructType(

@@ -232,25 +232,6 @@ def test_prepare_activities_null_start_fails(spark):
         loading.prepare_activities(df).collect()
 
 
-def test_merge_sql_and_plain_parquet_fallback(spark):
-    sql = mutate.merge_sql("metier.activite", "src", ["cle_salarie", "date_debut"], ["duree_sec"], ["cle_salarie", "date_debut", "duree_sec"],
-                           change_only=["duree_sec"])
-    assert sql.startswith("MERGE INTO metier.activite t USING src s ON t.cle_salarie = s.cle_salarie AND t.date_debut = s.date_debut ")
-    assert "WHEN MATCHED AND (NOT (t.duree_sec <=> s.duree_sec)) THEN UPDATE SET t.duree_sec = s.duree_sec" in sql
-    assert sql.endswith("WHEN NOT MATCHED THEN INSERT (cle_salarie, date_debut, duree_sec) VALUES (s.cle_salarie, s.date_debut, s.duree_sec)")
-    # a plain Parquet catalog table has no MERGE: the next version is written instead
-    import uuid
-
-    from perkline.session import scratch_path
-
-    name = f"perkline_upsert_{uuid.uuid4().hex[:8]}"
-    (spark.createDataFrame([("k1", 1)], "key string, d int").write.format("parquet")
-     .option("path", scratch_path(spark, name)).saveAsTable(name))
-    assert mutate.supports_merge(spark, name) is False
-    path = mutate.upsert_table(spark, name, spark.createDataFrame([("k1", 5), ("k2", 6)], "key string, d int"), ["key"], ["d"])
-    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [("k1", 5, "update"), ("k2", 6, "insert")]
-
-
 def _dense(out, n, start, column="new_id"):
     low, high, distinct, rows = out.agg(F.min(column), F.max(column), F.countDistinct(column), F.count("*")).first()
     return (low, high, distinct, rows) == (start + 1, start + n, n, n)

@@ -17,9 +17,9 @@ def test_latest_by_mtime_and_by_name(spark):
     for name, rows in (("20240201_decla_sheet.csv", [("b",)]), ("20240101_decla_sheet.csv", [("a",)])):
         files.write_csv(spark.createDataFrame(rows, "Nom string"), os.path.join(root, name))
         time.sleep(1.1)
-    df = files.read_declared(spark, os.path.join(root, "*_decla_sheet.csv"), ["Nom"])
-    assert [r[0] for r in files.latest_file(df, "mtime").select("Nom").collect()] == ["a"]
-    assert [r[0] for r in files.latest_file(df, "name").select("Nom").collect()] == ["b"]
+    for by, nom in (("mtime", "a"), ("name", "b")):
+        newest = files.latest_export(spark, os.path.join(root, "*_decla_sheet.csv"), by)
+        assert [r[0] for r in files.read_declared(spark, newest, ["Nom"]).select("Nom").collect()] == [nom]
     with pytest.raises(KeyError):
         files.read_declared(spark, os.path.join(root, "*_decla_sheet.csv"), ["Nom", "Prénom"])
 
