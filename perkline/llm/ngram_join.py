@@ -10,15 +10,16 @@ smaller count, and equal sets need comparing but once.
    groups at least ``m - d`` have the same content in both.  ``m`` depends on
    the size level of the smaller set only; a set is dealt under its own level
    and under each lower one that may hold a partner.  The content of each
-   filled group is a key, and nodes with an equal key meet in a cell.  A set
-   with so many empty groups that no filled one need agree also deals the
-   prefix of its hash-ordered shingles, which two such sets must share
-   (|A| - ceil(p |A| / 100) + 1 of them).  So no link is lost, there is no
-   cap, and a passage shared by many documents makes no cell, as a whole
-   group must agree.
-3. *Spine.*  Each node is compared with one neighbour: of its cells' members
-   the one found in most cells (the likely original of a family of copies).
-   Found links are contracted to components.
+   group of ``LEAST`` shingles or more is a key, and nodes with an equal key
+   meet in a cell.  A set with so few such groups that none of them need agree
+   also deals the prefix of its hash-ordered shingles, which two such sets
+   must share (|A| - ceil(p |A| / 100) + 1 of them).  So no link is lost and
+   there is no cap, and as a whole group must agree, a passage shared by many
+   documents makes few cells.
+3. *Spine.*  A cell's hub is its member that is found in most cells (the
+   likely original of a family of copies).  Each node is compared with that
+   of its hubs with which the count vectors bound the similarity highest, if
+   high enough.  Found links are contracted to components.
 4. *R-tree.*  Cells that still hold several components get a packed tree over
    their members' count vectors; the descent skips a node whose coordinate
    maxima bound the overlap below what its sizes need, or whose members are
@@ -43,17 +44,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perkline.llm.common import stored
+from perkline.llm.common import map_arrow, stored
 from perkline.llm.components import components
 from perkline.llm.words import NON_SPACE, Words, mix, split
 
 SHINGLE = 4
 PERCENT = 85
 #: coordinates of the count vectors in the tree
-GROUPS = 64
+GROUPS = 256
 FANOUT = 8
 BLOCK = 1024
 STEP = 1.5
+#: groups beyond those that must be there, in percent of those that may differ
+SPARE = 35
+#: a group of fewer shingles is no key: a shared phrase would make cells of it
+LEAST = 2
 _FIELD_BITS = 23
 
 
@@ -69,7 +74,7 @@ class Levels:
             start.append(max(start[-1] + 1, int(start[-1] * STEP)))
         self.start = start
         self.differ = [(100 - percent) * (s - 1) // percent for s in start[1:]]
-        self.groups = [d + 1 + (d + 7) // 8 for d in self.differ]
+        self.groups = [d + 1 + -(-SPARE * d // 100) for d in self.differ]
 
     def of(self, size: int) -> list[int]:
         """Levels under which a set of this size is dealt: its own and those
@@ -88,6 +93,8 @@ class Levels:
             group = (hashes >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)
             first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
             content = np.add.reduceat(mix(hashes ^ np.uint64(0xA24BAED4963EE407)), first)
+            filled = np.diff(np.append(first, size)) >= LEAST
+            first, content = first[filled], content[filled]
             tag = np.uint64(2 * k * 0x9FB21C651E98DF25 & (1 << 64) - 1)
             out.append(mix(content + tag + mix(group[first] + np.uint64(1))))
             if len(first) <= self.differ[k]:
@@ -155,26 +162,60 @@ def _dealt(percent: int):
     return task
 
 
-def _sets_of(field: bytes):
-    """Task: texts whose mark may be in ``field`` -> their sets and vectors."""
+def _in_field(field: bytes, hashes: pa.Array) -> np.ndarray:
+    bits = np.frombuffer(field, dtype=np.uint8)
+    bit = hashes.to_numpy().view(np.uint64) >> np.uint64(64 - _FIELD_BITS)
+    return (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+_SETS = pa.schema([("node", pa.int64()), ("shingles", pa.binary()), ("vector", pa.binary())])
+
+
+def _sets_of(field):
+    """Task: texts whose mark may be in ``field`` -> their sets and vectors,
+    each set once."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = np.frombuffer(field.value, dtype=np.uint8), set()
+        seen = set()
         for batch in batches:
-            bit = batch.column("mark").to_numpy().view(np.uint64) >> np.uint64(64 - _FIELD_BITS)
-            on = (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
-            texts = batch.column("text").filter(pa.array(on == 1))
+            texts = batch.column("text").filter(pa.array(_in_field(field.value, batch.column("mark"))))
             for _, _, w in split(texts, NON_SPACE):
                 rows = []
                 for s in shingle_sets(w):
                     if len(s) and (x := _node(s)) not in seen:
                         seen.add(x)
-                        vector = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
-                        rows.append({"node": x, "n": len(s), "shingles": s.tobytes(), "vector": vector.astype("<u4").tobytes()})
-                yield pa.RecordBatch.from_pylist(
-                    rows,
-                    schema=pa.schema([("node", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary()), ("vector", pa.binary())]),
+                        vector = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=GROUPS)
+                        rows.append({"node": x, "shingles": s.tobytes(), "vector": vector.astype("<u4").tobytes()})
+                yield pa.RecordBatch.from_pylist(rows, schema=_SETS)
+
+    return task
+
+
+def _only(field):
+    """Task: rows whose ``node`` may be in ``field``."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_in_field(field.value, batch.column("node"))))
+
+    return task
+
+
+def _bounded(percent: int):
+    """Task: pairs with both count vectors -> those that may link, and the
+    overlap's bound as a share of both sizes."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(at, 4096) for at in range(0, len(batch), 4096)):
+                x, y = (
+                    np.frombuffer(b"".join(part.column(c).to_pylist()), dtype="<u4").reshape(-1, GROUPS).astype(np.int64)
+                    for c in ("a_vector", "b_vector")
                 )
+                bound, sizes = np.minimum(x, y).sum(axis=1), x.sum(axis=1) + y.sum(axis=1)
+                share = pa.array(bound / np.maximum(sizes, 1))
+                out = pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), share], names=["a", "b", "share"])
+                yield out.filter(pa.array((100 + percent) * bound >= percent * sizes))
 
     return task
 
@@ -289,7 +330,8 @@ def _search(percent: int):
 
 
 def bit_field(marks: DataFrame) -> bytes:
-    """Bit field of fixed size (1 MB) with the first bits of ``mark``."""
+    """Bit field of fixed size (1 MB) with the first bits of ``mark``; it
+    only saves work, and lets some others through."""
     bit = F.expr(f"shiftrightunsigned(mark, {64 - _FIELD_BITS})")
     words = (
         marks.select(F.shiftright(bit, 5).alias("w"), F.expr("1L").alias("one"), bit.bitwiseAND(31).cast("int").alias("p"))
@@ -303,11 +345,16 @@ def bit_field(marks: DataFrame) -> bytes:
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` with ``link``: whether their sets are similar enough."""
+    """Pairs ``(a, b)`` with ``link``: whether their sets are similar enough.
+    Only sets that a pair needs are moved."""
+    pairs = stored(pairs.select("a", "b"), "ngram-pairs")
+    need = pairs.select(F.col("a").alias("mark")).union(pairs.select("b"))
+    field = pairs.sparkSession.sparkContext.broadcast(bit_field(need))
+    sets = map_arrow(sets.select("node", "shingles"), _only(field), "node bigint, shingles binary").dropDuplicates(["node"])
     one = sets.select(F.col("node").alias("_a"), F.col("shingles").alias("a_set"))
     other = sets.select(F.col("node").alias("_b"), F.col("shingles").alias("b_set"))
     both = pairs.join(one, F.col("a") == F.col("_a")).join(other, F.col("b") == F.col("_b"))
-    return both.select("a", "b", "a_set", "b_set").mapInArrow(_verify(percent), "a bigint, b bigint, link boolean")
+    return map_arrow(both.select("a", "b", "a_set", "b_set"), _verify(percent), "a bigint, b bigint, link boolean")
 
 
 def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -317,7 +364,7 @@ def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     marked = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     schema = T.StructType().add("key", "long").add("node", "long")
     schema.add("doc", T.StructType().add("doc", docs.schema["doc_id"].dataType).add("mark", "long").add("n", "long"))
-    dealt = marked.mapInArrow(_dealt(percent), schema)
+    dealt = map_arrow(marked, _dealt(percent), schema)
     # one shuffle by key: cells with several nodes stay, and the documents
     cell = Window.partitionBy("key")
     kept = (
@@ -330,26 +377,27 @@ def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     cells = kept.where("doc IS NULL").select("key", "node").distinct()
     cells = stored(cells, "ngram-cells-distinct")
 
-    # sets of the nodes that meet another one
+    # sets of the nodes that meet another one, each from one of its texts
     members = cells.select("node").distinct()
-    marks = rows.join(members, "node", "left_semi").select("mark")
+    marks = rows.join(members, "node", "left_semi").groupBy("node").agg(F.min("mark").alias("mark")).select("mark")
     field = docs.sparkSession.sparkContext.broadcast(bit_field(marks))
-    sets = (
-        marked.select("mark", "text")
-        .mapInArrow(_sets_of(field), "node bigint, n bigint, shingles binary, vector binary")
-        .join(members, "node", "left_semi")
-        .dropDuplicates(["node"])
-    )
+    sets = map_arrow(marked.select("mark", "text"), _sets_of(field), "node bigint, shingles binary, vector binary")
     sets = stored(sets, "ngram-sets")
+    vectors = stored(sets.select("node", "vector").dropDuplicates(["node"]), "ngram-vectors")
 
-    # spine: each node against its neighbour in most cells
+    # spine: each node against its likeliest hub
     often = cells.groupBy("node").agg(F.count("*").alias("often"))
     ranked = cells.join(often, "node").withColumn("rank", F.struct("often", "node"))
     hubs = ranked.groupBy("key").agg(F.max("rank").alias("hub"))
-    spine = ranked.join(hubs, "key").groupBy("node").agg(F.max("hub").alias("hub"))
-    spine = spine.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).where("a != b")
-    tried = stored(_linked(spine, sets, percent), "ngram-spine")
-    found = tried.where("link").select("a", "b")
+    tries = ranked.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub.node").alias("b")).where("a != b").distinct()
+    one = vectors.select(F.col("node").alias("_a"), F.col("vector").alias("a_vector"))
+    other = vectors.select(F.col("node").alias("_b"), F.col("vector").alias("b_vector"))
+    tries = tries.join(one, F.col("a") == F.col("_a")).join(other, F.col("b") == F.col("_b"))
+    tries = map_arrow(
+        tries.select("a", "b", "a_vector", "b_vector"), _bounded(percent), "a bigint, b bigint, share double"
+    )
+    spine = tries.groupBy("a").agg(F.max(F.struct("share", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+    found = stored(_linked(spine, sets, percent).where("link").select("a", "b"), "ngram-spine")
     roots = stored(components(found), "ngram-roots")
 
     # cells that still hold several components
@@ -373,15 +421,12 @@ def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .withColumn("block", F.pmod(F.xxhash64("node"), blocks))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
         .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "comp")
-        .join(sets.select("node", "vector"), "node")
-    )
-    pairs = (
-        units.repartition("key", "i", "j")
+        .join(vectors, "node")
+        .repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j")
         .select("key", "i", "j", "block", "node", "comp", "vector")
-        .mapInArrow(_search(percent), "a bigint, b bigint")
-        .distinct()
     )
+    pairs = map_arrow(units, _search(percent), "a bigint, b bigint").distinct()
     more = stored(_linked(pairs, sets, percent).where("link").select("a", "b"), "ngram-links")
     roots = components(found.union(more))
     return rows.join(roots, "node", "left").select(
