@@ -29,11 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perkline.llm.common import fold
+from perkline.llm.common import fold, map_arrow
 from perkline.llm.words import slices
 
 UNKNOWN = "und"
@@ -158,7 +159,7 @@ class Model:
 def _counts(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lang = np.asarray(batch.column("lang").to_numpy(zero_copy_only=False), dtype=object)
-        for a, b, buf, offsets in slices(batch.column("text"), 1 << 20):
+        for a, b, buf, offsets in slices(pc.utf8_lower(batch.column("text")), 1 << 20):
             own = np.repeat(lang[a:b], np.diff(offsets))
             for name in np.unique(lang[a:b].astype(str)):
                 at = own == name
@@ -185,9 +186,9 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, order: int = ORDER) -
         return Model([], np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0), order)
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / (1 << 40)
     share = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(sample_docs / sizes[k]))])
-    sample = rows.where(draw < share[F.col("lang")]).select("lang", F.lower("text").alias("text"))
+    sample = rows.where(draw < share[F.col("lang")]).select("lang", "text")
     found = (
-        sample.mapInArrow(lambda batches: _counts(batches, order), "lang string, gram bigint, n bigint")
+        map_arrow(sample, lambda batches: _counts(batches, order), "lang string, gram bigint, n bigint")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
         .toArrow()
@@ -198,39 +199,40 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, order: int = ORDER) -
     return Model(langs, lang, tagged, found["n"].to_numpy().astype(float), order)
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` with ``lang_pred`` and ``score``; only
-    ``text`` decides."""
-    rows = docs.select(
-        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)],
-        F.lower("text").alias("text"),
-        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"),
-    )
-    names = [f"_k{i}" for i in range(len(keep))]
-    schema = T.StructType(rows.select(*names).schema.fields).add("lang_pred", "string").add("score", "double")
+def predict(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Columns ``keep`` of ``docs`` with the predicted language and its score
+    under ``names``; only ``text`` decides."""
+    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    rows = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], lettered.alias("lettered"), "text")
+    own = [f"_k{i}" for i in range(len(keep))]
+    if "text" in keep:  # moved once only
+        rows = rows.drop("text")
+    source = own[keep.index("text")] if "text" in keep else "text"
+    schema = T.StructType(rows.select(*own).schema.fields).add("lang_pred", "string").add("score", "double")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        names_of = np.array([*own.langs, UNKNOWN], dtype=object)
+        model = shared.value
+        names_of = np.array([*model.langs, UNKNOWN], dtype=object)
         for batch in batches:
             lettered = batch.column("lettered").to_numpy(zero_copy_only=False)
-            for a, b, buf, offsets in slices(batch.column("text"), 1 << 20):
-                best, score = np.full(b - a, len(own.langs)), np.zeros(b - a)
-                if own.langs:
-                    bits = own.lengths(buf, offsets)
+            for a, b, buf, offsets in slices(pc.utf8_lower(batch.column(source)), 1 << 19):
+                best, score = np.full(b - a, len(model.langs)), np.zeros(b - a)
+                if model.langs:
+                    bits = model.lengths(buf, offsets)
                     best = bits.argmin(axis=1)
                     score = 1 / np.exp2(bits.min(axis=1, keepdims=True) - bits).sum(axis=1)
-                    best = np.where(lettered[a:b], best, len(own.langs))
+                    best = np.where(lettered[a:b], best, len(model.langs))
                     score = np.where(lettered[a:b], score, 0.0)
-                kept = [batch.column(n).slice(a, b - a) for n in names]
+                kept = [batch.column(n).slice(a, b - a) for n in own]
                 out = [*kept, pa.array(names_of[best], pa.string()), pa.array(score, pa.float64())]
-                yield pa.RecordBatch.from_arrays(out, names=[*names, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays(out, names=[*own, "lang_pred", "score"])
 
-    out = rows.mapInArrow(task, schema)
-    return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")
+    out = map_arrow(rows, task, schema)
+    found = [F.col(a).alias(b) for a, b in zip(("lang_pred", "score"), names, strict=True)]
+    return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], *found)
 
 
-def identify(docs: DataFrame, keep: list[str]) -> DataFrame:
+def identify(docs: DataFrame, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``predict`` with a model learned from the rows not held out."""
-    return predict(docs, learn(docs), keep)
+    return predict(docs, learn(docs), keep, names)
