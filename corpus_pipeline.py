@@ -28,10 +28,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model names; the label column stays
     as it was."""
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text", "lang")
-    named = lang_id.identify(rows, keep=["row"])
-    good = (F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return named.where(good).select("row.*")
+    named = lang_id.identify(docs, docs.columns, names=("_language", "_language_score"))
+    good = (F.col("_language") != lang_id.UNKNOWN) & (F.col("_language_score") >= MIN_LANGUAGE_SCORE)
+    return named.where(good).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
