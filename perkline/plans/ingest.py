@@ -98,10 +98,43 @@ def match_by_name(prepared: DataFrame, names: DataFrame) -> DataFrame:
     return j.drop("_rn", "_rp").withColumn("rh_trouve", F.coalesce("rh_trouve", F.lit(False)))
 
 
+#: tasks over which the declared rows of one name spread
+NAME_SALTS = 8
+
+
+def match_counted(prepared: DataFrame, names: DataFrame) -> DataFrame:
+    """As :func:`match_by_name`, without pairing an ambiguous name's rows.
+
+    The HR rows of a name are counted first, so a declared row meets one row
+    and is repeated as often as the name occurs (T15); who it is stays open
+    (NULL) then.  The counted names are dealt under salts, over which a name
+    with very many declared rows spreads.
+    """
+    ref = (
+        names.groupBy(F.col("nom_norm").alias("_rn"), F.col("prenom_norm").alias("_rp"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("id_salarie_brut").alias("_id"))
+        .select("*", F.explode(F.array(*[F.lit(i).cast("long") for i in range(NAME_SALTS)])).alias("_rs"))
+    )
+    rows = prepared.withColumn("_salt", F.pmod(F.xxhash64("ligne"), F.lit(NAME_SALTS)))
+    on = (F.col("nom_norm") == F.col("_rn")) & (F.col("prenom_norm") == F.col("_rp")) & (F.col("_salt") == F.col("_rs"))
+    j = rows.join(ref, on, "left")
+    times = F.sequence(F.lit(1).cast("long"), F.coalesce("_n", F.lit(1).cast("long")))
+    return (
+        j.withColumn("_time", F.explode(times))
+        .withColumn("id_salarie_brut", F.when(F.col("_n") == 1, F.col("_id")))
+        .withColumn("ambigu", F.col("_n") > 1)
+        .withColumn("rh_trouve", F.col("_n").isNotNull())
+        .drop("_rn", "_rp", "_n", "_id", "_rs", "_salt", "_time")
+    )
+
+
 def classify_declared(declared: DataFrame, names: DataFrame, sports: DataFrame, run: RunConfig) -> DataFrame:
     """Prepared rows + HR match + declared sport + error reason."""
     prepared = prepare_declared(declared, run.zone)
-    matched = match_by_name(prepared, name_reference(names))
+    normalised = names.select(
+        F.trim("id_salarie_brut").alias("id_salarie_brut"), normalise_text("nom").alias("nom_norm"), normalise_text("prenom").alias("prenom_norm")
+    )
+    matched = match_counted(prepared, normalised)
     sp = sport_reference(sports).select(F.col("id_salarie_brut").alias("_sid"), "sport_declare")
     j = matched.join(sp, F.col("id_salarie_brut") == F.col("_sid"), "left").drop("_sid")
     parsing = (

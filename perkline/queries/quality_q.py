@@ -168,6 +168,7 @@ _results_query("dq_missing", _sel(TABLE_SUITE, kinds=("missing",)), "Q4: NULL co
 _results_query("dq_duplicates", _sel(TABLE_SUITE, kinds=("duplicates",)), "Q5: keys occurring more than once.")
 _results_query("dq_reference", _sel(TABLE_SUITE, kinds=("reference",)), "Q6/J10: values missing from the referenced table.")
 _results_query("dq_domain", _sel(TABLE_SUITE, kinds=("domain",)), "Q7: values outside the valid domain.")
+_results_query("dq_columns", _sel(SIM_SUITE, kinds=("columns",)), "Q16: exact column list and order.")
 _rows_query("dq_negative", _sel(TABLE_SUITE, names=("distance negative", "valeurs negatives hors exclusions")), "Q8: negative values.")
 _rows_query("dq_outside_window", _sel(TABLE_SUITE, names=("date_debut hors fenetre 12 mois",)), "Q9: local day outside the window.")
 _rows_query(
