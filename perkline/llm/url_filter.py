@@ -151,8 +151,10 @@ def calibrate(examples: DataFrame) -> DataFrame:
 
 
 def seeds(spark) -> DataFrame:
-    rows = [(f"https://www.{w}.com/", True) for w in ACCEPTED_WORDS] + [(f"https://www.{w}.com/", False) for w in REJECTED_WORDS]
-    return spark.createDataFrame(rows, "url string, accepted boolean")
+    """``url, accepted``: one made-up URL for each seed word."""
+    words = [(w, True) for w in ACCEPTED_WORDS] + [(w, False) for w in REJECTED_WORDS]
+    rows = [F.struct(F.lit(f"https://www.{w}.com/").alias("url"), F.lit(good).alias("accepted")) for w, good in words]
+    return spark.range(1).select(F.explode(F.array(*rows)).alias("s")).select("s.*")
 
 
 def judge(pages: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
