@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perkline.llm.common import WHITE, let
+from perkline.llm.common import WHITE, let, stored
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -147,10 +147,15 @@ def host_verdicts(judged: DataFrame, host: str, failed: str, max_rate: float = M
     )
 
 
-def judge(docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """``docs`` with the measures, ``base_failed``, ``host_rate`` (NULL for a
-    NULL host), ``host_rejected`` and ``kept``."""
+def judge(
+    docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_HOST_RATE, keep_text: bool = True
+) -> DataFrame:
+    """``docs`` (its text only if ``keep_text``) with the measures,
+    ``base_failed``, ``host_rate`` (NULL for a NULL host), ``host_rejected``
+    and ``kept``.  The measured rows are written once, as both the host table
+    and the verdicts read them."""
     judged = measures(docs.drop("host_rate", "host_rejected", "kept"), text)
+    judged = stored(judged if keep_text else judged.drop(text), "host-measures")
     hosts = host_verdicts(judged, host, "base_failed", max_rate).select(
         F.col("host").alias("_host"), "host_rate", "host_rejected"
     )

@@ -178,7 +178,8 @@ def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text rules, and the verdict on each document's host (its source)."""
     from perkline.llm.host_rules import judge
 
-    return judge(table(spark, sf_dir, "documents")).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return judge(docs, keep_text=False).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
