@@ -121,23 +121,43 @@ def _struct_sql(c: Check, metric: str) -> str:
     )
 
 
+def _counted(df: DataFrame, checks: Sequence[Check], unique: Sequence[Check]) -> DataFrame:
+    """The counting checks of one table, and a duplicate check with them: the
+    counts are then taken per key, in the same pass, and added up."""
+    if not unique:
+        arr = "array(" + ", ".join(_struct_sql(c, _metric_sql(c)) for c in checks) + ")"
+        return df.agg(F.expr(arr).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+    per_key = [F.expr(f"{_metric_sql(c)} AS _m{i}") for i, c in enumerate(checks)]
+    keyed = df.groupBy(*unique[0].cols).agg(F.count(F.lit(1)).alias("_n"), *per_key)
+    structs = [_struct_sql(c, f"coalesce(sum(_m{i}), 0)") for i, c in enumerate(checks)]
+    structs.append(_struct_sql(unique[0], "count_if(_n > 1)"))
+    return keyed.agg(F.expr("array(" + ", ".join(structs) + ")").alias("r")).select(F.explode("r").alias("r")).select("r.*")
+
+
 def evaluate(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Run ``checks`` against ``tables``; one result row per check.
 
-    Each table's counting checks compile to ONE aggregate whose result is an
+    Each table's counting checks compile to ONE aggregate (with its first
+    duplicate check, one per key and one over the keys) whose result is an
     array of (table, check, type, metric, status) structs, generated as SQL
     text so that building the plan costs one expression per table.
     """
     parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
+    counting: dict[str, list[Check]] = {}
+    unique: dict[str, list[Check]] = {}
     for c in checks:
         if c.kind in ("row_count", "missing", "domain", "failed_rows", "warn_rows", "required"):
-            by_table.setdefault(c.table, []).append(c)
-    for table, cs in by_table.items():
-        arr = "array(" + ", ".join(_struct_sql(c, _metric_sql(c)) for c in cs) + ")"
-        parts.append(tables[table].agg(F.expr(arr).alias("r")).select(F.explode("r").alias("r")).select("r.*"))
+            counting.setdefault(c.table, []).append(c)
+        elif c.kind == "duplicates":
+            unique.setdefault(c.table, []).append(c)
+    merged: set[int] = set()
+    for table, cs in counting.items():
+        additive = not any(c.kind == "required" for c in cs)
+        first = unique.get(table, [])[:1] if additive else []
+        merged.update(map(id, first))
+        parts.append(_counted(tables[table], cs, first))
     for c in checks:
-        if c.kind == "duplicates":
+        if c.kind == "duplicates" and id(c) not in merged:
             n = tables[c.table].groupBy(*c.cols).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
             parts.append(n.agg(F.expr(_struct_sql(c, "count(1)")).alias("r")).select("r.*"))
         elif c.kind == "reference":

@@ -58,26 +58,28 @@ if all(n != "x_sim" for n, _ in VIEW_CTES):
     VIEW_CTES.append(("x_sim", SIM_SQL))
 
 
-def tables(m: BenefitModel) -> dict:
+def tables(m: BenefitModel, checks=None) -> dict:
+    """The checked tables: all, or those that ``checks`` read."""
     t = m.t
-    return {
-        S.ACT: t.activity_table(),
-        S.SAL: t.link().join(t.roster().select("id_salarie_brut", "nom", "prenom", "bu", "mod_depl_decl"), "id_salarie_brut").drop(
-            "id_salarie_brut"
-        ),
-        S.V_ACT: m.bi_activity,
-        S.V_SAL: m.bi_employee,
-        S.V_CTRL: m.bi_commute,
-        S.V_PARAM: m.effective_params,
-        S.E_PRIME: m.bonus,
-        S.E_BE: m.wellbeing,
-        S.K_COST: m.kpi_bonus_cost(),
-        S.K_DAYS: m.kpi_extra_days(),
-        S.K_MIX: m.kpi_activity_mix(),
-        S.K_INCO: m.kpi_incoherences(),
-        S.SIM: S.simulation_frame(t.activity_table(), t.roster(), RUN),
-        "lien_salarie": t.link(),
+    employee = ["id_salarie_brut", "nom", "prenom", "bu", "mod_depl_decl"]
+    frames = {
+        S.ACT: t.activity_table,
+        S.SAL: lambda: t.link().join(t.roster().select(*employee), "id_salarie_brut").drop("id_salarie_brut"),
+        S.V_ACT: lambda: m.bi_activity,
+        S.V_SAL: lambda: m.bi_employee,
+        S.V_CTRL: lambda: m.bi_commute,
+        S.V_PARAM: lambda: m.effective_params,
+        S.E_PRIME: lambda: m.bonus,
+        S.E_BE: lambda: m.wellbeing,
+        S.K_COST: m.kpi_bonus_cost,
+        S.K_DAYS: m.kpi_extra_days,
+        S.K_MIX: m.kpi_activity_mix,
+        S.K_INCO: m.kpi_incoherences,
+        S.SIM: lambda: S.simulation_frame(t.activity_table(), t.roster(), RUN),
+        "lien_salarie": t.link,
     }
+    wanted = frames if checks is None else {n for c in checks for n in (c.table, c.parent) if n}
+    return {n: frame() for n, frame in frames.items() if n in wanted}
 
 
 # Injected violations, so that every row check has rows to find: the same SQL
@@ -141,7 +143,7 @@ def _results_query(key: str, subset, doc: str):
 
     def run(spark, sf_dir):
         m = BenefitModel.of(spark, sf_dir, RUN)
-        return quality.evaluate(tables(m), subset)
+        return quality.evaluate(tables(m, subset), subset)
 
     run.__doc__ = doc
     register(key, _twin_sim(sql))(run)
@@ -152,7 +154,7 @@ def _rows_query(key: str, subset, doc: str):
 
     def run(spark, sf_dir):
         m = BenefitModel.of(spark, sf_dir, RUN)
-        return quality.failed_rows(faulty(tables(m)), subset, KEYS)
+        return quality.failed_rows(faulty(tables(m, subset)), subset, KEYS)
 
     run.__doc__ = doc
     register(key, _twin_sim(sql))(run)
