@@ -2,7 +2,7 @@
 
 A batch of texts is one byte buffer plus offsets, so words, their hashes and
 word n-gram hashes come from a few numpy passes over that buffer instead of a
-Python loop per word.  Texts are handled in slices of a few MB, so memory
+Python loop per word.  Texts are handled in slices of a MB, so memory
 does not follow the batch; a slice always holds whole texts.
 """
 
@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
-_HASH_BYTES = 1 << 20
+SLICE_BYTES = 1 << 20
+_HASH_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _POWERS = np.ones(1, dtype=np.uint64)
 
