@@ -46,7 +46,7 @@ def daily_run(spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN, fo
         return spark.read.parquet(out[name])
 
     # 1. declared rows -> clean / rejects / anomalies (all-or-nothing gate)
-    n = ingest.normalised(t, run)
+    n = ingest.normalised(t, run, staged=True)
     rejects, anomalies = write("rejets", n.errors), write("anomalies", n.anomalies)
     clean_path = mutate.guarded_write(spark, n.clean.drop("ligne"), rejects, "declaratifs_normalises")
     steps.append(("normalisation_declaratifs", t.declared(), spark.read.parquet(clean_path) if clean_path else None, anomalies,

@@ -25,6 +25,7 @@ from perkline.functions.dates import local_day
 from perkline.functions.parse import parse_distance, parse_duration, parse_local_noon
 from perkline.functions.text import normalise_text, pseudonym, quote_comment, strip_quotes
 from perkline.operators.dedup import keep_one_per_group, split_one_per_group, with_group_size
+from perkline.session import materialise
 
 DECLARED_COLUMNS = ("horodateur", "nom", "prenom", "date_txt", "sport", "distance_txt", "duree_txt")
 
@@ -167,8 +168,13 @@ class NormalisedDeclared:
     classified: DataFrame
 
 
-def normalise_declared(declared: DataFrame, names: DataFrame, sports: DataFrame, run: RunConfig) -> NormalisedDeclared:
-    """K1: declared rows -> (clean, errors, anomalies).
+def normalise_declared(
+    declared: DataFrame, names: DataFrame, sports: DataFrame, run: RunConfig, staged: bool = False
+) -> NormalisedDeclared:
+    """K1: declared rows -> (clean, errors, anomalies).  The anomalies alone
+    read the classified rows five times: with ``staged`` they are written once
+    and read back, for a caller that wants more than the clean rows or the
+    errors.
 
     Dedup rules (stated, deterministic):
     * near-identical rows (same six-part key) keep the greatest timestamp
@@ -177,6 +183,8 @@ def normalise_declared(declared: DataFrame, names: DataFrame, sports: DataFrame,
       instant, ties -> greatest near-duplicate key, then input line.
     """
     classified = classify_declared(declared, names, sports, run)
+    if staged:
+        classified = materialise(classified, "declared-classified")
     errors = classified.filter(F.col("err_raison").isNotNull()).select(
         *DECLARED_COLUMNS, F.col("err_raison").alias("raison"), "ligne"
     )
@@ -256,9 +264,6 @@ def daily_conflicts(activities: DataFrame, zone: str = "Europe/Paris") -> DataFr
     return sized.filter(F.col("nb_activites_jour") > 1)
 
 
-def normalised(tables, run: RunConfig) -> NormalisedDeclared:
-    """K1 over the bound tables, built once per shared ``Tables``."""
-    key = ("normalised", run.as_of, run.zone, run.salt)
-    if key not in tables._cache:
-        tables._cache[key] = normalise_declared(tables.declared(), tables.name_reference(), tables.sport_reference(), run)
-    return tables._cache[key]
+def normalised(tables, run: RunConfig, staged: bool = False) -> NormalisedDeclared:
+    """K1 over the bound tables."""
+    return normalise_declared(tables.declared(), tables.name_reference(), tables.sport_reference(), run, staged)

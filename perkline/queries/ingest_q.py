@@ -132,7 +132,7 @@ def q_normalise_errors(spark, sf_dir):
 )
 def q_normalise_anomalies(spark, sf_dir):
     """Anomalies (sport, near duplicates, several per day)."""
-    return _norm(spark, sf_dir).anomalies
+    return ingest.normalised(T(spark, sf_dir), RUN, staged=True).anomalies
 
 
 @register(

@@ -186,7 +186,7 @@ def q_anomaly_digest(spark, sf_dir):
     from perkline.session import materialise
 
     t = T(spark, sf_dir)
-    n = ingest.normalised(t, RUN)
+    n = ingest.normalised(t, RUN, staged=True)
     # the reject and anomaly files of the normalisation step (M14), written
     # once; the digest is built from them, as the alert reads the files
     errors = materialise(n.errors, "rejets-formulaire")
@@ -302,7 +302,7 @@ def q_run_metric_rows(spark, sf_dir):
     from perkline.queries.mutations_q import RH_COLS, _distances, _employees_v1
 
     t = T(spark, sf_dir)
-    n = ingest.normalised(t, RUN)
+    n = ingest.normalised(t, RUN, staged=True)
     one = t.declared().agg(F.count(F.lit(1)).alias("lues"))
     step1 = one.select(
         F.lit(1).alias("ordre"),
