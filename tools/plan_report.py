@@ -49,8 +49,8 @@ def main(argv):
     tracker = sc.statusTracker()
     print("# Execution summary per query\n")
     print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (local[8], shuffle partitions 8, AQE on). All queries run in one")
-    print("session, in key order, as the driver runs them: per-employee views kept by an earlier query are read, not")
-    print("recomputed. `jobs`/`stages`/`tasks` are what Spark executed for the query (including the plan-time jobs of")
+    print("session, in key order, as the driver runs them; nothing is kept between them.")
+    print("`jobs`/`stages`/`tasks` are what Spark executed for the query (including the plan-time jobs of")
     print("materialised inputs, exports and scalar subqueries); `joins` are the strategies present in the final adaptive plan;")
     print("`pushed` are filters that reached a Parquet scan.\n")
     print("| query | jobs | stages | tasks | joins (final plan) | pushed scan filters |")
