@@ -146,3 +146,21 @@ def test_notification_text(spark):
     got = [r[0] for r in df.select(display.notification_text("p", "n", "s", "d", "m", "c")).collect()]
     assert got[0].startswith("Bravo Ana Roy ! Tu viens de courir 5.0 km en 30 min ! Belle énergie ! (top)")
     assert got[1].startswith("Félicitations Ana Roy ! Discipline Judo pratiquée pendant 45 min. Bravo !")
+
+
+def test_accents_composed_decomposed_and_far(spark):
+    df = spark.createDataFrame([("René",), ("René",), (" NGUYỄN ",), ("Łódź ǎ",), (None,)], "x string")
+    got = [r[0] for r in df.select(text.normalise_text("x")).collect()]
+    assert got == ["rene", "rene", "nguyen", "łodz a", ""]
+
+
+def test_long_durations_are_invalid_not_fatal(spark):
+    df = spark.createDataFrame([("9" * 20 + ":00:00",), ("596523:14:07",), ("596523:14:08",), ("0:0:0",)], "x string")
+    assert [r[0] for r in df.select(parse.parse_duration("x")).collect()] == [None, 2147483647, None, 0]
+
+
+def test_display_rounds_the_binary_quotient(spark):
+    metres = [0, 50, 150, 250, 350, 450, 949, 950, 1050, 12345678, 999950]
+    df = spark.createDataFrame([(m,) for m in metres], "d int")
+    got = [r[0] for r in df.select(display.display_km("d")).collect()]
+    assert got == [f"{m / 1000:.1f} km" for m in metres]

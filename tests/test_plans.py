@@ -191,3 +191,14 @@ def test_columns_and_expected_volume_checks(spark):
     ]
     out = quality.evaluate({"t": df}, checks)
     assert rows(out, "controle", "metrique", "statut") == [("cols ok", 0, "OK"), ("cols order", 1, "FAIL"), ("volume", 1, "WARN")]
+
+
+def test_fingerprint_sees_a_value_move_across_a_null(spark):
+    from perkline.plans.fingerprint import fingerprint
+
+    schema = "x string, y string, z string"
+    a = fingerprint(spark.createDataFrame([("a", None, "b")], schema), "t").first()
+    for row in (("a", "b", None), ("a", "", "b"), ("a|", None, "b"), ("ab", None, "")):
+        assert fingerprint(spark.createDataFrame([row], schema), "t").first() != a
+    same = spark.createDataFrame([("a", None, "b"), ("c", None, None)], schema)
+    assert fingerprint(same, "t").first() == fingerprint(same.orderBy(F.col("x").desc()), "t").first()

@@ -74,3 +74,20 @@ def test_normalised_output_offsets(spark):
     )
     out = [r[0] for r in files.normalised_output(df).orderBy("date_debut").select("date_debut").collect()]
     assert out == ["2024-01-05T12:00:00+0100", "2024-07-05T12:00:00+0200"]
+
+
+def test_cells_with_line_breaks_and_columns_in_any_order(spark):
+    root = scratch_path(spark, "line-breaks-test")
+    os.makedirs(root)
+    with open(os.path.join(root, "a.csv"), "w", encoding="utf-8") as f:
+        f.write('extra,source_donnee,commentaire,type_activite,distance_m,duree_sec,date_debut,cle_salarie\n')
+        f.write('1,csv_gsheet,"two\nlines, ""quoted""",Judo,,600,2024-01-05T12:00:00Z,sal_a\n')
+    rows = files.read_activities(spark, root).collect()
+    assert [tuple(r) for r in rows] == [
+        ("sal_a", dt.datetime(2024, 1, 5, 12), 600, None, "Judo", 'two\nlines, "quoted"', "csv_gsheet")
+    ]
+    assert files.read_declared(spark, root, ["commentaire"]).count() == 1
+    with open(os.path.join(root, "a.csv"), "w", encoding="utf-8") as f:
+        f.write('sal_c,2024-01-06T10:00:00Z,12,7,Natation,"a\nb",\n')
+    parsed, skipped = files.read_activities_tolerant(spark, root)
+    assert [r["commentaire"] for r in parsed.collect()] == ["a\nb"] and skipped.count() == 0
