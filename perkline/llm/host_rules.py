@@ -152,13 +152,19 @@ def judge(
 ) -> DataFrame:
     """``docs`` (its text only if ``keep_text``) with the measures,
     ``base_failed``, ``host_rate`` (NULL for a NULL host), ``host_rejected``
-    and ``kept``.  The measured rows are written once, as both the host table
-    and the verdicts read them."""
+    and ``kept``.
+
+    Without the text the measured rows are written once, as both the host
+    table and the verdicts read them; texts are measured twice rather than
+    copied.  The host table is written, so that the join is planned by its
+    size and texts are not shuffled to meet a few hosts."""
     judged = measures(docs.drop("host_rate", "host_rejected", "kept"), text)
-    judged = stored(judged if keep_text else judged.drop(text), "host-measures")
+    if not keep_text:
+        judged = stored(judged.drop(text), "host-measures")
     hosts = host_verdicts(judged, host, "base_failed", max_rate).select(
         F.col("host").alias("_host"), "host_rate", "host_rejected"
     )
+    hosts = stored(hosts, "host-verdicts")
     return (
         judged.join(hosts, judged[host] == hosts["_host"], "left")
         .drop("_host")
