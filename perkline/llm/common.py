@@ -73,11 +73,3 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def fold(column: Column | int, modulus: int) -> Column:
     """crc32 of the id's text, modulo; a NULL id counts as the empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % modulus
-
-
-def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Join condition on ``keys`` that also matches NULL with NULL."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
