@@ -1,20 +1,27 @@
 """Language-model scoring with a weighted backoff automaton.
 
-States are the root and one per *context word*, a training token that makes
-up at least ``2^-CONTEXT_BITS`` of all training tokens (so there are at most
-``2^CONTEXT_BITS``).  A state's arcs are the bigrams seen ``MIN_COUNT`` times or
-more that lead to a context word, weighted by the absolutely discounted
-estimate; its failure arc leads to the root and has the weight that makes the
-state's probabilities sum to one.  The root's arcs are all training tokens
-and the unknown, with add-one estimates.  A text starts in the state of the
-end token.  Reading a token from left to right takes the state's arc, or the
-failure arc and then the root's, adds the log10 weights, and moves to the
-token's state (the root, if it is no context word).
+``learn_all`` (the registered query) builds the whole automaton of order
+``ORDER``: states are the root and every n-gram of fewer than ``ORDER``
+training tokens, arcs are all n-grams seen, also once, weighted by the absolutely
+discounted estimate.  A state's failure arc leads to the state without its
+first token and has the weight that makes the state's probabilities sum to
+one.  The root's arcs are all training tokens and the unknown, with add-one
+estimates.  A text starts in the state of the end token.  Reading a token from
+left to right takes the state's arc, or failure arcs until there is one, and
+adds the log10 weights.
+
+An arc exists only where those of all shorter states exist, so a text's score
+is a sum over its n-grams of every order, each with one weight: what its arc
+adds over failing, and its own failure weight as a state.
+
+``learn`` is the bounded bigram form: only tokens that make up at least
+``2^-CONTEXT_BITS`` of all training tokens are states, and only bigrams of
+them seen ``MIN_COUNT`` times are arcs.
 
 Learning and scoring are Spark jobs over all texts.  What is bounded by proof
 is broadcast: context words, failure weights, and the *frequent* tokens and
-bigrams (at least ``2^-FREQUENT_BITS`` of all tokens, so at most
-``2^FREQUENT_BITS``).  They hold every hot key.  All other tokens and arcs,
+n-grams (at least ``2^-FREQUENT_BITS`` of all tokens, so at most
+``2^FREQUENT_BITS`` of an order).  They hold every hot key.  All other tokens and arcs,
 which no text repeats often, are joined by key: a text sends one row per
 distinct rare token or possible rare arc and adds up what comes back.  The
 model's vocabulary and arcs grow with the corpus; nothing is dropped.
@@ -37,6 +44,7 @@ from pyspark.sql import types as T
 
 from perkline.llm.common import fold, map_arrow, stored
 from perkline.llm.words import NON_SPACE, Words, split
+from perkline.session import scratch_path
 
 FOLDS = 7
 HELD_OUT = 2
@@ -44,6 +52,9 @@ CONTEXT_BITS = 17
 FREQUENT_BITS = 20
 MIN_COUNT = 2
 DISCOUNT = 0.75
+ORDER = 3
+#: joins that learn broadcast the keys with this share of all tokens
+HOT_BITS = 16
 #: key of the end token (a word's hash is a bijection's image of another sum)
 END = np.uint64(0x9AE16A3B2F90404F)
 #: room for a state's place in an arc's key
@@ -146,6 +157,18 @@ class Automaton:
         #: frequent arcs (sorted keys) and what each adds over failing
         self.arcs, self.gains = arcs, gains
 
+    def read(self, t: np.ndarray, first: np.ndarray):
+        """Of each token: is its count held, what is known of the base score
+        and beyond it; and what to ask for: ``(kind, places, keys)``."""
+        known = _find(self.frequent, t)
+        state, arc = self.contexts.arcs(t, first)
+        arc_at = np.where(arc >= 0, _find(self.arcs, arc), -1)
+        count = np.where(known >= 0, self.counts[known] if len(self.counts) else 0, 0)
+        fail = np.where(state >= 0, self.fail[state] if len(self.fail) else 0.0, 0.0)
+        gain = np.where(arc_at >= 0, self.gains[arc_at] if len(self.gains) else 0.0, 0.0)
+        rare, far = np.flatnonzero(known < 0), np.flatnonzero((arc >= 0) & (arc_at < 0))
+        return known >= 0, np.log10(count + 1.0), fail + gain, [(0, rare, t[rare].view(np.int64)), (1, far, arc[far])]
+
 
 def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     if not len(table):
@@ -156,7 +179,8 @@ def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 class Model:
     """The automaton and the tables of its other weights: ``values (key,
-    kind, value)``, kind 0 a token's log10(count + 1), kind 1 an arc's gain."""
+    kind, value, more)``, kind 0 a token's log10(count + 1) and failure weight
+    (where the automaton does not hold it), kind 1 what an n-gram adds."""
 
     def __init__(self, automaton: Automaton, values: DataFrame):
         self.automaton, self.values = automaton, values
@@ -219,39 +243,205 @@ def learn(docs: DataFrame, context_bits: int = CONTEXT_BITS, frequent_bits: int
         contexts, total, kinds, hashes, counts, fail, top["key"].to_numpy()[by_key], top["gain"].to_numpy()[by_key]
     )
     rare = unigrams.where(F.col("n").cast("double") * (1 << frequent_bits) < total)
-    values = rare.select("key", F.lit(0).alias("kind"), F.log10(F.col("n") + 1.0).alias("value")).union(
-        gains.where(~hot).select("key", F.lit(1).alias("kind"), F.col("gain").alias("value"))
+    values = rare.select("key", F.lit(0).alias("kind"), F.log10(F.col("n") + 1.0).alias("value"), F.lit(0.0).alias("more")).union(
+        gains.where(~hot).select("key", F.lit(1).alias("kind"), F.lit(0.0).alias("value"), F.col("gain").alias("more"))
     )
     return Model(automaton, values)
 
 
+# -- the whole automaton ------------------------------------------------------
+def _spark_hash(value: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    p1, p2, p3 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+    x = value * p2
+    x = (x << np.uint64(31) | x >> np.uint64(33)) * p1 ^ (seed + np.uint64(0x27D4EB2F165667C5 + 8))
+    x = (x << np.uint64(27) | x >> np.uint64(37)) * p1 + np.uint64(0x85EBCA77C2B2AE63)
+    x = (x ^ x >> np.uint64(33)) * p2
+    x = (x ^ x >> np.uint64(29)) * p3
+    return x ^ x >> np.uint64(32)
+
+
+def pair(state: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Key of the n-gram that leads from ``state`` on and ends in ``low``, the
+    n-gram without its first token: Spark's ``xxhash64(state, low)``."""
+    return _spark_hash(low, _spark_hash(state, np.full(len(low), 42, dtype=np.uint64)))
+
+
+def grams(t: np.ndarray, first: np.ndarray, order: int):
+    """``places, state, low, key`` of the n-grams of 2 to ``order`` tokens,
+    by the place of the last one; the token before a text is the end."""
+    begin = first[:-1]
+    place = np.arange(len(t)) - np.repeat(begin, np.diff(first))
+    state = np.roll(t, 1)
+    state[begin] = END
+    low, on = t, np.arange(len(t))
+    for k in range(2, order + 1):
+        key = pair(state[on], low[on])
+        yield k, on, state[on], low[on], key
+        full = np.zeros(len(t), dtype=np.uint64)
+        full[on] = key
+        state, low, on = np.roll(full, 1), full, np.flatnonzero(place >= k - 1)
+
+
+class GramSums:
+    """Counts of n-grams by key, merged as they come and handed out when many."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, k: int, state: np.ndarray, low: np.ndarray, key: np.ndarray) -> None:
+        key, at, n = np.unique(key, return_index=True, return_counts=True)
+        self.parts.append((key, np.full(len(key), k, dtype=np.int32), state[at], low[at], n))
+        self.size += len(key)
+
+    def merge(self) -> None:
+        if not self.parts:
+            return
+        key, k, state, low, n = map(np.concatenate, zip(*self.parts, strict=True))
+        key, at, of = np.unique(key, return_index=True, return_inverse=True)
+        n = np.bincount(of, weights=n, minlength=len(key)).astype(np.int64)
+        self.parts, self.size = [(key, k[at], state[at], low[at], n)], len(key)
+
+    def batch(self) -> pa.RecordBatch:
+        self.merge()
+        none = np.zeros(0, np.uint64)
+        _, k, state, low, n = self.parts[0] if self.parts else (none, none.astype(np.int32), none, none, none.view(np.int64))
+        self.parts, self.size = [], 0
+        return pa.RecordBatch.from_arrays(
+            [pa.array(k), pa.array(state.view(np.int64)), pa.array(low.view(np.int64)), pa.array(n.astype(np.int64))],
+            names=["k", "state", "low", "n"],
+        )
+
+
+def _gram_counts(order: int):
+    """Task: texts -> counts of their n-grams; a token is led to by 0."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = GramSums()
+        for batch in batches:
+            for _, _, w in split(batch.column("text"), NON_SPACE):
+                t, first = tokens(w)
+                sums.add(1, np.zeros(len(t), dtype=np.uint64), t, t)
+                for k, _, state, low, key in grams(t, first, order):
+                    sums.add(k, state, low, key)
+                if sums.size > _FLUSH:
+                    sums.merge()
+                    if sums.size > _FLUSH // 2:
+                        yield sums.batch()
+        yield sums.batch()
+
+    return task
+
+
+class Whole:
+    """What every task holds of the whole automaton: the frequent tokens and
+    n-grams (sorted keys), log10(count + 1) of tokens, and what each adds."""
+
+    def __init__(self, order, total, kinds, keys, bases, adds):
+        self.order, self.total, self.kinds = order, total, kinds
+        self.keys, self.bases, self.adds = keys, bases, adds
+
+    def read(self, t: np.ndarray, first: np.ndarray):
+        """As ``Automaton.read``."""
+        at = _find(self.keys, t)
+        known = at >= 0
+        base, extra = np.zeros(len(t)), np.zeros(len(t))
+        base[known], extra[known] = self.bases[at[known]], self.adds[at[known]]
+        asked = [(0, np.flatnonzero(~known), t[~known].view(np.int64))]
+        for _, on, _, _, key in grams(t, first, self.order):
+            at = _find(self.keys, key)
+            held = at >= 0
+            extra[on[held]] += self.adds[at[held]]
+            asked.append((1, on[~held], key[~held].view(np.int64)))
+        return known, base, extra, asked
+
+
+def _looked_up(rows: DataFrame, on: str, table: DataFrame, names: list[str], total: int) -> DataFrame:
+    """``rows`` with ``names`` of ``table (key, size, ...)`` at ``on``.  Keys
+    that may be hot are broadcast (at most ``2^HOT_BITS``, as sizes add up to
+    ``total`` at most), and their rows are spread in the other join."""
+    often = F.col("size").cast("double") * (1 << HOT_BITS) >= total
+    few = table.where(often).select(F.col("key").alias(on), F.lit(True).alias("_hot"), *[F.col(c).alias(f"_{c}") for c in names])
+    rest = table.where(~often).select(F.col("key").alias("_key"), *names)
+    at = F.when(F.col("_hot").isNull(), F.col(on)).otherwise(F.xxhash64(*rows.columns))
+    spread = rows.join(F.broadcast(few), on, "left").withColumn("_at", at)
+    found = spread.join(rest, (F.col("_at") == F.col("_key")) & F.col("_hot").isNull(), "left")
+    return found.select(*rows.columns, *[F.coalesce(f"_{c}", c).alias(c) for c in names])
+
+
+def learn_all(docs: DataFrame, order: int = ORDER, frequent_bits: int = FREQUENT_BITS) -> Model:
+    """The whole automaton of all texts of ``docs (text)``;
+    ``frequent_bits`` only decides where a weight is looked up."""
+    spark = docs.sparkSession
+    counts = map_arrow(docs.select("text"), _gram_counts(order), "k int, state bigint, low bigint, n bigint")
+    path = scratch_path(spark, "lm-grams")
+    counts.groupBy("k", "state", "low").agg(F.sum("n").alias("n")).write.partitionBy("k").parquet(path)
+    found = spark.read.schema("state bigint, low bigint, n bigint, k int").parquet(path)
+    unigrams = found.where("k = 1").select(F.col("low").alias("key"), F.col("n").alias("size"))
+    sizes = unigrams.agg(F.sum("size").alias("total"), F.count("*").alias("kinds")).first()
+    total, kinds = sizes["total"] or 0, sizes["kinds"]
+    # per order: key, size, p, and what the arc adds over failing
+    arcs = unigrams.select("key", "size", ((F.col("size") + 1) / F.lit(float(total + kinds + 1))).alias("p"), F.lit(0.0).alias("gain"))
+    weights = []
+
+    def adds(k: int, arcs: DataFrame, fails: DataFrame | None) -> None:
+        add = F.col("gain")
+        if fails is not None:
+            # one row a key on both sides
+            arcs = arcs.join(fails.select("key", "fail"), "key", "left")
+            add = add + F.coalesce("fail", F.lit(0.0))
+        base = F.log10(F.col("size") + 1.0) if k == 1 else F.lit(0.0)
+        weights.append(arcs.select("key", "size", F.lit(0 if k == 1 else 1).alias("kind"), base.alias("value"), add.alias("more")))
+
+    for k in range(2, order + 1):
+        own = found.where(F.col("k") == k).select("state", "low", "n")
+        lower = arcs.select("key", "size", F.col("p").alias("p_low"))
+        own = stored(_looked_up(own, "low", lower, ["p_low"], total), f"lm-lower-{k}")
+        states = own.groupBy("state").agg(F.sum("n").alias("size"), F.count("*").alias("kinds"), F.sum("p_low").alias("p_low"))
+        # what the arcs leave, over what the same tokens leave in the next state
+        fail = F.log10(F.col("kinds") * DISCOUNT / F.col("size")) - F.log10(F.greatest(1 - F.col("p_low"), F.lit(1e-15)))
+        states = stored(states.select(F.col("state").alias("key"), "size", F.col("size").alias("seen"), fail.alias("fail")), f"lm-states-{k}")
+        adds(k - 1, arcs, states)
+        led = _looked_up(own, "state", states, ["seen", "fail"], total)
+        p = (F.col("n") - DISCOUNT) / F.col("seen")
+        gain = F.log10(p) - F.log10("p_low") - F.col("fail")
+        arcs = led.select(F.xxhash64("state", "low").alias("key"), F.col("n").alias("size"), p.alias("p"), gain.alias("gain"))
+        arcs = stored(arcs, f"lm-arcs-{k}")
+    adds(order, arcs, None)
+    values = weights[0]
+    for more in weights[1:]:
+        values = values.unionByName(more)
+    values = stored(values, "lm-weights")
+    often = F.col("size").cast("double") * (1 << frequent_bits) >= total
+    # at most 2^FREQUENT_BITS rows an order
+    top = values.where(often).select("key", "value", "more").toArrow()
+    keys = top["key"].to_numpy().view(np.uint64)
+    by_key = np.argsort(keys)
+    held = Whole(order, total, kinds, keys[by_key], top["value"].to_numpy()[by_key], top["more"].to_numpy()[by_key])
+    return Model(held, values.where(~often).select("key", "kind", "value", "more"))
+
+
 def _requests(shared, keys: list[str]):
     """Task: texts -> what the automaton knows of each (kind 2), and a row
     for each distinct rare token (kind 0) or possible rare arc (kind 1)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: Automaton = shared.value
+        own: Automaton | Whole = shared.value
         for batch in batches:
             for a, b, w in split(batch.column("text"), NON_SPACE, 1 << 20):
                 t, first = tokens(w)
                 n = np.diff(first)
                 text = np.repeat(np.arange(b - a), n)
-                known = _find(own.frequent, t)
-                state, arc = own.contexts.arcs(t, first)
-                arc_at = np.where(arc >= 0, _find(own.arcs, arc), -1)
-                count = np.where(known >= 0, own.counts[known] if len(own.counts) else 0, 0)
-                fail = np.where(state >= 0, own.fail[state] if len(own.fail) else 0.0, 0.0)
-                gain = np.where(arc_at >= 0, own.gains[arc_at] if len(own.gains) else 0.0, 0.0)
+                known, base, extra, asked = own.read(t, first)
                 begin = first[:-1]
-                base = np.add.reduceat(np.log10(count + 1.0), begin)
-                extra = np.add.reduceat(fail + gain, begin)
-                n_known = np.add.reduceat((known >= 0).astype(np.int64), begin)
+                base, extra = np.add.reduceat(base, begin), np.add.reduceat(extra, begin)
+                n_known = np.add.reduceat(known.astype(np.int64), begin)
                 marks = batch.column("mark").slice(a, b - a)
                 spread = marks.to_numpy(zero_copy_only=False)
                 yield rows(batch, a, np.arange(b - a), spread, 2, n, base, extra, n_known)
-                for kind, on, key in ((0, known < 0, t.view(np.int64)), (1, (arc >= 0) & (arc_at < 0), arc)):
-                    both = np.lexsort((key[on], text[on]))
-                    x, k = text[on][both], key[on][both]
+                for kind, on, key in asked:
+                    both = np.lexsort((key, text[on]))
+                    x, k = text[on][both], key[both]
                     if not len(x):
                         continue
                     new = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (k[1:] != k[:-1]))))
@@ -289,10 +479,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model.automaton)
     sent = map_arrow(rows, _requests(shared, keys), schema)
     answered = sent.join(model.values, ["key", "kind"], "left")
-    own, value = F.col("kind") == 2, F.col("n") * F.col("value")
+    own, value, more = F.col("kind") == 2, F.col("n") * F.col("value"), F.col("n") * F.col("more")
     seen = F.when((F.col("kind") == 0) & F.col("value").isNotNull(), F.col("n")).otherwise(0)
     base = F.when(own, F.col("base")).when(F.col("kind") == 0, value)
-    extra = F.when(own, F.col("extra")).when(F.col("kind") == 1, value)
+    extra = F.when(own, F.col("extra")).otherwise(more)
     unit = F.log10(F.lit(float(model.automaton.total + model.automaton.kinds + 1)))
     sums = answered.groupBy(*keys).agg(
         F.sum(F.when(own, 1).otherwise(0)).alias("times"),

@@ -110,7 +110,7 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from perkline.llm import lm_score
 
     docs = table(spark, sf_dir, "documents")
-    model = lm_score.learn(docs.where(~lm_score.held_out()))
+    model = lm_score.learn_all(docs.where(~lm_score.held_out()))
     return lm_score.score(docs, model).select(
         "doc_id",
         lm_score.held_out().alias("held_out"),

@@ -149,6 +149,58 @@ def test_lm_edges(spark):
     assert lm_score.score(empty_docs(spark), none).count() == 0
 
 
+def brute_whole(texts, train, order):
+    """Scores by walking the automaton, state by state."""
+    tok = {i: [*WORD.findall(lower(t)), None] for i, t in texts.items()}
+    seen = collections.defaultdict(collections.Counter)
+    for i, t in tok.items():
+        for at in range(len(t)) if train(i) else ():
+            past = ("begin", *t[:at])
+            for k in range(min(order, len(past) + 1)):
+                seen[tuple(None if x == "begin" else x for x in past[len(past) - k :])][t[at]] += 1
+    root = seen[()]
+    n, v = sum(root.values()), len(root)
+
+    def p(state, w):
+        if not state:
+            return (root[w] + 1) / (n + v + 1)
+        arcs = seen.get(state)
+        if arcs is None:
+            return p(state[1:], w)
+        if w in arcs:
+            return (arcs[w] - 0.75) / sum(arcs.values())
+        left = 0.75 * len(arcs) / sum(arcs.values())
+        return left / (1 - sum(p(state[1:], x) for x in arcs)) * p(state[1:], w)
+
+    return tok, root, p
+
+
+@pytest.mark.parametrize("order,bits", [(3, 20), (3, 6), (4, 9), (2, 8)])
+def test_whole_lm_by_brute_force(spark, order, bits):
+    docs = edge_docs(spark).select("text").distinct().withColumn("doc_id", F.monotonically_increasing_id())
+    more = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 600").limit(40).select("text", F.col("doc_id") + 10**12)
+    docs = docs.union(more).localCheckpoint()
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    tok, root, p = brute_whole(texts, lambda i: i % 3 != 1, order)
+    got = lm_score.score(docs, lm_score.learn_all(docs.where("doc_id % 3 != 1"), order, bits)).collect()
+    assert len(got) == len(tok)
+    for r in got:
+        t = tok[r["doc_id"]]
+        want = sum(math.log10(p((None, *t[:at])[-(order - 1) :], w)) for at, w in enumerate(t))
+        assert r["score"] == pytest.approx(want, rel=1e-9) and r["n_known"] == sum(root[w] > 0 for w in t)
+    state = tuple(next(t for t in tok.values() if len(t) > 5)[1:order])
+    assert sum(p(state, w) for w in root) + p(state, "no such token \0") == pytest.approx(1)
+
+
+def test_lm_keeps_what_is_seen_once(spark, tmp_path):
+    own = ["once upon a rare time", "other words here", "words of a third text"]
+    docs_of(spark, own).write.parquet(str(tmp_path / "documents.parquet"))
+    got = [r for r in QUERIES["op4_lm_score"](spark, str(tmp_path)).collect() if not r["held_out"]]
+    assert got and all(r["score"] > r["base_score"] + 1 for r in got)
+    none = lm_score.learn_all(empty_docs(spark))
+    assert all(r["score"] == 0 and r["n_known"] == 0 for r in lm_score.score(docs_of(spark, own), none).collect())
+
+
 # -- token counts -------------------------------------------------------------
 def library_counts(texts):
     import public_tokenizers
