@@ -4,13 +4,16 @@ Every element subtree is hashed (tag, class, id, text and children); hashes
 are counted per host in Spark over distinct pages, and subtrees that recur on
 many pages of their host are deleted.  Parts that are no article by their
 own mark-up go as well: menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments.
+forms, scripts, styles and reader comments.  No text goes merely for its place.
 
-An article is not a template because others quote or copy it: inside the main
-element (``main``, else the ``article`` elements) running text (paragraphs,
-headings, list items, quotes) is never a candidate, only boxes such as
-``div``, ``section`` or ``ul`` are; equal pages count once.  Without a main
-element everything is a candidate.
+All subtrees with text are candidates; equal pages count once.  An article is
+not a template because others quote or copy it, so a stricter rule holds for
+running text (all but boxes such as ``div``, ``section`` or ``ul``) inside the
+main element (``main``, else the ``article`` elements): it must recur
+on ``MAIN_PAGES`` pages, and ``MAIN_GROWTH`` times the root of the host's
+pages, where pages count by the smallest hash of a word 4-gram in their main
+text, and no more than half of its pages may share theirs: near copies of
+one article do.
 
 The parser closes elements as browsers do where it matters for text (``p``,
 ``li``, table parts), ignores end tags without a start, and takes unclosed
@@ -40,6 +43,13 @@ from perkline.llm.url_filter import host_path
 #: is a template
 MIN_PAGES = 5
 MIN_SHARE = 0.05
+#: the same for running text inside the main element, by distinct main texts
+MAIN_PAGES = 20
+MAIN_GROWTH = 2.0
+#: words in a gram of a main text
+GRAM = 4
+#: sets such subtrees apart from equal ones elsewhere
+_RUNNING = 0x5851F42D4C957F2D
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z) | <!\[CDATA\[.*?(?:\]\]>|\Z) | <[!?][^>]*(?:>|\Z)
@@ -81,20 +91,20 @@ OUT_NAMES = frozenset(
     "recommended comment comments disqus respond replies pagination pager copyright toolbar skip".split()
 )
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-#: inside the main element only these can be templates
+#: inside the main element all others are running text
 BOXES = frozenset("div section ul ol dl table details figure".split())
 #: never left out for their names, never templates
 SPINE = frozenset("html body main article".split())
 
 
 class Element:
-    __slots__ = ("tag", "name", "parent", "parts", "hash", "out", "main", "holds_main", "heading", "text")
+    __slots__ = ("tag", "name", "parent", "parts", "hash", "out", "main", "holds_main", "heading", "text", "within")
 
     def __init__(self, tag: str, name: str, parent: "Element | None"):
         self.tag, self.name, self.parent = tag, name, parent
         self.parts: list[str] = []
         self.hash, self.text = 0, False
-        self.out = self.main = self.holds_main = self.heading = False
+        self.out = self.main = self.holds_main = self.heading = self.within = False
 
     def close(self) -> None:
         self.hash = xxhash.xxh3_64_intdigest(f"{self.tag}\0{self.name}\0{'\0'.join(self.parts)}") - (1 << 63)
@@ -119,17 +129,46 @@ class Page:
     def __init__(self, source: str):
         self.elements: list[Element] = []
         self.blocks: list[tuple[str, Element]] = []
-        self._run: list[str] = []
+        self._run: list[tuple[str, Element]] = []
         self._open = [Element("", "", None)]
         self._parse(source)
+        mains = [e for e in self.elements if e.main]
+        top = {id(e) for e in mains if e.tag != "article"} or {id(e) for e in mains}
+        #: elements come after their parents
+        for e in self.elements:
+            e.within = e.parent.within or id(e.parent) in top
+        self._top = top
 
     def _flush(self) -> None:
+        """A block lies in the innermost element that holds all its text."""
         if self._run:
-            text = " ".join("".join(self._run).split())
+            text = " ".join("".join(t for t, _ in self._run).split())
             if text:
-                self.blocks.append((text, self._open[-1]))
+                holders = [e for t, e in self._run if t.strip()]
+                at = holders[0]
+                if any(e is not at for e in holders):
+                    at = self._common(holders)
+                self.blocks.append((text, at))
             self._run = []
 
+    @staticmethod
+    def _common(holders: list[Element]) -> Element:
+        path = []
+        e = holders[0]
+        while e is not None:
+            path.append(e)
+            e = e.parent
+        place, low = {id(x): n for n, x in enumerate(path)}, 0
+        last = None
+        for e in holders[1:]:
+            if e is last:
+                continue
+            last = e
+            while id(e) not in place:
+                e = e.parent
+            low = max(low, place[id(e)])
+        return path[low]
+
     def _pop(self) -> None:
         if self._open[-1].tag in BLOCKS:
             self._flush()
@@ -157,7 +196,7 @@ class Page:
             name = f"{known.get('class', '')} {known.get('id', '')}"
         if tag in VOID:
             if tag in ("br", "wbr", "hr"):
-                self._run.append(" ")
+                self._run.append((" ", self._open[-1]))
             return
         e = Element(tag, name, self._open[-1])
         marked = bool(known) and _marked_out(tag, known)
@@ -195,7 +234,7 @@ class Page:
     def _text(self, text: str, plain: bool = False) -> None:
         if "&" in text and not plain:
             text = html.unescape(text)
-        self._run.append(text)
+        self._run.append((text, self._open[-1]))
         words = " ".join(text.split())
         if words:
             self._open[-1].parts.append(words)
@@ -204,72 +243,81 @@ class Page:
     def kept(self) -> list[tuple[str, list[int]]]:
         """Blocks in page order that their mark-up does not leave out, each
         with the hashes of the candidates that it lies in."""
-        mains = [e for e in self.elements if e.main]
-        scope = [e for e in mains if e.tag == "main" or e.tag != "article"] or mains
-        top = {id(e) for e in scope}
         out = []
         for text, e in self.blocks:
-            path, inside = [], not top
-            chain = []
+            path = []
             while e is not None:
-                chain.append(e)
-                inside |= id(e) in top
-                e = e.parent
-            if not inside:
-                continue
-            within = bool(top)
-            for e in chain:
-                if self.left_out(e, within):
+                if self.left_out(e):
                     break
-                if id(e) in top:
-                    within = False
-                if self.candidate(e, within):
-                    path.append(e.hash)
+                if self.candidate(e):
+                    path.append(self.key(e))
+                e = e.parent
             else:
                 out.append((text, path))
         return out
 
+    def sketch(self) -> int:
+        """Smallest hash of a word gram in the main text."""
+        words = " ".join(text for text, e in self.blocks if e.within or id(e) in self._top).split()
+        grams = (" ".join(words[i : i + GRAM]) for i in range(max(1, len(words) - GRAM + 1)))
+        return min(xxhash.xxh3_64_intdigest(g) for g in grams) - (1 << 63)
+
     @staticmethod
-    def left_out(e: Element, within: bool) -> bool:
-        """``within``: the element lies inside the main one."""
+    def left_out(e: Element) -> bool:
         if e.tag == "header":
-            return not within and not e.holds_main
-        return e.out and not e.holds_main and not (e.main and e.tag == "main") and not (e.heading and e.tag not in OUT and not within)
+            return not e.within and not e.holds_main
+        return e.out and not e.holds_main and not (e.main and e.tag == "main") and not (e.heading and e.tag not in OUT and not e.within)
 
     @staticmethod
-    def candidate(e: Element, within: bool) -> bool:
-        if not e.tag or e.tag in SPINE or e.main or e.holds_main or not e.text:
-            return False
-        return not within or e.tag in BOXES
-
-    def subtrees(self) -> set[int]:
-        """Hashes of all candidate subtrees with text."""
-        found = set()
+    def candidate(e: Element) -> bool:
+        return bool(e.tag) and e.tag not in SPINE and not e.main and not e.holds_main and e.text
+
+    @staticmethod
+    def running(e: Element) -> bool:
+        return e.within and e.tag not in BOXES
+
+    def key(self, e: Element) -> int:
+        return e.hash ^ _RUNNING if self.running(e) else e.hash
+
+    def subtrees(self) -> tuple[set[int], set[int]]:
+        """Keys of the candidate subtrees with text: all but running text, and
+        running text."""
+        boxes, texts = set(), set()
         for e in self.elements:
-            up, within = e.parent, False
-            while up is not None and not within:
-                within, up = up.main, up.parent
-            if self.candidate(e, within):
-                found.add(e.hash)
-        return found
+            if self.candidate(e):
+                (texts if self.running(e) else boxes).add(self.key(e))
+        return boxes, texts
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages -> their candidate subtrees; ``live`` if a kept block lies in
-    it."""
+    """Pages -> their candidate subtrees, and what a page counts as; ``live``
+    if a kept block lies in it, as it must in running text."""
     for batch in batches:
-        hosts, marks, hashes, live = [], [], [], []
+        hosts, marks, hashes, live, seen, running = [], [], [], [], [], []
         for host, mark, source in zip(*(batch.column(c).to_pylist() for c in ("host", "mark", "html")), strict=True):
             page = Page(source or "")
             used = {h for _, path in page.kept() for h in path}
-            for h in page.subtrees():
-                hosts.append(host)
-                marks.append(mark)
-                hashes.append(h)
-                live.append(h in used)
+            boxes, texts = page.subtrees()
+            texts &= used
+            sketch = page.sketch() if texts else 0
+            for found, strict in ((boxes, False), (texts, True)):
+                for h in found:
+                    hosts.append(host)
+                    marks.append(mark)
+                    hashes.append(h)
+                    live.append(h in used)
+                    seen.append(sketch if strict else mark)
+                    running.append(strict)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(marks, pa.int64()), pa.array(hashes, pa.int64()), pa.array(live, pa.bool_())],
-            names=["host", "mark", "hash", "live"],
+            [
+                pa.array(hosts, pa.string()),
+                pa.array(marks, pa.int64()),
+                pa.array(hashes, pa.int64()),
+                pa.array(live, pa.bool_()),
+                pa.array(seen, pa.int64()),
+                pa.array(running, pa.bool_()),
+            ],
+            names=["host", "mark", "hash", "live", "seen", "running"],
         )
 
 
@@ -289,15 +337,20 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """``host, mark, hashes``: for the pages that need it, the template
     subtrees in which kept text lies."""
-    found = map_arrow(pages, _counted, "host string, mark bigint, hash bigint, live boolean")
+    found = map_arrow(pages, _counted, "host string, mark bigint, hash bigint, live boolean, seen bigint, running boolean")
     found = stored(found, "html-subtrees")
     size = pages.groupBy("host").agg(F.countDistinct("mark").alias("pages"))
+    strict = (F.col("n") >= F.greatest(F.lit(float(MAIN_PAGES)), MAIN_GROWTH * F.sqrt("pages"))) & (2 * F.col("n") >= F.col("on"))
     often = (
-        found.groupBy("host", "hash")
-        .agg(F.countDistinct("mark").alias("n"), F.max("live").alias("live"))
+        found.groupBy("host", "hash", "running", "seen", "mark")
+        .agg(F.max("live").alias("live"))
+        .groupBy("host", "hash", "running", "seen")
+        .agg(F.count("*").alias("same"), F.max("live").alias("live"))
+        .groupBy("host", "hash", "running")
+        .agg(F.count("*").alias("n"), F.sum("same").alias("on"), F.max("live").alias("live"))
         .where((F.col("n") >= min_pages) & F.col("live"))
         .join(size, "host")
-        .where(F.col("n") >= F.col("pages") * min_share)
+        .where(F.when(F.col("running"), strict).otherwise(F.col("n") >= F.col("pages") * min_share))
         .select("host", "hash")
     )
     return (

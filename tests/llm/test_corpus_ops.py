@@ -177,6 +177,26 @@ def test_site_templates_go_and_quoted_text_stays(spark):
     assert "Imprint" in got[200]
 
 
+def test_counts_decide_inside_and_beside_the_article(spark):
+    def page(i, tag):
+        own = " ".join(f"w{i}x{k}" for k in range(30))
+        return f"<body><p>Beside {i}</p><div>Bar of all pages</div><article><{tag}>Notice of the site</{tag}><p>{own}</p></article></body>"
+
+    tags = ["p", "blockquote", "pre", "span", "h2"]
+    rows = [(100 * n + i, f"http://h{n}.com/x", page(i, tag)) for n, tag in enumerate(tags) for i in range(30)]
+    rows += [(1000 + i, "http://few.com/", page(i, "p")) for i in range(10)]
+    for page_id, text in texts_of(spark, rows).items():
+        assert "Beside" in text and "w" in text and "Bar" not in text
+        assert ("Notice" in text) == (page_id >= 1000)
+
+
+def test_near_copies_of_an_article_stay(spark):
+    body = "".join(f"<p>{' '.join(f'w{n}x{k}' for k in range(20))}</p>" for n in range(12))
+    rows = [(i, "http://h.com/", f"<article><h1>Title {i}</h1>{body}</article>") for i in range(60)]
+    for i, text in texts_of(spark, rows).items():
+        assert text.count("w") == 240 and f"Title {i}" in text
+
+
 def test_equal_pages_count_once(spark):
     html = "<body><div><p>All of it</p></div></body>"
     assert texts_of(spark, [(i, "http://a.com/", html) for i in range(20)])[3] == "All of it"
