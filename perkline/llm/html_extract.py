@@ -39,10 +39,10 @@ from pyspark.sql import types as T
 from perkline.llm.common import map_arrow, stored
 from perkline.llm.url_filter import host_path
 
-#: a subtree on so many distinct pages of a host, and on this share of them,
-#: is a template
+#: a subtree on so many distinct pages of a host, and on this many times the
+#: root of their number, is a template
 MIN_PAGES = 5
-MIN_SHARE = 0.05
+GROWTH = 0.5
 #: the same for running text inside the main element, by distinct main texts
 MAIN_PAGES = 20
 MAIN_GROWTH = 2.0
@@ -290,8 +290,8 @@ class Page:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages -> their candidate subtrees, and what a page counts as; ``live``
-    if a kept block lies in it, as it must in running text."""
+    """Pages -> their candidate subtrees, and what a page counts as in running
+    text; ``live`` if a kept block lies in it, as it must there."""
     for batch in batches:
         hosts, marks, hashes, live, seen, running = [], [], [], [], [], []
         for host, mark, source in zip(*(batch.column(c).to_pylist() for c in ("host", "mark", "html")), strict=True):
@@ -306,7 +306,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     marks.append(mark)
                     hashes.append(h)
                     live.append(h in used)
-                    seen.append(sketch if strict else mark)
+                    seen.append(sketch if strict else None)
                     running.append(strict)
         yield pa.RecordBatch.from_arrays(
             [
@@ -334,23 +334,28 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*own, pa.array(rows, _BLOCKS)], names=["page_id", "url", "host", "mark", "blocks"])
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES, growth: float = GROWTH) -> DataFrame:
     """``host, mark, hashes``: for the pages that need it, the template
     subtrees in which kept text lies."""
     found = map_arrow(pages, _counted, "host string, mark bigint, hash bigint, live boolean, seen bigint, running boolean")
     found = stored(found, "html-subtrees")
     size = pages.groupBy("host").agg(F.countDistinct("mark").alias("pages"))
     strict = (F.col("n") >= F.greatest(F.lit(float(MAIN_PAGES)), MAIN_GROWTH * F.sqrt("pages"))) & (2 * F.col("n") >= F.col("on"))
+    # rows bound distinct pages from above; few subtrees are left to count
+    enough = found.groupBy("host", "hash").agg(F.count("*").alias("n"), F.max("live").alias("live"))
+    enough = stored(enough.where((F.col("n") >= min_pages) & F.col("live")).select("host", "hash"), "html-recurring")
     often = (
-        found.groupBy("host", "hash", "running", "seen", "mark")
+        found.join(enough, ["host", "hash"], "left_semi")
+        .groupBy("host", "hash", "running", "seen", "mark")
         .agg(F.max("live").alias("live"))
         .groupBy("host", "hash", "running", "seen")
         .agg(F.count("*").alias("same"), F.max("live").alias("live"))
         .groupBy("host", "hash", "running")
-        .agg(F.count("*").alias("n"), F.sum("same").alias("on"), F.max("live").alias("live"))
+        .agg(F.count("*").alias("texts"), F.sum("same").alias("on"), F.max("live").alias("live"))
+        .withColumn("n", F.when(F.col("running"), F.col("texts")).otherwise(F.col("on")))
         .where((F.col("n") >= min_pages) & F.col("live"))
         .join(size, "host")
-        .where(F.when(F.col("running"), strict).otherwise(F.col("n") >= F.col("pages") * min_share))
+        .where(F.when(F.col("running"), strict).otherwise(F.col("n") >= growth * F.sqrt("pages")))
         .select("host", "hash")
     )
     return (
@@ -358,11 +363,11 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     )
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, growth: float = GROWTH) -> DataFrame:
     """``page_id, url, text`` of each row of ``pages (page_id, url, html)``;
     blocks are parted by an empty line."""
     rows = pages.select("page_id", "url", host_path(F.col("url"))[0].alias("host"), F.xxhash64("html").alias("mark"), "html")
-    gone = templates(rows.select("host", "mark", "html"), min_pages, min_share)
+    gone = templates(rows.select("host", "mark", "html"), min_pages, growth)
     schema = T.StructType(rows.select("page_id", "url", "host", "mark").schema.fields)
     schema.add("blocks", T.ArrayType(T.StructType().add("text", "string").add("path", T.ArrayType(T.LongType()))))
     blocks = map_arrow(rows, _blocks, schema).join(gone, ["host", "mark"], "left")

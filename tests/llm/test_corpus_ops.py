@@ -190,6 +190,13 @@ def test_counts_decide_inside_and_beside_the_article(spark):
         assert ("Notice" in text) == (page_id >= 1000)
 
 
+def test_a_hot_host_needs_no_share_of_its_pages(spark):
+    rows = [(i, "http://h.com/", f"<div><p>Own {i}</p></div>" + "<div>Section menu</div>" * (i < 12)) for i in range(400)]
+    rows += [(1000 + i, "http://h.com/", f"<div><p>More {i}</p></div>" + "<div>Quoted</div>" * (i < 8)) for i in range(20)]
+    got = texts_of(spark, rows)
+    assert got[3] == "Own 3" and got[1003] == "More 3\n\nQuoted"
+
+
 def test_near_copies_of_an_article_stay(spark):
     body = "".join(f"<p>{' '.join(f'w{n}x{k}' for k in range(20))}</p>" for n in range(12))
     rows = [(i, "http://h.com/", f"<article><h1>Title {i}</h1>{body}</article>") for i in range(60)]
