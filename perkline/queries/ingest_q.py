@@ -169,6 +169,24 @@ def q_gate_per_hour(spark, sf_dir):
     return n.clean.join(good, F.col("ligne") == F.col("_ligne"), "left_semi").select("cle_salarie", "date_debut", "type_activite", "ligne")
 
 
+@register(
+    "gate_per_minute",
+    it(
+        "SELECT cle_salarie, date_parsed AS date_debut, sport AS type_activite, ligne FROM x_day WHERE rn2 = 1 AND substr(horodateur, 1, 16) "
+        "NOT IN (SELECT substr(horodateur, 1, 16) FROM x_class WHERE err_raison IS NOT NULL AND horodateur IS NOT NULL)"
+    ),
+)
+def q_gate_per_minute(spark, sf_dir):
+    """M15 per minute of submission: a minute with any blocking error gives no
+    output at all."""
+    n = _norm(spark, sf_dir)
+    minute = F.substring("horodateur", 1, 16)
+    bad = n.errors.select(minute.alias("_minute")).distinct()
+    lines = n.classified.select(F.col("ligne").alias("_ligne"), minute.alias("_minute")).where("_minute IS NOT NULL").distinct()
+    good = lines.join(bad, "_minute", "left_anti")
+    return n.clean.join(good, F.col("ligne") == F.col("_ligne"), "left_semi").select("cle_salarie", "date_debut", "type_activite", "ligne")
+
+
 @register(
     "match_employee_by_name",
     it("SELECT ligne, nom_norm, prenom_norm, id_salarie_brut, ambigu, rh_trouve FROM x_match"),
