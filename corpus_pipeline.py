@@ -34,7 +34,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each linked group: the one with the smallest id."""
+    """One document of each linked group: the one with the smallest id.
+
+    Links are op8's (4-word shingles, Jaccard 0.85), the rule that the
+    brute-force test of the pipeline holds this stage to; pairs that only
+    5-word shingles at 0.8 would link are both kept."""
     return ngram_join.keep_one(docs)
 
 
