@@ -223,3 +223,51 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     named = lang_id.identify(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return named.select("doc_id", lang_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@register("op11_whiten")
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding."""
+    from perkline.llm import whitening
+
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(rows, whitening.fit(rows))
+
+
+@register("op12_permutation_index")
+def op12_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every twentieth embedding."""
+    from perkline.llm import perm_index
+
+    return perm_index.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+OP13_TWIN = r"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 5
+"""
+
+
+@register("op13_hard_negatives", OP13_TWIN)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding, some labels made wrong."""
+    from perkline.llm import hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
