@@ -177,13 +177,33 @@ KEY_PATTERN = r"^sal_[0-9a-f]{12}$"
 RUN_STATUSES = ("RUNNING", "SUCCESS", "FAILURE")
 ERROR_MESSAGE_MAX = 4000
 
-# Alternative parameter sets (what-if cost scenarios).
+# Alternative parameter sets (what-if cost scenarios): name, rate, fixed amount,
+# walk and bike thresholds (km), days granted, minimum of activities.  The first
+# three are fixed values, the others change what decides who is eligible.
 COST_SCENARIOS = (
-    ("initiale", "0.05", "1500"),
-    ("simulation_1", "0.04", "1000"),
-    ("simulation_2", "0.06", "2000"),
+    ("initiale", "0.05", "1500", "15", "25", "5", "15"),
+    ("simulation_1", "0.04", "1000", "15", "25", "5", "15"),
+    ("simulation_2", "0.06", "2000", "15", "25", "5", "15"),
+    ("marche_large", "0.05", "1500", "22.5", "25", "5", "15"),
+    ("marche_stricte", "0.05", "1500", "0", "25", "5", "15"),
+    ("velo_large", "0.05", "1500", "15", "40", "5", "15"),
+    ("velo_strict", "0.05", "1500", "15", "9.99", "5", "15"),
+    ("jours_doubles", "0.05", "1500", "15", "25", "10", "15"),
+    ("minimum_haut", "0.05", "1500", "15", "25", "5", "60"),
+    ("minimum_bas", "0.05", "1500", "15", "25", "5", "0"),
+    ("tout_change", "0.075", "1800", "18.25", "31.4", "7", "48"),
 )
 
+# Values of the scenario grid: every combination is one scenario.
+SCENARIO_GRID = {
+    "taux_prime": ("0.04", "0.06"),
+    "montant_prime_fixe": ("1500",),
+    "seuil_km_marche_course": ("2", "5", "8", "11", "14", "17", "20", "23"),
+    "seuil_km_velo_autres": ("5", "10", "15", "20", "25", "30", "35", "40"),
+    "jours_bien_etre": ("5",),
+    "min_activites_bien_etre": ("1", "10", "20", "30", "40", "50", "60", "80"),
+}
+
 # ---------------------------------------------------------------------------
 # Run parameters (not reference values: they describe one run).
 # ---------------------------------------------------------------------------

@@ -120,9 +120,9 @@ def bi_employee(link: DataFrame, roster: DataFrame) -> DataFrame:
     )
 
 
-def bi_commute(checks: DataFrame) -> DataFrame:
-    """W2 + K6: latest check per employee (date desc, id desc; a NULL date
-    ranks first as in SQL ``DESC``), canonical mode and exclusion flag.
+def latest_checks(checks: DataFrame) -> DataFrame:
+    """The latest check of each employee (date desc, id desc; a NULL date
+    ranks first as in SQL ``DESC``), columns as they are.
 
     The latest row is picked by an aggregate (max of an ordered struct),
     which combines map-side: hot employees are reduced before the shuffle.
@@ -131,18 +131,23 @@ def bi_commute(checks: DataFrame) -> DataFrame:
     latest = checks.groupBy("cle_salarie").agg(
         F.max(F.struct(F.col("date_ctrl").isNull().alias("_null_first"), "date_ctrl", "id_ctrl", *payload)).alias("v")
     )
+    return latest.select("cle_salarie", *[F.col(f"v.{c}").alias(c) for c in ("date_ctrl", *payload)])
+
+
+def bi_commute(checks: DataFrame) -> DataFrame:
+    """W2 + K6: latest check per employee, canonical mode and exclusion flag."""
     # labels and units are derived on the one kept row per employee
-    label, unknown = canonical_label("v.mode_trajet", TRAVEL_MODES)
-    return latest.select(
+    label, unknown = canonical_label("mode_trajet", TRAVEL_MODES)
+    return latest_checks(checks).select(
         "cle_salarie",
         label.alias("mode_trajet_normalise"),
         unknown.alias("mode_trajet_inconnu"),
-        F.col("v.distance_m").alias("distance_m"),
-        to_km("v.distance_m").alias("distance_km"),
-        F.col("v.duree_sec").alias("duree_sec"),
-        to_minutes("v.duree_sec").alias("duree_min"),
-        F.col("v.seuil_km").alias("seuil_km"),
-        F.col("v.est_incoherent").alias("est_incoherent"),
-        F.col("v.date_ctrl").alias("date_ctrl"),
+        "distance_m",
+        to_km("distance_m").alias("distance_km"),
+        "duree_sec",
+        to_minutes("duree_sec").alias("duree_min"),
+        "seuil_km",
+        "est_incoherent",
+        "date_ctrl",
         (label == UNKNOWN).alias("est_exclue_structurelle"),
     )

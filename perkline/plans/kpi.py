@@ -1,11 +1,11 @@
-"""KPI views (K8) and what-if cost scenarios."""
+"""KPI views (K8)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perkline.config import COST_SCENARIOS, RunConfig
+from perkline.config import RunConfig
 from perkline.functions.dates import age_band, age_years, utc_bounds_of_days
 from perkline.plans.params import param_value
 
@@ -96,9 +96,8 @@ def kpi_age(
 ) -> DataFrame:
     """Eligibility and costs per age band at the as-of date.
 
-    Each right side holds one row per employee, so the joins are 1:1 and
-    the distinct counts equal plain conditional counts; they are kept as
-    distinct counts to stay correct if a side ever fans out.
+    Every side holds one row per employee (asserted by the duplicate checks
+    on these views), so distinct employees are plain conditional counts.
     """
     rate = param_value(pivot, "taux_prime")
     amount = param_value(pivot, "montant_prime_fixe")
@@ -118,10 +117,10 @@ def kpi_age(
     elig_b = F.col("est_eligible_bien_etre") == F.lit(True)
     cost = F.when(elig_p, F.coalesce(F.col("brut_annuel"), F.lit(0).cast("decimal(12,2)")) * rate).otherwise(F.lit(0))
     g = j.groupBy("date_run_paris", "tranche_age").agg(
-        F.count_distinct("cle_salarie").alias("nb_salaries"),
-        F.count_distinct(F.when(elig_p, F.col("cle_salarie"))).alias("nb_salaries_eligibles_prime"),
+        F.count("cle_salarie").alias("nb_salaries"),
+        F.count_if(elig_p).alias("nb_salaries_eligibles_prime"),
         _money(F.sum(cost)).alias("cout_annuel_total_prime_variable"),
-        F.count_distinct(F.when(elig_b, F.col("cle_salarie"))).alias("nb_salaries_eligibles_bien_etre"),
+        F.count_if(elig_b).alias("nb_salaries_eligibles_bien_etre"),
         F.sum(F.coalesce(F.col("jours_bien_etre_attribues"), F.lit(0))).cast("int").alias("jours_bien_etre_attribues_total"),
     )
     return g.select(
@@ -134,41 +133,3 @@ def kpi_age(
         "nb_salaries_eligibles_bien_etre",
         "jours_bien_etre_attribues_total",
     )
-
-
-def scenarios_frame(spark) -> DataFrame:
-    """Alternative parameter sets (name, rate, fixed amount) — configuration."""
-    return spark.createDataFrame(list(COST_SCENARIOS), "scenario string, taux_prime string, montant_prime_fixe string").select(
-        "scenario",
-        F.col("taux_prime").cast("decimal(10,4)").alias("taux_prime"),
-        F.col("montant_prime_fixe").cast("decimal(12,2)").alias("montant_prime_fixe"),
-    )
-
-
-def cost_scenarios(bonus: DataFrame, salaries: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """Bonus cost under each alternative rate / fixed amount.
-
-    The employee side is reduced first to two numbers (eligible count and
-    eligible salary total); the scenarios are then applied to that single
-    row, so the work is one pass over the employees whatever the number of
-    scenarios (cost = rate x sum(salary) is exact for the variable bonus).
-    """
-    s = salaries.select(F.col("cle_salarie").alias("_s_key"), "brut_annuel")
-    j = bonus.join(s, F.col("cle_salarie") == s._s_key, "left")
-    elig = F.col("est_eligible_prime") == F.lit(True)
-    totals = j.agg(
-        F.count_if(elig).alias("nb_salaries_eligibles_prime"),
-        F.sum(F.when(elig, F.coalesce(F.col("brut_annuel"), F.lit(0).cast("decimal(12,2)")))).alias("_salaries"),
-    )
-    # the totals are one row: attach it as one scalar subquery (run once)
-    row = totals.select(F.struct("nb_salaries_eligibles_prime", "_salaries").alias("t")).scalar()
-    n = row.getField("nb_salaries_eligibles_prime")
-    total = row.getField("_salaries")
-    return scenarios.select(
-        "scenario",
-        "taux_prime",
-        "montant_prime_fixe",
-        n.alias("nb_salaries_eligibles_prime"),
-        _money(F.coalesce(total * F.col("taux_prime"), F.lit(0))).alias("cout_annuel_total_prime_variable"),
-        _money(n * F.col("montant_prime_fixe")).alias("cout_annuel_total_prime_fixe"),
-    )

@@ -4,9 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from perkline.config import ACTIVE_MODES, BONUS_REASONS, DEFAULT_RUN, PARAM_MAPPING, SPORTS, TRAVEL_MODES
+from perkline.config import (
+    ACTIVE_MODES,
+    BONUS_REASONS,
+    COST_SCENARIOS,
+    DEFAULT_RUN,
+    PARAM_MAPPING,
+    SCENARIO_GRID,
+    SPORTS,
+    TRAVEL_MODES,
+)
 from perkline.operators import mutate
-from perkline.plans import kpi
+from perkline.plans import scenarios
 from perkline.plans.bi import BI_ACTIVITY_COLUMNS
 from perkline.plans.model import BenefitModel
 from perkline.plans.params import PIVOT_SPEC, effective_params_at, params_from_mapping_at
@@ -370,26 +379,61 @@ def q_kpi_age(spark, sf_dir):
     return M(spark, sf_dir).kpi_age()
 
 
-def _scenario_values() -> str:
-    from perkline.config import COST_SCENARIOS
-
-    rows = ", ".join(f"({X.q(n)}, CAST({r} AS DECIMAL(10,4)), CAST({a} AS DECIMAL(12,2)))" for n, r, a in COST_SCENARIOS)
-    return f"(VALUES {rows}) AS s(scenario, taux_prime, montant_prime_fixe)"
+_SCN = ", ".join(
+    f"CAST({c} AS {'INTEGER' if t == 'int' else t.upper()}) AS {c}" for c, t in scenarios.SCENARIO_PARAMS.items()
+)
+_SCN_NAMES = ", ".join(scenarios.SCENARIO_PARAMS)
 
 
-@register(
-    "cost_scenarios",
-    vt(
-        "SELECT s.scenario, s.taux_prime, s.montant_prime_fixe, t.n AS nb_salaries_eligibles_prime, "
-        + X.money("coalesce(t.total * s.taux_prime, 0)")
+def _scenario_twin(rows: str) -> str:
+    """Every scenario decided anew for every employee."""
+    limit = "CAST(floor({} * 1000) AS BIGINT)".format
+    return vt(
+        f"SELECT s.scenario, {', '.join('s.' + c for c in scenarios.SCENARIO_PARAMS)}, "
+        "count(*) FILTER (WHERE prime) AS nb_salaries_eligibles_prime, "
+        + X.money("coalesce(sum(brut_annuel * taux_prime) FILTER (WHERE prime), 0)")
         + " AS cout_annuel_total_prime_variable, "
-        + X.money("t.n * s.montant_prime_fixe")
-        + " AS cout_annuel_total_prime_fixe FROM "
-        + _scenario_values()
-        + ", (SELECT CAST(ifnull(sum(prime), 0) AS BIGINT) AS n, sum(base) AS total FROM x_due) t"
-    ),
-)
+        + X.money("count(*) FILTER (WHERE prime) * any_value(montant_prime_fixe)")
+        + " AS cout_annuel_total_prime_fixe, count(*) FILTER (WHERE nb >= min_activites_bien_etre) AS nb_salaries_eligibles_bien_etre, "
+        "count(*) FILTER (WHERE nb >= min_activites_bien_etre) * any_value(jours_bien_etre) AS nb_jours_supplementaires "
+        "FROM (SELECT s.*, e.cle_salarie, ifnull(c.nb_activites_periode, 0) AS nb, p.brut_annuel, "
+        f"(p.brut_annuel > 0 AND NOT e.mod_depl_decl_inconnu AND e.mod_depl_decl_normalise IN ({ACTIVE}) AND k.cle_salarie IS NOT NULL "
+        "AND NOT k.est_exclue_structurelle AND NOT coalesce(k.distance_m > CASE WHEN trim(r.mode_trajet) = 'Marche/running' THEN "
+        + limit("s.seuil_km_marche_course")
+        + " WHEN trim(r.mode_trajet) = 'Vélo/Trottinette/Autres' THEN "
+        + limit("s.seuil_km_velo_autres")
+        + f" END, false)) AS prime FROM (SELECT scenario, {_SCN} FROM ({rows})) s CROSS JOIN x_bi_emp e "
+        "LEFT JOIN x_sal p USING (cle_salarie) LEFT JOIN x_counts c USING (cle_salarie) LEFT JOIN x_bi_ctrl k USING (cle_salarie) "
+        "LEFT JOIN (SELECT cle_salarie, arg_max(mode_trajet, {'d': date_ctrl, 'i': id_ctrl}) AS mode_trajet FROM b_ctrl GROUP BY 1) r "
+        "USING (cle_salarie)) s GROUP BY ALL"
+    )
+
+
+def _scenario_rows() -> str:
+    rows = ", ".join("(" + ", ".join(X.q(v) for v in row) + ")" for row in COST_SCENARIOS)
+    return f"SELECT * FROM (VALUES {rows}) AS v(scenario, {_SCN_NAMES})"
+
+
+def _grid_rows() -> str:
+    lists = ", ".join(f"unnest([{', '.join(X.q(v) for v in SCENARIO_GRID[c])}]) AS u_{c}({c})" for c in scenarios.SCENARIO_PARAMS)
+    return (
+        f"SELECT concat_ws('/', {', '.join(f'CAST({c} AS VARCHAR)' for c in scenarios.SCENARIO_PARAMS)}) AS scenario, {_SCN_NAMES} "
+        f"FROM (SELECT {_SCN} FROM {lists})"
+    )
+
+
+def _scenario_costs(m: BenefitModel, frame):
+    return scenarios.cost_scenarios(m.bi_employee, m.commute_checks, m.salaries, m.activity_counts, frame)
+
+
+@register("cost_scenarios", _scenario_twin(_scenario_rows()))
 def q_cost_scenarios(spark, sf_dir):
-    """Bonus costs under each alternative rate and fixed amount."""
-    m = M(spark, sf_dir)
-    return kpi.cost_scenarios(m.bonus, m.salaries, kpi.scenarios_frame(spark))
+    """Eligible employees, costs and days under named scenarios that
+    change any of the parameters."""
+    return _scenario_costs(M(spark, sf_dir), scenarios.scenarios_frame(spark))
+
+
+@register("cost_scenario_grid", _scenario_twin(_grid_rows()))
+def q_cost_scenario_grid(spark, sf_dir):
+    """The same for every combination of a grid of parameter values."""
+    return _scenario_costs(M(spark, sf_dir), scenarios.scenario_grid(spark))
