@@ -70,6 +70,7 @@ def upsert(
     update_cols: Sequence[str],
     id_col: str | None = None,
     insert_defaults: dict[str, Column] | None = None,
+    start: Column | None = None,
 ) -> DataFrame:
     """M1: unconditional upsert on ``keys`` (equal by ``=``, so a NULL key
     matches nothing).
@@ -77,7 +78,8 @@ def upsert(
     Matched keys take ``update_cols`` from the source and keep every other
     target column (id, ingestion date, flags); new keys are inserted with
     ids ``max(id) + 1 ...`` in key order and ``insert_defaults``; keys only
-    in the target are kept.  Adds ``action``.
+    in the target are kept.  Adds ``action``.  ``start`` is the largest id
+    where ``target`` is a part of the table.
     """
     insert_defaults = insert_defaults or {}
     j = target.join(one_per_key(source, keys, update_cols), list(keys), "left")
@@ -96,7 +98,8 @@ def upsert(
     new = source.join(target.select(*keys), list(keys), "left_anti")
     new = new.select(*[inserted(c) for c in target.columns if c != id_col], F.lit(INSERT).alias("action"))
     if id_col is not None:
-        start = target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m")).select("m").scalar()
+        if start is None:
+            start = target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m")).select("m").scalar()
         new = assign_ids(new, keys, start, id_col)
     else:
         new = new.select(*old.columns)

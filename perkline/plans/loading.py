@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perkline.config import SOURCE_FORM, SOURCE_SIMULATED, SOURCES_TO_REPLACE, RunConfig
-from perkline.functions.dates import local_day
+from perkline.functions.dates import local_day, year_month
 from perkline.operators import mutate
+from perkline.operators.partitions import Layout
 from perkline.plans.ingest import daily_conflicts, dedup_daily  # noqa: F401
 
 KEYS = ["cle_salarie", "date_debut", "source_donnee"]
@@ -16,6 +17,12 @@ UPDATE_COLS = ["duree_sec", "distance_m", "type_activite", "commentaire"]
 FILE_COLS = ["cle_salarie", "date_debut", "duree_sec", "distance_m", "type_activite", "commentaire", "source_donnee"]
 
 
+def activity_layout() -> Layout:
+    """The activity table by source and month of the start instant, both part
+    of its key."""
+    return Layout({"source_donnee": F.trim("source_donnee"), "mois": year_month("date_debut")}, "id_activite")
+
+
 def merge_priority(low: DataFrame, high: DataFrame, keys=("cle_salarie", "date_debut")) -> DataFrame:
     """Drop lower-priority rows whose key exists in the priority set,
     then union both."""

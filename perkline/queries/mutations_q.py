@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from perkline.config import DEFAULT_RUN, SOURCE_SIMULATED, SOURCES_TO_REPLACE
+from perkline.config import DEFAULT_RUN, SOURCE_SIMULATED, SOURCES_TO_REPLACE, SPORTS
 from perkline.functions.text import pseudonym
 from perkline.operators import mutate
-from perkline.plans import commute
-from perkline.plans.loading import load_activities, simulated_file
+from perkline.operators.partitions import PartitionedTable
+from perkline.plans import commute, counters
+from perkline.plans.loading import activity_layout, load_activities, simulated_file
 from perkline.queries import register
 from perkline.session import materialise
 from perkline.sources.tables import Tables
@@ -409,3 +410,112 @@ def q_load_activities(spark, sf_dir):
                         "load-forms")
     simulated = materialise(simulated_file(t.activities(), forms, RUN), "load-simulated")
     return load_activities(t.activity_table(), forms, simulated, RUN)
+
+
+# ---------------------------------------------------------------------------
+# M1/M8 by touched partitions, and the counts kept with them
+# ---------------------------------------------------------------------------
+KEYS_ACT = ["cle_salarie", "date_debut", "source_donnee"]
+
+
+def _defaults():
+    return {"date_ingestion": F.lit(RUN.as_of).cast("timestamp_ntz"), "flag_slack": F.lit(False)}
+
+
+def _partitioned(t: Tables) -> PartitionedTable:
+    return PartitionedTable.create(t.activity_table().select(*ACT_COLS), "activite-partitions", activity_layout())
+
+
+@register("upsert_partitions", twin(f"SELECT {', '.join(ACT_COLS)} FROM ({_upsert_activities_twin('b_act_table', 'b_act_v2')})"))
+def q_upsert_partitions(spark, sf_dir):
+    """M1: the activity table after an upsert that reads and replaces only
+    the partitions (source, month) of the incoming file."""
+    t = T(spark, sf_dir)
+    table = _partitioned(t)
+    table.publish(table.stage_upsert(t.activity_source_v2(), KEYS_ACT, UPD, _defaults()))
+    return table.rows().select(*ACT_COLS)
+
+
+RELOADED_TWIN = (
+    "SELECT id_activite, cle_salarie, date_debut, duree_sec, type_activite, distance_m, commentaire, source_donnee, date_ingestion, flag_slack "
+    "FROM b_act_table WHERE source_donnee <> 'csv_simule' OR NOT EXISTS (SELECT 1 FROM b_act_v2 WHERE source_donnee = 'csv_simule') "
+    "UNION ALL SELECT (SELECT max(id_activite) FROM b_act_table) + row_number() OVER (ORDER BY cle_salarie, date_debut, source_donnee), "
+    f"cle_salarie, date_debut, duree_sec, type_activite, distance_m, commentaire, source_donnee, {AS_OF_TS}, false "
+    "FROM b_act_v2 WHERE source_donnee = 'csv_simule'"
+)
+
+
+@register("reload_partitions", twin(RELOADED_TWIN))
+def q_reload_partitions(spark, sf_dir):
+    """M8: the activity table after the partitions of the simulated source
+    were replaced; no row of the table is read for it."""
+    t = T(spark, sf_dir)
+    table = _partitioned(t)
+    new = t.activity_source_v2().filter(F.col("source_donnee") == SOURCE_SIMULATED)
+    change = table.stage_reload(new, SOURCES_TO_REPLACE, "source_donnee", KEYS_ACT, _defaults())
+    if change:
+        table.publish(change)
+    return table.rows().select(*ACT_COLS)
+
+
+_KNOWN_SPORT = X.canonical("type_activite", SPORTS, "type_n", "type_inconnu")
+_MONTHLY = (
+    "SELECT cle_salarie, strftime({day}, '%Y-%m') AS mois, count(*) AS nb FROM (SELECT *, {known} FROM ({rows})) "
+    "WHERE NOT type_inconnu GROUP BY 1, 2"
+)
+
+
+def _counts_twin(body: str) -> str:
+    """Counts taken anew from the rows after both changes."""
+    upserted = f"SELECT {', '.join(ACT_COLS)} FROM ({_upsert_activities_twin('b_act_table', 'b_act_v2')})"
+    late = "SELECT cle_salarie, date_debut - INTERVAL 400 DAY AS date_debut, 'Curling' AS type_activite, source_donnee FROM b_act_v2 WHERE source_donnee = 'csv_simule'"
+    rows = (
+        f"SELECT cle_salarie, date_debut, type_activite, source_donnee FROM ({upserted}) WHERE source_donnee <> 'csv_simule' UNION ALL "
+        "SELECT cle_salarie, date_debut, type_activite, source_donnee FROM b_act_v2 WHERE source_donnee = 'csv_simule' AND duree_sec % 3 <> 0 "
+        f"UNION ALL SELECT * REPLACE ('Tennis' AS type_activite) FROM ({late}) WHERE date_debut IS NOT NULL"
+    )
+    monthly = _MONTHLY.format(day=X.local_day("date_debut"), known=_KNOWN_SPORT, rows=rows)
+    return twin(body.format(monthly=monthly))
+
+
+def _maintained(spark, sf_dir):
+    """Counts built once from the table, then corrected by an upsert of all
+    sources and by a reload of the simulated one, some of whose rows are
+    dropped and others come 400 days late."""
+    t = T(spark, sf_dir)
+    table = _partitioned(t)
+    kept = counters.Counts.create(table.rows(), RUN.zone)
+    source = t.activity_source_v2()
+    simulated = source.filter(F.col("source_donnee") == SOURCE_SIMULATED)
+    late = simulated.withColumns({"date_debut": F.col("date_debut") - F.expr("INTERVAL 400 DAY"), "type_activite": F.lit("Tennis")})
+    reloaded = simulated.where("duree_sec % 3 <> 0").unionByName(late)
+    for change in (
+        lambda: table.stage_upsert(source, KEYS_ACT, UPD, _defaults()),
+        lambda: table.stage_reload(reloaded, SOURCES_TO_REPLACE, "source_donnee", KEYS_ACT, _defaults()),
+    ):
+        staged = change()
+        if staged:
+            kept.apply(counters.change_delta(table, staged, RUN.zone))
+            table.publish(staged)
+    return kept
+
+
+@register("monthly_counts_maintained", _counts_twin("{monthly}"))
+def q_monthly_counts_maintained(spark, sf_dir):
+    """A10: counts per employee and month, maintained through two changes."""
+    return _maintained(spark, sf_dir).rows()
+
+
+_W0, _W1 = RUN.period()
+
+
+@register(
+    "window_counts_maintained",
+    _counts_twin(
+        "SELECT cle_salarie, CAST(sum(nb) AS INTEGER) AS nb_activites_periode FROM ({monthly}) "
+        f"WHERE mois BETWEEN '{_W0:%Y-%m}' AND '{_W1:%Y-%m}' GROUP BY cle_salarie"
+    ),
+)
+def q_window_counts_maintained(spark, sf_dir):
+    """The window counts as sums of maintained months."""
+    return _maintained(spark, sf_dir).in_window(RUN)
