@@ -5,9 +5,14 @@ parameters.  Row predicates are SQL text (the declarative form of the checks
 — e.g. ``NOT (flag = true AND label = 'INCONNU' OR ...)``), evaluated by
 Spark as JVM expressions with SQL three-valued logic.
 
-Evaluation costs one aggregate pass per table for every counting check
-(row count, missing values, domain, failed rows), plus one grouped
-aggregate per duplicate check and one anti join per reference check.
+Evaluation reads each table once.  A table with counting checks only (row
+count, missing values, domain, failed rows) is one aggregate.  All others are
+shuffled once, together, whatever the number of checks: a row is exploded to
+one entry per key check (duplicates, references) and per counting check that it
+counts for, tagged with the check and the key's text; the rows of a referenced
+table add entries of the same tag from the other side.  One aggregate over
+(check, key), combined in the map tasks, and one over the checks give every
+metric.
 Results are rows ``(table_name, controle, type_controle, metrique, statut)``
 with ``statut`` in OK / WARN / FAIL.
 """
@@ -16,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -104,6 +110,17 @@ def columns_metric(columns, check: Check) -> int:
     return 0 if list(columns) == list(check.cols) else 1
 
 
+def _struct_sql(c: Check, metric: str) -> str:
+    m = f"CAST({metric} AS BIGINT)"
+    return (
+        f"named_struct('table_name', {_q(c.table)}, 'controle', {_q(c.name)}, 'type_controle', {_q(c.kind)}, "
+        f"'metrique', {m}, 'statut', {status_sql(c, m)})"
+    )
+
+
+COUNTING = ("row_count", "missing", "domain", "failed_rows", "warn_rows", "required")
+
+
 def _metric_sql(c: Check) -> str:
     if c.kind == "row_count":
         return "count(1)"
@@ -113,72 +130,101 @@ def _metric_sql(c: Check) -> str:
     return f"count_if({failing_predicate(c)})"
 
 
-def _struct_sql(c: Check, metric: str) -> str:
-    m = f"CAST({metric} AS BIGINT)"
-    return (
-        f"named_struct('table_name', {_q(c.table)}, 'controle', {_q(c.name)}, 'type_controle', {_q(c.kind)}, "
-        f"'metrique', {m}, 'statut', {status_sql(c, m)})"
-    )
+def _counted(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Counting checks of a table without key checks."""
+    results = ", ".join(_struct_sql(c, _metric_sql(c)) for c in checks)
+    return df.agg(F.expr(f"array({results})").alias("r")).select(F.explode("r").alias("r")).select("r.*")
+
 
+def _key_text(cols: Sequence[str], types: dict[str, str] | None = None) -> str:
+    """A key as an array of texts; NULL parts stay NULL."""
+    return "array(" + ", ".join(f"CAST({f'CAST({c} AS {types[c]})' if types else c} AS STRING)" for c in cols) + ")"
 
-def _counted(df: DataFrame, checks: Sequence[Check], unique: Sequence[Check]) -> DataFrame:
-    """The counting checks of one table, and a duplicate check with them: the
-    counts are then taken per key, in the same pass, and added up."""
-    if not unique:
-        arr = "array(" + ", ".join(_struct_sql(c, _metric_sql(c)) for c in checks) + ")"
-        return df.agg(F.expr(arr).alias("r")).select(F.explode("r").alias("r")).select("r.*")
-    per_key = [F.expr(f"{_metric_sql(c)} AS _m{i}") for i, c in enumerate(checks)]
-    keyed = df.groupBy(*unique[0].cols).agg(F.count(F.lit(1)).alias("_n"), *per_key)
-    structs = [_struct_sql(c, f"coalesce(sum(_m{i}), 0)") for i, c in enumerate(checks)]
-    structs.append(_struct_sql(unique[0], "count_if(_n > 1)"))
-    return keyed.agg(F.expr("array(" + ", ".join(structs) + ")").alias("r")).select(F.explode("r").alias("r")).select("r.*")
+
+class _Stack:
+    """The entries that each table's rows are exploded to.
+
+    An entry is ``(tag, key, child, parent)``: the check, the key's text (NULL
+    for plain counts), and one row on one of the two sides.  A row has an entry
+    for a check only where it counts for it."""
+
+    def __init__(self) -> None:
+        self.entries: dict[str, list[str]] = {}
+        self.results: list[str] = []  # by tag
+
+    def tag(self, result: str) -> int:
+        self.results.append(result)
+        return len(self.results) - 1
+
+    def add(self, table: str, tag: int, key: str | None = None, parent: bool = False, when: str | None = None) -> None:
+        entry = (
+            f"named_struct('tag', {tag}, 'key', {key or 'CAST(NULL AS ARRAY<STRING>)'}, "
+            f"'child', {int(not parent)}L, 'parent', {int(parent)}L)"
+        )
+        self.entries.setdefault(table, []).append(f"CASE WHEN {when} THEN {entry} END" if when else entry)
 
 
 def evaluate(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Run ``checks`` against ``tables``; one result row per check.
 
-    Each table's counting checks compile to ONE aggregate (with its first
-    duplicate check, one per key and one over the keys) whose result is an
-    array of (table, check, type, metric, status) structs, generated as SQL
-    text so that building the plan costs one expression per table.
-    """
-    parts: list[DataFrame] = []
-    counting: dict[str, list[Check]] = {}
-    unique: dict[str, list[Check]] = {}
+    Expressions are generated as SQL text, so that building the plan costs one
+    expression per table."""
+    stack, fixed = _Stack(), []
+    keyed_checks = [c for c in checks if c.kind in ("duplicates", "reference", "same_count")]
+    shuffled = {t for c in keyed_checks for t in (c.table, c.parent)}
+    counted: dict[str, list[Check]] = {}
     for c in checks:
-        if c.kind in ("row_count", "missing", "domain", "failed_rows", "warn_rows", "required"):
-            counting.setdefault(c.table, []).append(c)
+        if c.kind in COUNTING and c.table not in shuffled:
+            counted.setdefault(c.table, []).append(c)
+        elif c.kind == "required":
+            # the required values that are seen are keys
+            listed = ", ".join(_q(v) for v in c.values)
+            tag = stack.tag(_struct_sql(c, f"{len(set(c.values))} - seen"))
+            stack.add(c.table, tag, _key_text(c.cols[:1]), when=f"{c.cols[0]} IN ({listed})")
+        elif c.kind in COUNTING:
+            when = None if c.kind == "row_count" else failing_predicate(c)
+            stack.add(c.table, stack.tag(_struct_sql(c, "rows")), when=when)
         elif c.kind == "duplicates":
-            unique.setdefault(c.table, []).append(c)
-    merged: set[int] = set()
-    for table, cs in counting.items():
-        additive = not any(c.kind == "required" for c in cs)
-        first = unique.get(table, [])[:1] if additive else []
-        merged.update(map(id, first))
-        parts.append(_counted(tables[table], cs, first))
-    for c in checks:
-        if c.kind == "duplicates" and id(c) not in merged:
-            n = tables[c.table].groupBy(*c.cols).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-            parts.append(n.agg(F.expr(_struct_sql(c, "count(1)")).alias("r")).select("r.*"))
+            stack.add(c.table, stack.tag(_struct_sql(c, "repeated")), _key_text(c.cols))
         elif c.kind == "reference":
-            child = tables[c.table].select(F.col(c.cols[0]).alias("_v")).filter(F.col("_v").isNotNull())
-            parent = tables[c.parent].select(F.col(c.parent_col).alias("_v"))
-            orphans = child.join(parent, "_v", "left_anti")
-            parts.append(orphans.agg(F.expr(_struct_sql(c, "count(1)")).alias("r")).select("r.*"))
-        elif c.kind == "columns":
-            m = columns_metric(tables[c.table].columns, c)
-            one = tables[c.table].sparkSession.range(1)
-            parts.append(one.select(F.expr(_struct_sql(c, str(m))).alias("r")).select("r.*"))
+            col, up = c.cols[0], c.parent_col
+            kind = tables[c.table].schema[col].dataType.simpleString()
+            tag = stack.tag(_struct_sql(c, "orphans"))
+            stack.add(c.table, tag, _key_text([col]), when=f"{col} IS NOT NULL")
+            stack.add(c.parent, tag, _key_text([up], {up: kind}), parent=True, when=f"{up} IS NOT NULL")
         elif c.kind == "same_count":
-            other = tables[c.parent].agg(F.count(F.lit(1)).alias("n"))
-            counted = tables[c.table].agg(F.count(F.lit(1)).alias("_m")).select(
-                F.abs(F.col("_m") - other.select("n").scalar()).alias("_d")
-            )
-            parts.append(counted.select(F.expr(_struct_sql(c, "_d")).alias("r")).select("r.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            tag = stack.tag(_struct_sql(c, "abs(rows - others)"))
+            stack.add(c.table, tag)
+            stack.add(c.parent, tag, parent=True)
+        elif c.kind == "columns":
+            fixed.append(_struct_sql(c, str(columns_metric(tables[c.table].columns, c))))
+    spark = next(iter(tables.values())).sparkSession
+    found = [_counted(tables[t], cs) for t, cs in counted.items()]
+    if fixed:
+        found.append(spark.range(1).select(F.explode(F.expr(f"array({', '.join(fixed)})")).alias("r")).select("r.*"))
+    if stack.results:
+        found.append(_stacked(spark, tables, stack))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _stacked(spark, tables: dict[str, DataFrame], stack: _Stack) -> DataFrame:
+    # every check has an entry that counts nothing, so that one without any
+    # row has its result too
+    none = "transform(sequence(0, {}), t -> named_struct('tag', t, 'key', CAST(NULL AS ARRAY<STRING>), 'child', 0L, 'parent', 0L))"
+    parts = spark.range(1).select(F.explode(F.expr(none.format(len(stack.results) - 1))).alias("e")).select("e.*")
+    for table, entries in stack.entries.items():
+        exploded = tables[table].select(F.explode(F.expr(f"array_compact(array({', '.join(entries)}))")).alias("e"))
+        parts = parts.unionByName(exploded.select("e.*"))
+    keyed = parts.groupBy("tag", "key").agg(F.sum("child").alias("child"), F.sum("parent").alias("parent"))
+    per_check = keyed.groupBy("tag").agg(
+        F.sum("child").alias("rows"),
+        F.sum("parent").alias("others"),
+        F.count_if(F.col("child") > 1).alias("repeated"),
+        F.count_if(F.col("key").isNotNull() & (F.col("child") > 0)).alias("seen"),
+        F.sum(F.when(F.col("parent") == 0, F.col("child")).otherwise(F.lit(0))).alias("orphans"),
+    )
+    cases = " ".join(f"WHEN {tag} THEN {struct}" for tag, struct in enumerate(stack.results))
+    return per_check.select(F.expr(f"CASE tag {cases} END").alias("r")).select("r.*")
 
 
 def failed_rows(tables: dict[str, DataFrame], checks: Sequence[Check], key_cols: dict[str, str]) -> DataFrame:
