@@ -22,14 +22,9 @@ from perkline.operators.dedup import keep_one_per_group
 from perkline.operators.mutate import commit_version
 from perkline.plans import checks, commute, history, hr, ingest, loading, notify
 from perkline.plans.model import BenefitModel
-from perkline.session import materialise
 from perkline.sources.tables import Tables
 
 
-def _count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n"))
-
-
 def daily_run(spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN, force_commute: bool = False,
               force_notify: bool = False, run_id: int = 1, versions: dict[str, DataFrame] | None = None) -> dict:
     """Run every step once; returns {output name: path}.
@@ -39,40 +34,53 @@ def daily_run(spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN, fo
     """
     t = Tables(spark, sf_dir, run, versions)
     out: dict = {}
-    steps = []
-
-    def write(name: str, df: DataFrame) -> DataFrame:
-        out[name] = commit_version(spark, df, name)
+    seen: dict[str, dict] = {}
+    steps: list[tuple] = []
+
+    def write(name: str, df: DataFrame, **counts) -> DataFrame:
+        """The next version of an output, its rows counted as they are written."""
+        watched, got = history.observed(df, name, **counts)
+        out[name] = commit_version(spark, watched, name)
+        seen[name] = got()
         return spark.read.parquet(out[name])
 
+    def step(name: str, read: int, written: int, anomalies: int, status: str = "SUCCESS") -> None:
+        steps.append((len(steps) + 1, name, status, read, written, anomalies))
+
     # 1. declared rows -> clean / rejects / anomalies (all-or-nothing gate)
     n = ingest.normalised(t, run, staged=True)
-    rejects, anomalies = write("rejets", n.errors), write("anomalies", n.anomalies)
-    clean_path = mutate.guarded_write(spark, n.clean.drop("ligne"), rejects, "declaratifs_normalises")
-    steps.append(("normalisation_declaratifs", t.declared(), spark.read.parquet(clean_path) if clean_path else None, anomalies,
-                  "SUCCESS" if clean_path else "FAILED"))
+    write("rejets", n.errors)
+    write("anomalies", n.anomalies)
+    accepted = seen["rejets"]["n"] == 0
+    if accepted:
+        forms = write("declaratifs_normalises", n.clean.drop("ligne"))
+    step("normalisation_declaratifs", n.n_read, seen["declaratifs_normalises"]["n"] if accepted else 0, seen["anomalies"]["n"],
+         "SUCCESS" if accepted else "FAILED")
 
     # 2. activity load (forms + simulated file) -> next activity table
-    if clean_path:
-        forms = spark.read.parquet(clean_path)
-        simulated = materialise(loading.simulated_file(t.activities(), forms, run), "fichier_simule")
-        activity = write("activite", loading.load_activities(t.activity_table(), forms, simulated, run).drop("action"))
-        out["declaratifs_normalises"] = clean_path
+    if accepted:
+        simulated = write("fichier_simule", loading.simulated_file(t.activities(), forms, run))
+        changed = F.count_if(F.col("action").isin(mutate.INSERT, mutate.UPDATE))
+        activity = write("activite", loading.load_activities(t.activity_table(), forms, simulated, run), changed=changed).drop("action")
+        step("chargement_activites", seen["declaratifs_normalises"]["n"] + seen["fichier_simule"]["n"], seen["activite"]["changed"], 0)
     else:
         activity = write("activite", t.activity_table())
+        step("chargement_activites", 0, 0, 0, "SKIPPED")
 
     # 3. HR synchronisation (soft delete, upsert, links, employees, sport)
     roster_file = t.roster_v2()
     links = write("lien_salarie", mutate.insert_missing(t.link(), hr.new_links(roster_file, run.salt), "id_salarie_brut").drop("action"))
     hr.require_links(roster_file, links)
     columns = [c for c in t.roster().columns if c != "cle_salarie"]
-    both = hr.roster_with_file(t.roster().select(*columns), roster_file)
+    both, in_file = history.observed(hr.roster_with_file(t.roster().select(*columns), roster_file), "roster_file", lines=F.count("f"))
     roster = write("rh_salarie", hr.next_roster(both, columns))
     employees = t.link().join(t.roster().select("id_salarie_brut", *hr.EMPLOYEE_COMPARE), "id_salarie_brut").select(
         "cle_salarie", *hr.EMPLOYEE_COMPARE
     )
     write("salarie", hr.sync_employee(employees, roster_file, links).drop("action"))
-    write("sync_rh", hr.sync_hr_counts(t.roster().select(*columns), t.link(), employees, roster_file, run))
+    total = F.max(F.when(F.col("etape") == "total", F.col("nb_lignes")))
+    write("sync_rh", hr.sync_hr_counts(t.roster().select(*columns), t.link(), employees, roster_file, run), changed=total)
+    step("synchronisation_rh", in_file()["lines"], seen["sync_rh"]["changed"], 0)
 
     # from here on the run reads its own versions
     t = Tables(spark, sf_dir, run, {
@@ -84,46 +92,46 @@ def daily_run(spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN, fo
     })
 
     # 4. commute control, only when the check table is incomplete (or forced)
-    decision = write("decision_trajets", mutate.should_refresh(t.link(), t.commute_checks(), force_commute))
-    if decision.select("a_rafraichir").first()[0]:
+    decision = write("decision_trajets", mutate.should_refresh(t.link(), t.commute_checks(), force_commute)).first()
+    if decision["a_rafraichir"]:
         src = commute.commute_source(t.link(), t.roster())
         raw = t.commute_raw().withColumn("_nf", F.col("date_ctrl").isNull())
         distances = keep_one_per_group(raw, ["cle_salarie"], order=[("_nf", "desc"), ("date_ctrl", "desc"), ("id_ctrl", "desc")])
         ctrl = commute.commute_control(src, distances.select("cle_salarie", "distance_m", "duree_sec"), t.params(), run)
         ctrl = write("ctrl_trajet", mutate.assign_ids(ctrl, ["cle_salarie"], F.lit(0), "id_ctrl"))
         t = Tables(spark, sf_dir, run, {**t.versions, "commute_checks": ctrl})
+        # employees without an address, a mode or a distance are skipped
+        checked = seen["ctrl_trajet"]["n"]
+        step("controle_trajets", decision["nb_attendus"], checked, decision["nb_attendus"] - checked)
+    else:
+        step("controle_trajets", decision["nb_attendus"], 0, 0, "SKIPPED")
 
     # 5. KPIs and their history snapshot (SUCCESS only when all six exist)
     m = BenefitModel(spark, sf_dir, run, t)
     with m.kept():
         snap = history.snapshot(spark, m.kpis(), m.effective_params, run_id, run)
-        out["histo_run"] = snap["run"]
+        out["histo_run"], out["histo_journal"] = snap["run"], snap["journal"]
         out.update({f"histo_kpi_{k}": v for k, v in snap["snapshots"].items()})
+        step("historisation_kpi", seen["salarie"]["n"], sum(snap["rows"].values()), 0,
+             "SUCCESS" if snap["status"] == history.SUCCESS else "FAILED")
 
         # 6. quality suites
         from perkline.queries.quality_q import tables as dq_tables
 
         suites = checks.table_suite(run) + checks.simulation_suite(run)
-        write("controles", quality.evaluate(dq_tables(m), suites))
+        write("controles", quality.evaluate(dq_tables(m), suites), bad=F.count_if(F.col("statut") != quality.OK))
+        step("controles_qualite", len(suites), seen["controles"]["n"], seen["controles"]["bad"])
 
-    # 7. notification outbox of what was loaded, then the publication flags
-    loaded = spark.read.parquet(clean_path) if clean_path else t.activity_source_v2()
-    box = write("outbox", notify.outbox(loaded, activity, t.link(), t.roster(), force=force_notify))
+    # 7. notification outbox of what was loaded, then the publication flags;
+    # after a failed gate nothing was loaded, so nothing is announced
+    loaded = forms if accepted else activity.limit(0)
+    box = write("outbox", notify.outbox(loaded, activity, t.link(), t.roster(), force=force_notify and accepted))
     write("activite_publiee", mutate.mark_published(activity, box).drop("action"))
+    step("publication", seen["declaratifs_normalises"]["n"] if accepted else 0, seen["outbox"]["n"], 0, "SUCCESS" if accepted else "SKIPPED")
 
-    # 8. run metrics of the steps
-    rows = None
-    for i, (name, read, written, found, status) in enumerate(steps, start=1):
-        row = _count(read).select(
-            F.lit(i).alias("ordre"),
-            F.lit(name).alias("nom_pipeline"),
-            F.lit(status).alias("statut"),
-            F.col("n").alias("nb_lignes_lues"),
-            (_count(written).select("n").scalar() if written is not None else F.lit(0).cast("long")).alias("nb_lignes_ecrites"),
-            _count(found).select("n").scalar().alias("nb_anomalies"),
-        )
-        rows = row if rows is None else rows.unionByName(row)
-    write("run_metrique", history.run_metrics(rows, run))
+    # 8. run metrics: the counts that the steps made while they wrote
+    names = "ordre int, nom_pipeline string, statut string, nb_lignes_lues long, nb_lignes_ecrites long, nb_anomalies long"
+    write("run_metrique", history.run_metrics(spark.createDataFrame(steps, names), run))
     return out
 
 

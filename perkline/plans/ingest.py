@@ -25,6 +25,7 @@ from perkline.functions.dates import local_day
 from perkline.functions.parse import parse_distance, parse_duration, parse_local_noon
 from perkline.functions.text import normalise_text, pseudonym, quote_comment, strip_quotes
 from perkline.operators.dedup import keep_one_per_group, split_one_per_group, with_group_size
+from perkline.plans.history import observed
 from perkline.session import materialise
 
 DECLARED_COLUMNS = ("horodateur", "nom", "prenom", "date_txt", "sport", "distance_txt", "duree_txt")
@@ -125,6 +126,7 @@ def match_counted(prepared: DataFrame, names: DataFrame) -> DataFrame:
         .withColumn("id_salarie_brut", F.when(F.col("_n") == 1, F.col("_id")))
         .withColumn("ambigu", F.col("_n") > 1)
         .withColumn("rh_trouve", F.col("_n").isNotNull())
+        .withColumn("premiere", F.col("_time") == 1)
         .drop("_rn", "_rp", "_n", "_id", "_rs", "_salt", "_time")
     )
 
@@ -166,6 +168,7 @@ class NormalisedDeclared:
     errors: DataFrame
     anomalies: DataFrame
     classified: DataFrame
+    n_read: int | None = None  # declared lines, where they were staged
 
 
 def normalise_declared(
@@ -183,8 +186,11 @@ def normalise_declared(
       instant, ties -> greatest near-duplicate key, then input line.
     """
     classified = classify_declared(declared, names, sports, run)
+    n_read = None
     if staged:
-        classified = materialise(classified, "declared-classified")
+        watched, seen = observed(classified, "declared", lines=F.count_if("premiere"))
+        classified = materialise(watched, "declared-classified")
+        n_read = seen()["lines"]
     errors = classified.filter(F.col("err_raison").isNotNull()).select(
         *DECLARED_COLUMNS, F.col("err_raison").alias("raison"), "ligne"
     )
@@ -225,7 +231,7 @@ def normalise_declared(
         F.lit(SOURCE_FORM).alias("source_donnee"),
         "ligne",
     )
-    return NormalisedDeclared(clean, errors, anomalies, classified)
+    return NormalisedDeclared(clean, errors, anomalies, classified, n_read)
 
 
 # ---------------------------------------------------------------------------

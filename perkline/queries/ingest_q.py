@@ -151,24 +151,6 @@ def q_error_sample(spark, sf_dir):
     return errors.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= 15).select("raison", "ligne", *DCOLS)
 
 
-@register(
-    "gate_per_hour",
-    it(
-        "SELECT cle_salarie, date_parsed AS date_debut, sport AS type_activite, ligne FROM x_day WHERE rn2 = 1 AND substr(horodateur, 1, 13) "
-        "NOT IN (SELECT DISTINCT substr(horodateur, 1, 13) FROM x_class WHERE err_raison IS NOT NULL AND ligne % 4 = 0)"
-    ),
-)
-def q_gate_per_hour(spark, sf_dir):
-    """M15 per hour of submission: an hour with a blocking error (of the lines
-    divisible by 4, as nearly every hour has some) gives no output at all."""
-    n = _norm(spark, sf_dir)
-    day = F.substring("horodateur", 1, 13)
-    bad = n.errors.filter(F.col("ligne") % 4 == 0).select(day.alias("_jour")).distinct()
-    lines = n.classified.select(F.col("ligne").alias("_ligne"), day.alias("_jour")).distinct()
-    good = lines.join(bad, "_jour", "left_anti")
-    return n.clean.join(good, F.col("ligne") == F.col("_ligne"), "left_semi").select("cle_salarie", "date_debut", "type_activite", "ligne")
-
-
 @register(
     "gate_per_minute",
     it(

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from perkline.config import DEFAULT_RUN, NOTIFY_TOP_K
+from perkline.config import DEFAULT_RUN, ERROR_REASONS, NOTIFY_TOP_K
 from perkline.functions.display import TEMPLATE_DEFAULT, TEMPLATES, TXT_DISTANCE_MISSING
 from perkline.operators import mutate, quality
 from perkline.plans import history, ingest, notify
@@ -15,6 +15,7 @@ from perkline.queries import register
 from perkline.queries.functions_q import km_text_sql, minutes_text_sql
 from perkline.queries.ingest_q import it
 from perkline.queries.views_q import EFF_AT, vt
+from perkline.session import materialise
 from perkline.sources.tables import Tables
 from perkline.twins import twin
 from perkline.twins import exprs as X
@@ -183,7 +184,6 @@ DIGEST_SQL = (
 @register("anomaly_digest", it(DIGEST_SQL))
 def q_anomaly_digest(spark, sf_dir):
     """Digest lines of the normalisation's errors and anomalies."""
-    from perkline.session import materialise
 
     t = T(spark, sf_dir)
     n = ingest.normalised(t, RUN, staged=True)
@@ -230,47 +230,60 @@ def _history_query(name: str, relation: str) -> None:
 for _name, _relation in HISTORY_RELATIONS.items():
     _history_query(_name, _relation)
 
-# the run row per parameter state: each activity day's parameters as JSON
+# a run per minute of submission: the gate decides how it ends
+_REASONS = ", ".join(f"CASE WHEN n{i} > 0 THEN {X.q(r + ': ')} || n{i} END" for i, r in enumerate(ERROR_REASONS))
+_RUNS = (
+    "SELECT CAST(row_number() OVER (ORDER BY minute) AS BIGINT) AS id_histo_run, strptime(minute, '%Y-%m-%d %H:%M') AS ts_histo, "
+    f"nullif(concat_ws(', ', {_REASONS}), '') AS message, lignes FROM (SELECT substr(horodateur, 1, 16) AS minute, "
+    "count(DISTINCT ligne) AS lignes, "
+    + ", ".join(f"count(*) FILTER (WHERE err_raison = {X.q(r)}) AS n{i}" for i, r in enumerate(ERROR_REASONS))
+    + " FROM x_class GROUP BY 1)"
+)
 RUN_ROW_SQL = (
-    "SELECT CAST(dense_rank() OVER (ORDER BY j.jour) AS BIGINT) AS id_histo_run, j.jour + INTERVAL 12 HOUR AS ts_histo, "
-    "j.jour AS date_histo_paris, CASE WHEN day(j.jour) % 5 = 0 THEN 'FAILURE' ELSE 'SUCCESS' END AS status, "
-    "CASE WHEN day(j.jour) % 5 = 0 THEN repeat('x', 4000) END AS error_message, j.js AS param_effectif FROM ("
-    "SELECT jour, CAST(to_json(map_from_entries(list((code_param, {'valeur_param': valeur_param, 'date_effet': date_effet}) "
-    f"ORDER BY code_param))) AS VARCHAR) AS js FROM ({EFF_AT}) GROUP BY jour) j"
+    f"SELECT r.id_histo_run, r.ts_histo, {X.local_day('r.ts_histo')} AS date_histo_paris, "
+    "CASE WHEN r.message IS NULL THEN 'SUCCESS' ELSE 'FAILURE' END AS status, r.message AS error_message, j.js AS param_effectif "
+    f"FROM ({_RUNS}) r LEFT JOIN (SELECT jour, CAST(to_json(map_from_entries(list((code_param, "
+    "{'valeur_param': valeur_param, 'date_effet': date_effet}) "
+    f"ORDER BY code_param))) AS VARCHAR) AS js FROM ({EFF_AT}) GROUP BY jour) j ON j.jour = {X.local_day('r.ts_histo')}"
 )
 
 
-@register("history_run_rows", twin(RUN_ROW_SQL))
-def q_history_run_rows(spark, sf_dir):
-    """K9: one run row per activity day, with that day's parameters as JSON;
-    every fifth day's run failed with a message that is cut at 4,000
-    characters."""
+def _minute_runs(spark, sf_dir):
+    """Minutes of submission with the message of the gate (NULL: passed), and
+    the journal of a run for each."""
+    from perkline.plans import ingest
     from perkline.plans.params import effective_params_at
 
     m = BenefitModel.of(spark, sf_dir, RUN)
-    eff = effective_params_at(m.params, m.activities, "jour")
-    failed = F.dayofmonth("jour") % 5 == 0
-    return history.run_rows(
-        eff,
-        F.when(failed, F.lit("FAILURE")).otherwise(F.lit("SUCCESS")),
-        F.when(failed, F.repeat(F.lit("x"), F.lit(5000))),
+    lines = ingest.normalised(T(spark, sf_dir), RUN).classified
+    found = [F.count_if(F.col("err_raison") == r).alias(f"n{i}") for i, r in enumerate(ERROR_REASONS)]
+    minutes = lines.groupBy(F.substring("horodateur", 1, 16).alias("minute")).agg(F.count_if("premiere").alias("lignes"), *found)
+    message = F.concat_ws(", ", *[F.when(F.col(f"n{i}") > 0, F.concat(F.lit(f"{r}: "), F.col(f"n{i}"))) for i, r in enumerate(ERROR_REASONS)])
+    batches = minutes.select(
+        F.to_timestamp_ntz("minute", F.lit("yyyy-MM-dd HH:mm")).alias("ts"), F.nullif(message, F.lit("")).alias("message"), "lignes"
     )
+    batches = materialise(batches, "minute-batches")
+    events = history.batch_events(batches, effective_params_at(m.params, m.activities, "jour"), RUN.zone)
+    return batches, events
 
 
-@register(
-    "history_successful",
-    twin(
-        "SELECT id_histo_run, jour, nb_activites FROM (SELECT CAST(dense_rank() OVER (ORDER BY jour) AS BIGINT) AS id_histo_run, jour, "
-        "count(*) AS nb_activites FROM b_activity GROUP BY jour) WHERE day(jour) % 5 <> 0"
-    ),
-)
+@register("history_run_rows", it(RUN_ROW_SQL))
+def q_history_run_rows(spark, sf_dir):
+    """K9: the run rows folded from the journal of one run per minute of
+    submission; a run fails where the gate finds blocking errors (M15), and
+    its message counts them."""
+    _, events = _minute_runs(spark, sf_dir)
+    return history.run_states(events, RUN.zone)
+
+
+@register("history_successful", it(f"SELECT id_histo_run, ts_histo, lignes FROM ({_RUNS}) WHERE message IS NULL"))
 def q_history_successful(spark, sf_dir):
     """K9: readers of a history table see the rows of successful runs only
-    (here a snapshot of each day's number of activities)."""
-    runs = q_history_run_rows(spark, sf_dir)
-    counts = T(spark, sf_dir).activities().groupBy("jour").agg(F.count("*").alias("nb_activites"))
-    snapshot = runs.select("id_histo_run", F.col("date_histo_paris").alias("jour")).join(counts, "jour")
-    return history.successful_snapshots(runs, snapshot).select("id_histo_run", "jour", "nb_activites")
+    (here a snapshot of each minute's declared lines)."""
+    batches, events = _minute_runs(spark, sf_dir)
+    runs = history.run_states(events, RUN.zone)
+    snapshot = runs.select("id_histo_run", "ts_histo").join(batches.select(F.col("ts").alias("ts_histo"), "lignes"), "ts_histo")
+    return history.successful_snapshots(runs, snapshot).select("id_histo_run", "ts_histo", "lignes")
 
 
 def _metrics_twin() -> str:

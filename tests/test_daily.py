@@ -28,8 +28,16 @@ def test_daily_run_writes_every_output(spark):
     assert len([k for k in out if k.startswith("histo_kpi_")]) == 6
     # blocking errors exist in the declared rows: the clean file is not written (all-or-nothing)
     assert "declaratifs_normalises" not in out
-    metrics = spark.read.parquet(out["run_metrique"]).first()
-    assert metrics["statut"] == "FAILED" and metrics["nb_lignes_lues"] > 0 and metrics["nb_lignes_ecrites"] == 0
+    metrics = {r["nom_pipeline"]: r for r in spark.read.parquet(out["run_metrique"]).collect()}
+    assert len(metrics) == 7
+    first = metrics["normalisation_declaratifs"]
+    assert first["statut"] == "FAILED" and first["nb_lignes_ecrites"] == 0
+    assert first["nb_lignes_lues"] == Tables(spark, SF, DEFAULT_RUN).declared().count()
+    # nothing was loaded, so nothing is announced
+    assert metrics["chargement_activites"]["statut"] == metrics["publication"]["statut"] == "SKIPPED"
+    assert spark.read.parquet(out["outbox"]).isEmpty()
+    before = Tables(spark, SF, DEFAULT_RUN).activity_table()
+    assert sorted(spark.read.parquet(out["activite_publiee"]).collect()) == sorted(before.collect())
 
 
 def test_daily_run_reads_what_it_loaded(spark):
@@ -38,8 +46,21 @@ def test_daily_run_reads_what_it_loaded(spark):
     good = t.declared().join(wrong, "ligne", "left_anti")
     out = daily_run(spark, SF, DEFAULT_RUN, force_commute=True, versions={"declared": good.select(*t.declared().columns)})
     assert "declaratifs_normalises" in out
-    assert spark.read.parquet(out["run_metrique"]).first()["statut"] == "SUCCESS"
-    activity = spark.read.parquet(out["activite"])
+    metrics = {r["nom_pipeline"]: r for r in spark.read.parquet(out["run_metrique"]).collect()}
+    assert {r["statut"] for r in metrics.values()} == {"SUCCESS"}
+    n = {k: (r["nb_lignes_lues"], r["nb_lignes_ecrites"], r["nb_anomalies"]) for k, r in metrics.items()}
+    rows = {k: spark.read.parquet(v).count() for k, v in out.items() if k not in ("histo_journal",)}
+    assert n["normalisation_declaratifs"] == (good.count(), rows["declaratifs_normalises"], rows["anomalies"])
+    assert n["chargement_activites"][0] == rows["declaratifs_normalises"] + rows["fichier_simule"]
+    assert n["chargement_activites"][1] == spark.read.parquet(out["activite"]).where("action IN ('insert', 'update')").count()
+    changed = spark.read.parquet(out["sync_rh"]).where("etape = 'total'").first()["nb_lignes"]
+    assert n["synchronisation_rh"] == (t.roster_v2().count(), changed, 0)
+    assert n["controle_trajets"] == (rows["lien_salarie"], rows["ctrl_trajet"], rows["lien_salarie"] - rows["ctrl_trajet"])
+    assert n["historisation_kpi"][1] == sum(v for k, v in rows.items() if k.startswith("histo_kpi_"))
+    bad = spark.read.parquet(out["controles"]).where("statut <> 'OK'").count()
+    assert n["controles_qualite"] == (rows["controles"], rows["controles"], bad)
+    assert n["publication"] == (rows["declaratifs_normalises"], rows["outbox"], 0)
+    activity = spark.read.parquet(out["activite"]).drop("action")
     forms = spark.read.parquet(out["declaratifs_normalises"])
     keys = ["cle_salarie", "date_debut", "source_donnee"]
     assert forms.join(activity, keys, "left_anti").count() == 0
