@@ -14,32 +14,73 @@ from perkline.config import KEY_PATTERN
 WS_CLASS = "[\\s\\u00A0]"
 
 
+def _folded(ch: str) -> str:
+    """NFKD without combining marks, of one character."""
+    return "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+
+
+#: beyond this, letters are rare enough for a look-up per character
+_COMMON_END = 0x0250
+_SYLLABLES = (0xAC00, 0xD7A3)
+
+
 def _accent_table() -> tuple[str, str]:
     """Single-character accent folding table built from a rule.
 
     For every code point from the Latin-1 Supplement to Latin Extended-B, and
-    of Latin Extended Additional, the
-    NFKD decomposition with combining marks removed is computed; code
-    points folding to exactly one different character form the table
-    (é -> e, Ç -> C, no-break space -> space, ...).  Expansions to several
-    characters (ĳ, ¼) are not representable by ``translate`` and are left
-    unchanged.
+    of Latin Extended Additional, the NFKD decomposition with combining marks
+    removed is computed; code points folding to exactly one different
+    character form the table (é -> e, Ç -> C, no-break space -> space, ...).
     """
     src, dst = [], []
-    for code in [*range(0x00A0, 0x0250), *range(0x1E00, 0x1F00)]:
+    for code in [*range(0x00A0, _COMMON_END), *range(0x1E00, 0x1F00)]:
         ch = chr(code)
-        folded = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+        folded = _folded(ch)
         if len(folded) == 1 and folded != ch:
             src.append(ch)
             dst.append(folded)
     return "".join(src), "".join(dst)
 
 
-ACCENTED, UNACCENTED = _accent_table()
+def _expansions() -> tuple[str, list[str]]:
+    """All other characters of the basic plane that fold to something else
+    (ligatures, full-width forms, fractions, ...), by the same rule.  Hangul
+    syllables follow a formula instead."""
+    keys, values = [], []
+    for code in range(0x00A0, 0xFFFF):
+        ch = chr(code)
+        if ch in ACCENTED or _SYLLABLES[0] <= code <= _SYLLABLES[1] or 0xD800 <= code < 0xE000 or unicodedata.combining(ch):
+            continue
+        folded = _folded(ch)
+        if folded != ch:
+            keys.append(ch)
+            values.append(folded)
+    return "".join(keys), values
+
+
+def _char_class(chars: list[int]) -> str:
+    """A regular expression class of code points, as ranges."""
+    runs: list[list[int]] = []
+    for code in chars:
+        if runs and code == runs[-1][1] + 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "[" + "".join(f"\\u{a:04X}-\\u{b:04X}" for a, b in runs) + "]"
 
 
-#: combining marks (accents that follow their letter)
-COMBINING = "[\u0300-\u036F]"
+ACCENTED, UNACCENTED = _accent_table()
+_KEYS, _VALUES = _expansions()
+_SEPARATOR = "\u0001"
+
+#: combining marks (accents that follow their letter): combining class not 0
+COMBINING = _char_class([c for c in range(0x10000) if unicodedata.combining(chr(c))])
+#: rows with one of these are folded character by character
+_RARE = _char_class(sorted([ord(c) for c in _KEYS] + list(range(_SYLLABLES[0], _SYLLABLES[1] + 1))))
+#: anything but letters that stay or take the table of single letters
+_UNCOMMON = "[^\\u0000-\\u007F" + _char_class([c for c in range(0x80, _COMMON_END) if chr(c) not in _KEYS])[1:]
+#: what ``str.strip`` removes
+_ALL_BLANKS = "".join(chr(c) for c in range(0x10000) if chr(c).isspace())
 
 
 def col_(c: Column | str) -> Column:
@@ -55,11 +96,38 @@ def strip_ws(c: Column | str) -> Column:
     return F.btrim(col_(c), F.lit(WS_CHARS))
 
 
+def _code_text(code: Column) -> Column:
+    """The character of a code point of the basic plane."""
+    return F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+
+
+def _fold_character(c: Column) -> Column:
+    """NFKD of a character that the accent table leaves alone."""
+    place = F.instr(F.lit(_KEYS), c)
+    syllable = F.ascii(c) - _SYLLABLES[0]
+    # leading consonant, vowel and (unless there is none) trailing consonant
+    jamo = F.concat(
+        _code_text(F.lit(0x1100) + F.floor(syllable / 588)),
+        _code_text(F.lit(0x1161) + F.floor(F.pmod(syllable, F.lit(588)) / 28)),
+        F.when(F.pmod(syllable, F.lit(28)) > 0, _code_text(F.lit(0x11A7) + F.pmod(syllable, F.lit(28)))).otherwise(F.lit("")),
+    )
+    values = F.split(F.lit(_SEPARATOR.join(_VALUES)), _SEPARATOR)
+    return F.when(place > 0, F.get(values, place - 1)).when(F.ascii(c).between(*_SYLLABLES), jamo).otherwise(c)
+
+
 def normalise_text(c: Column | str) -> Column:
-    """strip, lower-case, drop accents; NULL becomes ''."""
-    base = F.lower(strip_ws(F.coalesce(col_(c).cast("string"), F.lit(""))))
+    """strip, lower-case, NFKD, drop accents; NULL becomes ''.
+
+    Most rows take a table of single letters; only those with a character that
+    folds to several (or to one outside that table) are taken apart.  Equal
+    to the Unicode database on the basic plane; characters beyond it stay.
+    """
+    base = F.lower(F.btrim(F.coalesce(col_(c).cast("string"), F.lit("")), F.lit(_ALL_BLANKS)))
+    taken_apart = F.array_join(F.transform(F.split(base, ""), _fold_character), "")
+    whole = F.when(base.rlike(_RARE), taken_apart).otherwise(base)
     # composed letters by the table, decomposed ones by dropping their marks
-    return F.regexp_replace(F.translate(base, ACCENTED, UNACCENTED), COMBINING, "")
+    marked = F.regexp_replace(F.translate(whole, ACCENTED, UNACCENTED), COMBINING, "")
+    return F.when(base.rlike(_UNCOMMON), marked).otherwise(F.translate(base, ACCENTED, UNACCENTED))
 
 
 def fold_label(c: Column | str) -> Column:

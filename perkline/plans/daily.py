@@ -26,11 +26,13 @@ from perkline.sources.tables import Tables
 
 
 def daily_run(spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN, force_commute: bool = False,
-              force_notify: bool = False, run_id: int = 1, versions: dict[str, DataFrame] | None = None) -> dict:
+              force_notify: bool = False, run_id: int = 1, versions: dict[str, DataFrame] | None = None,
+              ledger: notify.Ledger | None = None) -> dict:
     """Run every step once; returns {output name: path}.
 
     ``versions`` are the tables to start from, in place of the bound ones;
-    each step reads what the steps before it wrote.
+    each step reads what the steps before it wrote.  ``ledger`` holds the
+    messages that earlier runs handed over.
     """
     t = Tables(spark, sf_dir, run, versions)
     out: dict = {}
@@ -125,8 +127,12 @@ def daily_run(spark: SparkSession, sf_dir: str, run: RunConfig = DEFAULT_RUN, fo
     # 7. notification outbox of what was loaded, then the publication flags;
     # after a failed gate nothing was loaded, so nothing is announced
     loaded = forms if accepted else activity.limit(0)
-    box = write("outbox", notify.outbox(loaded, activity, t.link(), t.roster(), force=force_notify and accepted))
-    write("activite_publiee", mutate.mark_published(activity, box).drop("action"))
+    sent = ledger or notify.Ledger(spark)
+    todo = notify.outbox(loaded, activity, t.link(), t.roster(), force=force_notify and accepted)
+    box = write("outbox", sent.unsent(todo, f"run-{run_id}", force=force_notify))
+    sent.hand_over(box, f"run-{run_id}")
+    write("activite_publiee", sent.flagged(activity).drop("action"))
+    out["registre_publication"] = sent.path
     step("publication", seen["declaratifs_normalises"]["n"] if accepted else 0, seen["outbox"]["n"], 0, "SUCCESS" if accepted else "SKIPPED")
 
     # 8. run metrics: the counts that the steps made while they wrote

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from perkline.config import NOTIFY_TOP_K, SOURCE_FORM
 from perkline.functions.display import display_km, display_minutes, notification_text
+from perkline.operators.mutate import mark_published
+from perkline.session import scratch_path
 
 
 def with_names(activity: DataFrame, link: DataFrame, roster: DataFrame) -> DataFrame:
@@ -105,6 +107,55 @@ def outbox(file_rows: DataFrame, activity: DataFrame, link: DataFrame, roster: D
     return todo.unionByName(fallback.filter(none_pending))
 
 
+# ---------------------------------------------------------------------------
+# Publication that can be run again
+# ---------------------------------------------------------------------------
+LEDGER = "id_activite long, empreinte string, run string"
+
+
+class Ledger:
+    """Digests of the messages handed over, in a Parquet folder that only grows.
+
+    Handing over a message and setting its flag are two writes.  The ledger is
+    the one that decides: a run hands over what is pending and not in it, then
+    flags what is in it.  A run that fails between both is run again without a
+    second message, and sets the flags that are missing.  A forced run sends
+    published activities again, once: there the digests of its own run count.
+    """
+
+    def __init__(self, spark, path: str | None = None):
+        self.spark = spark
+        self.path = path or scratch_path(spark, "publication-ledger")
+
+    def rows(self) -> DataFrame:
+        # an empty first file, so that the folder can be read
+        if not getattr(self, "_made", False):
+            self.spark.createDataFrame([], LEDGER).write.mode("append").parquet(self.path)
+            self._made = True
+        return self.spark.read.schema(LEDGER).parquet(self.path)
+
+    def unsent(self, box: DataFrame, run: str, force: bool = False) -> DataFrame:
+        """Messages of ``box`` that were not handed over yet."""
+        mine = F.col("run") == run if force else F.lit(True)
+        sent = self.rows().where(mine).select("id_activite", "empreinte").distinct()
+        marked = box.withColumn("empreinte", message_digest())
+        return marked.join(sent, ["id_activite", "empreinte"], "left_anti").select(*box.columns, "empreinte")
+
+    def hand_over(self, unsent: DataFrame, run: str) -> None:
+        """Records the messages of a written outbox as sent (one append; a
+        failed one leaves nothing)."""
+        unsent.select("id_activite", "empreinte", F.lit(run).alias("run")).write.mode("append").parquet(self.path)
+
+    def flagged(self, activity: DataFrame) -> DataFrame:
+        """The activity table with the flags of everything sent."""
+        return mark_published(activity, self.rows().select("id_activite"))
+
+
+def message_digest():
+    """Digest of a message and the activity it announces."""
+    return F.sha2(F.concat_ws("|", F.col("id_activite").cast("string"), "message"), 256)
+
+
 # ---------------------------------------------------------------------------
 # F19 anomaly digest
 # ---------------------------------------------------------------------------

@@ -434,6 +434,77 @@ def q_dataset_fingerprint(spark, sf_dir):
     return changed(cur, base)
 
 
+TREE_BUCKETS = 256
+_BUCKET = f"CAST(CAST('0x' || substr(md5(coalesce(id_salarie_brut, '')), 1, 8) AS BIGINT) % {TREE_BUCKETS} AS INTEGER)"
+
+
+def _tree_sql(rel: str, row: str) -> str:
+    d = f"md5({row})"
+    return (
+        "SELECT bucket, n AS nb_lignes, md5(concat_ws('|', CAST(n AS VARCHAR), CAST(h AS VARCHAR), CAST(l AS VARCHAR))) AS empreinte FROM ("
+        f"SELECT {_BUCKET} AS bucket, count(*) AS n, sum(CAST('0x' || substr({d}, 1, 16) AS HUGEINT)) AS h, "
+        f"sum(CAST('0x' || substr({d}, 17, 16) AS HUGEINT)) AS l FROM {rel} GROUP BY 1)"
+    )
+
+
+@register(
+    "fingerprint_buckets",
+    twin(
+        "SELECT bucket, coalesce(o.nb_lignes, 0) AS nb_avant, coalesce(n.nb_lignes, 0) AS nb_apres, "
+        f"o.empreinte IS DISTINCT FROM n.empreinte AS modifie FROM ({_tree_sql('b_roster', ROSTER_ROW)}) o "
+        f"FULL OUTER JOIN ({_tree_sql('b_roster_v2', ROSTER_ROW)}) n USING (bucket)"
+    ),
+)
+def q_fingerprint_buckets(spark, sf_dir):
+    """F5 in two levels: the buckets of the HR file whose digests differ from
+    the previous version's."""
+    from perkline.plans.fingerprint import digest_tree, tree_diff
+
+    t = T(spark, sf_dir)
+    old, new = (digest_tree(d.select(*FP_COLS), "id_salarie_brut", TREE_BUCKETS) for d in (t.roster(), t.roster_v2()))
+    return tree_diff(old, new)
+
+
+def _roster_sync_twin() -> str:
+    from perkline.queries.mutations_q import UPSERT_RH_TWIN
+
+    return UPSERT_RH_TWIN
+
+
+@register("sync_changed_buckets", _roster_sync_twin())
+def q_sync_changed_buckets(spark, sf_dir):
+    """M2 by the digest tree: only buckets whose digests differ are joined
+    with the file."""
+    from perkline.plans.fingerprint import BucketedTable
+    from perkline.queries.mutations_q import RH_CMP, RH_COLS
+
+    t = T(spark, sf_dir)
+    table = BucketedTable.create(t.roster().select(*RH_COLS), "id_salarie_brut", RH_CMP, "actif", TREE_BUCKETS)
+    return table.sync(t.roster_v2())
+
+
+MID_DAY = RUN.as_of.replace(month=1, day=15).isoformat()
+
+
+@register(
+    "notification_rerun",
+    twin(
+        f"SELECT id_activite, message, sha256(CAST(id_activite AS VARCHAR) || '|' || message) AS empreinte FROM ({MSG_SQL}) "
+        f"WHERE id_activite NOT IN (SELECT id_activite FROM b_act_table WHERE date_debut < TIMESTAMP '{MID_DAY} 00:00:00')"
+    ),
+)
+def q_notification_rerun(spark, sf_dir):
+    """What a second run hands over after one that announced the
+    activities before a day and failed before it could flag them."""
+    t = T(spark, sf_dir)
+    ledger = notify.Ledger(spark)
+    box = notify.outbox(t.activity_source_v2(), t.activity_table(), t.link(), t.roster())
+    early = t.activity_table().where(F.col("date_debut") < F.lit(f"{MID_DAY} 00:00:00").cast("timestamp_ntz"))
+    first = materialise(ledger.unsent(box.join(early.select("id_activite"), "id_activite", "left_semi"), "run-1"), "outbox-1")
+    ledger.hand_over(first, "run-1")
+    return ledger.unsent(box, "run-2").drop("origine")
+
+
 @register(
     "bootstrap_check",
     twin(

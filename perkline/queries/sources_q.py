@@ -102,42 +102,69 @@ def q_normalised_output(spark, sf_dir):
 @register(
     "read_activities",
     it(
-        "SELECT cle_salarie, date_parsed AS date_debut, duree_sec, distance_m, sport AS type_activite, commentaire_out AS commentaire, "
-        "'csv_gsheet' AS source_donnee FROM x_day WHERE rn2 = 1"
+        "SELECT cle_salarie, date_parsed AS date_debut, CASE WHEN ligne % 13 <> 5 THEN duree_sec END AS duree_sec, distance_m, sport AS type_activite, "
+        "commentaire_out AS commentaire, 'csv_gsheet' AS source_donnee, CAST(ligne % 13 = 5 AS INTEGER) AS nb_nombres_invalides FROM x_day WHERE rn2 = 1"
     ),
 )
 def q_read_activities(spark, sf_dir):
-    """Typed scan of a normalised activity file written by M13."""
+    """Typed scan of a normalised activity file written by M13, in which
+    some numbers stand as decimal text and some cells hold none."""
     path = scratch_path(spark, "normalised")
-    files.write_csv(files.normalised_output(_clean(spark, sf_dir), RUN.zone), path)
+    clean = _clean(spark, sf_dir)
+    duration = F.col("duree_sec").cast("string")
+    as_text = F.when(F.col("ligne") % 13 == 5, F.lit("1h30")).when(F.col("ligne") % 3 == 0, F.concat(duration, F.lit(".0"))).otherwise(duration)
+    files.write_csv(files.normalised_output(clean.withColumn("duree_sec", as_text), RUN.zone), path)
     return files.read_activities(spark, path)
 
 
+_TOLERANT = (
+    "SELECT cle_salarie, date_parsed AS date_debut, CAST(duree_sec AS BIGINT) AS duree_sec, CAST(distance_m AS BIGINT) AS distance_m, "
+    "sport AS type_activite, CASE WHEN ligne % 9 <> 4 THEN commentaire_out ELSE '' END AS commentaire, 'csv_gsheet' AS source_donnee "
+    "FROM x_day WHERE rn2 = 1 AND ligne % 50 <> 0 AND ligne % 31 <> 7 AND ligne % 29 <> 3"
+)
+
+
+def _odd_file(spark, sf_dir) -> str:
+    """A headerless export by hand: some dates cannot be read, some records
+    end after five cells, some after two, and some have nine."""
+    clean = _clean(spark, sf_dir).withColumn("_iso", files.iso_offset_text("date_debut", RUN.zone))
+    date = F.when(F.col("ligne") % 50 == 0, F.lit("pas une date")).otherwise(F.col("_iso"))
+    comment = F.concat(F.lit('"'), F.replace("commentaire", F.lit('"'), F.lit('""')), F.lit('"'))
+    head = [F.col("cle_salarie"), date]
+    five = [*head, F.col("duree_sec").cast("string"), F.coalesce(F.col("distance_m").cast("string"), F.lit("")), F.col("type_activite")]
+    line = (
+        F.when(F.col("ligne") % 29 == 3, F.concat_ws(",", *head))
+        .when(F.col("ligne") % 31 == 7, F.concat_ws(",", *five, comment, "source_donnee", F.lit("huit"), F.lit('"neuf, neuf"')))
+        .when(F.col("ligne") % 9 == 4, F.concat_ws(",", *five))
+        .otherwise(F.concat_ws(",", *five, comment, "source_donnee"))
+    )
+    path = scratch_path(spark, "tolerant")
+    clean.select(line.alias("value")).write.text(path)
+    return path
+
+
+@register("read_activities_tolerant", it(_TOLERANT))
+def q_read_activities_tolerant(spark, sf_dir):
+    """Headerless file with unreadable dates, short and long records; bad
+    records are skipped."""
+    return files.read_activities_tolerant(spark, _odd_file(spark, sf_dir))[0]
+
+
 @register(
-    "read_activities_tolerant",
+    "read_activities_skipped",
     it(
-        "SELECT cle_salarie, date_parsed AS date_debut, CAST(duree_sec AS BIGINT) AS duree_sec, CAST(distance_m AS BIGINT) AS distance_m, "
-        "sport AS type_activite, commentaire_out AS commentaire, 'csv_gsheet' AS source_donnee FROM x_day WHERE rn2 = 1 AND ligne % 50 <> 0"
+        f"SELECT CASE WHEN ligne % 29 = 3 THEN cle_salarie || ',' || d ELSE cle_salarie || ',' || d || ',' || duree_sec || ',' || "
+        "coalesce(CAST(distance_m AS VARCHAR), '') || ',' || sport || CASE WHEN ligne % 31 <> 7 AND ligne % 9 = 4 THEN '' ELSE "
+        "',\"' || replace(commentaire_out, '\"', '\"\"') || '\",csv_gsheet' END || CASE WHEN ligne % 31 = 7 THEN ',huit,\"neuf, neuf\"' ELSE '' END END "
+        f"AS ligne_ignoree FROM (SELECT *, CASE WHEN ligne % 50 = 0 THEN 'pas une date' ELSE {ISO_SQL} END AS d FROM x_day WHERE rn2 = 1) "
+        "WHERE ligne % 31 = 7 OR ligne % 29 = 3"
     ),
 )
-def q_read_activities_tolerant(spark, sf_dir):
-    """Headerless file with some unparseable dates; bad lines skipped."""
-    clean = _clean(spark, sf_dir)
-    rows = clean.select(
-        "*", files.iso_offset_text("date_debut", RUN.zone).alias("_iso")
-    ).select(
-        "cle_salarie",
-        F.when(F.col("ligne") % 50 == 0, F.lit("pas une date")).otherwise(F.col("_iso")).alias("date_debut"),
-        "duree_sec",
-        "distance_m",
-        "type_activite",
-        "commentaire",
-        "source_donnee",
-    )
-    path = scratch_path(spark, "tolerant")
-    files.write_csv(rows, path, header=False)
-    parsed, _skipped = files.read_activities_tolerant(spark, path)
-    return parsed
+def q_read_activities_skipped(spark, sf_dir):
+    """The short and long records that the tolerant scan skips, whole."""
+    skipped = files.read_activities_tolerant(spark, _odd_file(spark, sf_dir))[1]
+    cells = F.size(F.split("ligne_ignoree", ","))
+    return skipped.where((cells == 2) | F.col("ligne_ignoree").endswith(',huit,"neuf, neuf"'))
 
 
 ROSTER_HEADERS = (

@@ -100,31 +100,59 @@ ACTIVITY_SCHEMA = T.StructType(
 )
 
 
+#: number cells of a row that hold no number
+BAD_NUMBERS = "nb_nombres_invalides"
+
+
 def read_activities(spark: SparkSession, path: str, expected: Sequence[str] = ACTIVITY_COLUMNS) -> DataFrame:
     """Typed activity CSV, required columns checked (order free); the
-    ISO offset instant becomes a UTC ``timestamp_ntz``."""
+    ISO offset instant becomes a UTC ``timestamp_ntz``.
+
+    Numbers are read as their text says (``1200``, ``1200.0``); a number cell
+    that is neither blank nor a number of the column's range is NULL, and
+    counted in ``nb_nombres_invalides``."""
     raw = spark.read.options(**CSV_OPTIONS, multiLine="true", nullValue=_NO_NULL).csv(path)
     check_columns(raw.columns, expected)
     # read by name as text, so that neither order nor further columns matter
-    df = raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in ACTIVITY_SCHEMA.fields])
+    numbers = {f.name for f in ACTIVITY_SCHEMA.fields if f.dataType == T.IntegerType()}
+    read = {
+        f.name: parse_int_like(F.col(f"`{f.name}`")).try_cast("int") if f.name in numbers else F.col(f"`{f.name}`") for f in ACTIVITY_SCHEMA.fields
+    }
+    bad = [F.when((F.length(F.trim(F.col(f"`{n}`"))) > 0) & read[n].isNull(), 1).otherwise(0) for n in sorted(numbers)]
+    df = raw.select(*[c.alias(n) for n, c in read.items()], sum(bad[1:], bad[0]).alias(BAD_NUMBERS))
     return df.withColumn("date_debut", parse_iso_instant("date_debut")).withColumn(
         "commentaire", F.coalesce("commentaire", F.lit(""))
     )
 
 
-def read_activities_tolerant(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_activities_tolerant(spark: SparkSession, path: str, long_records: str = "skip") -> tuple[DataFrame, DataFrame]:
     """Tolerant scan — header optional (detected per file), positional
-    fallback, bad rows skipped; returns (rows, skipped lines).
+    fallback, bad rows skipped; returns (rows, skipped records).
 
-    Records (a quoted cell may hold line breaks) are read as text cells, too
-    few or too many of them alike, so a malformed one never fails the job; the
-    header (if any) is recognised by its content.
+    Records (a quoted cell may hold line breaks) are read as text cells, so a
+    malformed one never fails the job; the header (if any) is recognised by its
+    content.  A skipped record is returned as it stands in the file.  One with
+    more cells than columns most likely holds a comma that nobody quoted: it is
+    skipped, or, with ``long_records="keep"``, read by its first cells.
     """
+    if long_records not in ("skip", "keep"):
+        raise ValueError("long_records must be 'skip' or 'keep'")
     names = [f"c{i}" for i in range(7)]
-    options = dict(CSV_OPTIONS, header="false", multiLine="true", nullValue=_NO_NULL, mode="PERMISSIVE")
-    records = spark.read.options(**options).schema(", ".join(f"{n} string" for n in names)).csv(path)
+    options = dict(
+        CSV_OPTIONS, header="false", multiLine="true", nullValue=_NO_NULL, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt"
+    )
+    fields = ", ".join(f"{n} string" for n in [*names, "_corrupt"])
+    records = spark.read.options(**options).schema(fields).csv(path)
+    # Spark keeps the text of a record whose cells are not as many as the
+    # columns; commas outside quotes tell a long one from a short one
+    whole = F.regexp_replace("_corrupt", "[\\r\\n]+$", "")
+    bare = F.regexp_replace(whole, '(?s)"(?:[^"\\\\]|\\\\.|"")*"', "")
+    long_ = F.coalesce(F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= len(names), F.lit(False))
     parts = records.select(
-        F.concat_ws(",", *names).alias("value"), F.col("_metadata.file_path").alias("_f"), F.struct(*names).alias("c")
+        F.coalesce(whole, F.concat_ws(",", *names)).alias("value"),
+        (long_ if long_records == "skip" else F.lit(False)).alias("_long"),
+        F.col("_metadata.file_path").alias("_f"),
+        F.struct(*names).alias("c"),
     )
     # NULL cells would make array_contains return NULL: compare on ''
     low = [F.coalesce(F.lower(F.trim(F.col(f"c.c{i}"))), F.lit("")) for i in range(7)]
@@ -143,11 +171,12 @@ def read_activities_tolerant(spark: SparkSession, path: str) -> tuple[DataFrame,
         return F.get(arr, F.coalesce(F.col(f"_p_{name}"), F.lit(pos + 1).cast("long")).cast("int") - 1)
 
     # a step of its own: every cell is picked and trimmed once
-    body = body.select("value", *[F.trim(F.coalesce(cell(n, i), F.lit(""))).alias(f"_r_{n}") for i, n in enumerate(ACTIVITY_COLUMNS)])
+    body = body.select("value", "_long", *[F.trim(F.coalesce(cell(n, i), F.lit(""))).alias(f"_r_{n}") for i, n in enumerate(ACTIVITY_COLUMNS)])
     raw = {n: F.col(f"_r_{n}") for n in ACTIVITY_COLUMNS}
     dist_txt = raw["distance_m"]
     parsed = body.select(
         "value",
+        "_long",
         raw["cle_salarie"].alias("cle_salarie"),
         parse_iso_instant(raw["date_debut"]).alias("date_debut"),
         parse_int_like(raw["duree_sec"]).alias("duree_sec"),
@@ -163,6 +192,7 @@ def read_activities_tolerant(spark: SparkSession, path: str) -> tuple[DataFrame,
         & F.col("date_debut").isNotNull()
         & F.col("duree_sec").isNotNull()
         & ~F.col("_dist_bad")
+        & ~F.col("_long")
     )
     rows = parsed.filter(ok).select(*ACTIVITY_COLUMNS)
     skipped = parsed.filter(~ok).select(F.col("value").alias("ligne_ignoree"))

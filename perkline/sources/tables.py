@@ -203,6 +203,9 @@ class Tables:
             .when(ident % 83 == 0, F.replace("c_name", F.lit("o"), F.lit("\u00f4")))
             .when(ident % 89 == 0, F.replace("c_name", F.lit("o"), F.lit("o\u0302")))
             .when(ident % 101 == 0, F.replace("c_name", F.lit("o"), F.lit("\u1ed9")))
+            # full-width letters and a ligature: one character for two
+            .when(ident % 103 == 0, F.replace("c_name", F.lit("o"), F.lit("\uff4f")))
+            .when(ident % 107 == 0, F.replace("c_name", F.lit("st"), F.lit("\ufb06")))
             .when(ident % 5 == 0, F.concat(F.lit(" "), F.upper("c_name"), F.lit(" ")))
             .otherwise(F.col("c_name"))
         )

@@ -67,7 +67,7 @@ FROM b_eff_params""",
 FROM b_commute_raw r, b_pivot p""",
     "b_declared": """SELECT event_id AS ligne, strftime(ts,'%Y-%m-%d %H:%M:%S') AS horodateur,
   CASE WHEN event_id % 97 = 0 THEN 'Inconnu' WHEN event_id % 83 = 0 THEN replace(c_name, 'o', chr(244))
-    WHEN event_id % 89 = 0 THEN replace(c_name, 'o', 'o' || chr(770)) WHEN event_id % 101 = 0 THEN replace(c_name, 'o', chr(7897)) WHEN event_id % 5 = 0 THEN ' ' || upper(c_name) || ' ' ELSE c_name END AS nom,
+    WHEN event_id % 89 = 0 THEN replace(c_name, 'o', 'o' || chr(770)) WHEN event_id % 101 = 0 THEN replace(c_name, 'o', chr(7897)) WHEN event_id % 103 = 0 THEN replace(c_name, 'o', chr(65359)) WHEN event_id % 107 = 0 THEN replace(c_name, 'st', chr(64262)) WHEN event_id % 5 = 0 THEN ' ' || upper(c_name) || ' ' ELSE c_name END AS nom,
   c_mktsegment AS prenom,
   CASE WHEN event_id % 53 = 0 THEN '31/02/2024' ELSE strftime(ts,'%d/%m/%Y') END AS date_txt,
   CASE event_type WHEN 'view' THEN 'Runing' WHEN 'signup' THEN 'Natation' WHEN 'click' THEN 'Tennis' WHEN 'purchase' THEN 'Randonnée' ELSE '' END AS sport,

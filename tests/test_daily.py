@@ -49,7 +49,7 @@ def test_daily_run_reads_what_it_loaded(spark):
     metrics = {r["nom_pipeline"]: r for r in spark.read.parquet(out["run_metrique"]).collect()}
     assert {r["statut"] for r in metrics.values()} == {"SUCCESS"}
     n = {k: (r["nb_lignes_lues"], r["nb_lignes_ecrites"], r["nb_anomalies"]) for k, r in metrics.items()}
-    rows = {k: spark.read.parquet(v).count() for k, v in out.items() if k not in ("histo_journal",)}
+    rows = {k: spark.read.parquet(v).count() for k, v in out.items() if k not in ("histo_journal", "registre_publication")}
     assert n["normalisation_declaratifs"] == (good.count(), rows["declaratifs_normalises"], rows["anomalies"])
     assert n["chargement_activites"][0] == rows["declaratifs_normalises"] + rows["fichier_simule"]
     assert n["chargement_activites"][1] == spark.read.parquet(out["activite"]).where("action IN ('insert', 'update')").count()

@@ -164,3 +164,21 @@ def test_display_rounds_the_binary_quotient(spark):
     df = spark.createDataFrame([(m,) for m in metres], "d int")
     got = [r[0] for r in df.select(display.display_km("d")).collect()]
     assert got == [f"{m / 1000:.1f} km" for m in metres]
+
+
+def test_normalise_text_on_the_basic_plane(spark):
+    """Every assigned code point (and some words) against unicodedata."""
+    import unicodedata
+
+    codes = [c for c in range(1, 0x10000) if unicodedata.category(chr(c)) not in ("Cn", "Cs", "Co")]
+    values = [f"a{chr(c)}b" for c in codes] + [chr(c) for c in codes]
+    values += ["\ufb01n", "\u0132ssel", "\uff21nne", "\u00bc l", "\ud55c\uae00", "\u2003x\u3000", "\u0958\u0301", "\u00e9l\u00e8ve \u0153"]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v string").repartition(4)
+    got = dict(map(tuple, df.select("i", text.normalise_text("v")).collect()))
+    wrong = []
+    for i, v in enumerate(values):
+        folded = unicodedata.normalize("NFKD", v.strip().lower())
+        want = "".join(c for c in folded if not unicodedata.combining(c))
+        if got[i] != want:
+            wrong.append((hex(ord(v[len(v) // 2])), v, got[i], want))
+    assert wrong == []

@@ -84,7 +84,7 @@ def test_cells_with_line_breaks_and_columns_in_any_order(spark):
         f.write('1,csv_gsheet,"two\nlines, ""quoted""",Judo,,600,2024-01-05T12:00:00Z,sal_a\n')
     rows = files.read_activities(spark, root).collect()
     assert [tuple(r) for r in rows] == [
-        ("sal_a", dt.datetime(2024, 1, 5, 12), 600, None, "Judo", 'two\nlines, "quoted"', "csv_gsheet")
+        ("sal_a", dt.datetime(2024, 1, 5, 12), 600, None, "Judo", 'two\nlines, "quoted"', "csv_gsheet", 0)
     ]
     assert files.read_declared(spark, root, ["commentaire"]).count() == 1
     with open(os.path.join(root, "a.csv"), "w", encoding="utf-8") as f:
