@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable
 
 import perkline
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from perkline.session import scratch_path
@@ -28,6 +29,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_counting(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict]:
+    """``stored``, and aggregates of the rows that were taken while they were
+    written (no job of their own)."""
+    watch = Observation(f"{name}-{uuid.uuid4().hex}")
+    out = stored(df.observe(watch, *[c.alias(k) for k, c in counts.items()]), name)
+    return out, watch.get
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, or a longer one that is not among ``columns`` in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 _SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 
 

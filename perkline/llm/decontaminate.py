@@ -185,6 +185,7 @@ def contaminated(min_percent: int = MIN_PERCENT):
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Rows of ``docs`` that are not contaminated, all columns kept."""
-    bad = find(docs, items).where(contaminated()).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
-    rows = docs.withColumn("_m", F.xxhash64("text"))
-    return rows.join(bad, rows["doc_id"].eqNullSafe(bad["_id"]) & (rows["_m"] == bad["_mark"]), "left_anti").drop("_m")
+    bad = find(docs, items).where(contaminated()).select(F.col("doc_id").alias("id"), F.col("mark").alias("own")).distinct()
+    # the row as one column, so that no name of docs can clash
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("doc"), F.xxhash64("text").alias("mark"))
+    return rows.join(bad, rows["doc"].eqNullSafe(bad["id"]) & (rows["mark"] == bad["own"]), "left_anti").select("row.*")

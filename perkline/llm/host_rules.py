@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perkline.llm.common import WHITE, let, stored
+from perkline.llm.common import WHITE, fresh, let, stored
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -92,18 +92,19 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     def measured(w: Column) -> Column:
         return F.struct(F.size(w).cast("long").alias("n"), repeat_words(w).alias("r"))
 
-    out = docs.withColumn("_m", let(words(F.col(text)), measured))
+    m = fresh("_m", docs.columns)
+    out = docs.withColumn(m, let(words(F.col(text)), measured))
     return out.withColumns(
         {
-            "n_words": F.col("_m.n"),
+            "n_words": F.col(f"{m}.n"),
             "word_chars": F.length(F.translate(body, WHITE, "")).cast("long"),
             "n_symbols": (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long"),
             "n_dup_lines": let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
-            "n_repeat_words": F.col("_m.r"),
-            "base_failed": (F.col("_m.n") < MIN_WORDS)
-            | (100 * F.col("_m.r") > MAX_REPEAT_PERCENT * F.col("_m.n")),
+            "n_repeat_words": F.col(f"{m}.r"),
+            "base_failed": (F.col(f"{m}.n") < MIN_WORDS)
+            | (100 * F.col(f"{m}.r") > MAX_REPEAT_PERCENT * F.col(f"{m}.n")),
         }
-    ).drop("_m")
+    ).drop(m)
 
 
 def host_verdicts(judged: DataFrame, host: str, failed: str, max_rate: float = MAX_HOST_RATE) -> DataFrame:
@@ -161,13 +162,14 @@ def judge(
     judged = measures(docs.drop("host_rate", "host_rejected", "kept"), text)
     if not keep_text:
         judged = stored(judged.drop(text), "host-measures")
+    own = fresh("_host", judged.columns)
     hosts = host_verdicts(judged, host, "base_failed", max_rate).select(
-        F.col("host").alias("_host"), "host_rate", "host_rejected"
+        F.col("host").alias(own), "host_rate", "host_rejected"
     )
     hosts = stored(hosts, "host-verdicts")
     return (
-        judged.join(hosts, judged[host] == hosts["_host"], "left")
-        .drop("_host")
+        judged.join(hosts, judged[host] == hosts[own], "left")
+        .drop(own)
         .withColumn("host_rejected", F.coalesce("host_rejected", F.lit(False)))
         .withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))
     )

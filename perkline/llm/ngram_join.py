@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perkline.llm.common import map_arrow, stored
-from perkline.llm.components import components
+from perkline.llm.components import components, forest_roots
 from perkline.llm.words import NON_SPACE, Words, mix, split
 
 SHINGLE = 4
@@ -397,8 +397,10 @@ def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         tries.select("a", "b", "a_vector", "b_vector"), _bounded(percent), "a bigint, b bigint, share double"
     )
     spine = tries.groupBy("a").agg(F.max(F.struct("share", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    found = stored(_linked(spine, sets, percent).where("link").select("a", "b"), "ngram-spine")
-    roots = stored(components(found), "ngram-roots")
+    # a hub is found in more cells than the node, or is the larger of two in as
+    # many: the spine is a forest
+    found = _linked(spine, sets, percent).where("link").select("a", "b")
+    roots = stored(forest_roots(found), "ngram-roots")
 
     # cells that still hold several components
     held = cells.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
@@ -427,14 +429,24 @@ def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .select("key", "i", "j", "block", "node", "comp", "vector")
     )
     pairs = map_arrow(units, _search(percent), "a bigint, b bigint").distinct()
-    more = stored(_linked(pairs, sets, percent).where("link").select("a", "b"), "ngram-links")
-    roots = components(found.union(more))
-    return rows.join(roots, "node", "left").select(
-        F.col("doc").alias("doc_id"),
-        "mark",
-        F.col("n").alias("n_shingles"),
-        "node",
-        F.coalesce("root", "node").alias("root"),
+    more = _linked(pairs, sets, percent).where("link").select("a", "b")
+    # these links join trees of the spine
+    tree = roots.select(F.col("node").alias("_n"), F.col("root").alias("_r"))
+    for side in ("a", "b"):
+        more = more.join(tree, F.col(side) == F.col("_n"), "left").withColumn(side, F.coalesce("_r", side)).drop("_n", "_r")
+    joined = components(more).select(F.col("node").alias("_tree"), F.col("root").alias("_top"))
+    own = F.coalesce("root", "node")
+    return (
+        rows.join(roots, "node", "left")
+        .withColumn("root", own)
+        .join(joined, F.col("root") == F.col("_tree"), "left")
+        .select(
+            F.col("doc").alias("doc_id"),
+            "mark",
+            F.col("n").alias("n_shingles"),
+            "node",
+            F.coalesce("_top", "root").alias("root"),
+        )
     )
 
 
@@ -458,16 +470,18 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         linked.where("root IS NOT NULL")
         .groupBy("root")
         .agg(F.min(first).alias("f"))
-        .select(F.col("f.doc_id").alias("_id"), F.col("f.mark").alias("_mark"))
+        .select(F.col("f.doc_id").alias("id"), F.col("f.mark").alias("own"))
     )
-    size = linked.groupBy(F.col("doc_id").alias("_i"), F.col("mark").alias("_m")).agg(F.count("*").alias("_times"))
-    best = best.join(size, best["_id"].eqNullSafe(size["_i"]) & (best["_mark"] == size["_m"])).select("_id", "_mark", "_times")
-    rows = docs.withColumn("_own", F.xxhash64("text"))
+    size = linked.groupBy(F.col("doc_id").alias("i"), F.col("mark").alias("m")).agg(F.count("*").alias("times"))
+    best = best.join(size, best["id"].eqNullSafe(size["i"]) & (best["own"] == size["m"])).select("id", "own", "times")
+    # the row as one column, so that no name of docs can clash
+    blank = F.length(F.translate(F.coalesce("text", F.lit("")), " \t\n\x0b\f\r", "")) == 0
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("doc"), F.xxhash64("text").alias("mark"), blank.alias("blank"))
 
     def picked(winners: DataFrame) -> DataFrame:
-        return rows.join(winners, rows["doc_id"].eqNullSafe(winners["_id"]) & (rows["_own"] == winners["_mark"]))
+        return rows.join(winners, rows["doc"].eqNullSafe(winners["id"]) & (rows["mark"] == winners["own"]))
 
-    once = picked(best.where("_times = 1")).select(*docs.columns)
-    several = picked(best.where("_times > 1")).dropDuplicates(["_id", "_mark"]).select(*docs.columns)
-    empty = docs.where(F.length(F.translate(F.coalesce("text", F.lit("")), " \t\n\x0b\f\r", "")) == 0)
+    once = picked(best.where("times = 1")).select("row.*")
+    several = picked(best.where("times > 1")).dropDuplicates(["id", "own"]).select("row.*")
+    empty = rows.where("blank").select("row.*")
     return once.union(several).union(empty)

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perkline.llm.common import let, stored
+from perkline.llm.common import fresh, let, stored
 
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -163,24 +163,25 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
     spark = pages.sparkSession
     host, path = host_path(F.col(url))
     base = pages.drop("host", "path", "rule", "verdict", "score")
-    ruled = base.withColumns({"host": host, "path": path}).withColumn("_r", apply_rules(F.col("host"), F.col("path"), rules))
+    r, own = fresh("_r", pages.columns), fresh("_url", pages.columns)
+    ruled = base.withColumns({"host": host, "path": path}).withColumn(r, apply_rules(F.col("host"), F.col("path"), rules))
     labelled = (
-        ruled.where("_r IS NOT NULL")
-        .select(F.col(url).alias("url"), (F.col("_r.verdict") == "allow").alias("accepted"))
+        ruled.where(F.col(r).isNotNull())
+        .select(F.col(url).alias("url"), (F.col(f"{r}.verdict") == "allow").alias("accepted"))
         .distinct()
     )
     aside = F.crc32("url") % CALIBRATION_FOLDS == 0
     urls = base.select(F.col(url).alias("url")).distinct()
     scores = stored(scored(urls, learn(labelled.where(~aside).union(seeds(spark)), urls)), "url-scores")
     threshold = stored(calibrate(labelled.where(aside).join(scores, "url").select("score", "accepted")), "url-threshold")
-    by_url = scores.withColumnRenamed("url", "_url")
+    by_url = scores.withColumnRenamed("url", own)
     return (
-        ruled.join(by_url, ruled[url] == by_url["_url"], "left")
+        ruled.join(by_url, ruled[url] == by_url[own], "left")
         .withColumn("score", F.coalesce("score", F.lit(0.0)))
-        .withColumn("rule", F.col("_r.rule"))
+        .withColumn("rule", F.col(f"{r}.rule"))
         .withColumn(
             "verdict",
-            F.coalesce(F.col("_r.verdict"), F.when(F.col("score") >= threshold.scalar(), "allow").otherwise("block")),
+            F.coalesce(F.col(f"{r}.verdict"), F.when(F.col("score") >= threshold.scalar(), "allow").otherwise("block")),
         )
-        .drop("_r", "_url")
+        .drop(r, own)
     )

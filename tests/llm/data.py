@@ -20,7 +20,7 @@ LONG = " ".join(f"w{i % 977}x{i}" for i in range(120_000))
 
 def edge_docs(spark):
     """NULLs in every column, empty and very long texts, repeated rows, ties,
-    and an extra column with a name that the operators use themselves."""
+    and extra columns with names that the operators use themselves."""
     rows = [
         (1, None, "en", "a", None),
         (2, "", None, None, 0),
@@ -36,6 +36,8 @@ def edge_docs(spark):
     df = spark.createDataFrame(rows, DOCS)
     from pyspark.sql import functions as F
 
+    private = ["_id", "_own", "_m", "_r", "_language", "_mark", "_times", "_host", "language", "mark", "row"]
+    df = df.withColumns({c: F.lit("mine") for c in private})
     return df.withColumn("kept", F.lit("mine")).withColumn("score", F.lit(7)).withColumn("node", F.lit(None).cast("string"))
 
 

@@ -284,3 +284,21 @@ def test_mix_edges(spark):
     assert mixing.mix(empty_docs(spark)).count() == 0
     only = mixing.mix(docs_of(spark, [None, ""])).collect()
     assert [r["taken"] for r in only] == [0, 0]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_forest_roots(spark, seed):
+    from perkline.llm.components import forest_roots
+
+    rnd = random.Random(seed)
+    parent = {i: rnd.randrange(i + 1, min(i + 4, 121)) for i in range(120) if rnd.random() < 0.9}
+    parent |= {1000 + i: 1001 + i for i in range(40)}
+    got = dict(map(tuple, forest_roots(spark.createDataFrame(list(parent.items()), "a long, b long")).collect()))
+
+    def top(x):
+        while x in parent:
+            x = parent[x]
+        return x
+
+    assert got == {x: top(x) for x in {*parent, *parent.values()}}
+    assert forest_roots(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -16,7 +16,7 @@ from .test_corpus_ops import brute_classes
 from .test_filters import brute_measures
 from .test_text_ops import brute_hits
 
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.mark.parametrize("key", sorted(TWINS))
@@ -33,7 +33,7 @@ def test_twin(spark, key):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
 
 
 def test_run_by_brute_force(spark):
