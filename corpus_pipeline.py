@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perkline.llm import decontaminate, host_rules, lang_id, mixing, ngram_join
-from perkline.llm.common import table
+from perkline.llm.common import fresh, table
 from perkline.session import scratch_path
 
 #: a document whose best language has less of the posterior than this goes
@@ -28,8 +28,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model names; the label column stays
     as it was."""
-    named = lang_id.identify(docs, docs.columns, names=("_language", "_language_score"))
-    good = (F.col("_language") != lang_id.UNKNOWN) & (F.col("_language_score") >= MIN_LANGUAGE_SCORE)
+    language, score = fresh("language", docs.columns), fresh("language_score", docs.columns)
+    named = lang_id.identify(docs, docs.columns, names=(language, score))
+    good = (F.col(language) != lang_id.UNKNOWN) & (F.col(score) >= MIN_LANGUAGE_SCORE)
     return named.where(good).select(*docs.columns)
 
 
