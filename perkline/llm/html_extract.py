@@ -6,6 +6,13 @@ many pages of their host are deleted.  Parts that are no article by their
 own mark-up go as well: menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments.  No text goes merely for its place.
 
+Tags and roles that say so leave a part out.  A class name or id does only if
+all its words name such a part (``cookie-notice``, ``adBox2``, not
+``share-price``), and not where the part holds most of the text that it could
+be: of the main element around it, or of a page that has none (parts named as
+comments: all of it).  Outside the main element of a page that has one, names
+always count.
+
 All subtrees with text are candidates; equal pages count once.  An article is
 not a template because others quote or copy it, so a stricter rule holds for
 running text (all but boxes such as ``div``, ``section`` or ``ul``) inside the
@@ -58,16 +65,16 @@ _TOKEN = re.compile(
     re.S | re.X,
 )
 _ATTR = re.compile(r"""([a-zA-Z][\w:-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-_PART = re.compile(r"[a-z0-9]+")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+|[^\W\d_]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody "
-    "tfoot thead title tr caption ul".split()
+    "tfoot thead title tr td th caption ul".split()
 )
-CLOSES_P = BLOCKS - frozenset("body head html tbody tfoot thead title tr caption legend".split())
+CLOSES_P = BLOCKS - frozenset("body head html tbody tfoot thead title tr td th caption legend".split())
 #: start tag -> open elements it ends, and where the search for them stops
 ENDS = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -83,12 +90,20 @@ OUT = frozenset(
     "script style noscript template svg math iframe object canvas video audio select button form input textarea nav "
     "footer aside menu dialog head title search map noembed noframes xmp".split()
 )
-#: parts of class names and ids, and roles, of what is no article text
-OUT_NAMES = frozenset(
-    "nav navbar navigation menu breadcrumb breadcrumbs masthead header footer sidebar widget ad ads advert adverts "
+#: words of class names and ids, and roles, of what is no article text
+COMMENT_NAMES = frozenset("comment comments disqus respond replies".split())
+HEADER_NAMES = frozenset("header masthead".split())
+OUT_NAMES = COMMENT_NAMES | HEADER_NAMES | frozenset(
+    "nav navbar navigation menu breadcrumb breadcrumbs footer sidebar widget widgets ad ads advert adverts "
     "advertisement advertising adsense banner promo promotion sponsor sponsored cookie cookies consent gdpr notice "
     "notices popup modal overlay newsletter subscribe subscription signup login share sharing social related "
-    "recommended comment comments disqus respond replies pagination pager copyright toolbar skip".split()
+    "recommended pagination pager copyright toolbar skip".split()
+)
+#: words that may stand beside them in a name
+BESIDE = frozenset(
+    "site page global main user reader article post top bottom left right upper lower side primary secondary mobile "
+    "desktop js box bar list section area wrapper wrap container inner outer block content panel slot unit item items "
+    "form link links button buttons icons group thread module".split()
 )
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: inside the main element all others are running text
@@ -98,12 +113,18 @@ SPINE = frozenset("html body main article".split())
 
 
 class Element:
-    __slots__ = ("tag", "name", "parent", "parts", "hash", "out", "main", "holds_main", "heading", "text", "within")
+    __slots__ = (
+        "tag", "name", "parent", "parts", "hash", "out", "named", "main", "holds_main", "heading", "text", "within", "size"
+    )
 
     def __init__(self, tag: str, name: str, parent: "Element | None"):
         self.tag, self.name, self.parent = tag, name, parent
         self.parts: list[str] = []
         self.hash, self.text = 0, False
+        #: characters of its text, without parts that tags and roles leave out
+        self.size = 0
+        #: words of its names, if they name a part that is no article
+        self.named: frozenset[str] = frozenset()
         self.out = self.main = self.holds_main = self.heading = self.within = False
 
     def close(self) -> None:
@@ -111,15 +132,26 @@ class Element:
         if self.parent is not None:
             self.parent.parts.append(f"\1{self.hash}")
             self.parent.text |= self.text
+            self.parent.size += 0 if self.out else self.size
             self.parent.holds_main |= self.main or self.holds_main
             self.parent.heading |= self.heading or self.tag == "h1"
 
 
-def _marked_out(tag: str, attrs: dict[str, str]) -> bool:
+def _marked_out(attrs: dict[str, str]) -> bool:
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", ""):
         return True
-    names = _PART.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower())
-    return not OUT_NAMES.isdisjoint(names) or attrs.get("role", "").lower() in OUT_ROLES
+    return attrs.get("role", "").lower() in OUT_ROLES
+
+
+def _named_out(attrs: dict[str, str]) -> frozenset[str]:
+    """Words of the class names and ids that name nothing but a part that is
+    no article."""
+    found: set[str] = set()
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+        words = {w.lower() for w in _PART.findall(name)}
+        if not OUT_NAMES.isdisjoint(words) and all(w in OUT_NAMES or w in BESIDE or w.isdigit() for w in words):
+            found |= words & OUT_NAMES
+    return frozenset(found)
 
 
 class Page:
@@ -130,7 +162,8 @@ class Page:
         self.elements: list[Element] = []
         self.blocks: list[tuple[str, Element]] = []
         self._run: list[tuple[str, Element]] = []
-        self._open = [Element("", "", None)]
+        self._root = Element("", "", None)
+        self._open = [self._root]
         self._parse(source)
         mains = [e for e in self.elements if e.main]
         top = {id(e) for e in mains if e.tag != "article"} or {id(e) for e in mains}
@@ -138,6 +171,8 @@ class Page:
         for e in self.elements:
             e.within = e.parent.within or id(e.parent) in top
         self._top = top
+        #: what a named part is compared with where it lies in no main element
+        self._size = 0 if top else self._root.size
 
     def _flush(self) -> None:
         """A block lies in the innermost element that holds all its text."""
@@ -199,8 +234,10 @@ class Page:
                 self._run.append((" ", self._open[-1]))
             return
         e = Element(tag, name, self._open[-1])
-        marked = bool(known) and _marked_out(tag, known)
-        e.main = (tag == "main" or tag == "article" or known.get("role") == "main") and not (marked and tag != "main")
+        marked = bool(known) and _marked_out(known)
+        if known and tag not in ("html", "body", "main"):
+            e.named = _named_out(known)
+        e.main = tag == "main" or ((tag == "article" or known.get("role") == "main") and not marked and not e.named)
         e.out = tag in OUT or (marked and tag not in ("html", "body", "main"))
         self.elements.append(e)
         self._open.append(e)
@@ -239,6 +276,7 @@ class Page:
         if words:
             self._open[-1].parts.append(words)
             self._open[-1].text = True
+            self._open[-1].size += len(words)
 
     def kept(self) -> list[tuple[str, list[int]]]:
         """Blocks in page order that their mark-up does not leave out, each
@@ -262,11 +300,26 @@ class Page:
         grams = (" ".join(words[i : i + GRAM]) for i in range(max(1, len(words) - GRAM + 1)))
         return min(xxhash.xxh3_64_intdigest(g) for g in grams) - (1 << 63)
 
-    @staticmethod
-    def left_out(e: Element) -> bool:
+    def left_out(self, e: Element) -> bool:
+        if e.holds_main:
+            return False
         if e.tag == "header":
-            return not e.within and not e.holds_main
-        return e.out and not e.holds_main and not (e.main and e.tag == "main") and not (e.heading and e.tag not in OUT and not e.within)
+            return not e.within or self.left_out_by_name(e)
+        if e.heading and e.tag not in OUT and not e.within:
+            return False
+        return e.out or self.left_out_by_name(e)
+
+    def left_out_by_name(self, e: Element) -> bool:
+        named = e.named - HEADER_NAMES if e.within else e.named
+        if not named:
+            return False
+        around = self._size
+        if e.within:
+            at = e.parent
+            while id(at) not in self._top:
+                at = at.parent
+            around = at.size
+        return e.size < around if named <= COMMENT_NAMES and around else not around or 2 * e.size <= around
 
     @staticmethod
     def candidate(e: Element) -> bool:

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -159,7 +160,62 @@ def test_mark_up_that_is_no_article(spark):
     <form><label>Name</label><input></form><section class="comments"><p>first!</p></section></article></main>
     <footer>&copy; us</footer></body></html>"""
     got = texts_of(spark, [(1, "http://h.com/a", page)])[1]
-    assert got == "Head & line\n\nOne two bold end\n\nThree <tag> é\n\nfirst\n\nsecond\n\nab"
+    assert got == "Head & line\n\nOne two bold end\n\nThree <tag> é\n\nfirst\n\nsecond\n\na\n\nb"
+
+
+def test_names_that_are_no_article_words_keep_their_text(spark):
+    body = " ".join(f"w{k}" for k in range(40))
+    pages = {
+        '<div class="notice"><p>Long article body</p></div>': "Long article body",
+        f'<article><p>{body}</p><p class="share-price">Up</p><div id="comment-on-law">Law</div></article>': f"{body}\n\nUp\n\nLaw",
+        f'<article><div class="notice">{body}</div><p>End</p></article>': f"{body}\n\nEnd",
+        f'<article><p>Short</p><div class="comments">{body}</div></article>': "Short",
+        f'<p>Short</p><div id="comment-list">{body}</div>': "Short",
+        f'<div class="ad">{body}</div><article><p>Short</p></article>': "Short",
+        f'<div class="adBox2">Buy</div><div class="site-header">Site</div><p>{body}</p>': body,
+        f'<main><div class="header"><h1>Title</h1></div><p>{body}</p></main>': f"Title\n\n{body}",
+        f'<article class="comment">{body}</article><p>Short</p>': "Short",
+        "<table><tr><td>Name</td><th>Age<td>Town</table>": "Name\n\nAge\n\nTown",
+    }
+    got = texts_of(spark, [(n, f"http://h{n}.com/", page) for n, page in enumerate(pages)])
+    assert [got[n] for n in range(len(pages))] == list(pages.values())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_counts_by_brute_force(spark, seed):
+    """Blocks that recur, in boxes and as running text, beside and inside the
+    main element, counted and deleted host by host in plain Python."""
+    rnd = random.Random(seed)
+    rows, parts = [], {}
+    for i in range(150):
+        host = rnd.choice(["a.com"] * 6 + ["b.com", "b.com", "c.com"])
+        own = f"Own{i} " + " ".join(f"w{rnd.randrange(10**6)}" for _ in range(9))
+        beside = [f"<div>Bar {k}</div>" for k in range(6) if rnd.random() < (k + 1) / 12]
+        boxes = [f"<section>Box {k}</section>" for k in range(6) if rnd.random() < (k + 1) / 12]
+        lines = [f"<p>Line {k}</p>" for k in range(9) if rnd.random() < (k + 1) / 12]
+        parts[i] = host, beside, boxes, lines, own
+        rows.append((i, f"http://{host}/{i}", f"<body>{''.join(beside)}<article><p>{own}</p>{''.join(boxes + lines)}</article></body>"))
+    pages, often, sketches = collections.Counter(p[0] for p in parts.values()), collections.Counter(), collections.defaultdict(set)
+    for host, beside, boxes, lines, own in parts.values():
+        often.update((host, b) for b in beside + boxes + lines)
+        words = " ".join([own, *(b.split(">")[1].split("<")[0] for b in boxes + lines)]).split()
+        sketch = min(xxhash.xxh3_64_intdigest(" ".join(words[k : k + 4])) for k in range(len(words) - 3))
+        for b in lines:
+            sketches[host, b].add(sketch)
+
+    def gone(host, block):
+        n, root, texts = often[host, block], pages[host] ** 0.5, len(sketches[host, block])
+        if block.startswith("<p>"):
+            return texts >= max(20, 2 * root) and 2 * texts >= n
+        return n >= max(5, 0.5 * root)
+
+    got, removed = texts_of(spark, rows), 0
+    for i, (host, beside, boxes, lines, own) in parts.items():
+        blocks = [*beside, f"<p>{own}</p>", *boxes, *lines]
+        kept = [b for b in blocks if not gone(host, b)]
+        removed += len(blocks) - len(kept)
+        assert got[i] == "\n\n".join(b.split(">")[1].split("<")[0] for b in kept)
+    assert removed > 100
 
 
 def test_site_templates_go_and_quoted_text_stays(spark):
