@@ -15,8 +15,11 @@ Slots are ranked per source; slot ``r`` takes block ``r mod blocks``.  A
 document takes its words in each block as often as the block is taken.
 
 Nothing is ordered in one task: ranks and word offsets are sums over ranges
-(of slots, of hash buckets) plus a place within the range.  Only the sources'
-table is windowed as a whole.
+(of slots, of hash buckets) plus a place within the range.  A slot finds its
+source by order, without a join: points and the begins of stretches lie
+together in ranges of the axis, each opened by the stretch that reaches into
+it, and a point takes the last stretch begun before it.  Only the sources'
+table (a row each) is windowed as a whole.
 
 Defined cases: a NULL text has size 0 and takes nothing; a NULL source is a
 source of its own, last in order; repeated rows are documents of their own;
@@ -98,12 +101,23 @@ def schedule(sources: DataFrame, n_slots: int, max_passes: int = MAX_PASSES) ->
     spark = sources.sparkSession
     point = F.pmod(F.col("id") * F.lit(GOLDEN), F.lit(1.0)) * n_slots
     slot = spark.range(n_slots).withColumn("at", point).withColumn("range", F.floor(F.col("id") / RANGE_SLOTS))
-    # points and stretches meet on the unit cells that a stretch touches
-    cells = sources.where("slots > 0").select("src", "lo", "hi", "blocks")
-    cell = cells.select(
-        "src", "blocks", "lo", "hi", F.explode(F.sequence(F.floor("lo"), F.floor("hi"))).alias("cell")
+    stretch = sources.where("slots > 0").select("lo", F.struct("src", "blocks", "hi").alias("of"))
+    begun = stretch.select(F.col("lo").alias("at"), F.floor(F.col("lo") / RANGE_SLOTS).alias("part"), "of")
+    # the ranges that a stretch reaches into, after the one where it begins
+    parts = F.sequence(F.floor(F.col("lo") / RANGE_SLOTS) + 1, F.ceil(F.col("of.hi") / RANGE_SLOTS) - 1)
+    reaches = F.ceil(F.col("of.hi") / RANGE_SLOTS) - 1 > F.floor(F.col("lo") / RANGE_SLOTS)
+    opened = stretch.where(reaches).select(F.explode(parts).alias("part"), "of")
+    opened = opened.select((F.col("part") * F.lit(float(RANGE_SLOTS))).alias("at"), "part", "of")
+    points = slot.select("id", "range", "at", F.floor(F.col("at") / RANGE_SLOTS).alias("part"))
+    axis = points.unionByName(begun.unionByName(opened), allowMissingColumns=True)
+    # at one place stretches come before the point, in their own order
+    along = Window.partitionBy("part").orderBy("at", F.col("id").asc_nulls_first(), "of.src")
+    last = F.last("of", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    hit = (
+        axis.withColumn("in", last)
+        .where(F.col("id").isNotNull() & (F.col("at") < F.col("in.hi")))
+        .select("id", "range", "in.src", "in.blocks")
     )
-    hit = slot.withColumn("cell", F.floor("at")).join(cell, "cell").where("lo <= at AND at < hi")
     per_range = hit.groupBy("src", "range").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("src").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_range.select("src", "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))

@@ -1,6 +1,7 @@
 """Near duplicates, components, HTML extraction, mixing."""
 
 import collections
+import math
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from perkline.llm import html_extract, mixing, ngram_join
 from perkline.llm.components import components
@@ -323,6 +325,55 @@ def check_mix(spark, docs, near=0.03):
     return rows
 
 
+def brute_schedule(sources, n_slots, passes=3):
+    """Slot by slot; ``sources`` in order, with their stretches."""
+    rank, out = collections.Counter(), []
+    for k in range(n_slots):
+        at = (k * mixing.GOLDEN) % 1.0 * n_slots
+        for s in sources:
+            if s["lo"] <= at < s["hi"]:
+                r, rank[s["src"]] = rank[s["src"]], rank[s["src"]] + 1
+                if r < passes * s["blocks"]:
+                    out.append((k, s["src"], r, r % s["blocks"]))
+                break
+    return out
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_schedule_and_taken_by_brute_force(spark, seed, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_SLOTS", 64)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 16)
+    rnd = random.Random(seed)
+    kinds = ["big"] * 12 + ["mid"] * 4 + ["small", None, "é"] + [f"s{k}" for k in range(30)]
+    rows = [(i, "w " * rnd.choice([0, 1, 3, 30, 120]), "en", rnd.choice(kinds), 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, DOCS)
+    sized = docs.select("doc_id", "source", mixing.size_of(docs["text"]).alias("size"), F.xxhash64("doc_id", "text").alias("order"))
+    sources = mixing.blocks_of(mixing.targets(sized), 64, 16)
+    of = sorted(sources.collect(), key=lambda s: s["src"])
+    n_slots = math.ceil(sum(s["slots"] for s in of))
+    assert n_slots > 300
+    want = brute_schedule([s for s in of if s["slots"] > 0], n_slots)
+    got = mixing.schedule(sources, n_slots)
+    assert sorted(map(tuple, got.collect())) == want
+    # words of the shuffled documents, block by block
+    times, taken = collections.Counter((s, b) for _, s, _, b in want), collections.Counter()
+    buckets = max(1, len(rows) // 16)
+    ordered = sorted(sized.collect(), key=lambda d: ((d["order"] >> 8) % buckets, d["order"], d["doc_id"], d["size"]))
+    for s in of:
+        at = 0
+        for d in (d for d in ordered if d["source"] == s["source"]):
+            taken[d["doc_id"]] = sum(times[s["src"], w * s["blocks"] // s["source_size"]] for w in range(at, at + d["size"]))
+            at += d["size"]
+    mixed = mixing.mix(docs, block_words=64, min_blocks=16)
+    assert {r["doc_id"]: r["taken"] for r in mixed.collect()} == {i: taken[i] for i in range(len(rows))}
+
+
+def test_no_table_of_slots_is_broadcast(spark):
+    sources = spark.createDataFrame([(0, 10**7, 0.0, 1.5e7, 1.5e7), (1, 10**6, 1.5e7, 2e7, 5e6)], "src long, blocks long, lo double, hi double, slots double")
+    plan = mixing.schedule(sources, 20_000_000)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Cartesian" not in plan
+
+
 def test_mix_of_the_test_data(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert len(check_mix(spark, docs)) == docs.count()
