@@ -2,7 +2,11 @@
 
 Every document is judged by text rules; failures are aggregated by host, the
 host's failure rate is shrunk towards the corpus by an empirical beta prior,
-and the verdict on the host is joined back to its documents.  Everything is a
+and the verdict on the host is joined back to its documents.  For its host a
+document also fails by too many symbols or repeated lines (``host_fault``),
+which alone does not remove it.  A host goes if its rate, less two standard
+deviations of the posterior, is above ``MAX_HOST_RATE`` and if its odds of
+failure are ``MIN_ODDS_RATIO`` times those of the corpus.  Everything is a
 built-in expression: the rules are computed inside the row (no explode, no
 shuffle of words), and only ``(host, failed)`` crosses the shuffle, partially
 aggregated, so a host with a third of the rows costs one row a task.
@@ -23,8 +27,15 @@ from perkline.llm.common import WHITE, fresh, let, stored
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: a host is rejected when its shrunk failure rate is above this share
-MAX_HOST_RATE = 0.8
+#: a document with so many symbols per 100 characters of words, or with more
+#: than so many repeated among 100 lines, counts against its host
+MAX_SYMBOL_PERCENT = 10
+MAX_DUP_LINE_PERCENT = 30
+#: a host is rejected when most of its documents surely fail, and by odds so
+#: many times those of the corpus
+MAX_HOST_RATE = 0.5
+MIN_ODDS_RATIO = 4.0
+DEVIATIONS = 2.0
 #: bounds of the fitted prior's weight in documents
 PRIOR_WEIGHT = (2.0, 1000.0)
 
@@ -85,26 +96,35 @@ def _right(x: Column, bits: Column) -> Column:
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``word_chars``, ``n_symbols``,
-    ``n_dup_lines``, ``n_repeat_words`` and ``base_failed``."""
+    ``n_dup_lines``, ``n_repeat_words``, ``base_failed`` and ``host_fault``."""
     body = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda x: F.length(F.translate(x, WHITE, "")) > 0)
 
     def measured(w: Column) -> Column:
         return F.struct(F.size(w).cast("long").alias("n"), repeat_words(w).alias("r"))
 
-    m = fresh("_m", docs.columns)
-    out = docs.withColumn(m, let(words(F.col(text)), measured))
-    return out.withColumns(
+    def in_lines(x: Column) -> Column:
+        return F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))
+
+    m, li = fresh("_m", docs.columns), fresh("_li", docs.columns)
+    out = docs.withColumns({m: let(words(F.col(text)), measured), li: let(lines, in_lines)})
+    out = out.withColumns(
         {
             "n_words": F.col(f"{m}.n"),
             "word_chars": F.length(F.translate(body, WHITE, "")).cast("long"),
             "n_symbols": (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long"),
-            "n_dup_lines": let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
+            "n_dup_lines": F.col(f"{li}.dup"),
             "n_repeat_words": F.col(f"{m}.r"),
             "base_failed": (F.col(f"{m}.n") < MIN_WORDS)
             | (100 * F.col(f"{m}.r") > MAX_REPEAT_PERCENT * F.col(f"{m}.n")),
         }
-    ).drop(m)
+    )
+    fault = (
+        F.col("base_failed")
+        | (100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * F.col("word_chars"))
+        | (100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col(f"{li}.n"))
+    )
+    return out.withColumn("host_fault", fault).drop(m, li)
 
 
 def host_verdicts(judged: DataFrame, host: str, failed: str, max_rate: float = MAX_HOST_RATE) -> DataFrame:
@@ -112,7 +132,8 @@ def host_verdicts(judged: DataFrame, host: str, failed: str, max_rate: float = M
 
     The beta prior is fitted by moments over hosts: its mean is the corpus
     failure rate; its weight makes the spread between hosts the observed one
-    less the binomial part.  ``host_rate`` is the posterior mean.
+    less the binomial part.  ``host_rate`` is the posterior mean, and its
+    lower bound is compared with ``max_rate``.
     """
     hosts = (
         judged.where(F.col(host).isNotNull())
@@ -137,13 +158,13 @@ def host_verdicts(judged: DataFrame, host: str, failed: str, max_rate: float = M
             mean.alias("mean"), F.least(F.greatest(weight, F.lit(PRIOR_WEIGHT[0])), F.lit(PRIOR_WEIGHT[1])).alias("weight")
         ).alias("p")
     ).scalar()
+    size = F.col("host_docs") + F.col("_p.weight")
+    post, p = F.col("host_rate"), F.col("_p.mean")
+    sure = post - DEVIATIONS * F.sqrt(post * (1 - post) / (size + 1)) > max_rate
     return (
         hosts.withColumn("_p", prior)
-        .withColumn(
-            "host_rate",
-            (F.col("host_failed") + F.col("_p.mean") * F.col("_p.weight")) / (F.col("host_docs") + F.col("_p.weight")),
-        )
-        .withColumn("host_rejected", F.col("host_rate") > max_rate)
+        .withColumn("host_rate", (F.col("host_failed") + p * F.col("_p.weight")) / size)
+        .withColumn("host_rejected", sure & (post * (1 - p) > MIN_ODDS_RATIO * p * (1 - post)))
         .drop("_p")
     )
 
@@ -152,8 +173,8 @@ def judge(
     docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_HOST_RATE, keep_text: bool = True
 ) -> DataFrame:
     """``docs`` (its text only if ``keep_text``) with the measures,
-    ``base_failed``, ``host_rate`` (NULL for a NULL host), ``host_rejected``
-    and ``kept``.
+    ``base_failed``, ``host_fault``, ``host_rate`` (NULL for a NULL host),
+    ``host_rejected`` and ``kept``.
 
     Without the text the measured rows are written once, as both the host
     table and the verdicts read them; texts are measured twice rather than
@@ -163,7 +184,7 @@ def judge(
     if not keep_text:
         judged = stored(judged.drop(text), "host-measures")
     own = fresh("_host", judged.columns)
-    hosts = host_verdicts(judged, host, "base_failed", max_rate).select(
+    hosts = host_verdicts(judged, host, "host_fault", max_rate).select(
         F.col("host").alias(own), "host_rate", "host_rejected"
     )
     hosts = stored(hosts, "host-verdicts")

@@ -155,20 +155,22 @@ dup AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b
 rep AS (SELECT rid, count(DISTINCT i + k) AS n_repeat FROM dup, unnest([0, 1, 2]) AS z(k) GROUP BY rid),
 li AS (SELECT rid, line FROM m, unnest(string_split(t, chr(10))) AS x(line)
        WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-dl AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup FROM li GROUP BY rid),
+dl AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM li GROUP BY rid),
 j AS (
   SELECT doc_id, source, n_words, coalesce(wc, 0) AS word_chars, n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
          coalesce(n_repeat, 0) AS n_repeat_words,
-         (n_words < 50 OR 100 * coalesce(n_repeat, 0) > 50 * n_words) AS base_failed
+         (n_words < 50 OR 100 * coalesce(n_repeat, 0) > 50 * n_words) AS base_failed,
+         (base_failed OR 100 * n_symbols > 10 * word_chars OR 100 * n_dup_lines > 30 * coalesce(n_lines, 0)) AS fault
   FROM m LEFT JOIN rep USING (rid) LEFT JOIN dl USING (rid)),
-h AS (SELECT source AS host, count(*) AS n, sum(base_failed::INT) AS f FROM j WHERE source IS NOT NULL GROUP BY 1),
+h AS (SELECT source AS host, count(*) AS n, sum(fault::INT) AS f FROM j WHERE source IS NOT NULL GROUP BY 1),
 s AS (SELECT sum(n) AS n, sum(f) / sum(n) AS p, count(*) AS k, sum(n * (f / n) * (f / n)) / sum(n) AS sq FROM h),
 b AS (SELECT p, sq - p * p - p * (1 - p) * k / n AS v FROM s),
 pr AS (SELECT p, least(greatest(CASE WHEN v > 0 THEN p * (1 - p) / v - 1 ELSE 1000.0 END, 2.0), 1000.0) AS wt FROM b),
-hv AS (SELECT host, (f + p * wt) / (n + wt) AS host_rate FROM h, pr)
+hv AS (SELECT host, (f + p * wt) / (n + wt) AS q,
+              q - 2 * sqrt(q * (1 - q) / (n + wt + 1)) > 0.5 AND q * (1 - p) > 4 * p * (1 - q) AS rejected FROM h, pr)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-       (NOT base_failed AND coalesce(host_rate, 0) <= 0.8) AS kept
+       (NOT base_failed AND NOT coalesce(rejected, false)) AS kept
 FROM j LEFT JOIN hv ON source = host
 """
 

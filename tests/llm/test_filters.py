@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from perkline.llm import host_rules, lang_id, url_filter
 from perkline.llm.queries import QUERIES
 
-from .data import SF, WORD, edge_docs, empty_docs
+from .data import DOCS, SF, WORD, edge_docs, empty_docs
 
 
 # -- URL filter ---------------------------------------------------------------
@@ -167,6 +168,46 @@ def test_host_verdicts(spark):
     assert got[2001]["host_rate"] is None
 
 
+def planted_hosts():
+    """Documents of good hosts, a host of symbols, one of repeated lines, and
+    one of which a tenth is bad; none fails the base rules but the last's."""
+    rnd = random.Random(3)
+    rows = []
+    for i in range(1200):
+        source = f"good{i % 8}" if i < 800 else ["symbols", "lines", "mixed", "few"][i % 4]
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(80)]
+        if source == "symbols" and rnd.random() < 0.9:
+            words = [f"{w}##$|" for w in words]
+        if source == "lines" and rnd.random() < 0.9:
+            words = [f"{w}\n" for w in words[:20]] + [f"{w} same{k}\nmenu\nmenu{k % 2}\n" for k, w in enumerate(words[20:])]
+        if source == "mixed" and rnd.random() < 0.1:
+            words = words[:10]
+        rows.append((i, " ".join(words), "en", source, 0))
+    return rows
+
+
+def test_bad_hosts_go_in_the_query_its_twin_and_the_pipeline(spark, tmp_path):
+    import duckdb
+
+    import corpus_pipeline
+    from perkline.llm.queries import QUERIES, TWINS
+
+    docs = spark.createDataFrame(planted_hosts(), DOCS)
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in QUERIES["op7_host_rules"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    columns = sorted(next(iter(got.values())).asDict())
+    twin = con.sql(TWINS["op7_host_rules"]).select(*columns).fetchall()
+    assert collections.Counter(twin) == collections.Counter(tuple(r[c] for c in columns) for r in got.values())
+    bad = [i for i, _, _, s, _ in planted_hosts() if s in ("symbols", "lines")]
+    assert len(bad) == 200 and sum(not got[i]["base_failed"] for i in bad) > 190
+    assert not any(got[i]["kept"] for i in bad)
+    assert all(got[i]["kept"] != got[i]["base_failed"] for i in got if i not in set(bad))
+    out = corpus_pipeline.quality_rules(spark, docs, str(tmp_path))
+    assert {r["doc_id"] for r in out.collect()} == {i for i in got if got[i]["kept"]}
+
+
 def test_host_rules_edges(spark):
     out = host_rules.judge(edge_docs(spark))
     assert out.count() == 10 and out.where("kept").count() == 1
