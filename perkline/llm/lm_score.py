@@ -1,30 +1,28 @@
 """Language-model scoring with a weighted backoff automaton.
 
-``learn_all`` (the registered query) builds the whole automaton of order
-``ORDER``: states are the root and every n-gram of fewer than ``ORDER``
-training tokens, arcs are all n-grams seen, also once, weighted by the absolutely
-discounted estimate.  A state's failure arc leads to the state without its
-first token and has the weight that makes the state's probabilities sum to
-one.  The root's arcs are all training tokens and the unknown, with add-one
-estimates.  A text starts in the state of the end token.  Reading a token from
-left to right takes the state's arc, or failure arcs until there is one, and
-adds the log10 weights.
+States are the root and every n-gram of fewer than ``ORDER`` training tokens,
+arcs are all n-grams seen, also once, weighted by the absolutely discounted
+estimate.  A state's failure arc leads to the state without its first token
+and has the weight that makes the state's probabilities sum to one.  The
+root's arcs are all training tokens and the unknown, with add-one estimates.
+A text starts in the state of the end token.  Reading a token from left to
+right takes the state's arc, or failure arcs until there is one, and adds the
+log10 weights.  Nothing is pruned, and the model grows with the corpus.
+
+All states that a token may be read in, and the failure arcs between them down
+to the root, end in the token before it.  So the automaton falls into parts
+by the last token of a state, and a traversal step needs one part and the
+root.  ``lm_shards`` learns and scores by such parts (the registered query).
+This module learns and scores by keys, which no hot key can hold up:
+``learn_all`` counts all n-grams, or those *behind* some tokens, in Spark.
 
 An arc exists only where those of all shorter states exist, so a text's score
-is a sum over its n-grams of every order, each with one weight: what its arc
-adds over failing, and its own failure weight as a state.
-
-``learn`` is the bounded bigram form: only tokens that make up at least
-``2^-CONTEXT_BITS`` of all training tokens are states, and only bigrams of
-them seen ``MIN_COUNT`` times are arcs.
-
-Learning and scoring are Spark jobs over all texts.  What is bounded by proof
-is broadcast: context words, failure weights, and the *frequent* tokens and
-n-grams (at least ``2^-FREQUENT_BITS`` of all tokens, so at most
-``2^FREQUENT_BITS`` of an order).  They hold every hot key.  All other tokens and arcs,
-which no text repeats often, are joined by key: a text sends one row per
-distinct rare token or possible rare arc and adds up what comes back.  The
-model's vocabulary and arcs grow with the corpus; nothing is dropped.
+is a sum over its n-grams of every order: what an arc adds over failing, and
+the failure weights of the states.  The *frequent* tokens, n-grams and states
+(at least ``2^-FREQUENT_BITS`` of all tokens, so at most ``2^FREQUENT_BITS`` of
+an order) are broadcast.  They hold every hot key.  All others, which no text
+repeats often, are joined by key: a text sends one row per distinct rare key
+and adds up what comes back.
 
 Defined cases: a NULL text is the empty text, which has only the end token; a
 NULL id's fold is that of the empty id; repeated rows are each scored; with
@@ -48,17 +46,13 @@ from perkline.session import scratch_path
 
 FOLDS = 7
 HELD_OUT = 2
-CONTEXT_BITS = 17
 FREQUENT_BITS = 20
-MIN_COUNT = 2
 DISCOUNT = 0.75
 ORDER = 3
 #: joins that learn broadcast the keys with this share of all tokens
 HOT_BITS = 16
 #: key of the end token (a word's hash is a bijection's image of another sum)
 END = np.uint64(0x9AE16A3B2F90404F)
-#: room for a state's place in an arc's key
-_PLACE_BITS = 24
 _FLUSH = 1 << 20
 
 
@@ -120,56 +114,6 @@ def _counted(texts: DataFrame, keys_of) -> DataFrame:
     return counts.groupBy("key").agg(F.sum("n").alias("n"))
 
 
-class Contexts:
-    """The context words: their hashes (sorted) and places."""
-
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = np.sort(hashes)
-
-    def of(self, tokens: np.ndarray) -> np.ndarray:
-        """Place of each token among the context words, or -1."""
-        if not len(self.hashes):
-            return np.full(len(tokens), -1, dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, tokens), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == tokens, at, -1)
-
-    def arcs(self, tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each token's state (the word before; the end, at a text's begin)
-        and the key of the arc it would take (-1: there can be none)."""
-        place = self.of(tokens)
-        state = np.empty_like(place)
-        state[1:] = place[:-1]
-        if len(first) > 1:
-            state[first[:-1]] = place[first[1:] - 1]
-        arc = np.where((state >= 0) & (place >= 0), state << _PLACE_BITS | place, -1)
-        return state, arc
-
-
-class Automaton:
-    """What every task holds: all bounded by the two thresholds."""
-
-    def __init__(self, contexts, total, kinds, frequent, counts, fail, arcs, gains):
-        self.contexts, self.total, self.kinds = contexts, total, kinds
-        #: frequent tokens (sorted hashes) and their counts
-        self.frequent, self.counts = frequent, counts
-        #: log10 failure weight of each state
-        self.fail = fail
-        #: frequent arcs (sorted keys) and what each adds over failing
-        self.arcs, self.gains = arcs, gains
-
-    def read(self, t: np.ndarray, first: np.ndarray):
-        """Of each token: is its count held, what is known of the base score
-        and beyond it; and what to ask for: ``(kind, places, keys)``."""
-        known = _find(self.frequent, t)
-        state, arc = self.contexts.arcs(t, first)
-        arc_at = np.where(arc >= 0, _find(self.arcs, arc), -1)
-        count = np.where(known >= 0, self.counts[known] if len(self.counts) else 0, 0)
-        fail = np.where(state >= 0, self.fail[state] if len(self.fail) else 0.0, 0.0)
-        gain = np.where(arc_at >= 0, self.gains[arc_at] if len(self.gains) else 0.0, 0.0)
-        rare, far = np.flatnonzero(known < 0), np.flatnonzero((arc >= 0) & (arc_at < 0))
-        return known >= 0, np.log10(count + 1.0), fail + gain, [(0, rare, t[rare].view(np.int64)), (1, far, arc[far])]
-
-
 def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     if not len(table):
         return np.full(len(keys), -1, dtype=np.int64)
@@ -179,77 +123,13 @@ def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 class Model:
     """The automaton and the tables of its other weights: ``values (key,
-    kind, value, more)``, kind 0 a token's log10(count + 1) and failure weight
-    (where the automaton does not hold it), kind 1 what an n-gram adds."""
+    kind, value, more)``, kind 0 a token's log10(count + 1), kind 1 what an
+    n-gram's arc adds over failing, kind 3 a state's failure weight."""
 
-    def __init__(self, automaton: Automaton, values: DataFrame):
+    def __init__(self, automaton: Whole, values: DataFrame):
         self.automaton, self.values = automaton, values
 
 
-def learn(docs: DataFrame, context_bits: int = CONTEXT_BITS, frequent_bits: int = FREQUENT_BITS) -> Model:
-    """The model of all texts of ``docs (text)``; ``context_bits`` is at most
-    ``frequent_bits``, which only decides where a weight is looked up."""
-    spark = docs.sparkSession
-    unigrams = stored(_counted(docs, lambda: lambda t, first: t), "lm-tokens")
-    sizes = unigrams.agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).first()
-    total, kinds = sizes["total"] or 0, sizes["kinds"]
-    # at most 2^FREQUENT_BITS rows, as shares add up to one
-    often = unigrams.where(F.col("n").cast("double") * (1 << frequent_bits) >= total).toArrow()
-    hashes, counts = often["key"].to_numpy().view(np.uint64), often["n"].to_numpy()
-    order = np.argsort(hashes)
-    hashes, counts = hashes[order], counts[order]
-    contexts = Contexts(hashes[counts * float(1 << context_bits) >= total])
-    context_counts = counts[_find(hashes, contexts.hashes)]
-    shared = spark.sparkContext.broadcast(contexts)
-
-    def arc_keys():
-        own = shared.value
-
-        def keys(t: np.ndarray, first: np.ndarray) -> np.ndarray:
-            _, arc = own.arcs(t, first)
-            return arc[arc >= 0].view(np.uint64)
-
-        return keys
-
-    bigrams = _counted(docs, arc_keys).where(F.col("n") >= MIN_COUNT)
-    bigrams = stored(
-        bigrams.withColumn("state", F.shiftright("key", _PLACE_BITS)).withColumn(
-            "word", F.col("key").bitwiseAND((1 << _PLACE_BITS) - 1)
-        ),
-        "lm-arcs",
-    )
-    places = pa.table({"place": np.arange(len(contexts.hashes)), "c": context_counts})
-    words = F.broadcast(spark.createDataFrame(places)) if len(context_counts) else spark.createDataFrame([], "place long, c long")
-    root = (F.col("c") + 1) / F.lit(float(total + kinds + 1))
-    arcs = bigrams.join(words.select(F.col("place").alias("word"), root.alias("p_root")), "word").join(
-        words.select(F.col("place").alias("state"), F.col("c").alias("of")), "state"
-    )
-    arcs = arcs.withColumn("p", (F.col("n") - DISCOUNT) / F.col("of"))
-    # bounded: one row a state
-    mass = arcs.groupBy("state").agg(F.sum("p").alias("p"), F.sum("p_root").alias("p_root")).toArrow()
-    fail = np.zeros(len(contexts.hashes))
-    left = np.maximum(1 - mass["p"].to_numpy(), 1e-12) / np.maximum(1 - mass["p_root"].to_numpy(), 1e-12)
-    fail[mass["state"].to_numpy()] = np.log10(left)
-    states = pa.table({"state": np.arange(len(fail)), "fail": fail})
-    weights = F.broadcast(spark.createDataFrame(states)) if len(fail) else spark.createDataFrame([], "state long, fail double")
-    gains = arcs.join(weights, "state").select(
-        "key", "n", (F.log10("p") - F.log10("p_root") - F.col("fail")).alias("gain")
-    )
-    gains = stored(gains, "lm-gains")
-    hot = F.col("n").cast("double") * (1 << frequent_bits) >= total
-    top = gains.where(hot).toArrow()
-    by_key = np.argsort(top["key"].to_numpy())
-    automaton = Automaton(
-        contexts, total, kinds, hashes, counts, fail, top["key"].to_numpy()[by_key], top["gain"].to_numpy()[by_key]
-    )
-    rare = unigrams.where(F.col("n").cast("double") * (1 << frequent_bits) < total)
-    values = rare.select("key", F.lit(0).alias("kind"), F.log10(F.col("n") + 1.0).alias("value"), F.lit(0.0).alias("more")).union(
-        gains.where(~hot).select("key", F.lit(1).alias("kind"), F.lit(0.0).alias("value"), F.col("gain").alias("more"))
-    )
-    return Model(automaton, values)
-
-
-# -- the whole automaton ------------------------------------------------------
 def _spark_hash(value: np.ndarray, seed: np.ndarray) -> np.ndarray:
     p1, p2, p3 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
     x = value * p2
@@ -313,8 +193,16 @@ class GramSums:
         )
 
 
-def _gram_counts(order: int):
-    """Task: texts -> counts of their n-grams; a token is led to by 0."""
+def before(t: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The token before each; the end, at a text's begin."""
+    out = np.roll(t, 1)
+    out[first[:-1]] = END
+    return out
+
+
+def _gram_counts(order: int, behind: np.ndarray | None):
+    """Task: texts -> counts of their tokens (led to by 0), and of the n-grams
+    whose last token follows one of ``behind`` (None: any)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = GramSums()
@@ -322,8 +210,10 @@ def _gram_counts(order: int):
             for _, _, w in split(batch.column("text"), NON_SPACE):
                 t, first = tokens(w)
                 sums.add(1, np.zeros(len(t), dtype=np.uint64), t, t)
-                for k, _, state, low, key in grams(t, first, order):
-                    sums.add(k, state, low, key)
+                near = None if behind is None else _find(behind, before(t, first)) >= 0
+                for k, on, state, low, key in grams(t, first, order):
+                    own = slice(None) if near is None else near[on]
+                    sums.add(k, state[own], low[own], key[own])
                 if sums.size > _FLUSH:
                     sums.merge()
                     if sums.size > _FLUSH // 2:
@@ -334,26 +224,34 @@ def _gram_counts(order: int):
 
 
 class Whole:
-    """What every task holds of the whole automaton: the frequent tokens and
-    n-grams (sorted keys), log10(count + 1) of tokens, and what each adds."""
+    """What every task holds of the automaton: the frequent tokens and
+    n-grams (sorted keys) with log10(count + 1) of tokens and what arcs add,
+    and the frequent states (sorted keys) with their failure weights."""
 
-    def __init__(self, order, total, kinds, keys, bases, adds):
+    def __init__(self, order, total, kinds, behind, arcs, states):
         self.order, self.total, self.kinds = order, total, kinds
-        self.keys, self.bases, self.adds = keys, bases, adds
+        #: only tokens behind these are scored (sorted; None: all)
+        self.behind = behind
+        (self.keys, self.bases, self.adds), (self.states, _, self.fails) = arcs, states
 
     def read(self, t: np.ndarray, first: np.ndarray):
-        """As ``Automaton.read``."""
-        at = _find(self.keys, t)
-        known = at >= 0
+        """Of each token: is it scored, is its count held, what is known of
+        the base score and beyond it; and what to ask for: ``(kind, places,
+        keys)``."""
+        own = np.ones(len(t), bool) if self.behind is None else _find(self.behind, before(t, first)) >= 0
+        at = np.where(own, _find(self.keys, t), -1)
+        known, far = at >= 0, own & (at < 0)
         base, extra = np.zeros(len(t)), np.zeros(len(t))
-        base[known], extra[known] = self.bases[at[known]], self.adds[at[known]]
-        asked = [(0, np.flatnonzero(~known), t[~known].view(np.int64))]
-        for _, on, _, _, key in grams(t, first, self.order):
-            at = _find(self.keys, key)
-            held = at >= 0
-            extra[on[held]] += self.adds[at[held]]
-            asked.append((1, on[~held], key[~held].view(np.int64)))
-        return known, base, extra, asked
+        base[known] = self.bases[at[known]]
+        asked = [(0, np.flatnonzero(far), t[far].view(np.int64))]
+        for _, on, state, _, key in grams(t, first, self.order):
+            on, state, key = on[own[on]], state[own[on]], key[own[on]]
+            for kind, keys, table, weights in ((1, key, self.keys, self.adds), (3, state, self.states, self.fails)):
+                at = _find(table, keys)
+                held = at >= 0
+                extra[on[held]] += weights[at[held]]
+                asked.append((kind, on[~held], keys[~held].view(np.int64)))
+        return own, known, base, extra, asked
 
 
 def _looked_up(rows: DataFrame, on: str, table: DataFrame, names: list[str], total: int) -> DataFrame:
@@ -369,11 +267,14 @@ def _looked_up(rows: DataFrame, on: str, table: DataFrame, names: list[str], tot
     return found.select(*rows.columns, *[F.coalesce(f"_{c}", c).alias(c) for c in names])
 
 
-def learn_all(docs: DataFrame, order: int = ORDER, frequent_bits: int = FREQUENT_BITS) -> Model:
-    """The whole automaton of all texts of ``docs (text)``;
-    ``frequent_bits`` only decides where a weight is looked up."""
+def learn_all(
+    docs: DataFrame, order: int = ORDER, frequent_bits: int = FREQUENT_BITS, behind: np.ndarray | None = None
+) -> Model:
+    """The whole automaton of all texts of ``docs (text)``, or its states that
+    end in one of ``behind`` (sorted token hashes); ``frequent_bits`` only
+    decides where a weight is looked up."""
     spark = docs.sparkSession
-    counts = map_arrow(docs.select("text"), _gram_counts(order), "k int, state bigint, low bigint, n bigint")
+    counts = map_arrow(docs.select("text"), _gram_counts(order, behind), "k int, state bigint, low bigint, n bigint")
     path = scratch_path(spark, "lm-grams")
     counts.groupBy("k", "state", "low").agg(F.sum("n").alias("n")).write.partitionBy("k").parquet(path)
     found = spark.read.schema("state bigint, low bigint, n bigint, k int").parquet(path)
@@ -381,17 +282,9 @@ def learn_all(docs: DataFrame, order: int = ORDER, frequent_bits: int = FREQUENT
     sizes = unigrams.agg(F.sum("size").alias("total"), F.count("*").alias("kinds")).first()
     total, kinds = sizes["total"] or 0, sizes["kinds"]
     # per order: key, size, p, and what the arc adds over failing
-    arcs = unigrams.select("key", "size", ((F.col("size") + 1) / F.lit(float(total + kinds + 1))).alias("p"), F.lit(0.0).alias("gain"))
-    weights = []
-
-    def adds(k: int, arcs: DataFrame, fails: DataFrame | None) -> None:
-        add = F.col("gain")
-        if fails is not None:
-            # one row a key on both sides
-            arcs = arcs.join(fails.select("key", "fail"), "key", "left")
-            add = add + F.coalesce("fail", F.lit(0.0))
-        base = F.log10(F.col("size") + 1.0) if k == 1 else F.lit(0.0)
-        weights.append(arcs.select("key", "size", F.lit(0 if k == 1 else 1).alias("kind"), base.alias("value"), add.alias("more")))
+    arcs = unigrams.select("key", "size", ((F.col("size") + 1) / F.lit(float(total + kinds + 1))).alias("p"))
+    nothing = F.lit(0.0)
+    values = unigrams.select("key", "size", F.lit(0).alias("kind"), F.log10(F.col("size") + 1.0).alias("value"), nothing.alias("more"))
 
     for k in range(2, order + 1):
         own = found.where(F.col("k") == k).select("state", "low", "n")
@@ -401,39 +294,41 @@ def learn_all(docs: DataFrame, order: int = ORDER, frequent_bits: int = FREQUENT
         # what the arcs leave, over what the same tokens leave in the next state
         fail = F.log10(F.col("kinds") * DISCOUNT / F.col("size")) - F.log10(F.greatest(1 - F.col("p_low"), F.lit(1e-15)))
         states = stored(states.select(F.col("state").alias("key"), "size", F.col("size").alias("seen"), fail.alias("fail")), f"lm-states-{k}")
-        adds(k - 1, arcs, states)
         led = _looked_up(own, "state", states, ["seen", "fail"], total)
         p = (F.col("n") - DISCOUNT) / F.col("seen")
         gain = F.log10(p) - F.log10("p_low") - F.col("fail")
         arcs = led.select(F.xxhash64("state", "low").alias("key"), F.col("n").alias("size"), p.alias("p"), gain.alias("gain"))
         arcs = stored(arcs, f"lm-arcs-{k}")
-    adds(order, arcs, None)
-    values = weights[0]
-    for more in weights[1:]:
-        values = values.unionByName(more)
+        for kind, table, more in ((1, arcs, "gain"), (3, states, "fail")):
+            rows = table.select("key", "size", F.lit(kind).alias("kind"), nothing.alias("value"), F.col(more).alias("more"))
+            values = values.unionByName(rows)
     values = stored(values, "lm-weights")
     often = F.col("size").cast("double") * (1 << frequent_bits) >= total
-    # at most 2^FREQUENT_BITS rows an order
-    top = values.where(often).select("key", "value", "more").toArrow()
-    keys = top["key"].to_numpy().view(np.uint64)
-    by_key = np.argsort(keys)
-    held = Whole(order, total, kinds, keys[by_key], top["value"].to_numpy()[by_key], top["more"].to_numpy()[by_key])
-    return Model(held, values.where(~often).select("key", "kind", "value", "more"))
+
+    def held(which) -> tuple[np.ndarray, ...]:
+        # at most 2^FREQUENT_BITS rows an order
+        top = values.where(often & which).select("key", "value", "more").toArrow()
+        keys = top["key"].to_numpy().view(np.uint64)
+        by_key = np.argsort(keys)
+        return keys[by_key], top["value"].to_numpy()[by_key], top["more"].to_numpy()[by_key]
+
+    automaton = Whole(order, total, kinds, behind, held(F.col("kind") < 3), held(F.col("kind") == 3))
+    return Model(automaton, values.where(~often).select("key", "kind", "value", "more"))
 
 
 def _requests(shared, keys: list[str]):
     """Task: texts -> what the automaton knows of each (kind 2), and a row
-    for each distinct rare token (kind 0) or possible rare arc (kind 1)."""
+    for each distinct rare token (kind 0), possible arc (1) or state (3)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: Automaton | Whole = shared.value
+        own: Whole = shared.value
         for batch in batches:
             for a, b, w in split(batch.column("text"), NON_SPACE, 1 << 20):
                 t, first = tokens(w)
-                n = np.diff(first)
-                text = np.repeat(np.arange(b - a), n)
-                known, base, extra, asked = own.read(t, first)
+                text = np.repeat(np.arange(b - a), np.diff(first))
+                scored, known, base, extra, asked = own.read(t, first)
                 begin = first[:-1]
+                n = np.add.reduceat(scored.astype(np.int64), begin)
                 base, extra = np.add.reduceat(base, begin), np.add.reduceat(extra, begin)
                 n_known = np.add.reduceat(known.astype(np.int64), begin)
                 marks = batch.column("mark").slice(a, b - a)
@@ -472,6 +367,12 @@ def _requests(shared, keys: list[str]):
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, mark, n_tokens, n_known, base_score, score`` of each row of
     ``docs (doc_id, text)``; both scores are log10 probabilities."""
+    return shared_out(summed(docs, model), model.automaton.total, model.automaton.kinds)
+
+
+def summed(docs: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, mark, times, n_tokens, n_known, base, extra``: sums over
+    equal rows of ``docs``, the base without its denominator."""
     keys = ["doc_id", "mark"]
     rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     schema = T.StructType(rows.select(*keys).schema.fields).add("key", "long").add("kind", "integer").add("n", "integer")
@@ -483,15 +384,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     seen = F.when((F.col("kind") == 0) & F.col("value").isNotNull(), F.col("n")).otherwise(0)
     base = F.when(own, F.col("base")).when(F.col("kind") == 0, value)
     extra = F.when(own, F.col("extra")).otherwise(more)
-    unit = F.log10(F.lit(float(model.automaton.total + model.automaton.kinds + 1)))
-    sums = answered.groupBy(*keys).agg(
+    return answered.groupBy(*keys).agg(
         F.sum(F.when(own, 1).otherwise(0)).alias("times"),
         F.sum(F.when(own, F.col("n")).otherwise(0)).alias("n_tokens"),
         F.sum(F.col("n_known") + seen).alias("n_known"),
         F.sum(base).alias("base"),
         F.coalesce(F.sum(extra), F.lit(0.0)).alias("extra"),
     )
-    # equal rows were added up together: each gets its share
+
+
+def shared_out(sums: DataFrame, total: int, kinds: int) -> DataFrame:
+    """Equal rows were added up together: each gets its share."""
+    keys = ["doc_id", "mark"]
+    unit = F.log10(F.lit(float(total + kinds + 1)))
     each = sums.select(
         *keys,
         (F.col("n_tokens") / F.col("times")).cast("long").alias("n_tokens"),

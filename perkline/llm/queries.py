@@ -107,16 +107,16 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_lm_score")
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probability of every document under the backoff automaton."""
-    from perkline.llm import lm_score
+    from perkline.llm import lm_score, lm_shards
 
-    docs = table(spark, sf_dir, "documents")
-    model = lm_score.learn_all(docs.where(~lm_score.held_out()))
-    return lm_score.score(docs, model).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (~lm_score.held_out()).alias("train"))
+    scores, train_tokens = lm_shards.score_corpus(docs)
+    return scores.select(
         "doc_id",
         lm_score.held_out().alias("held_out"),
         "n_tokens",
         "n_known",
-        F.lit(model.automaton.total).cast("long").alias("train_tokens"),
+        F.lit(train_tokens).cast("long").alias("train_tokens"),
         "base_score",
         "score",
     )

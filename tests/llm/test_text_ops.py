@@ -1,6 +1,7 @@
 """Decontamination, LM scoring, token counts, chat formatting."""
 
 import collections
+import functools
 import hashlib
 import math
 import zlib
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from perkline.llm import chat_format, decontaminate, lm_score, token_counts
+from perkline.llm import chat_format, decontaminate, lm_score, lm_shards, token_counts
 from perkline.llm.queries import QUERIES
 from perkline.session import scratch_path
 
@@ -84,83 +85,24 @@ def test_decontamination_edges(spark):
 
 
 # -- LM scoring ---------------------------------------------------------------
-def brute_lm(texts, train, context_bits):
-    tok = {i: [*WORD.findall(lower(t)), None] for i, t in texts.items()}
-    c, b = collections.Counter(), collections.Counter()
-    for i, t in tok.items():
-        if train(i):
-            c.update(t)
-            b.update(zip([None, *t[:-1]], t, strict=True))
-    n, v = sum(c.values()), len(c)
-    contexts = {w for w, k in c.items() if k * 2**context_bits >= n}
-    kept = {x: (k - 0.75) / c[x[0]] for x, k in b.items() if k >= 2 and x[0] in contexts and x[1] in contexts}
-    mass, root_mass = collections.defaultdict(float), collections.defaultdict(float)
-
-    def root(w):
-        return (c[w] + 1) / (n + v + 1)
-
-    for (h, w), p in kept.items():
-        mass[h] += p
-        root_mass[h] += root(w)
-
-    def p(h, w):
-        if (h, w) in kept:
-            return kept[h, w]
-        return root(w) * ((1 - mass[h]) / (1 - root_mass[h]) if h in contexts else 1)
-
-    out = {}
-    for i, t in tok.items():
-        steps = list(zip([None, *t[:-1]], t, strict=True))
-        out[i] = (len(t), sum(c[w] > 0 for w in t), sum(math.log10(root(w)) for w in t), sum(math.log10(p(*s)) for s in steps))
-    return out, n, c, p, contexts
-
-
-@pytest.mark.parametrize("bits", [(17, 20), (7, 7), (9, 12)])
-def test_lm_by_brute_force(spark, bits):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
-    texts = dict(map(tuple, docs.collect()))
-    want, n, counts, p, contexts = brute_lm(texts, lambda i: zlib.crc32(str(i).encode()) % 7 != 2, bits[0])
-    model = lm_score.learn(docs.where(~lm_score.held_out()), *bits)
-    assert model.automaton.total == n
-    for r in lm_score.score(docs, model).collect():
-        got = (r["n_tokens"], r["n_known"], r["base_score"], r["score"])
-        assert got[:2] == want[r["doc_id"]][:2]
-        assert got[2:] == pytest.approx(want[r["doc_id"]][2:], rel=1e-9)
-    # the arcs of a state and what it leaves to the root make up one
-    state = next(iter(contexts - {None}))
-    unknown = p(state, "no such token \0")
-    assert sum(p(state, w) for w in counts) + unknown == pytest.approx(1)
-
-
 def test_lm_is_better_than_its_base(spark):
     got = QUERIES["op4_lm_score"](spark, SF).where("held_out").agg(F.sum("base_score"), F.sum("score")).first()
     assert got[1] > got[0]
 
 
-def test_lm_edges(spark):
-    docs = edge_docs(spark)
-    texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    want, *_ = brute_lm(dict(enumerate(t for _, t in texts)), lambda i: True, 5)
-    got = lm_score.score(docs, lm_score.learn(docs, 5, 6)).collect()
-    ours = sorted((r["n_tokens"], r["n_known"], round(r["base_score"], 5), round(r["score"], 5)) for r in got)
-    assert ours == sorted((w[0], w[1], round(w[2], 5), round(w[3], 5)) for w in want.values())
-    none = lm_score.learn(empty_docs(spark))
-    assert all(r["score"] == 0 and r["n_known"] == 0 for r in lm_score.score(docs, none).collect())
-    assert lm_score.score(empty_docs(spark), none).count() == 0
-
-
 def brute_whole(texts, train, order):
     """Scores by walking the automaton, state by state."""
     tok = {i: [*WORD.findall(lower(t)), None] for i, t in texts.items()}
     seen = collections.defaultdict(collections.Counter)
     for i, t in tok.items():
         for at in range(len(t)) if train(i) else ():
-            past = ("begin", *t[:at])
+            past = (*["begin"][at >= order :], *t[max(0, at - order) : at])
             for k in range(min(order, len(past) + 1)):
                 seen[tuple(None if x == "begin" else x for x in past[len(past) - k :])][t[at]] += 1
     root = seen[()]
     n, v = sum(root.values()), len(root)
 
+    @functools.cache
     def p(state, w):
         if not state:
             return (root[w] + 1) / (n + v + 1)
@@ -186,12 +128,62 @@ def test_whole_lm_by_brute_force(spark, order, bits):
     assert len(got) == len(tok)
     for r in got:
         t = tok[r["doc_id"]]
-        want = sum(math.log10(p((None, *t[:at])[-(order - 1) :], w)) for at, w in enumerate(t))
+        want = sum(math.log10(p((None, *t[max(0, at - order) : at])[-min(order - 1, at + 1) :], w)) for at, w in enumerate(t))
         assert r["score"] == pytest.approx(want, rel=1e-9) and r["n_known"] == sum(root[w] > 0 for w in t)
     state = tuple(next(t for t in tok.values() if len(t) > 5)[1:order])
     assert sum(p(state, w) for w in root) + p(state, "no such token \0") == pytest.approx(1)
 
 
+@pytest.mark.parametrize(
+    "order,bits,shard,by_key", [(3, 20, 1 << 22, 1 << 22), (3, 6, 700, 10**9), (3, 9, 500, 30), (4, 9, 900, 25), (2, 8, 300, 12), (3, 20, 400, 1)]
+)
+def test_lm_by_parts_by_brute_force(spark, order, bits, shard, by_key):
+    docs = edge_docs(spark).select("text").distinct().withColumn("doc_id", F.monotonically_increasing_id())
+    more = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 600").limit(40).select("text", F.col("doc_id") + 10**12)
+    docs = docs.union(more).withColumn("train", F.expr("doc_id % 3 != 1"))
+    rows = docs.collect()
+    docs = spark.createDataFrame(rows, docs.schema)
+    texts = {r["doc_id"]: r["text"] or "" for r in rows}
+    tok, root, p = brute_whole(texts, lambda i: i % 3 != 1, order)
+    scores, total = lm_shards.score_corpus(docs, order, bits, shard, by_key)
+    got = scores.collect()
+    n, v = sum(root.values()), len(root)
+    assert total == n and sorted(r["doc_id"] for r in got) == sorted(tok)
+    for r in got:
+        t = tok[r["doc_id"]]
+        want = sum(math.log10(p((None, *t[max(0, at - order) : at])[-min(order - 1, at + 1) :], w)) for at, w in enumerate(t))
+        assert r["score"] == pytest.approx(want, rel=1e-9)
+        assert r["base_score"] == pytest.approx(sum(math.log10((root[w] + 1) / (n + v + 1)) for w in t), rel=1e-9)
+        assert (r["n_tokens"], r["n_known"]) == (len(t), sum(root[w] > 0 for w in t))
+
+
+@pytest.mark.parametrize("by_key", [1 << 22, 2])
+def test_lm_by_parts_edges(spark, by_key):
+    docs = edge_docs(spark).withColumn("train", F.col("doc_id") > 0)
+    more = docs_of(spark, ["a b a b c", None]).select("doc_id", "text", F.lit(None).cast("boolean").alias("train"))
+    both = docs.select("doc_id", "text", "train").unionByName(more)
+    twice = both.unionByName(both)
+    got = lm_shards.score_corpus(twice, shard=100, by_key=by_key)[0].collect()
+    assert len(got) == twice.count()
+    times = collections.Counter((r["doc_id"], r["mark"], r["n_tokens"], round(r["score"], 6)) for r in got)
+    assert all(k % 2 == 0 for k in times.values())
+    none, total = lm_shards.score_corpus(both.withColumn("train", F.lit(False)), by_key=by_key)
+    assert total == 0 and all(r["score"] == r["base_score"] == 0 and r["n_known"] == 0 for r in none.collect())
+    empty, total = lm_shards.score_corpus(both.where("doc_id = -5 and text = 'x'"), by_key=by_key)
+    assert total == 0 and empty.count() == 0
+
+
+def test_lm_query_by_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    tok, root, p = brute_whole(texts, lambda i: zlib.crc32(str(i).encode()) % 7 != 2, 2)
+    n, v = sum(root.values()), len(root)
+    for r in QUERIES["op4_lm_score"](spark, SF).collect():
+        t = tok[r["doc_id"]]
+        assert r["train_tokens"] == n and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2)
+        assert r["base_score"] == pytest.approx(sum(math.log10((root[w] + 1) / (n + v + 1)) for w in t), rel=1e-9)
+
+
 def test_lm_keeps_what_is_seen_once(spark, tmp_path):
     own = ["once upon a rare time", "other words here", "words of a third text"]
     docs_of(spark, own).write.parquet(str(tmp_path / "documents.parquet"))
