@@ -48,6 +48,8 @@ from perkline.llm.words import NON_SPACE, split
 
 #: tokens of a shard, and training occurrences from which a token's states go by key
 SHARD, BY_KEY = 1 << 22, 1 << 22
+#: about 2^_TOGETHER tokens of a shard are weighed at once, or one part if it has more
+_TOGETHER = 17
 #: bytes of text dealt out together
 _SLICE = 4 << 20
 #: a token's code: its rank among the frequent ones, or from _RARE on its place in a list of rare ones
@@ -267,7 +269,14 @@ def _shard_sums(shared, schema: pa.Schema):
             sizes.append(size)
             marks.append(np.frombuffer(block["mark"], dtype=np.int64))
             lo = hi
-        extra = weigh(own, rows[0], list(rows[1:]), list(known[1:]), count, learned)
+        # parts share nothing: a few at a time need little memory
+        extra = np.empty(total)
+        group = (rows[1] & np.uint64(0xFFFFFF)) % np.uint64((total >> _TOGETHER) % 65535 + 1)
+        dealt = np.argsort(group.astype(np.uint16), kind="stable")
+        begins = np.flatnonzero(np.diff(group[dealt].astype(np.int64), prepend=-1))
+        del group
+        for on in _runs(dealt, begins, np.append(begins[1:], total), total):
+            extra[on] = weigh(own, rows[0][on], list(rows[1:, on]), list(known[1:, on]), count[on], learned[on])
         size = np.concatenate(sizes).astype(np.int64)
         begin = np.cumsum(size) - size
         return pa.Table.from_arrays(
