@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perkline.llm.common import map_arrow, stored
+from perkline.llm import lm_score
 from perkline.llm.lm_score import (
     DISCOUNT,
     END,
-    FREQUENT_BITS,
     ORDER,
     _counted,
     _find,
@@ -46,6 +46,8 @@ from perkline.llm.lm_score import (
 )
 from perkline.llm.words import NON_SPACE, split
 
+#: tokens with this share of all have a place in the broadcast list
+FREQUENT_BITS = 22
 #: tokens of a shard, and training occurrences from which a token's states go by key
 SHARD, BY_KEY = 1 << 22, 1 << 22
 #: about 2^_TOGETHER tokens of a shard are weighed at once, or one part if it has more
@@ -112,7 +114,7 @@ def _rare_readers(shared):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Deal = shared.value
         for batch in batches:
-            for _, _, w in split(batch.column("text"), NON_SPACE, _SLICE):
+            for _, _, w in split(batch.column("text"), NON_SPACE, 2 * _SLICE):
                 code, _, rare, shard = own.read(*tokens(w))
                 on = np.flatnonzero((code >= _RARE) & (shard >= 0))
                 both = np.unique(shard[on] << 32 | (code[on] - _RARE).astype(np.int64))
@@ -212,26 +214,45 @@ def weigh(own: Deal, c: np.ndarray, history: list[np.ndarray], known: list[np.nd
     log = root.copy()
     state = np.zeros(len(c), dtype=np.uint64)
     for k, (token, here) in enumerate(zip(history, known, strict=True)):
-        on = np.flatnonzero(here)
+        on = slice(None) if here.all() else np.flatnonzero(here)
         at_state = token[on] if k == 0 else _spark_hash(token[on], state[on])
         state[on] = at_state
-        _, at, of = np.unique(_spark_hash(c[on], at_state), return_index=True, return_inverse=True)
+        key = _spark_hash(c[on], at_state)
+        arcs = np.unique(key)
+        of, at = np.searchsorted(arcs, key), np.empty(len(arcs), dtype=np.int64)
+        at[of] = np.arange(len(key))
+        del key, arcs
         n = np.bincount(of, weights=learned[on], minlength=len(at))
         seen = np.flatnonzero(n)
         states, to = np.unique(at_state[at[seen]], return_inverse=True)
         size, kinds = np.bincount(to, n[seen], len(states)), np.bincount(to, minlength=len(states))
         # what the arcs leave, over what the same tokens leave in the next state
-        lower = np.bincount(to, p[on[at[seen]]], len(states))
+        lower = np.bincount(to, p[on][at[seen]], len(states))
         fail = np.log10(kinds * DISCOUNT / size) - np.log10(np.maximum(1 - lower, 1e-15))
         arc = np.zeros(len(at))
         arc[seen] = (n[seen] - DISCOUNT) / size[to]
         arc = arc[of]
         # no state, no weight: the token is read in the next state
         failed = np.append(fail, 0.0)[_find(states, at_state)]
+        del of, at, at_state
+        failed += log[on]
         taken = arc > 0
-        log[on] = np.where(taken, np.log10(np.where(taken, arc, 1)), failed + log[on])
-        p[on] = arc
-    return log - root
+        failed[taken] = np.log10(arc[taken])
+        log[on], p[on] = failed, arc
+    log -= root
+    return log
+
+
+def by_parts(own: Deal, rows: np.ndarray, known: np.ndarray, count: np.ndarray, learned: np.ndarray) -> np.ndarray:
+    """``weigh`` for some parts at a time, which share nothing."""
+    total = len(count)
+    extra = np.empty(total)
+    group = ((rows[1] & np.uint64(0xFFFFFF)) % np.uint64((total >> _TOGETHER) % 65535 + 1)).astype(np.uint16)
+    dealt = np.argsort(group, kind="stable")
+    begins = np.flatnonzero(np.diff(group[dealt].astype(np.int32), prepend=-1))
+    for on in _runs(dealt, begins, np.append(begins[1:], total), total):
+        extra[on] = weigh(own, rows[0][on], list(rows[1:, on]), list(known[1:, on]), count[on], learned[on])
+    return extra
 
 
 def _shard_sums(shared, schema: pa.Schema):
@@ -269,14 +290,10 @@ def _shard_sums(shared, schema: pa.Schema):
             sizes.append(size)
             marks.append(np.frombuffer(block["mark"], dtype=np.int64))
             lo = hi
-        # parts share nothing: a few at a time need little memory
-        extra = np.empty(total)
-        group = (rows[1] & np.uint64(0xFFFFFF)) % np.uint64((total >> _TOGETHER) % 65535 + 1)
-        dealt = np.argsort(group.astype(np.uint16), kind="stable")
-        begins = np.flatnonzero(np.diff(group[dealt].astype(np.int64), prepend=-1))
-        del group
-        for on in _runs(dealt, begins, np.append(begins[1:], total), total):
-            extra[on] = weigh(own, rows[0][on], list(rows[1:, on]), list(known[1:, on]), count[on], learned[on])
+        if (rows[1] == rows[1, 0]).all():
+            extra = weigh(own, rows[0], list(rows[1:]), list(known[1:]), count, learned)
+        else:
+            extra = by_parts(own, rows, known, count, learned)
         size = np.concatenate(sizes).astype(np.int64)
         begin = np.cumsum(size) - size
         return pa.Table.from_arrays(
@@ -320,8 +337,9 @@ def score_corpus(
     shared = spark.sparkContext.broadcast(deal)
 
     texts = docs.select("doc_id", F.xxhash64("text").alias("mark"), train.alias("train"), "text")
-    readers = map_arrow(docs.select("text"), _rare_readers(shared), "key bigint, shard bigint").distinct()
-    root = readers.join(unigrams.where(~often), "key").select("shard", "key", "n")
+    readers = map_arrow(docs.select("text"), _rare_readers(shared), "key bigint, shard bigint")
+    # rare keys: no key is hot in the join, and its shuffle serves distinct too
+    root = readers.join(unigrams.where(~often), "key").select("key", "shard", "n").distinct()
     block = T.StructType().add("shard", "long").add("n", "long")
     for name in _BLOCK[1:-1]:
         block.add(name, "binary")
@@ -338,7 +356,7 @@ def score_corpus(
     task = _shard_sums(shared, to_arrow_schema(found))
     parts = blocks.groupBy("shard").cogroup(root.groupBy("shard")).applyInArrow(task, found)
     if deal.keyed:
-        model = learn_all(learned, order, frequent_bits, deal.behind())
+        model = learn_all(learned, order, min(frequent_bits, lm_score.FREQUENT_BITS), deal.behind())
         # every text is a row there, whose end may be read here
         parts = parts.withColumn("times", F.lit(0).cast("long")).unionByName(summed(docs, model))
     adds = [F.sum(c).alias(c) for c in ("times", "n_tokens", "n_known", "base", "extra")]
