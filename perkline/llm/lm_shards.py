@@ -49,7 +49,7 @@ from perkline.llm.words import NON_SPACE, split
 #: tokens with this share of all have a place in the broadcast list
 FREQUENT_BITS = 22
 #: tokens of a shard, and training occurrences from which a token's states go by key
-SHARD, BY_KEY = 1 << 22, 1 << 22
+SHARD, BY_KEY = 1 << 21, 1 << 22
 #: about 2^_TOGETHER tokens of a shard are weighed at once, or one part if it has more
 _TOGETHER = 17
 #: bytes of text dealt out together
