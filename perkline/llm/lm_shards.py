@@ -4,12 +4,14 @@ A part holds the states that end in one token, and their failure arcs: reading
 a token needs the part of the token before it, and the root.  A shard is a
 part, or several small ones together.  Tasks read the texts once, deal every
 token with its history to the shard of the token before it, and send a packed
-block a shard, not a row a token.  A shard's task counts the n-grams of its
-training tokens, weighs arcs and failure arcs, and reads all its tokens,
-also those held out, through them; per text it gives back one sum.  The root's
-weights of frequent tokens are broadcast (at most ``2^FREQUENT_BITS``, since
-shares add up to one); those of rare tokens are joined to the shards that read
-them.
+block a shard and slice of texts, not a row a token.  A shard's task counts the
+n-grams of its training tokens, weighs arcs and failure arcs, and reads all its
+tokens, also those held out, through them; per slice it gives back a packed
+block with one sum a text.  Blocks name texts by their place in the slice; ids
+go with one block of the slice, and the slice's blocks are added up text by
+text in the end.  The root's weights of frequent tokens are broadcast (at most
+``2^FREQUENT_BITS``, since shares add up to one); those of rare tokens are
+joined to the shards that read them.
 
 A shard reads about ``SHARD`` tokens, whatever the corpus has: the number of
 shards grows with it.  A token that makes up a quarter of a shard is a shard of
@@ -22,10 +24,12 @@ Defined cases are those of ``lm_score``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,7 +48,7 @@ from perkline.llm.lm_score import (
     summed,
     tokens,
 )
-from perkline.llm.words import NON_SPACE, split
+from perkline.llm.words import NON_SPACE, Words, split
 
 #: tokens with this share of all have a place in the broadcast list
 FREQUENT_BITS = 22
@@ -52,8 +56,8 @@ FREQUENT_BITS = 22
 SHARD, BY_KEY = 1 << 21, 1 << 22
 #: about 2^_TOGETHER tokens of a shard are weighed at once, or one part if it has more
 _TOGETHER = 17
-#: bytes of text dealt out together
-_SLICE = 4 << 20
+#: bytes of text read together, and tokens of a task dealt out together (at least, and up to _SLICE more)
+_SLICE, _DEAL = 4 << 20, 1 << 20
 #: a token's code: its rank among the frequent ones, or from _RARE on its place in a list of rare ones
 _RARE = 1 << FREQUENT_BITS
 _NONE = (1 << 32) - 1
@@ -143,7 +147,73 @@ def _runs(dealt: np.ndarray, begins: np.ndarray, ends: np.ndarray, most: int) ->
             yield dealt[at : min(at + most, end)]
 
 
-_BLOCK = ["n", "codes", "rare", "sizes", "train", "mark", "doc_id"]
+_BLOCK = ["slice", "n", "codes", "rare", "m", "texts", "sizes", "head"]
+
+
+class _Slice:
+    """Texts of a task that are dealt out together."""
+
+    def __init__(self) -> None:
+        self.rows, self.rare, self.shard, self.text, self.head = [], [], [], [], []
+        self.train, self.far, self.n, self.texts = [], 0, 0, 0
+
+    def add(self, own: Deal, w: Words, batch: pa.RecordBatch) -> None:
+        """``batch`` has the texts of ``w``."""
+        t, first = tokens(w)
+        code, history, rare, shard = own.read(t, first)
+        rows = np.stack([code, *history])
+        rows[(rows >= _RARE) & (rows != _NONE)] += np.uint32(self.far)
+        here, often = shard >= 0, code < _RARE
+        held = here & often
+        base = np.zeros(len(code))
+        base[held] = np.log10(own.count[code[held]] + 1.0)
+        begin = first[:-1]
+        sums = [np.add.reduceat(here.astype(np.int64), begin), np.add.reduceat(held.astype(np.int64), begin), np.add.reduceat(base, begin)]
+        # copies, which don't keep the batch
+        own_rows = pa.array(np.arange(batch.num_rows))
+        columns = [batch.column("doc_id").take(own_rows), batch.column("mark").take(own_rows), *map(pa.array, sums)]
+        self.head.append(pa.StructArray.from_arrays(columns, names=["doc_id", "mark", "n_tokens", "n_known", "base"]))
+        self.rows.append(rows)
+        self.rare.append(rare)
+        self.shard.append(shard)
+        self.text.append(np.repeat(np.arange(self.texts, self.texts + batch.num_rows), np.diff(first)))
+        self.train.append(batch.column("train").to_numpy(zero_copy_only=False).astype(np.uint8))
+        self.far += len(rare)
+        self.n += len(t)
+        self.texts += batch.num_rows
+
+    def deal(self, own: Deal, nth: int) -> pa.RecordBatch | None:
+        """A block a shard.  The first one also has the texts' ids, marks and
+        the sums that need no shard."""
+        rows, rare, shard, text = np.concatenate(self.rows, 1), *map(np.concatenate, (self.rare, self.shard, self.text))
+        train, head = np.concatenate(self.train), pa.concat_arrays(self.head)
+        self.__init__()
+        # another order of rows, as an upstream task run again may give, is another slice
+        digest = hashlib.blake2b(rows.tobytes() + head.field("mark").to_numpy().tobytes(), digest_size=8, key=nth.to_bytes(8))
+        name = int.from_bytes(digest.digest(), signed=True)
+        dealt = np.argsort(shard, kind="stable")
+        begins = np.flatnonzero(np.diff(shard[dealt], prepend=-2))
+        ends = np.append(begins[1:], len(dealt))
+        out = []
+        for on in _runs(dealt, begins, ends, _BLOCK_CODES // own.order):
+            if shard[on[0]] < 0:
+                continue
+            block, whose = rows[:, on], text[on]
+            far = (block >= _RARE) & (block != _NONE)
+            kinds, of = np.unique(rare[block[far] - _RARE], return_inverse=True)
+            block[far] = _RARE + of
+            block[block == _NONE] = _PACKED_NONE
+            new = np.flatnonzero(np.diff(whose, prepend=-1))
+            texts = whose[new]
+            sizes = np.diff(np.append(new, len(whose))) << 1 | train[texts]
+            packed = _pack(block), kinds.tobytes(), len(texts), _pack(np.diff(texts, prepend=0)), _pack(sizes)
+            out.append((int(shard[on[0]]), name, len(on), *packed))
+        if not out:
+            return None
+        columns = [pa.array(x, pa.binary() if isinstance(x[0], bytes) else pa.int64()) for x in zip(*out, strict=True)]
+        offsets = np.full(len(out) + 1, len(head), dtype=np.int32)
+        offsets[0] = 0
+        return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(offsets), head)], names=["shard", *_BLOCK])
 
 
 def _blocks(shared):
@@ -152,55 +222,16 @@ def _blocks(shared):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Deal = shared.value
+        held, nth = _Slice(), TaskContext.get().partitionId() << 32
         for batch in batches:
-            train = batch.column("train").to_numpy(zero_copy_only=False).astype(np.uint8)
-            mark = batch.column("mark").to_numpy(zero_copy_only=False)
             for a, b, w in split(batch.column("text"), NON_SPACE, _SLICE):
-                t, first = tokens(w)
-                code, history, rare, shard = own.read(t, first)
-                rows = np.stack([code, *history])
-                text = np.repeat(np.arange(a, b), np.diff(first))
-                dealt = np.argsort(shard, kind="stable")
-                begins = np.flatnonzero(np.diff(shard[dealt], prepend=-2))
-                ends = np.append(begins[1:], len(dealt))
-                out, texts = [], []
-                for on in _runs(dealt, begins, ends, _BLOCK_CODES // own.order):
-                    if shard[on[0]] < 0:
-                        continue
-                    block, whose = rows[:, on], text[on]
-                    far = (block >= _RARE) & (block != _NONE)
-                    kinds, of = np.unique(block[far], return_inverse=True)
-                    block[far] = _RARE + of
-                    block[block == _NONE] = _PACKED_NONE
-                    new = np.flatnonzero(np.diff(whose, prepend=-1))
-                    own_texts = whose[new]
-                    sizes = np.diff(np.append(new, len(whose))).astype(np.uint32)
-                    texts.append(own_texts)
-                    out.append(
-                        (
-                            int(shard[on[0]]),
-                            len(on),
-                            _pack(block),
-                            rare[kinds - _RARE].tobytes(),
-                            sizes.tobytes(),
-                            train[own_texts].tobytes(),
-                            mark[own_texts].tobytes(),
-                        )
-                    )
-                if not out:
-                    continue
-                columns = [list(x) for x in zip(*out, strict=True)]
-                offsets = np.concatenate(([0], np.cumsum([len(x) for x in texts]))).astype(np.int32)
-                ids = batch.column("doc_id").take(pa.array(np.concatenate(texts)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(columns[0], pa.int64()),
-                        pa.array(columns[1], pa.int64()),
-                        *[pa.array(x, pa.binary()) for x in columns[2:]],
-                        pa.ListArray.from_arrays(pa.array(offsets), ids),
-                    ],
-                    names=["shard", *_BLOCK],
-                )
+                held.add(own, w, batch.slice(a, b - a))
+                if held.n >= _DEAL:
+                    if (blocks := held.deal(own, nth)) is not None:
+                        yield blocks
+                    nth += 1
+        if held.n and (blocks := held.deal(own, nth)) is not None:
+            yield blocks
 
     return task
 
@@ -255,9 +286,20 @@ def by_parts(own: Deal, rows: np.ndarray, known: np.ndarray, count: np.ndarray,
     return extra
 
 
+def _pack_sums(sums: np.ndarray) -> bytes:
+    """The first bytes of the numbers, the second, ..., compressed."""
+    planes = np.ascontiguousarray(sums.astype("<f8").reshape(-1).view(np.uint8).reshape(-1, 8).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack_sums(data: bytes, rows: int, n: int) -> np.ndarray:
+    raw = pa.decompress(data, decompressed_size=8 * rows * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(8, -1).T).view("<f8").reshape(rows, n)
+
+
 def _shard_sums(shared, schema: pa.Schema):
-    """Task of a shard: its blocks and the counts of its rare tokens -> sums
-    of each text's tokens in each block."""
+    """Task of a shard: its blocks and the counts of its rare tokens -> a
+    block a slice: sums of each text's tokens, in the texts' order."""
 
     def task(blocks: pa.Table, counts: pa.Table) -> pa.Table:
         own: Deal = shared.value
@@ -269,10 +311,10 @@ def _shard_sums(shared, schema: pa.Schema):
         total = sum(blocks.column("n").to_pylist())
         rows = np.empty((own.order, total), dtype=np.uint64)
         known = np.ones((own.order, total), dtype=bool)
-        count = np.zeros(total)
-        learned, sizes, marks, lo = np.zeros(total, dtype=bool), [], [], 0
+        count, held = np.zeros(total), np.zeros(total, dtype=bool)
+        learned, sizes, lo = np.zeros(total, dtype=bool), [], 0
         for i in range(blocks.num_rows):
-            block = {name: blocks.column(name)[i].as_py() for name in _BLOCK[:-1]}
+            block = {name: blocks.column(name)[i].as_py() for name in ("n", "codes", "rare", "m", "sizes")}
             hi = lo + block["n"]
             codes = _unpack(block["codes"], own.order, block["n"])
             rare = np.frombuffer(block["rare"], dtype=np.uint64)
@@ -283,31 +325,51 @@ def _shard_sums(shared, schema: pa.Schema):
             into[far] = rare[codes[far] - _RARE]
             known[:, lo:hi] = codes != _PACKED_NONE
             count[lo:hi][frequent[0]] = own.count[codes[0][frequent[0]]]
+            held[lo:hi] = frequent[0]
             at = _find(key, into[0][far[0]])
             count[lo:hi][far[0]] = np.where(at >= 0, np.append(of_key, 0)[at], 0)
-            size = np.frombuffer(block["sizes"], dtype=np.uint32)
-            learned[lo:hi] = np.repeat(np.frombuffer(block["train"], dtype=np.uint8), size)
-            sizes.append(size)
-            marks.append(np.frombuffer(block["mark"], dtype=np.int64))
+            size = _unpack(block["sizes"], 1, block["m"])[0]
+            learned[lo:hi] = np.repeat((size & 1).astype(bool), size >> 1)
+            sizes.append(size >> 1)
             lo = hi
         if (rows[1] == rows[1, 0]).all():
             extra = weigh(own, rows[0], list(rows[1:]), list(known[1:]), count, learned)
         else:
             extra = by_parts(own, rows, known, count, learned)
+        del rows, known, learned
         size = np.concatenate(sizes).astype(np.int64)
         begin = np.cumsum(size) - size
-        return pa.Table.from_arrays(
-            [
-                pa.chunked_array([x.flatten() for x in blocks.column("doc_id").chunks], schema.field("doc_id").type),
-                pa.array(np.concatenate(marks)),
-                pa.array(np.add.reduceat((rows[0] == END).astype(np.int64), begin)),
-                pa.array(size),
-                pa.array(np.add.reduceat((count > 0).astype(np.int64), begin)),
-                pa.array(np.add.reduceat(np.log10(count + 1.0), begin)),
-                pa.array(np.add.reduceat(extra, begin)),
-            ],
-            schema=schema,
-        )
+        # those of frequent tokens are added up where the text is read
+        count[held] = 0
+        found = np.add.reduceat((count > 0).astype(np.int64), begin)
+        sums = np.stack([np.add.reduceat(extra, begin), np.add.reduceat(np.log10(count + 1.0), begin)])
+        ends = np.cumsum([len(x) for x in sizes])
+        each = [slice(end - len(x), end) for x, end in zip(sizes, ends, strict=True)]
+        packed = [pa.array([_pack(found[x]) for x in each], pa.binary()), pa.array([_pack_sums(sums[:, x]) for x in each], pa.binary())]
+        kept = [blocks.column(name) for name in ("slice", "n", "m", "texts", "head")]
+        return pa.Table.from_arrays([*kept, *packed], schema=schema)
+
+    return task
+
+
+def _slice_sums(schema: pa.Schema):
+    """Task of a slice: what its shards found -> a row a text."""
+
+    def task(found: pa.Table) -> pa.Table:
+        head = pa.concat_arrays([x.flatten() for x in found.column("head").chunks])
+        n_tokens, n_known, base = (head.field(c).to_numpy(zero_copy_only=False) for c in ("n_tokens", "n_known", "base"))
+        if n_tokens.sum() != sum(found.column("n").to_pylist()):
+            raise RuntimeError("a slice was read twice, in another order: store its rows first")
+        n_known, base, extra = n_known.copy(), base.copy(), np.zeros(len(head))
+        for i in range(found.num_rows):
+            m, texts, known, sums = (found.column(name)[i].as_py() for name in ("m", "texts", "known", "sums"))
+            at = np.cumsum(_unpack(texts, 1, m)[0])
+            n_known[at] += _unpack(known, 1, m)[0]
+            more = _unpack_sums(sums, 2, m)
+            extra[at] += more[0]
+            base[at] += more[1]
+        columns = [np.ones(len(head), dtype=np.int64), n_tokens, n_known, base, extra]
+        return pa.Table.from_arrays([head.field("doc_id"), head.field("mark"), *map(pa.array, columns)], schema=schema)
 
     return task
 
@@ -340,24 +402,26 @@ def score_corpus(
     readers = map_arrow(docs.select("text"), _rare_readers(shared), "key bigint, shard bigint")
     # rare keys: no key is hot in the join, and its shuffle serves distinct too
     root = readers.join(unigrams.where(~often), "key").select("key", "shard", "n").distinct()
-    block = T.StructType().add("shard", "long").add("n", "long")
-    for name in _BLOCK[1:-1]:
-        block.add(name, "binary")
     of = docs.schema["doc_id"].dataType
-    block.add("doc_id", T.ArrayType(of))
+    text = T.StructType().add("doc_id", of).add("mark", "long").add("n_tokens", "long").add("n_known", "long").add("base", "double")
+    block = T.StructType().add("shard", "long").add("slice", "long").add("n", "long").add("codes", "binary").add("rare", "binary")
+    block.add("m", "long").add("texts", "binary").add("sizes", "binary").add("head", T.ArrayType(text))
     blocks = map_arrow(texts, _blocks(shared), block)
 
-    found = T.StructType().add("doc_id", of).add("mark", "long")
-    for name in ("times", "n_tokens", "n_known"):
-        found.add(name, "long")
-    found.add("base", "double").add("extra", "double")
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    found = T.StructType([block[c] for c in ("slice", "n", "m", "texts", "head")]).add("known", "binary").add("sums", "binary")
     task = _shard_sums(shared, to_arrow_schema(found))
-    parts = blocks.groupBy("shard").cogroup(root.groupBy("shard")).applyInArrow(task, found)
+    answers = blocks.groupBy("shard").cogroup(root.groupBy("shard")).applyInArrow(task, found)
+    row = T.StructType().add("doc_id", of).add("mark", "long")
+    for name in ("times", "n_tokens", "n_known"):
+        row.add(name, "long")
+    row.add("base", "double").add("extra", "double")
+    parts = answers.groupBy("slice").applyInArrow(_slice_sums(to_arrow_schema(row)), row)
     if deal.keyed:
         model = learn_all(learned, order, min(frequent_bits, lm_score.FREQUENT_BITS), deal.behind())
         # every text is a row there, whose end may be read here
         parts = parts.withColumn("times", F.lit(0).cast("long")).unionByName(summed(docs, model))
-    adds = [F.sum(c).alias(c) for c in ("times", "n_tokens", "n_known", "base", "extra")]
-    return shared_out(parts.groupBy("doc_id", "mark").agg(*adds), total, kinds), total
+        adds = [F.sum(c).alias(c) for c in ("times", "n_tokens", "n_known", "base", "extra")]
+        parts = parts.groupBy("doc_id", "mark").agg(*adds)
+    return shared_out(parts, total, kinds), total

@@ -173,6 +173,47 @@ def test_lm_by_parts_edges(spark, by_key):
     assert total == 0 and empty.count() == 0
 
 
+def rows_made(node, name):
+    """Rows that the operators of this name made in an executed plan."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return rows_made(node.executedPlan(), name)
+    if kind.endswith("QueryStageExec"):
+        return rows_made(node.plan(), name)
+    own = node.longMetric("pythonNumRowsReceived").value() if node.nodeName() == name else 0
+    return own + sum(rows_made(node.children().apply(i), name) for i in range(node.children().size()))
+
+
+def test_lm_shards_send_blocks_and_no_row_a_text(spark):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[i % 7 :: 1 + i % 3]) for i in range(200)]
+    docs = docs_of(spark, texts).select("doc_id", "text", (F.col("doc_id") % 3 != 1).alias("train")).coalesce(2)
+    scores, _ = lm_shards.score_corpus(docs, shard=100)
+    assert len(scores.collect()) == 200
+    made = rows_made(scores._jdf.queryExecution().executedPlan(), "FlatMapCoGroupsInArrow")
+    # a slice a task and at most 62 kinds of tokens that are read behind
+    assert 0 < made <= 2 * 62
+    one, _ = lm_shards.score_corpus(docs, shard=10**6)
+    want = {r["doc_id"]: r["score"] for r in one.collect()}
+    assert all(r["score"] == pytest.approx(want[r["doc_id"]], rel=1e-9) for r in scores.collect())
+
+
+def test_lm_slice_with_blocks_missing_fails():
+    import numpy as np
+    import pyarrow as pa
+
+    head = [{"doc_id": 1, "mark": 2, "n_tokens": 3, "n_known": 0, "base": 0.0}]
+    sums = lm_shards._pack_sums(np.array([[0.5], [-1.5]])), lm_shards._pack(np.array([1])), lm_shards._pack(np.array([0]))
+    names = ["n", "m", "head", "sums", "known", "texts"]
+    whole = pa.table([pa.array([x]) for x in (3, 1, head, *sums)], names=names)
+    schema = pa.schema([("doc_id", "int64"), ("mark", "int64"), *[(c, "int64") for c in ("times", "n_tokens", "n_known")], ("base", "double"), ("extra", "double")])
+    task = lm_shards._slice_sums(schema)
+    want = {"doc_id": 1, "mark": 2, "times": 1, "n_tokens": 3, "n_known": 1, "base": -1.5, "extra": 0.5}
+    assert task(whole).to_pylist() == [want]
+    with pytest.raises(RuntimeError):
+        task(pa.table([pa.array([x]) for x in (2, 1, head, *sums)], names=names))
+
+
 def test_lm_query_by_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
